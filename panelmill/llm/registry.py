@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from panelmill.llm.pieces import op9_sentencepiece
+from panelmill.llm.quality import op5_quality_classifier
+from panelmill.llm.rules import op6_quality_rules
 from panelmill.llm.simhash import op8_simhash
 from panelmill.llm.substrings import op7_substring_dedup
 
-QUERIES = {"op7_substring_dedup": op7_substring_dedup, "op8_simhash": op8_simhash}
+QUERIES = {
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_simhash": op8_simhash,
+    "op9_sentencepiece": op9_sentencepiece,
+}
 ORACLE: dict[str, str] = {}
 
 
