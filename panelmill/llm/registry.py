@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from panelmill.llm.chat import op2_chat_format
+from panelmill.llm.decontaminate import op3_decontamination
+from panelmill.llm.licenses import op4_licenses
 from panelmill.llm.pieces import op9_sentencepiece
 from panelmill.llm.quality import op5_quality_classifier
 from panelmill.llm.rules import op6_quality_rules
 from panelmill.llm.simhash import op8_simhash
 from panelmill.llm.substrings import op7_substring_dedup
+from panelmill.llm.token_counts import op1_token_counts
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_chat_format": op2_chat_format,
+    "op3_decontamination": op3_decontamination,
+    "op4_licenses": op4_licenses,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
     "op7_substring_dedup": op7_substring_dedup,
