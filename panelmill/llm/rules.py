@@ -44,13 +44,16 @@ PRECISION = 0.8
 LEAST_COVER = 5
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts of each text; one pass, no shuffle."""
+def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id and the counts of each text, with ``carry`` also the whole row as the struct ``row``; one pass, no shuffle."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    held = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *held)
+    held = ["row"] if carry else []
     parts = base.select(
         "doc_id",
         "text",
+        *held,
         F.array_remove(F.split("text", SPACE, -1), "").alias("words"),
         F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.regexp_replace("text", SPACE, "").alias("solid"),
@@ -82,6 +85,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             F.size("lines").cast("long").alias("n_lines"),
             count(r"[^\p{Lu}]+").alias("n_capitals"),
             count("[^!?]+").alias("n_marks"),
+            *held,
         )
     )
 
@@ -223,6 +227,18 @@ def judge(docs: DataFrame, labels: DataFrame, thresholds: dict[str, list[float]]
     return stats.withColumns({"base_failed": base_failed(), "rule": rules.fired()}).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame, thresholds: dict[str, list[float]] = THRESHOLDS) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. Only labelled documents are counted for learning; every row
+    is then judged where it is read, without a shuffle of texts."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
+    rules = learn([tuple(r) for r in cells(statistics(few), labels, thresholds).collect()], thresholds)
+    stats = statistics(docs, carry=True)
+    # The array of one struct keeps the optimizer from copying every statistic into each condition that reads it.
+    held = stats.select("row", F.explode(F.array(F.struct(*[c for c in stats.columns if c != "row"]))).alias("s")).select("row", "s.*")
+    return held.where(~base_failed() & (rules.fired() == 0)).select("row.*")
+
+
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     found = judge(read("documents"), read("labels"))
