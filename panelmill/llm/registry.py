@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from panelmill.llm.chat import op2_chat_format
 from panelmill.llm.decontaminate import op3_decontamination
+from panelmill.llm.katz import op10_katz
 from panelmill.llm.licenses import op4_licenses
 from panelmill.llm.pieces import op9_sentencepiece
 from panelmill.llm.quality import op5_quality_classifier
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash": op8_simhash,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_katz": op10_katz,
 }
 ORACLE: dict[str, str] = {}
 
