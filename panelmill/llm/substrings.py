@@ -8,6 +8,7 @@ that also starts earlier (smaller doc_id, or same document and earlier start).
 2. For the phrases picked more than once, the windows that picked them are hashed (96 bits) and grouped: the first place
    of each recurring window is a minimum, which is pre-aggregated, so a passage that a third of all documents share
    costs no more than another. This confirms the recurring passages: runs of windows whose first places run along.
+   A document whose whole word sequence a smaller doc_id has is itself such a passage and is settled by its digest.
 3. Documents are dealt out by doc_id. Each shard compiles an Aho-Corasick automaton over the word ids of the passages
    confirmed for it and streams its documents through it; every occurrence that isn't the passage's first place goes.
    A shard's automaton holds no more words than the shard's own documents, whatever the corpus holds.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,46 +37,69 @@ WINDOW = 20
 ANCHOR = 10
 
 
-def anchors(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(phrase hash, first window, number of windows) for each run of windows that picked the same phrase."""
-    grams = gram_hashes(word_hashes(words), anchor)
-    span = window - anchor + 1
-    if len(grams) < span:
+class Slice:
+    """The words of all documents of a record batch, one after another."""
+
+    def __init__(self, raw: list[bytes]) -> None:
+        each = [t.split() for t in raw]
+        self.n = np.array([len(w) for w in each], dtype=np.int64)
+        self.words = [w for words in each for w in words]
+        self.hashes = word_hashes(self.words)
+        self.start = np.cumsum(self.n) - self.n
+        self.doc = np.repeat(np.arange(len(raw)), self.n)
+
+    def windows(self, window: int) -> np.ndarray:
+        """The first words of all windows that lie within one document."""
+        last = len(self.words) - window
+        if last < 0:
+            return np.zeros(0, dtype=np.int64)
+        return np.flatnonzero(self.doc[: last + 1] == self.doc[window - 1 :])
+
+
+def picks(grams: np.ndarray, span: int) -> np.ndarray:
+    """Where the least of each ``span`` neighbours is, the leftmost of equal ones, by doubling."""
+    out, width = np.arange(len(grams)), 1
+    least = lambda a, b: np.where(grams[a] <= grams[b], a, b)
+    while 2 * width <= span:
+        out = least(out[:-width], out[width:])
+        width *= 2
+    n = len(grams) - span + 1
+    return least(out[:n], out[span - width : span - width + n])
+
+
+def anchors(part: Slice, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(phrase hash, document, first window, number of windows) for each run of windows that picked the same phrase."""
+    at = part.windows(window)
+    if not len(at):
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none
-    picked = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(picked)) + 1])
-    return grams[picked[first]].view(np.int64), first, np.diff(np.concatenate([first, [len(picked)]]))
+        return none, none, none, none
+    grams = gram_hashes(part.hashes, anchor)
+    picked = picks(grams, window - anchor + 1)[at]
+    doc = part.doc[at]
+    first = np.concatenate([[0], np.flatnonzero((np.diff(picked) != 0) | (np.diff(doc) != 0)) + 1])
+    return grams[picked[first]].view(np.int64), doc[first], at[first] - part.start[doc[first]], np.diff(np.concatenate([first, [len(picked)]]))
 
 
 def _places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """A row for each picked phrase of each document."""
+    """A row for each picked phrase of each document: where its windows start, whether the document picked it more than
+    once, and a 128-bit digest of the document's words (whole, check)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            found = [anchors(t.split(), window, anchor) for t in texts(b.column(1))]
-            n = [len(x[0]) for x in found]
-            ids = pc_take(b.column(0), n)
-            phrase, lo, size = (np.concatenate([x[k] for x in found]) for k in range(3))
-            yield pa.record_batch([pa.array(phrase), ids, pa.array(lo.astype(np.int32)), pa.array(size.astype(np.int32))], names=["phrase", "doc_id", "lo", "n"])
-
-    return docs.mapInArrow(run, "phrase long, doc_id long, lo int, n int")
-
-
-def pc_take(column: pa.Array, times: list[int]) -> pa.Array:
-    """Each value of ``column`` as often as ``times`` says."""
-    return column.take(pa.array(np.repeat(np.arange(len(times)), times)))
-
-
-def _recurring(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """Hashes of the phrases that are picked more than once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 16 << 20):
-            phrase, n = np.unique(np.concatenate([anchors(t.split(), window, anchor)[0] for t in texts(b.column(1))]), return_counts=True)
-            yield pa.record_batch([pa.array(phrase), pa.array(n)], names=["phrase", "n"])
-
-    return docs.mapInArrow(run, "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("n")).where("n > 1").select("phrase")
+            part = Slice(texts(b.column(1)))
+            phrase, doc, lo, n = anchors(part, window, anchor)
+            digests = np.zeros((b.num_rows, 2), dtype=np.int64)
+            for k in np.unique(doc).tolist():
+                words = part.words[part.start[k] : part.start[k] + part.n[k]]
+                digests[k] = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), dtype="<i8")
+            order = np.lexsort((phrase, doc))
+            same = (np.diff(phrase[order]) == 0) & (np.diff(doc[order]) == 0)
+            again = np.zeros(len(phrase), dtype=bool)
+            again[order[1:][same]] = True
+            columns = [pa.array(phrase), *(pa.array(digests[doc, k]) for k in (0, 1)), b.column(0).take(pa.array(doc)), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)]
+            yield pa.record_batch(columns, names=["phrase", "whole", "check", "doc_id", "lo", "n", "again"])
+
+    return docs.mapInArrow(run, "phrase long, whole long, check long, doc_id long, lo int, n int, again boolean")
 
 
 def _windows(marked: DataFrame, window: int) -> DataFrame:
@@ -82,16 +107,15 @@ def _windows(marked: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            out = []
-            for t, lo, n in zip(texts(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                h = word_hashes(t.split())
-                start = np.repeat(np.array(lo, dtype=np.int64) - np.cumsum([0, *n[:-1]]), n) + np.arange(sum(n))
-                start = np.unique(start)
-                out.append((start, gram_hashes(h, window, 1)[start], gram_hashes(h, window, 2)[start]))
-            n = [len(x[0]) for x in out]
-            start, a, c = (np.concatenate([x[k] for x in out]) for k in range(3))
+            part = Slice(texts(b.column(1)))
+            lo, n = (c.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (b.column(2), b.column(3)))
+            ranges = np.diff(b.column(2).offsets.to_numpy())
+            first = np.repeat(np.repeat(part.start, ranges) + lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            first = np.unique(first)
+            a, c = (gram_hashes(part.hashes, window, salt)[first] for salt in (1, 2))
+            doc = part.doc[first]
             yield pa.record_batch(
-                [pa.array(a.view(np.int64)), pa.array((c >> np.uint64(32)).astype(np.uint32).view(np.int32)), pc_take(b.column(0), n), pa.array(start.astype(np.int32))],
+                [pa.array(a.view(np.int64)), pa.array((c >> np.uint64(32)).astype(np.uint32).view(np.int32)), b.column(0).take(pa.array(doc)), pa.array((first - part.start[doc]).astype(np.int32))],
                 names=["a", "b", "doc_id", "pos"],
             )
 
@@ -99,17 +123,25 @@ def _windows(marked: DataFrame, window: int) -> DataFrame:
 
 
 def passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(doc_id, repeats): the windows of each document that start earlier elsewhere, each with its first place."""
+    """(doc_id, original, pos, first_doc, first_pos): for a copy of a whole document the document it copies; for others the
+    windows that start earlier elsewhere, each with its first place."""
     docs = docs.where("doc_id IS NOT NULL")
-    hot = written(_recurring(docs, window, anchor), "repeats-phrases")
-    places = _places(docs, window, anchor).join(hot, "phrase", "left_semi")
-    ranges = written(places.groupBy("doc_id").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n")), "repeats-ranges")
+    places = written(_places(docs, window, anchor), "repeats-places")
+    whole = places.select("doc_id", "whole", "check").distinct()
+    firsts = whole.groupBy("whole", "check").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last")).where("original < last")
+    copies = written(whole.join(firsts, ["whole", "check"]).where("doc_id > original").groupBy("doc_id").agg(F.min("original").alias("original")), "repeats-copies")
+    # A phrase recurs if documents with different words picked it, or one document twice.
+    hot = places.groupBy("phrase").agg(F.min("whole").alias("one"), F.max("whole").alias("other"), F.max("again").alias("again"))
+    hot = written(hot.where("one <> other OR again").select("phrase"), "repeats-phrases")
+    ranges = places.select("phrase", "doc_id", "lo", "n").join(hot, "phrase", "left_semi").groupBy("doc_id").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
+    ranges = written(ranges.join(copies, "doc_id", "left_anti"), "repeats-ranges")
     found = written(_windows(docs.join(ranges, "doc_id").select("doc_id", "text", "lo", "n"), window), "repeats-windows")
-    firsts = found.groupBy("a", "b").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    later = found.join(firsts.select("a", "b", "first"), ["a", "b"]).where("struct(doc_id, pos) <> first")
-    return later.groupBy("doc_id").agg(
+    earliest = found.groupBy("a", "b").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times")).where("times > 1")
+    later = found.join(earliest.select("a", "b", "first"), ["a", "b"]).where("struct(doc_id, pos) <> first")
+    later = later.groupBy("doc_id").agg(
         F.collect_list("pos").alias("pos"), F.collect_list("first.doc_id").alias("first_doc"), F.collect_list("first.pos").alias("first_pos")
     )
+    return later.select("doc_id", F.lit(None).cast("long").alias("original"), "pos", "first_doc", "first_pos").unionByName(copies, allowMissingColumns=True)
 
 
 def _automaton(rows: list[tuple], window: int) -> tuple[object, list[tuple[int, ...]]]:
@@ -133,17 +165,27 @@ def _automaton(rows: list[tuple], window: int) -> tuple[object, list[tuple[int,
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Each row's doc_id, n_words, n_removed and kept text (unchanged if nothing goes, else kept words with single spaces)."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    repeats = written(passages(docs, window, anchor), "repeats")
+    """Each row's doc_id, n_words, n_removed, kept text (unchanged if nothing goes, else kept words with single spaces) and
+    its other columns in the struct ``rest`` (null if there are none)."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None).cast("int")
+    kind = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), rest.alias("rest"))
+    repeats = written(passages(docs.select("doc_id", "text"), window, anchor), "repeats")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             raw = texts(b.column(1))
-            rows = list(zip(b.column(0).to_pylist(), [t.split() for t in raw], *(b.column(k).to_pylist() for k in (2, 3, 4))))
+            copied = [x is not None for x in b.column(2).to_pylist()]
+            rows = [(i, [] if c else t.split(), *x) for i, c, t, *x in zip(b.column(0).to_pylist(), copied, raw, *(b.column(k).to_pylist() for k in (3, 4, 5)))]
             automaton, sequences = _automaton(rows, window)
             n_words, n_removed, kept = [], [], []
-            for (doc_id, words, *_), sequence, t in zip(rows, sequences, raw):
+            for (doc_id, words, *_), sequence, t, c in zip(rows, sequences, raw, copied):
+                if c:
+                    n_words.append(len(t.split()))
+                    n_removed.append(n_words[-1])
+                    kept.append(b"")
+                    continue
                 keep = np.ones(len(words), dtype=bool)
                 if doc_id is not None and len(automaton) and len(words) >= window:
                     for end, (size, first_doc, first_pos) in automaton.iter(sequence):
@@ -153,10 +195,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                 n_words.append(len(words))
                 n_removed.append(gone)
                 kept.append(b" ".join([w for w, k in zip(words, keep.tolist()) if k]) if gone else t)
-            yield pa.record_batch([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
+            yield pa.record_batch([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), b.column(6)], names=["doc_id", "n_words", "n_removed", "text", "rest"])
 
-    marked = docs.join(repeats, "doc_id", "left").select("doc_id", "text", "pos", "first_doc", "first_pos")
-    return marked.mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+    marked = docs.join(repeats, "doc_id", "left").select("doc_id", "text", "original", "pos", "first_doc", "first_pos", "rest")
+    return marked.mapInArrow(run, f"doc_id long, n_words long, n_removed long, text string, rest {kind}")
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
@@ -165,5 +207,5 @@ def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
             sums = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts(b.column(3))]
             yield pa.record_batch([*b.columns[:3], pa.array(sums)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")

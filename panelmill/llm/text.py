@@ -13,7 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _P = 0x9E3779B97F4A7C15 | 1
-_POW = np.ones(1, dtype=np.uint64)
+_PART = 1 << 20
+_POWERS = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 
 
 def texts(column: pa.Array) -> list[bytes]:
@@ -41,40 +42,33 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    global _POW
-    while len(_POW) < n + 1:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n or more powers of the multiplier and of its inverse modulo 2^64."""
+    global _POWERS
+    if len(_POWERS[0]) < n:
+        m = max(n, _PART)
         with np.errstate(over="ignore"):
-            step = np.uint64(pow(_P, len(_POW), 1 << 64))
-            _POW = np.concatenate([_POW, _POW * step])
-    return _POW[: n + 1]
+            each = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(m - 1, x, np.uint64)])) for x in (_P, pow(_P, -1, 1 << 64))]
+        _POWERS = (each[0], each[1])
+    return _POWERS
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of each word, by prefix sums of a polynomial over the joined bytes."""
+    """A 64-bit hash of each word: differences of a polynomial's prefix sums over the joined bytes."""
     if not words:
         return np.zeros(0, dtype=np.uint64)
     size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    data = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
     end = np.cumsum(size)
+    if end[-1] > _PART and len(words) > 1:
+        cut = max(1, int(np.searchsorted(end, _PART)))
+        return np.concatenate([word_hashes(words[lo : lo + cut]) for lo in range(0, len(words), cut)])
     start = end - size
-    longest = int(size.max())
+    data = np.frombuffer(b"".join(words), dtype=np.uint8)
+    up, down = powers(len(data))
     with np.errstate(over="ignore"):
-        if longest <= 64:
-            # Horner by position inside the word: as many vector steps as the longest word has bytes.
-            h = np.zeros(len(words), dtype=np.uint64)
-            live = np.arange(len(words))
-            for k in range(longest):
-                live = live[size[live] > k]
-                h[live] = h[live] * np.uint64(_P) + data[start[live] + k]
-        else:
-            h = np.array([_long_hash(data[a:b]) for a, b in zip(start.tolist(), end.tolist())], dtype=np.uint64)
-    return mix(h ^ (size.astype(np.uint64) << np.uint64(56)))
-
-
-def _long_hash(data: np.ndarray) -> np.uint64:
-    with np.errstate(over="ignore"):
-        return (data * powers(len(data))[: len(data)][::-1]).sum(dtype=np.uint64)
+        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])])
+        h = (total[end] - total[start]) * down[start]
+    return mix(h ^ (size.astype(np.uint64) << np.uint64(48)))
 
 
 def gram_hashes(h: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
