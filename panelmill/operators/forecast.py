@@ -65,11 +65,9 @@ def per_series(history: DataFrame, future: DataFrame, fit_predict: Callable[[pd.
     return future.join(made, ["forecast_origin_date", "unique_id", "step"]).select("forecast_origin_date", "unique_id", "ds", "ypred")
 
 
-def drift(train: pd.DataFrame, horizon: int) -> list[float]:
-    """A per-series forecaster: the last value plus the mean change so far."""
-    y = train["y"].to_numpy()
-    slope = (y[-1] - y[0]) / (len(y) - 1) if len(y) > 1 else 0.0
-    return [y[-1] + slope * k for k in range(1, horizon + 1)]
+def recent_peak(train: pd.DataFrame, horizon: int) -> list[float]:
+    """A per-series forecaster: the largest of the last eight values."""
+    return [float(train["y"].tail(8).max())] * horizon
 
 
 #: Forecasters by name: (history, future) -> (forecast_origin_date, unique_id, ds, ypred).
@@ -77,7 +75,7 @@ FORECASTERS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "naive": naive,
     "recent_mean": lambda h, f: recent_mean(h, f, 7),
     "seasonal_naive": lambda h, f: seasonal_naive(h, f, 52),
-    "drift": lambda h, f: per_series(h, f, drift),
+    "recent_peak": lambda h, f: per_series(h, f, recent_peak),
 }
 
 

@@ -41,7 +41,7 @@ def mtd_shares(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     rows = on_calendar(panel, calendar)
     month = Window.partitionBy("unique_id", "fiscal_year_month")
     run = month.orderBy("ds").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({"mtd": _sum(F.col("y")).over(run), "month_total": _sum(F.col("y")).over(month)})
+    rows = rows.withColumns({"mtd": F.sum(F.col("y").cast(MONEY)).over(run).cast("double"), "month_total": F.sum(F.col("y").cast(MONEY)).over(month).cast("double")})
     core = trailing(panel, 52).where("y > 0").groupBy("unique_id").agg(F.greatest(F.lit(1000.0), 0.25 * (_sum(F.col("y")) / F.count("*"))).alias("core_threshold"))
     return rows.join(F.broadcast(core), "unique_id").select(
         "unique_id", "ds", "fiscal_year_month", "fiscal_week_of_month", "weeks_in_month", "mtd", "month_total", F.when(F.col("month_total") > 0, F.col("mtd") / F.col("month_total")).alias("mtd_share"), (F.col("month_total") >= F.col("core_threshold")).alias("is_core")
@@ -150,10 +150,10 @@ def box_cox(y: Column, lam: Column) -> Column:
 def choose_lambda(panel: DataFrame, grid: list[float]) -> DataFrame:
     """The Box-Cox lambda of each series with the best normal log-likelihood on a grid; positive values only."""
     lam = F.explode(F.array(*[F.lit(float(g)) for g in grid]))
-    rows = panel.where("y > 0").select("unique_id", "y", lam.alias("lambda"))
-    z = box_cox(F.col("y"), F.col("lambda"))
-    made = rows.groupBy("unique_id", "lambda").agg((-F.count("*") / 2 * F.ln(F.var_pop(z)) + (F.first("lambda") - 1) * F.sum(F.ln("y"))).alias("likelihood"))
-    return made.groupBy("unique_id").agg(F.max_by("lambda", "likelihood").alias("lambda"), F.max("likelihood").alias("likelihood"))
+    rows = panel.where("y > 0").select("unique_id", "y", lam.alias("power"))
+    z = box_cox(F.col("y"), F.col("power"))
+    made = rows.groupBy("unique_id", "power").agg((-F.count("*") / 2 * F.ln(F.var_pop(z)) + (F.first("power") - 1) * F.sum(F.ln("y"))).alias("likelihood"))
+    return made.groupBy("unique_id").agg(F.max_by("power", "likelihood").alias("power"), F.max("likelihood").alias("likelihood"))
 
 
 def year_over_year(panel: DataFrame, calendar: DataFrame, years: list[int]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import cached_property, partial
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +59,16 @@ class Study:
     """The chain from sales to scored forecasts. Each step is written once and shared by the steps that read it, so plans stay
     short; all origins, series and models go through each step together."""
 
+    known: ClassVar[dict[tuple[str, str], Study]] = {}
+
     def __init__(self, spark: SparkSession, sf: str) -> None:
         self.spark, self.sf = spark, sf
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf: str) -> Study:
+        """The study of an input within one application: its written steps serve all queries. ``Study(...)`` is a new one."""
+        return cls.known.setdefault((spark.sparkContext.applicationId, sf), cls(spark, sf))
+
     @cached_property
     def calendar(self) -> DataFrame:
         return written(calendar(self.spark).coalesce(1), "calendar")
@@ -147,12 +155,12 @@ class Study:
 
 
 def weekly_panel(spark: SparkSession, sf: str) -> DataFrame:
-    return Study(spark, sf).panel
+    return Study.of(spark, sf).panel
 
 
 def components(spark: SparkSession, sf: str) -> DataFrame:
-    return Study(spark, sf).components
+    return Study.of(spark, sf).components
 
 
 def monthly_series(spark: SparkSession, sf: str) -> DataFrame:
-    return Study(spark, sf).series
+    return Study.of(spark, sf).series

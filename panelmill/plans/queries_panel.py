@@ -19,7 +19,7 @@ def q(name: str, sql: str | None = None, r: tuple[str, ...] = ()):
     """A query over the study."""
 
     def keep(f):
-        query(name, sql, r)(lambda spark, sf: f(X.Study(spark, sf)))
+        query(name, sql, r)(lambda spark, sf: f(X.Study.of(spark, sf)))
         return f
 
     return keep
@@ -398,9 +398,9 @@ def k11(s):
     return FE.remaining_target(s.table).select("unique_id", "forecast_origin_date", "remaining_target")
 
 
-@q("j1_per_series_forecaster", "SELECT f.forecast_origin_date, f.unique_id, f.ds, round(l.b + (l.b - l.a) / (l.n - 1) * f.step, 4) AS ypred FROM future f JOIN (SELECT forecast_origin_date, unique_id, min_by(y, ds) AS a, max_by(y, ds) AS b, count(*) AS n FROM trail GROUP BY ALL) l USING (forecast_origin_date, unique_id)")
+@q("j1_per_series_forecaster", "SELECT f.forecast_origin_date, f.unique_id, f.ds, l.m AS ypred FROM future f JOIN (SELECT forecast_origin_date, unique_id, max(y) AS m FROM trail WHERE week_index > origin_week - 8 GROUP BY ALL) l USING (forecast_origin_date, unique_id)")
 def j1(s):
-    return FC.per_series(s.history, s.future, FC.drift).withColumn("ypred", F.round("ypred", 4))
+    return FC.per_series(s.history, s.future, FC.recent_peak)
 
 
 @q("j2_dampening_by_name", "SELECT forecast_origin_date, unique_id, sqrt(greatest(CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE), 0)) AS series_weight FROM trail WHERE week_index > origin_week - 26 GROUP BY ALL", r=("series_weight",))

@@ -76,7 +76,7 @@ def a7(spark, sf):
 @query("a8_backtest_sink", "SELECT 'r1' AS run_id, 'both' AS model, 'components' AS table_name, count(*) AS n_rows FROM components UNION ALL SELECT 'r1', 'both', 'panel', count(*) FROM panel")
 def a8(spark, sf):
     root = _dir(spark, "runs")
-    study = X.Study(spark, sf)
+    study = X.Study.of(spark, sf)
     S.write_run({"components": study.components, "panel": study.panel}, root, "r1", "both")
     return spark.read.parquet(f"{root}/manifest")
 
