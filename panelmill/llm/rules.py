@@ -228,15 +228,11 @@ def judge(docs: DataFrame, labels: DataFrame, thresholds: dict[str, list[float]]
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, thresholds: dict[str, list[float]] = THRESHOLDS) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. Only labelled documents are counted for learning; every row
-    is then judged where it is read, without a shuffle of texts."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
-    rules = learn([tuple(r) for r in cells(statistics(few), labels, thresholds).collect()], thresholds)
-    stats = statistics(docs, carry=True)
-    # The array of one struct keeps the optimizer from copying every statistic into each condition that reads it.
-    held = stats.select("row", F.explode(F.array(F.struct(*[c for c in stats.columns if c != "row"]))).alias("s")).select("row", "s.*")
-    return held.where(~base_failed() & (rules.fired() == 0)).select("row.*")
+    """The rows of ``docs`` that are kept, with their columns. Rows and statistics are written once; the labelled ones are
+    counted for learning and the decision list is then a filter on what was written. Texts are not shuffled."""
+    rows = written(statistics(docs, carry=True), "quality-rows")
+    rules = learn([tuple(r) for r in cells(rows.drop("row"), labels, thresholds).collect()], thresholds)
+    return rows.where(~base_failed() & (rules.fired() == 0)).select("row.*")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
