@@ -6,18 +6,16 @@ import collections
 import hashlib
 import math
 import random
-import re
 import zlib
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
+from tests.llm.helpers import WORD, brute_repeats, fingerprint, words
 
 from panelmill.llm import chat, decontaminate, katz, licenses, piece_batches, pieces, quality, rules, simhash, substrings, token_counts
 from panelmill.llm.components import components
 
-WORD = re.compile("[^\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, words long, rest int"
 
 VOCABULARY = [a + b for a in "ka lo mi nu pe sa te vi wo xé".split() for b in "na ro ti lu mé".split()]
@@ -62,10 +60,6 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def words(t):
-    return WORD.findall(t or "")
-
-
 def rows(df):
     return [tuple(r) for r in df.collect()]
 
@@ -219,27 +213,9 @@ def test_rules_are_learned():
 # -- 7 substring dedup ----------------------------------------------------------------------------
 
 
-def _brute_repeats(texts, window):
-    first: dict[tuple, tuple] = {}
-    listed = sorted({(i, t or "") for i, t in texts if i is not None})
-    for i, t in listed:
-        w = words(t)
-        for p in range(len(w) - window + 1):
-            first.setdefault(tuple(w[p : p + window]), (i, p))
-    out = {}
-    for i, t in listed:
-        w = words(t)
-        keep = [True] * len(w)
-        for p in range(len(w) - window + 1):
-            if first[tuple(w[p : p + window])] != (i, p):
-                keep[p : p + window] = [False] * window
-        out[i] = (len(w), len(w) - sum(keep), " ".join(x for x, k in zip(w, keep) if k))
-    return out
-
-
 @pytest.mark.parametrize(("window", "anchor"), [(20, 10), (5, 3), (12, 12)])
 def test_substrings(docs, window, anchor):
-    want = _brute_repeats(TEXTS, window)
+    want = brute_repeats(TEXTS, window)
     got = substrings.remove_repeats(docs, window, anchor).collect()
     assert len(got) == len(TEXTS)
     for r in got:
@@ -256,17 +232,9 @@ def test_substrings_of_nothing(empty):
 # -- 8 near duplicates -----------------------------------------------------------------------------
 
 
-def _fingerprint(t):
-    w = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-    w = words(w)
-    shingles = [" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
-    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-
 def test_near_duplicates(docs, empty):
     got = rows(simhash.near_duplicates(docs).select("doc_id", "fp", "component_id"))
-    prints = [(i, _fingerprint(t)) for i, t in TEXTS]
+    prints = [(i, fingerprint(t)) for i, t in TEXTS]
     assert sorted((i, f % 2**64) for i, f, _ in got if i is not None) == sorted(x for x in prints if x[0] is not None)
     ids = sorted({i for i, _ in prints if i is not None})
     at = {i: {f for j, f in prints if j == i} for i in ids}
