@@ -43,14 +43,19 @@ def mtd_shares(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     run = month.orderBy("ds").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({"mtd": F.sum(F.col("y").cast(MONEY)).over(run).cast("double"), "month_total": F.sum(F.col("y").cast(MONEY)).over(month).cast("double")})
     core = trailing(panel, 52).where("y > 0").groupBy("unique_id").agg(F.greatest(F.lit(1000.0), 0.25 * (_sum(F.col("y")) / F.count("*"))).alias("core_threshold"))
-    return rows.join(F.broadcast(core), "unique_id").select(
+    return rows.join(core, "unique_id").select(
         "unique_id", "ds", "fiscal_year_month", "fiscal_week_of_month", "weeks_in_month", "mtd", "month_total", F.when(F.col("month_total") > 0, F.col("mtd") / F.col("month_total")).alias("mtd_share"), (F.col("month_total") >= F.col("core_threshold")).alias("is_core")
     )
 
 
-def share_distribution(shares: DataFrame) -> DataFrame:
+def quantiles(column: str, at: list[float], exact: bool = True) -> Column:
+    """Quantiles of a group. Exact ones hold a group's distinct values in memory; for many millions of series take sketches."""
+    return F.percentile(column, at) if exact else F.percentile_approx(column, at, 100_000)
+
+
+def share_distribution(shares: DataFrame, exact: bool = True) -> DataFrame:
     """Five numbers of the share by month length and week, over core months."""
-    p = F.percentile("mtd_share", [0.0, 0.25, 0.5, 0.75, 1.0])
+    p = quantiles("mtd_share", [0.0, 0.25, 0.5, 0.75, 1.0], exact)
     rows = shares.where("is_core AND mtd_share IS NOT NULL").groupBy("weeks_in_month", "fiscal_week_of_month").agg(F.count("*").alias("n"), p.alias("p"))
     return rows.select("weeks_in_month", "fiscal_week_of_month", "n", *[F.get("p", F.lit(k)).alias(c) for k, c in enumerate(("least", "q25", "q50", "q75", "most"))])
 
@@ -76,18 +81,19 @@ def intermittency(panel: DataFrame) -> DataFrame:
 def spread(panel: DataFrame) -> DataFrame:
     """Standard deviation, interquartile range and median absolute deviation of each series, and the coefficient of variation."""
     rows = panel.groupBy("unique_id").agg(F.stddev_samp("y").alias("std"), F.avg("y").alias("mean"), F.percentile("y", [0.25, 0.5, 0.75]).alias("q"))
-    off = panel.join(F.broadcast(rows.select("unique_id", F.get("q", F.lit(1)).alias("centre"))), "unique_id")
+    off = panel.join(rows.select("unique_id", F.get("q", F.lit(1)).alias("centre")), "unique_id")
     mad = off.groupBy("unique_id").agg(F.median(F.abs(F.col("y") - F.col("centre"))).alias("mad"))
     return rows.join(mad, "unique_id").select("unique_id", "std", (F.get("q", F.lit(2)) - F.get("q", F.lit(0))).alias("iqr"), "mad", F.try_divide("std", "mean").alias("cv"))
 
 
-def dispersion_ratios(shares: DataFrame, by: list[str]) -> DataFrame:
+def dispersion_ratios(shares: DataFrame, by: list[str], exact: bool = True) -> DataFrame:
     """How much less the remaining month varies than the final month: ratios of interquartile range, MAD and P90 - P10."""
     rows = shares.withColumn("remaining", F.col("month_total") - F.col("mtd"))
     q = [0.1, 0.25, 0.5, 0.75, 0.9]
-    first = rows.groupBy(*by).agg(F.count("*").alias("n"), F.percentile("remaining", q).alias("r"), F.percentile("month_total", q).alias("f"))
+    first = rows.groupBy(*by).agg(F.count("*").alias("n"), quantiles("remaining", q, exact).alias("r"), quantiles("month_total", q, exact).alias("f"))
     off = rows.join(F.broadcast(first.select(*by, F.get("r", F.lit(2)).alias("rc"), F.get("f", F.lit(2)).alias("fc"))), by)
-    mad = off.groupBy(*by).agg(F.median(F.abs(F.col("remaining") - F.col("rc"))).alias("rm"), F.median(F.abs(F.col("month_total") - F.col("fc"))).alias("fm"))
+    off = off.withColumns({"ro": F.abs(F.col("remaining") - F.col("rc")), "fo": F.abs(F.col("month_total") - F.col("fc"))})
+    mad = off.groupBy(*by).agg(F.get(quantiles("ro", [0.5], exact), F.lit(0)).alias("rm"), F.get(quantiles("fo", [0.5], exact), F.lit(0)).alias("fm"))
     at = lambda c, k: F.get(c, F.lit(k))
     over = lambda a, b: F.when(b != 0, a / b)
     return first.join(mad, by).select(*by, "n", over(at("r", 3) - at("r", 1), at("f", 3) - at("f", 1)).alias("iqr_ratio"), over(F.col("rm"), F.col("fm")).alias("mad_ratio"), over(at("r", 4) - at("r", 0), at("f", 4) - at("f", 0)).alias("p90_p10_ratio"))
@@ -122,7 +128,7 @@ def autocorrelation(panel: DataFrame, lags: int) -> DataFrame:
     later = later.select("unique_id", "lag", (F.col("k") - F.col("lag")).alias("k"), "a")
     made = later.join(rows.select("unique_id", "k", F.col("d").alias("b")), ["unique_id", "k"]).groupBy("unique_id", "lag").agg(F.sum(F.col("a") * F.col("b")).alias("c"))
     zero = made.where("lag = 0").select("unique_id", F.col("c").alias("c0"))
-    return made.join(F.broadcast(zero), "unique_id").select("unique_id", "lag", F.when(F.col("c0") != 0, F.col("c") / F.col("c0")).alias("acf"))
+    return made.join(zero, "unique_id").select("unique_id", "lag", F.when(F.col("c0") != 0, F.col("c") / F.col("c0")).alias("acf"))
 
 
 def partial_autocorrelation(acf: DataFrame) -> DataFrame:

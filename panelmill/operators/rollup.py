@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from panelmill.operators.origins import horizon_label, months
 from panelmill.operators.panel import money, on_calendar
@@ -41,14 +42,20 @@ def tiers(history: DataFrame, weeks: int = 52, labels: tuple[str, ...] = TIERS)
     ``weeks`` calendar rows. There are as many bins as distinct means, at most len(labels); a series without a positive week has
     the lowest label."""
     recent = history.where(F.col("week_index") > F.col("origin_week") - weeks)
-    up = F.when(F.col("y") > 0, F.col("y").cast("decimal(18,2)"))
-    means = recent.groupBy("forecast_origin_date", "unique_id").agg((F.coalesce(F.sum(up).cast("double"), F.lit(0.0)) / F.greatest(F.lit(1), F.count(up))).alias("mean_positive"))
-    bins = means.where("mean_positive > 0").groupBy("forecast_origin_date").agg(F.countDistinct("mean_positive").alias("distinct_means"), F.collect_list("mean_positive").alias("m"))
-    bins = bins.withColumn("m", F.array_sort("m")).withColumn("bins", F.least(F.lit(len(labels)), F.col("distinct_means")))
-    # linear interpolation on the sorted means: one short array for each origin
-    edge = F.expr("transform(sequence(1, greatest(1, cast(bins AS int) - 1)), i -> (size(m) - 1) * i / bins)")
-    bins = bins.withColumn("at", edge).select("forecast_origin_date", "bins", F.expr("transform(at, p -> m[int(floor(p))] + (p - floor(p)) * (m[int(least(size(m) - 1, floor(p) + 1))] - m[int(floor(p))]))").alias("edges"))
-    joined = means.join(F.broadcast(bins), "forecast_origin_date", "left")
+    positive = F.when(F.col("y") > 0, F.col("y").cast("decimal(18,2)"))
+    means = recent.groupBy("forecast_origin_date", "unique_id").agg((F.coalesce(F.sum(positive).cast("double"), F.lit(0.0)) / F.greatest(F.lit(1), F.count(positive))).alias("mean_positive"))
+    # Linear interpolation on the sorted means: only the rows on either side of an edge are joined back, nothing is collected.
+    up = means.where("mean_positive > 0")
+    bins = up.groupBy("forecast_origin_date").agg(F.count("*").alias("n"), F.countDistinct("mean_positive").alias("distinct_means"))
+    bins = bins.withColumn("bins", F.least(F.lit(len(labels)), F.col("distinct_means")))
+    cuts = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("bins").cast("int") - 1)))
+    edges = bins.select("forecast_origin_date", "n", "bins", cuts.alias("i")).select("forecast_origin_date", ((F.col("n") - 1) * F.col("i") / F.col("bins")).alias("p"))
+    edges = edges.withColumns({"low": F.floor("p").cast("int"), "high": F.ceil("p").cast("int")})
+    ranked = up.select("forecast_origin_date", (F.row_number().over(Window.partitionBy("forecast_origin_date").orderBy("mean_positive")) - 1).alias("k"), "mean_positive")
+    at = lambda k, name: F.broadcast(edges.select("forecast_origin_date", "p", F.col(k).alias("k"))).join(ranked, ["forecast_origin_date", "k"]).select("forecast_origin_date", "p", F.col("mean_positive").alias(name))
+    edges = at("low", "a").join(at("high", "b"), ["forecast_origin_date", "p"])
+    edges = edges.groupBy("forecast_origin_date").agg(F.collect_list(F.col("a") + (F.col("p") - F.floor("p")) * (F.col("b") - F.col("a"))).alias("edges"))
+    joined = means.join(F.broadcast(bins.join(edges, "forecast_origin_date")), "forecast_origin_date", "left")
     above = F.expr("size(filter(edges, e -> mean_positive > e))")
     rank = F.when((F.col("mean_positive") <= 0) | F.coalesce(F.col("bins") < 2, F.lit(True)), 0).otherwise(above).cast("int")
     return joined.select("forecast_origin_date", "unique_id", rank.alias("tier_rank"), F.get(F.array(*map(F.lit, labels)), rank).alias("tier"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelmill.operators import features as FE
 from panelmill.operators import forecast as FC
@@ -163,7 +164,7 @@ def l16(s):
 
 @q("a9_evaluate_sink", f"SELECT 'e1' AS run_id, 'recent_mean' AS model, 'fold_metrics' AS table_name, count(*) AS n_rows FROM ({SCORES}) UNION ALL SELECT 'e1', 'recent_mean', 'per_series_comparison', count(*) FROM base")
 def a9(s):
-    root = f"{shared_dir(s.spark)}/evaluate-{id(s)}"
+    root = f"{shared_dir(s.spark)}/evaluate-{uuid.uuid4().hex}"
     S.write_run({"fold_metrics": s.scores, "per_series_comparison": s.base}, root, "e1", "recent_mean")
     return s.spark.read.parquet(f"{root}/manifest")
 
@@ -438,7 +439,7 @@ def k10(s):
 
     level = FC.levels(s.panel)
     names = ["mtd_revenue", "lag1", "lag2", "rolling_mean_lag1_window_size4", "last_completed_month_revenue"]
-    rows = s.modelling_table.join(F.broadcast(level), "unique_id").dropna(subset=[*names, "actual_monthly_total"])
+    rows = s.modelling_table.join(level, "unique_id").dropna(subset=[*names, "actual_monthly_total"])
     rows = rows.select("unique_id", "forecast_origin_date", "target_month", "weeks_in_month", "weeks_actualized", "level", *[(F.col(c) / F.col("level")).alias(c) for c in names], (F.col("actual_monthly_total") / F.col("level")).alias("label"))
     rows = VectorAssembler(inputCols=[*names, "weeks_in_month", "weeks_actualized"], outputCol="features").transform(rows)
     out = None
@@ -458,7 +459,7 @@ def k12(s):
 @q("k13_final_fit")
 def k13(s):
     model = FC.fit_boosted(s.panel, s.calendar, rounds=5)
-    model.write().overwrite().save(f"{shared_dir(s.spark)}/final-fit")
+    model.write().overwrite().save(f"{shared_dir(s.spark)}/final-fit-{uuid.uuid4().hex}")
     facts = s.panel.agg(F.max("ds").alias("train_end_ds"), F.countDistinct("unique_id").alias("n_series"), F.count("*").alias("n_obs"))
     return facts.withColumn("n_trees", F.lit(len(model.trees)))
 
@@ -468,7 +469,7 @@ def _curve(s):
 
     model = FC.fit_boosted(s.panel, s.calendar, rounds=12)
     level = FC.levels(s.panel)
-    scaled = P.on_calendar(s.panel, s.calendar).join(F.broadcast(level), "unique_id").withColumn("scaled", F.col("y") / F.col("level"))
+    scaled = P.on_calendar(s.panel, s.calendar).join(level, "unique_id").withColumn("scaled", F.col("y") / F.col("level"))
     rows = VectorAssembler(inputCols=FC.FEATURES, outputCol="features").transform(FC._with_features(scaled))
     rows = rows.select("fiscal_year", "scaled", "level", "features")
     return FC.rounds_curve(model, rows, "scaled", "level", ["fiscal_year"], [2, 4, 6, 8, 10, 12])
