@@ -15,7 +15,7 @@ from panelmill.operators import origins as O
 from panelmill.operators import panel as P
 from panelmill.operators import rollup as R
 from panelmill.plans import example as X
-from panelmill.plans.queries_panel import FEAT, MTD, q
+from panelmill.plans.queries_panel import q, seen
 from panelmill.session import shared_dir
 from panelmill.sources import files as S
 
@@ -323,9 +323,9 @@ def m22(s):
     return rows.agg(F.round(F.min("value"), 9).alias("least"), F.round(F.max("value"), 9).alias("most"))
 
 
-@_gate("m23_ambiguous_weeks", "SELECT count(*) FROM cal")
+@_gate("m23_ambiguous_weeks", "SELECT count(DISTINCT ds) FROM panel")
 def m23(s):
-    return G.check("m23_ambiguous_weeks", s.calendar.groupBy("ds").agg(F.countDistinct("fiscal_year_month").alias("n")), F.col("n") > 1)
+    return G.check("m23_ambiguous_weeks", seen(s, s.calendar).groupBy("ds").agg(F.countDistinct("fiscal_year_month").alias("n")), F.col("n") > 1)
 
 
 # -- monitoring --------------------------------------------------------------------------------
