@@ -137,7 +137,9 @@ def passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     ranges = written(ranges.join(copies, "doc_id", "left_anti"), "repeats-ranges")
     found = written(_windows(docs.join(ranges, "doc_id").select("doc_id", "text", "lo", "n"), window), "repeats-windows")
     earliest = found.groupBy("a", "b").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    later = found.join(earliest.select("a", "b", "first"), ["a", "b"]).where("struct(doc_id, pos) <> first")
+    # Written first: the join then deals both sides out anew, and a window that very many documents share can be split.
+    earliest = written(earliest.select("a", "b", "first"), "repeats-earliest")
+    later = found.join(earliest, ["a", "b"]).where("struct(doc_id, pos) <> first")
     later = later.groupBy("doc_id").agg(
         F.collect_list("pos").alias("pos"), F.collect_list("first.doc_id").alias("first_doc"), F.collect_list("first.pos").alias("first_pos")
     )
