@@ -1,15 +1,15 @@
-"""Operator 3: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 3: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-1. Every document is searched for the benchmark's word n-grams (lower-cased words, punctuation ignored) and their
-   frequency over all documents is counted: one pass, partial sums.
-2. An item's seeds are its n-grams except those far more frequent than the item's median n-gram: stock phrases go, while a
-   passage that leaked into many documents keeps its seeds, for then all its n-grams are frequent alike.
-3. A second pass joins passages to items by seeds and aligns each item with the words around its seeds, word by word
-   (Smith-Waterman, linear gaps). The score is the best local alignment over a perfect one, so edited or paraphrased
-   copies score by how much of the item they keep. Rows from ``THRESHOLD`` up are returned.
+1. An item's seeds are all its word n-grams (lower-cased words, punctuation ignored). None is dropped for being frequent.
+2. One pass joins passages to items by seeds. An alignment matches at most the item's words that the passage has too, so an
+   item with too few of them in the document, and then in the passage, can't reach ``THRESHOLD`` and isn't aligned: stock
+   phrases cost a look-up, and no result is lost to them.
+3. The others are aligned with the words around their seeds, word by word (Smith-Waterman, linear gaps). The score is the
+   best local alignment over a perfect one, so edited or paraphrased copies score by how much of the item they keep. Rows
+   from ``THRESHOLD`` up are returned.
 
-Both passes are map-only: the benchmark's seed table goes to each task, in blocks of at most ``BLOCK_WORDS`` words of
-benchmark text; a larger benchmark takes more passes, never a larger table.
+The pass is map-only: the benchmark's seed table goes to each task, in blocks of at most ``BLOCK_WORDS`` words of benchmark
+text; a larger benchmark takes more passes, never a larger table.
 
 Nulls: a null text is an empty one and matches nothing; items with a null id or without words are left out. An item shorter
 than the n-gram is one seed. Repeated items and repeated documents are each reported. Other columns are not read.
@@ -30,7 +30,6 @@ from panelmill.session import written
 
 GRAM = 4
 THRESHOLD = 0.5
-COMMON = 8
 BLOCK_WORDS = 2_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -61,26 +60,53 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
 class Seeds:
     """Seed hashes of a block of items, and the items' words as hashes."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], gram: int, dropped: set[int] = frozenset()) -> None:
+    def __init__(self, items: list[tuple[int, list[bytes]]], gram: int) -> None:
         self.items = [(i, word_hashes(w)) for i, w in items]
+        self.n = np.array([len(h) for _, h in self.items])
         by_size: dict[int, list[tuple[int, int, int]]] = {}
         for k, (_, h) in enumerate(self.items):
             size = min(gram, len(h))
-            for at, g in enumerate(gram_hashes(h, size).tolist()):
-                if (g & (2**63 - 1)) not in dropped:
-                    by_size.setdefault(size, []).append((g, k, at))
+            by_size.setdefault(size, []).extend((g, k, at) for at, g in enumerate(gram_hashes(h, size).tolist()))
         self.tables = {}
         for size, rows in by_size.items():
             rows.sort()
             self.tables[size] = (np.array([r[0] for r in rows], dtype=np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
 
-    def hits(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(size, document positions, index of the first seed row) for each n-gram of the document that is a seed."""
-        for size, (keys, _, _) in self.tables.items():
+    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, document position where the item would start) for each n-gram of the document that is a seed of the item."""
+        owners, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size, (keys, owner, offset) in self.tables.items():
             grams = gram_hashes(h, size)
-            at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-            found = np.flatnonzero(keys[at] == grams)
-            yield size, found, at[found]
+            first = np.searchsorted(keys, grams)
+            found = np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == grams)
+            first = first[found]
+            times = np.searchsorted(keys, grams[found], "right") - first
+            rows = np.arange(times.sum()) + np.repeat(first - np.cumsum(times) + times, times)
+            owners.append(owner[rows])
+            starts.append(np.repeat(found, times) - offset[rows])
+        return np.concatenate(owners), np.concatenate(starts)
+
+    def passages(self, h: np.ndarray, threshold: float) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of the passages around seeds that have enough of the item's words to reach the threshold."""
+        owners, starts = self.hits(h)
+        if not len(owners):
+            return
+        items = np.unique(owners)
+        same = np.isin(np.concatenate([self.items[k][1] for k in items]), h)
+        enough = np.add.reduceat(same.astype(np.int64), np.cumsum(self.n[items]) - self.n[items]) >= threshold * self.n[items]
+        keep = enough[np.searchsorted(items, owners)]
+        owners, starts = owners[keep], starts[keep]
+        n = self.n[owners]
+        lo, hi = np.maximum(0, starts - n // 2), np.minimum(len(h), starts + n + n // 2)
+        last: tuple[int, int, int] | None = None
+        order = np.lexsort((lo, owners))
+        for k, a, b in [*zip(owners[order].tolist(), lo[order].tolist(), hi[order].tolist()), (-1, 0, 0)]:
+            if last and last[0] == k and a <= last[2]:
+                last = (k, last[1], max(b, last[2]))
+                continue
+            if last and np.isin(self.items[last[0]][1], h[last[1] : last[2]]).sum() >= threshold * self.n[last[0]]:
+                yield last
+            last = (k, a, b)
 
 
 def _benchmark(benchmark: DataFrame, block_words: int) -> list[list[tuple[int, list[bytes]]]]:
@@ -98,37 +124,13 @@ def _benchmark(benchmark: DataFrame, block_words: int) -> list[list[tuple[int, l
     return [b for b in blocks if b]
 
 
-def _frequent(docs: DataFrame, items: list, gram: int, common: int) -> set[int]:
-    """Hashes (without the top bit) of the n-grams of items that are far more frequent than their item's median one."""
-    plain = Seeds(items, gram)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 16 << 20):
-            found = []
-            for t in texts(b.column(1)):
-                h = word_hashes(words_of(t))
-                for size, _, at in plain.hits(h):
-                    found.append(np.unique(plain.tables[size][0][at]))
-            g, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.record_batch([pa.array((g & np.uint64(2**63 - 1)).view(np.int64)), pa.array(n)], names=["gram", "n"])
-
-    counted = docs.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    times = {r[0]: r[1] for r in counted.toLocalIterator()}  # as many rows as the block has n-grams, at most
-    out: set[int] = set()
-    for _, h in plain.items:
-        grams = [g & (2**63 - 1) for g in gram_hashes(h, min(gram, len(h))).tolist()]
-        limit = common * max(1.0, float(np.median([times.get(g, 0) for g in grams])))
-        out |= {g for g in grams if times.get(g, 0) > limit}
-    return out
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, threshold: float = THRESHOLD, common: int = COMMON, block_words: int = BLOCK_WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, start, end): the item's best alignment in the document, in words of the document."""
     schema = "doc_id long, item_id long, score double, start long, end long"
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     out = None
     for items in _benchmark(benchmark, block_words):
-        seeds = Seeds(items, gram, _frequent(docs, items, gram, common))
+        seeds = Seeds(items, gram)
 
         def run(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text"):
@@ -136,20 +138,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, thresh
                 for doc_id, t in zip(b.column(0).to_pylist(), texts(b.column(1))):
                     h = word_hashes(words_of(t))
                     spans: dict[int, list[tuple[int, int]]] = {}
-                    for size, found, first in seeds.hits(h):
-                        keys, owner, offset = seeds.tables[size]
-                        for p, k in zip(found.tolist(), first.tolist()):
-                            key = keys[k]
-                            while k < len(keys) and keys[k] == key:
-                                n = len(seeds.items[owner[k]][1])
-                                lo = max(0, p - int(offset[k]) - n // 2)
-                                hi = min(len(h), p - int(offset[k]) + n + n // 2)
-                                last = spans.setdefault(int(owner[k]), [])
-                                if last and lo <= last[-1][1]:
-                                    last[-1] = (min(lo, last[-1][0]), max(hi, last[-1][1]))
-                                else:
-                                    last.append((lo, hi))
-                                k += 1
+                    for k, lo, hi in seeds.passages(h, threshold):
+                        spans.setdefault(k, []).append((lo, hi))
                     for k, parts in spans.items():
                         item_id, item = seeds.items[k]
                         best = max(((*align(item, h[lo:hi]), lo) for lo, hi in parts), key=lambda x: (x[0], -x[2]))

@@ -134,6 +134,18 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(docs, benchmark.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [9, 1000])
+def test_decontamination_of_frequent_passages(spark, n):
+    """An edited copy in many documents, the same beside one whole copy, and an item nested in another are all found."""
+    items = {i: [f"item{i}word{k}" for k in range(40)] for i in (1, 2, 3)}
+    edited = {i: [f"other{k}" if k % 6 == 5 else w for k, w in enumerate(item)] for i, item in items.items()}
+    items[4] = items[3][10:20]
+    made = [(1000 * i + k, w) for i, w in ((1, edited[1]), (2, edited[2]), (4, items[4])) for k in range(n)] + [(9002, items[2]), (9003, items[3])]
+    want = {(1000 * i + k, i): (2 * 34 - 6) / 80 for i in (1, 2) for k in range(n)} | {(4000 + k, 4): 1.0 for k in range(n)} | {(9002, 2): 1.0, (9003, 3): 1.0, (9003, 4): 1.0}
+    tables = [spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{key} long, text string") for rows, key in ((made, "doc_id"), (items.items(), "item_id"))]
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(*tables).collect()} == want
+
+
 def test_alignment_is_smith_waterman():
     r = np.random.default_rng(2)
     for _ in range(30):
