@@ -3,8 +3,7 @@
 Counts are Good-Turing discounted up to ``K``; what the discounts free goes to a context's unseen words in proportion to
 their unigram probability, by weights that make each distribution sum to 1 exactly. Unigrams give their freed mass to one
 unknown word. Probabilities are evaluated by recursion: the bigram if its count is known, else the context's weight times
-the unigram, else the unknown word. Contexts of less than ``CONTEXT_SHARE`` of the training tokens keep no bigrams (their weight
-is 1), so there are at most 1 / CONTEXT_SHARE weights, whatever the corpus; these alone go to every task.
+the unigram, else the unknown word. Every context with a training bigram has its weight; weights stay in tables by key part.
 
 Counting covers all documents and moves n-grams, not texts:
 
@@ -14,8 +13,9 @@ Counting covers all documents and moves n-grams, not texts:
 3. Each part adds up the training counts of its keys and answers every run with the totals, as a table partitioned by part. Of the
    blocks that hold a pair, one is named its owner. A hot word is one key in each run, so no part is large; counts of
    counts are summed over the parts.
-4. Blocks with their answers sum, for the pairs they own, each context's discounted and unigram mass: these give the weights.
-5. Blocks with their answers score their documents.
+4. Blocks with their answers sum, for the pairs they own, each context's discounted and unigram mass, and ask for the weights of
+   all their contexts: for each part one sorted run of keys with these masses. Each part adds up and answers every run.
+5. Blocks with their counts and weights score their documents.
 
 Nulls: a null text is an empty one: one token, the end. A null doc_id is scored and is in training. Rows with equal doc_id
 are scored one by one. Without training documents every token is unknown and has probability 1. Other columns are not read.
@@ -38,7 +38,6 @@ from panelmill.session import written
 
 FOLDS, HELD = 7, 2
 K = 5
-CONTEXT_SHARE = 1e-5
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 12 << 20
 END = b"\n"
@@ -166,8 +165,6 @@ class Model:
     pair_discount: np.ndarray
     unknown: float
     least: float  # contexts with fewer tokens keep no pairs
-    contexts: np.ndarray | None = None
-    weights: np.ndarray | None = None
 
     @classmethod
     def of(cls, stats: dict[tuple[int, int], int], k: int, share: float) -> Model:
@@ -176,7 +173,7 @@ class Model:
         d = discounts(words[2:], k)
         n = words[0]
         freed = sum(times * r * (1 - d[r]) for r, times in enumerate(words[2 : 2 + k], 1))
-        return cls(n, words[1], d, discounts(pairs[2:], k), freed / n if n else 1.0, max(2.0, share * n))
+        return cls(n, words[1], d, discounts(pairs[2:], k), freed / n if n else 1.0, max(2.0, share * n) if share else 1.0)
 
     @staticmethod
     def discounted(count: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -204,7 +201,7 @@ def _counts(block: Block, answers: pa.Table, parts: int) -> tuple[np.ndarray, np
 
 def _joined(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
     left = blocks.select("block", "doc_ids", "held_out", "words").groupBy("block")
-    right = answers.where("block IS NOT NULL").select("block", "part", "counts", "owned").groupBy("block")
+    right = answers.groupBy("block")
 
     def each(a: pa.Table, b: pa.Table) -> pa.Table:
         block = Block.of(a.column("doc_ids")[0].as_py(), a.column("held_out")[0].as_py(), a.column("words")[0].as_py())
@@ -213,7 +210,29 @@ def _joined(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFram
     return left.cogroup(right).applyInArrow(each, schema)
 
 
-def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, share: float = CONTEXT_SHARE, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+def _contexts(block: Block, words: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys of the block's contexts that keep pairs; the paired tokens (by place) that have one, and which it is."""
+    use = np.flatnonzero(words[block.paired - 1] >= least)
+    keys, back = np.unique(block.word[block.paired[use] - 1], return_inverse=True)
+    return keys, use, back
+
+
+def _weights(masses: DataFrame) -> DataFrame:
+    """(part, block, weights): the backoff weight of each run's contexts."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        runs = [np.frombuffer(x, dtype=np.uint64) for x in table.column("keys").to_pylist()]
+        keys, back = np.unique(np.concatenate(runs), return_inverse=True)
+        total = lambda c: np.bincount(back, weights=np.concatenate([np.frombuffer(unpack.decompress(x)) for x in table.column(c).to_pylist()]), minlength=len(keys))
+        found = (np.maximum(1 - total("seen"), 1e-12) / np.maximum(1 - total("below"), 1e-12))[back]
+        cut = np.split(found, np.cumsum([len(x) for x in runs])[:-1])
+        return pa.table({"part": pa.array([key[0].as_py()] * len(runs), pa.int64()), "block": table.column("block"), "weights": pa.array([pack.compress(x.tobytes()) for x in cut], pa.binary())})
+
+    return masses.groupBy("part").applyInArrow(run, "part long, block long, weights binary")
+
+
+def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, share: float = 0.0, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
     blocks = written(_blocks(docs, folds, held, block_bytes), "katz-blocks")
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
@@ -222,35 +241,33 @@ def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, sha
     sums = answers.where("block IS NULL").select((F.col("part") >= parts).cast("int").alias("order"), F.posexplode("stats").alias("at", "n"))
     model = Model.of({(r[0], r[1]): r[2] for r in sums.groupBy("order", "at").agg(F.sum("n")).collect()}, k, share)
 
+    counts = answers.where("block IS NOT NULL").select("block", "part", "counts", "owned")
+
     def masses(block: Block, got: pa.Table) -> pa.Table:
+        pack = zstandard.ZstdCompressor(level=1)
         words, pairs, own = _counts(block, got, parts)
-        token = block.paired[own]
-        head = words[token - 1] >= model.least
-        own, token = own[head], token[head]
-        keys, back = np.unique(block.word[token - 1], return_inverse=True)
-        seen = np.bincount(back, weights=model.discounted(pairs[own], model.pair_discount) / words[token - 1], minlength=len(keys))
-        below = np.bincount(back, weights=model.unigram(words[token]), minlength=len(keys))
-        return pa.table({"context": pa.array(keys.view(np.int64)), "seen": pa.array(seen), "below": pa.array(below)})
-
-    context = _joined(blocks, answers, masses, "context long, seen double, below double").groupBy("context").agg(F.sum("seen").alias("seen"), F.sum("below").alias("below"))
-    table = written(context, "katz-contexts").toArrow()  # at most 1 / share rows
-    order = np.argsort(table.column("context").to_numpy().view(np.uint64))
-    model.contexts = table.column("context").to_numpy().view(np.uint64)[order]
-    seen, below = (table.column(c).to_numpy()[order] for c in ("seen", "below"))
-    model.weights = np.maximum(1 - seen, 1e-12) / np.maximum(1 - below, 1e-12)
+        keys, use, back = _contexts(block, words, model.least)
+        mine = np.isin(use, own)
+        token = block.paired[use[mine]]
+        seen = np.bincount(back[mine], weights=model.discounted(pairs[use[mine]], model.pair_discount) / words[token - 1], minlength=len(keys))
+        below = np.bincount(back[mine], weights=model.unigram(words[token]), minlength=len(keys))
+        edge = np.searchsorted(_part(keys, parts), np.arange(parts + 1)).tolist()
+        rows = [(p, got.column("block")[0].as_py(), keys[a:b].tobytes(), *(pack.compress(x[a:b].tobytes()) for x in (seen, below))) for p, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+        columns = list(zip(*rows)) if rows else [()] * 5
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "block", "keys", "seen", "below"])
+
+    asked = _joined(blocks, counts, masses, "part long, block long, keys binary, seen binary, below binary")
+    weights = written(_weights(asked), "katz-weights")
 
     def scores(block: Block, got: pa.Table) -> pa.Table:
-        words, pairs, _ = _counts(block, got, parts)
+        weighed = np.array([x is not None for x in got.column("weights").to_pylist()])
+        words, pairs, _ = _counts(block, got.filter(pa.array(~weighed)), parts)
         p = model.unigram(words)
-        before = block.word[block.paired - 1]
-        context = words[block.paired - 1]
-        use = context >= model.least
-        weight = np.ones(len(before))
-        if len(model.contexts):
-            at = np.minimum(np.searchsorted(model.contexts, before), len(model.contexts) - 1)
-            weight = np.where(use & (model.contexts[at] == before), model.weights[at], 1.0)
-        known = use & (pairs > 0)
-        p[block.paired] = np.where(known, model.discounted(pairs, model.pair_discount) / np.maximum(context, 1), weight * p[block.paired])
+        _, use, back = _contexts(block, words, model.least)
+        runs = sorted(zip(*(got.filter(pa.array(weighed)).column(c).to_pylist() for c in ("part", "weights"))))
+        each = np.concatenate([np.zeros(0), *[np.frombuffer(zstandard.ZstdDecompressor().decompress(x)) for _, x in runs]])
+        token, pairs = block.paired[use], pairs[use]
+        p[token] = np.where(pairs > 0, model.discounted(pairs, model.pair_discount) / words[token - 1], each[back] * p[token])
         start = np.cumsum(block.n) - block.n
         add = lambda x: np.add.reduceat(x, start)
         return pa.table(
@@ -265,7 +282,9 @@ def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, sha
             }
         )
 
-    return _joined(blocks, answers, scores, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    none = F.lit(None).cast("binary")
+    both = counts.withColumn("weights", none).unionByName(weights.select("block", "part", none.alias("counts"), none.alias("owned"), "weights"))
+    return _joined(blocks, both, scores, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op10_katz(spark, sf_dir: str) -> DataFrame:

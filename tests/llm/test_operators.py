@@ -388,6 +388,24 @@ def test_katz(docs, empty):
     assert katz.score(empty).count() == 0
 
 
+def test_katz_keeps_rare_contexts(spark):
+    """A pair seen once in a large training set counts in scores: its context is far below 1e-5 of the tokens."""
+    spell = lambda k: "".join("abcdefghij"[int(x)] for x in str(k))
+    made = [(k, " ".join(f"w{spell(r)}" for r in np.random.default_rng(k).integers(0, 40, 3000))) for k in range(120)] + [(200, "rare pair here"), (201, "rare pair here")]
+    got = {r.doc_id: r for r in katz.score(spark.createDataFrame(made, "doc_id long, text string"), held=-1, block_bytes=200_000, part_bytes=300_000).collect()}
+    n = got[0].train_tokens
+    assert 2 < 1e-5 * n
+    uni, pair = collections.Counter(), collections.Counter()
+    for _, t in made:
+        w = [*t.split(), "end"]
+        uni.update(w)
+        pair.update(zip(w, w[1:]))
+    dp = katz.discounts([sum(x == r for x in pair.values()) for r in range(1, 7)])
+    du = katz.discounts([sum(x == r for x in uni.values()) for r in range(1, 7)])
+    want = math.log10(2 * du[2] / n) + 3 * math.log10(2 * dp[2] / 2)
+    assert abs(got[200].score - want) < 1e-9
+
+
 def test_digest_queries_have_the_contract_columns(spark, tmp_path, docs):
     root = str(tmp_path)
     docs.write.parquet(f"{root}/documents.parquet")
