@@ -1,26 +1,30 @@
 """Operator 4: licence scans by conditional compression.
 
-Lines that name a licence, copyright or permission are candidates, together with the lines that follow without a break.
-Each candidate block is compressed with each template as a raw zstandard dictionary; the templates that shrink it most
-against compression without a dictionary are ranked, and the best ones are confirmed by their exact wording: the
-template's words that the block has in order, and the words that differ. Blocks go to the template with the most of
-its wording, if that is ``CONFIRM`` or more.
-
-Map-only, whatever the input. Nulls: a null text is an empty one and has no block. A licence that stands in a text several
+Words that name a licence, copyright or permission are triggers. Candidates are the lines and sentences that a trigger stands
+in, runs of lines, and, wherever lines are broken, the best local alignments of each template with the words around triggers.
+A candidate is confirmed by exact wording: the template's words that it has in order, ``CONFIRM`` of them or more, and the
+words that differ. Templates without that many of their words there can't be confirmed and are passed over. Each confirmed
+candidate is compressed with its template as a raw zstandard dictionary against compression without one. All are ranked by
+wording, then by that reduction, and each one whose words aren't those of a better one is reported.
+
+Map-only, whatever the input. Nulls: a null text is an empty one and has no notice. A licence that stands in a text several
 times is reported at each place; rows with equal doc_id are scanned one by one. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelmill.llm.decontaminate import align
 from panelmill.llm.text import slices, texts
 
 #: Short public notices, as licensors ask to state them.
@@ -56,9 +60,8 @@ TEMPLATES: dict[str, list[str]] = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-TRIGGER = r"(?i)licen[sc]e|copyright|permission|redistribut|public domain|creative commons|public license"
+TRIGGER = r"(?i)licen[sc]e|copyright|permission|redistribut|public\W+domain|creative\W+commons"
 CONFIRM = 0.85
-RANKED = 3
 LEVEL = 3
 
 _TRIGGER = re.compile(TRIGGER.removeprefix("(?i)").encode(), re.IGNORECASE)
@@ -69,73 +72,119 @@ def wording(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+class Words:
+    """The words of a text, lower-cased, with their places in bytes."""
+
+    def __init__(self, text: bytes) -> None:
+        plain = text.decode("utf-8", "surrogateescape")
+        found = list(_WORD.finditer(plain))
+        self.words = [m[0].lower() for m in found]
+        place = lambda x: x
+        if len(plain) < len(text):
+            code = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            byte = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+            byte[(code >= 0xDC80) & (code <= 0xDCFF)] = 1  # bytes that are no UTF-8
+            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(byte)])
+            place = lambda x: int(ends[x])
+        self.start, self.end = [place(m.start()) for m in found], [place(m.end()) for m in found]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, list[str]]) -> None:
         self.rows = [(name, wording(t), zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, each in templates.items() for t in each]
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.longest = max(len(r[1]) for r in self.rows)
-
-    def ranked(self, block: bytes) -> list[tuple[float, int]]:
-        """The templates that shrink the block most: (reduction, template)."""
-        alone = len(self.plain.compress(block))
-        sizes = [(1 - len(c.compress(block)) / alone, k) for k, (_, _, c) in enumerate(self.rows)]
-        return sorted(sizes, key=lambda x: (-x[0], x[1]))[:RANKED]
-
-    def judge(self, block: bytes) -> tuple | None:
-        """(licence, reduction, share of the wording, words missing, words added) of the best confirmed template."""
-        best = None
-        words = wording(block.decode("utf-8", "replace"))
-        for reduction, k in self.ranked(block):
-            name, template, _ = self.rows[k]
-            pairs = [m for m in SequenceMatcher(None, template, words, autojunk=False).get_matching_blocks() if m.size]
-            same = sum(m.size for m in pairs)
-            span = pairs[-1].b + pairs[-1].size - pairs[0].b if pairs else 0
-            found = (name, reduction, same / len(template), len(template) - same, span - same)
-            if found[2] >= CONFIRM and (best is None or (found[2], same, reduction) > best[0]):
-                best = ((found[2], same, reduction), found)
-        return best and best[1]
-
-
-def blocks(text: bytes) -> Iterator[tuple[int, bytes]]:
-    """Candidate blocks with their byte offsets: sentences of a line that a trigger stands in, then runs of lines."""
+        self.ids = {w: k for k, w in enumerate(sorted({w for _, t, _ in self.rows for w in t}))}
+
+    def judge(self, k: int, words: list[str], lo: int, hi: int) -> tuple[int, int, int] | None:
+        """(words in order, first, end) of template k among words lo to hi, if that is enough of it."""
+        template = self.rows[k][1]
+        pairs = [m for m in SequenceMatcher(None, template, words[lo:hi], autojunk=False).get_matching_blocks() if m.size]
+        same = sum(m.size for m in pairs)
+        return (same, lo + pairs[0].b, lo + pairs[-1].b + pairs[-1].size) if same and same >= CONFIRM * len(template) else None
+
+    def possible(self, words: list[str], lo: int, hi: int) -> list[int]:
+        """Templates that have enough of their words among words lo to hi, in whatever order."""
+        there = set(words[lo:hi])
+        return [k for k, (_, t, _) in enumerate(self.rows) if sum(w in there for w in t) >= CONFIRM * len(t)]
+
+    def aligned(self, words: list[str], lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
+        """(template, first, end) of local alignments among words lo to hi, the best ones first, each place once for a template."""
+        ids = np.array([self.ids.get(w, -1) for w in words[lo:hi]])
+        for k in self.possible(words, lo, hi):
+            template = np.array([self.ids[w] for w in self.rows[k][1]])
+            left = ids.copy()
+            while True:
+                best, end = align(template, left)
+                if best < CONFIRM * len(template):
+                    break
+                first = end - align(template[::-1], left[:end][::-1])[1]
+                yield k, lo + first, lo + end
+                left[first:end] = -1
+
+    def notices(self, text: bytes) -> Iterator[tuple]:
+        """(licence, start, reduction, share of the wording, words missing, words added) of each notice."""
+        at = Words(text)
+        spans = {(k, lo, hi) for a, b in blocks(text) for lo, hi in [(bisect_left(at.start, a), bisect_left(at.start, b))] for k in self.possible(at.words, lo, hi)}
+        around = 2 * self.longest
+        regions: list[list[int]] = []
+        for m in _TRIGGER.finditer(text):
+            k = bisect_left(at.start, m.start())
+            if regions and k - around <= regions[-1][1]:
+                regions[-1][1] = min(len(at.words), k + around)
+            else:
+                regions.append([max(0, k - around), min(len(at.words), k + around)])
+        for lo, hi in regions:
+            spans.update(self.aligned(at.words, lo, hi))
+        found = {(k, *got) for k, lo, hi in spans if (got := self.judge(k, at.words, lo, hi))}
+        ranked = []
+        for k, same, lo, hi in found:
+            name, template, dictionary = self.rows[k]
+            block = text[at.start[lo] : at.end[hi - 1]].replace(b"\n", b" ")
+            reduction = 1 - len(dictionary.compress(block)) / len(self.plain.compress(block))
+            missing, added = len(template) - same, hi - lo - same
+            ranked.append((missing + added - 2 * same, -same / len(template), -reduction, name, lo, hi, missing, added))
+        taken = np.zeros(len(at.words), dtype=bool)
+        for _, share, reduction, name, lo, hi, missing, added in sorted(ranked):
+            if not taken[lo:hi].any():
+                taken[lo:hi] = True
+                yield name, at.start[lo], -reduction, -share, missing, added
+
+
+def blocks(text: bytes) -> Iterator[tuple[int, int]]:
+    """Candidate blocks, in bytes: lines, or sentences of long lines, that a trigger stands in, and runs of lines."""
     at = 0
-    run: list[tuple[int, bytes]] = []
+    run: list[tuple[int, int]] = []
+    named = False
     for line in text.split(b"\n"):
-        if _TRIGGER.search(line):
+        trigger = bool(_TRIGGER.search(line))
+        if trigger:
             if len(line) > 600:
                 for m in re.finditer(rb"(?s).*?(?:[.;:](?:\s|$)|$)", line):
                     if _TRIGGER.search(m[0]):
-                        yield at + m.start(), line[max(0, m.start() - 300) : m.end() + 300]
+                        yield at + max(0, m.start() - 300), at + min(len(line), m.end() + 300)
             else:
-                yield at, line
+                yield at, at + len(line)
         if line.strip() and len(line) <= 600:
-            run.append((at, line))
+            run.append((at, at + len(line)))
+            named |= trigger
         if not line.strip() or len(run) >= 6:
-            if len(run) > 1 and any(_TRIGGER.search(x) for _, x in run):
-                yield run[0][0], b" ".join(x for _, x in run)
-            run = []
+            if len(run) > 1 and named:
+                yield run[0][0], run[-1][1]
+            run, named = [], False
         at += len(line) + 1
-    if len(run) > 1 and any(_TRIGGER.search(x) for _, x in run):
-        yield run[0][0], b" ".join(x for _, x in run)
+    if len(run) > 1 and named:
+        yield run[0][0], run[-1][1]
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
-    """A row for each confirmed block: doc_id, license, start (byte), reduction, share, missing, added."""
+    """A row for each notice: doc_id, license, start (byte of its first word), reduction, share, missing, added."""
     schema = "doc_id long, license string, start long, reduction double, share double, missing long, added long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
         for b in slices(batches, "text"):
-            rows = []
-            for doc_id, t in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                found: dict[tuple[str, int], tuple] = {}
-                lines: set[str] = set()
-                for start, block in blocks(t):
-                    got = scanner.judge(block)
-                    if got and (b"\n" not in block) and (got[0] not in lines or block in t):
-                        lines.add(got[0])
-                        found[got[0], start] = (doc_id, got[0], start, *got[1:])
-                rows += found.values()
+            rows = [(doc_id, *found) for doc_id, t in zip(b.column(0).to_pylist(), texts(b.column(1))) for found in scanner.notices(t)]
             columns = list(zip(*rows)) if rows else [()] * 7
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in schema.split(", ")])

@@ -167,6 +167,27 @@ def test_licences(spark, docs, empty):
     assert licenses.scan(docs).count() == 0 and licenses.scan(empty).count() == 0
 
 
+def test_licences_at_every_place(spark):
+    gpl = licenses.TEMPLATES["GPL-3.0"][1].split()
+    wrapped = lambda n, w=gpl: "\n".join("# " + " ".join(w[k : k + n]) for k in range(0, len(w), n))
+    head = "# näme of the file\n# by someone\n# in some year\n# all of it\n"
+    made = {
+        1: head + wrapped(10),
+        2: wrapped(2),
+        3: wrapped(10) + "\n\nsome text between\n\n" + wrapped(10),
+        4: "Released under the MIT License. Released under the ISC License. Released under the MIT License.",
+        5: "# This is free and unencumbered software released into the public\n# domain.",
+        6: head + "\n".join(f"# line {k}" for k in range(4)) + "\n" + wrapped(12, licenses.TEMPLATES["MIT"][2].split()) + "\n" + wrapped(7),
+    }
+    want = {1: ["GPL-3.0"], 2: ["GPL-3.0"], 3: ["GPL-3.0"] * 2, 4: ["MIT", "ISC", "MIT"], 5: ["Unlicense"], 6: ["MIT", "GPL-3.0"]}
+    got = collections.defaultdict(list)
+    for r in sorted(licenses.scan(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect(), key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id].append(r.license)
+        assert r.share == 1.0 and r.missing == r.added == 0
+        assert made[r.doc_id].encode()[r.start :].startswith((b"This", b"Released", b"Permission"))
+    assert got == want
+
+
 # -- 5 quality classifier ---------------------------------------------------------------------------
 
 
