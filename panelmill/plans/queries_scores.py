@@ -432,6 +432,10 @@ def k9(s):
     return FC.predict_boosted(FC.fit_boosted(s.panel, s.calendar), s.panel, s.calendar, 5)
 
 
+#: Fixed value: the evaluation's target months, as many as the reference has.
+TARGET_MONTHS = 6
+
+
 @q("k10_direct_month")
 def k10(s):
     from pyspark.ml.feature import VectorAssembler
@@ -443,7 +447,7 @@ def k10(s):
     rows = rows.select("unique_id", "forecast_origin_date", "target_month", "weeks_in_month", "weeks_actualized", "level", *[(F.col(c) / F.col("level")).alias(c) for c in names], (F.col("actual_monthly_total") / F.col("level")).alias("label"))
     rows = VectorAssembler(inputCols=[*names, "weeks_in_month", "weeks_actualized"], outputCol="features").transform(rows)
     out = None
-    months = [r[0] for r in rows.select("target_month").distinct().orderBy(F.desc("target_month")).limit(2).collect()]
+    months = [r[0] for r in rows.select("target_month").distinct().orderBy(F.desc("target_month")).limit(TARGET_MONTHS).collect()]
     for m in months:  # one fit for each validation month
         model = GBTRegressor(labelCol="label", maxIter=8, maxDepth=3, seed=7).fit(rows.where(F.col("target_month") < m))
         made = model.transform(rows.where(F.col("target_month") == m)).select("unique_id", "forecast_origin_date", "target_month", (F.col("prediction") * F.col("level")).alias("monthly_forecast"))

@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__
 from panelmill.plans import registered
+from panelmill.plans.example import Study
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -52,6 +53,13 @@ def test_query_equals_its_sql(spark, duck, name):
     assert not off[:3]
 
 
+def test_direct_month_has_all_target_months(spark):
+    made = registered.QUERIES["k10_direct_month"](spark, SF).select("target_month", "monthly_forecast").collect()
+    table = Study.of(spark, SF).modelling_table.where("actual_monthly_total IS NOT NULL").select("target_month").distinct()
+    assert sorted({r.target_month for r in made}) == sorted(r[0] for r in table.collect())[-6:]
+    assert all(r.monthly_forecast is not None for r in made)
+
+
 def test_every_query_is_registered_once():
     found = __spark_entry__.queries()
     assert set(registered.QUERIES) <= set(found) and set(__spark_entry__.oracle_sql()) <= set(found)
