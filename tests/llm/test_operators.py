@@ -15,6 +15,7 @@ from tests.llm.helpers import WORD, brute_repeats, fingerprint, words
 
 from panelmill.llm import chat, decontaminate, katz, licenses, piece_batches, pieces, quality, rules, simhash, substrings, token_counts
 from panelmill.llm.components import components
+from panelmill.llm.text import word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, words long, rest int"
 
@@ -121,17 +122,59 @@ def test_decontamination(spark, docs, empty):
     edited = PASSAGE.split()
     for k in (4, 11, 20):
         edited[k] = "changed"
-    benchmark = spark.createDataFrame([(1, PASSAGE), (2, " ".join(edited)), (3, "nothing like it anywhere at all"), (4, None), (None, PASSAGE), (5, "one two")], "item_id long, text string")
+    benchmark = spark.createDataFrame([(1, PASSAGE), (2, " ".join(edited)), (3, "nothing like it anywhere at all"), (4, None), (None, PASSAGE), (5, "one two"), (6, "")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, benchmark).collect()}
     for i in (32, 33, 34):
         assert got[i, 1] == 1.0 and 0.6 < got[i, 2] < 1.0
     assert set(got) == {(i, k) for i in (32, 33, 34) for k in (1, 2)} | {(5, 5)}
     in_blocks = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, benchmark, block_words=31).collect()}
     assert in_blocks == got
-    left = decontaminate.decontaminated(docs, benchmark)
-    assert left.columns == docs.columns and left.count() == len(TEXTS) - 4
-    assert decontaminate.contaminated(empty, benchmark).count() == 0
-    assert decontaminate.contaminated(docs, benchmark.where("false")).count() == 0
+    for words_each in (decontaminate.BLOCK_WORDS, 31):
+        left = decontaminate.decontaminated(docs, benchmark, block_words=words_each)
+        assert left.columns == docs.columns and left.count() == len(TEXTS) - 4
+    assert decontaminate.contaminated(empty, benchmark).count() == 0 and decontaminate.decontaminated(empty, benchmark).count() == 0
+    assert decontaminate.contaminated(docs, benchmark.where("false")).count() == 0 and decontaminate.decontaminated(docs, benchmark.where("false")).count() == len(TEXTS)
+
+
+def test_decontamination_judges_rows_by_their_text(spark):
+    """A null doc_id, and two texts of one doc_id: only the rows that hold the item go."""
+    made = [(None, "x " + PASSAGE), (None, "clean"), (7, PASSAGE), (7, "clean too"), (7, None)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, PASSAGE)] * 2, "item_id long, text string")
+    assert sorted(map(str, rows(decontaminate.decontaminated(docs, benchmark)))) == sorted(map(str, [(None, "clean"), (7, "clean too"), (7, None)]))
+    assert sorted(str(r.doc_id) for r in decontaminate.contaminated(docs, benchmark).collect()) == ["7", "7", "None", "None"]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7])
+def test_decontamination_misses_no_alignment(spark, threshold):
+    """Copies edited at every rate, small and large vocabularies: the rows are those of aligning each item with each whole text."""
+    r = random.Random(11)
+    items, made = {}, []
+    for size in (8, 60, 3000):
+        for n in (3, 4, 5, 7, 12, 25, 40):
+            item = [f"w{size}x{r.randrange(size)}" for _ in range(n)]
+            items[len(items)] = item
+            noise = lambda k: [f"w{size}x{r.randrange(size)}" for _ in range(k)]  # noqa: B023, E731
+            for rate in (0.0, 0.2, 0.34, 0.5):
+                copy = []
+                for w in item:
+                    edit = r.choice(["change", "drop", "add"]) if r.random() < rate else ""
+                    copy += [w] if not edit else {"change": noise(1), "drop": [], "add": [w, *noise(1)]}[edit]
+                made.append(noise(r.randrange(9)) + copy + noise(r.randrange(9)))
+            made += [[x for w in item for x in (w, "between")], ["other" if k % 3 == 2 else w for k, w in enumerate(item)], ["other" if k % 4 == 3 else w for k, w in enumerate(item)]]
+    made += [[w for d in made for w in d], []]
+    ids = lambda ws: word_hashes([w.encode() for w in ws])
+    want = {}
+    for i, d in enumerate(made):
+        for k, item in items.items():
+            score, end = decontaminate.align(ids(item), ids(d)) if d else (0, 0)
+            if score / (2 * len(item)) >= threshold:
+                want[i, k] = (score / (2 * len(item)), end)
+    tables = [spark.createDataFrame([(i, " ".join(w)) for i, w in x], f"{key} long, text string") for x, key in ((enumerate(made), "doc_id"), (items.items(), "item_id"))]
+    for block in (decontaminate.BLOCK_WORDS, 150):
+        got = decontaminate.contaminated(*tables, threshold=threshold, block_words=block).collect()
+        assert {(x.doc_id, x.item_id): (x.score, x.end) for x in got} == want and len(got) == len(want)
+    assert sum(k[0] % 7 in (4, 5, 6) for k in want) > 10
 
 
 @pytest.mark.parametrize("n", [9, 1000])
