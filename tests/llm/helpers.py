@@ -37,14 +37,15 @@ def brute_components(prints: dict[int, int], radius: int = 3) -> dict[int, int]:
     return {i: find(i) for i in ids}
 
 
-def brute_repeats(texts: list[tuple[int, str | None]], window: int) -> dict[int, tuple[int, int, str]]:
-    """doc_id -> (words, removed words, kept words with single spaces)."""
+def brute_repeats(texts: list[tuple[int, str | None]], window: int) -> dict[tuple[int, str], tuple[int, int, str]]:
+    """(doc_id, text) -> (words, removed words, kept words with single spaces)."""
     first: dict[tuple, tuple] = {}
-    listed = sorted({(i, t or "") for i, t in texts if i is not None})
+    listed = {(i, t or "") for i, t in texts if i is not None}
     for i, t in listed:
         w = words(t)
         for p in range(len(w) - window + 1):
-            first.setdefault(tuple(w[p : p + window]), (i, p))
+            key = tuple(w[p : p + window])
+            first[key] = min((i, p), first.get(key, (i, p)))
     out = {}
     for i, t in listed:
         w = words(t)
@@ -52,5 +53,5 @@ def brute_repeats(texts: list[tuple[int, str | None]], window: int) -> dict[int,
         for p in range(len(w) - window + 1):
             if first[tuple(w[p : p + window])] != (i, p):
                 keep[p : p + window] = [False] * window
-        out[i] = (len(w), len(w) - sum(keep), " ".join(x for x, k in zip(w, keep) if k))
+        out[i, t] = (len(w), len(w) - sum(keep), " ".join(x for x, k in zip(w, keep) if k))
     return out

@@ -289,16 +289,48 @@ def test_rules_are_learned():
 # -- 7 substring dedup ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("window", "anchor"), [(20, 10), (5, 3), (12, 12)])
-def test_substrings(docs, window, anchor):
+@pytest.mark.parametrize(("window", "anchor", "shard"), [(20, 10, 4 << 20), (5, 3, 900), (12, 12, 1)])
+def test_substrings(docs, window, anchor, shard):
     want = brute_repeats(TEXTS, window)
-    got = substrings.remove_repeats(docs, window, anchor).collect()
+    got = substrings.remove_repeats(docs.withColumn("t", F.col("text")), window, anchor, shard).collect()
     assert len(got) == len(TEXTS)
     for r in got:
         if r.doc_id is None:
             assert r.n_removed == 0
         else:
-            assert (r.n_words, r.n_removed, " ".join(words(r.text))) == want[r.doc_id]
+            assert (r.n_words, r.n_removed, " ".join(words(r.text))) == want[r.doc_id, r.rest.t or ""]
+
+
+def test_substrings_of_long_and_shared_passages(spark):
+    """Copies over many pieces, parts of passages at odd places, a passage in a third of the documents, and one doc_id with several texts."""
+    r = random.Random(5)
+    long, shared = [_text(900, 500 + k).split() for k in range(3)], _text(45, 600).split()
+    texts = [(k, _text(r.randrange(10, 90), 700 + k).split()) for k in range(150)]
+    texts = [(i, w[:9] + shared[r.randrange(9) : 45 - r.randrange(9)] + w[9:] if i % 3 == 0 else w) for i, w in texts]
+    texts += [(200, long[0]), (201, long[0]), (202, long[0][100:700]), (150, long[0][300:]), (203, long[1] + long[1][30:]), (204, ["x", *long[1]]), (205, long[2]), (199, [*long[2], "y"])]
+    texts += [(300, long[0][:50]), (300, long[2][5:70]), (300, long[2][5:70]), (300, _text(60, 888).split()), (301, _text(60, 888).split()), (300, ["z", *_text(60, 888).split()]), (None, long[0]), (None, None)]
+    made = [(i, " ".join(w) if w else None) for i, w in texts]
+    r.shuffle(made)
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    for window, shard in ((20, 4000), (7, 1 << 20)):
+        want = brute_repeats(made, window)
+        got = substrings.remove_repeats(docs.withColumn("t", F.col("text")), window, min(window, 10), shard).collect()
+        assert len(got) == len(made)
+        for x in got:
+            assert (x.n_words, x.n_removed, " ".join(words(x.text))) == (want[x.doc_id, x.t if hasattr(x, "t") else x.rest.t] if x.doc_id is not None else (len(words(x.rest.t)), 0, x.rest.t or ""))
+
+
+def test_substrings_go_by_hits_alone(docs):
+    """Without passages the automata find nothing and nothing goes; passages are cut out of their first places."""
+    plain = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("int").alias("rest"))
+    keyed = substrings._versions(plain, 3)
+    found = substrings.passages(keyed, 20, 10, 3)
+    at = {i: words(t) for i, t in TEXTS}
+    cut = found.collect()
+    assert {x.first_doc for x in cut} >= {10, 32} and all(at[x.first_doc][x.first_pos :][: len(x.text.split(" "))] == x.text.split(" ") for x in cut)
+    removed = lambda p: {x.doc_id for x in substrings.stream(keyed, p).where("n_removed > 0").collect()}
+    assert removed(found) >= {30, 31, 33, 34} and not removed(found.where("false"))
+    assert removed(found.where("first_doc = 32")) == {33, 34}
 
 
 def test_substrings_of_nothing(empty):

@@ -22,7 +22,7 @@ def test_run_equals_the_plain_version(spark):
     component = brute_components({i: fingerprint(t) for i, t in left.items()})
     left = {i: t for i, t in left.items() if component[i] == i}
     cleaned = brute_repeats(list(left.items()), 20)
-    left = {i: (t if not cleaned[i][1] else cleaned[i][2]) for i, t in left.items()}
+    left = {i: (t if not cleaned[i, t][1] else cleaned[i, t][2]) for i, t in left.items()}
     items = [decontaminate.words_of(r.text.encode()) for r in read("benchmark").collect()]
 
     def leaks(t):
