@@ -18,7 +18,8 @@ Counting covers all documents and moves n-grams, not texts:
 5. Blocks with their counts and weights score their documents.
 
 Nulls: a null text is an empty one: one token, the end. A null doc_id is scored and is in training. Rows with equal doc_id
-are scored one by one. Without training documents every token is unknown and has probability 1. Other columns are not read.
+are scored one by one. Without training documents every token is unknown and has probability 1. Empty tables give no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ FOLDS, HELD = 7, 2
 K = 5
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 12 << 20
+BLOCKS_A_TASK = 2
 END = b"\n"
 
 
@@ -125,7 +127,7 @@ def _answers(requests: DataFrame, parts: int, k: int) -> DataFrame:
         owner[first] = True
         end = np.cumsum([len(x) for x in runs])
         part = key[0].as_py()
-        found = total[back].astype(np.uint32)
+        found = total[back].astype(np.uint64)
         cut = [(e - len(x), e) for x, e in zip(runs, end.tolist())]
         low = np.bincount(total[total <= k + 1], minlength=k + 2)[: k + 2]
         stats = [int(total.sum()), int((total > 0).sum()), *low[1:].tolist()]
@@ -164,16 +166,15 @@ class Model:
     word_discount: np.ndarray
     pair_discount: np.ndarray
     unknown: float
-    least: float  # contexts with fewer tokens keep no pairs
 
     @classmethod
-    def of(cls, stats: dict[tuple[int, int], int], k: int, share: float) -> Model:
+    def of(cls, stats: dict[tuple[int, int], int], k: int) -> Model:
         words = [stats.get((0, i), 0) for i in range(k + 3)]
         pairs = [stats.get((1, i), 0) for i in range(k + 3)]
         d = discounts(words[2:], k)
         n = words[0]
         freed = sum(times * r * (1 - d[r]) for r, times in enumerate(words[2 : 2 + k], 1))
-        return cls(n, words[1], d, discounts(pairs[2:], k), freed / n if n else 1.0, max(2.0, share * n) if share else 1.0)
+        return cls(n, words[1], d, discounts(pairs[2:], k), freed / n if n else 1.0)
 
     @staticmethod
     def discounted(count: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -190,18 +191,19 @@ def _counts(block: Block, answers: pa.Table, parts: int) -> tuple[np.ndarray, np
     unpack = zstandard.ZstdDecompressor()
     rows = sorted(zip(*(answers.column(c).to_pylist() for c in ("part", "counts", "owned"))))
     read = lambda x, kind: np.frombuffer(unpack.decompress(x), dtype=kind)
-    words = np.concatenate([np.zeros(0, np.uint32), *[read(c, np.uint32) for p, c, _ in rows if p < parts]]).astype(np.int64)
-    pairs = [(read(c, np.uint32), read(o, np.uint8)) for p, c, o in rows if p >= parts]
+    words = np.concatenate([np.zeros(0, np.uint64), *[read(c, np.uint64) for p, c, _ in rows if p < parts]]).astype(np.int64)
+    pairs = [(read(c, np.uint64), read(o, np.uint8)) for p, c, o in rows if p >= parts]
     _, back = np.unique(block.word, return_inverse=True)
     _, at, pair_back = np.unique(block.pair, return_index=True, return_inverse=True)
-    counts = np.concatenate([np.zeros(0, np.uint32), *[c for c, _ in pairs]]).astype(np.int64)
+    counts = np.concatenate([np.zeros(0, np.uint64), *[c for c, _ in pairs]]).astype(np.int64)
     owned = np.concatenate([np.zeros(0, bool), *[np.unpackbits(o, count=len(c)).astype(bool) for c, o in pairs]])
     return words[back], counts[pair_back], at[owned & (counts > 0)]
 
 
-def _joined(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
-    left = blocks.select("block", "doc_ids", "held_out", "words").groupBy("block")
-    right = answers.groupBy("block")
+def _joined(blocks: DataFrame, answers: DataFrame, tasks: int, run, schema: str) -> DataFrame:
+    """Each block with its answers; ``tasks`` follows from the number of blocks, so a task holds a few blocks whatever the input."""
+    left = blocks.select("block", "doc_ids", "held_out", "words").repartition(tasks, "block").groupBy("block")
+    right = answers.repartition(tasks, "block").groupBy("block")
 
     def each(a: pa.Table, b: pa.Table) -> pa.Table:
         block = Block.of(a.column("doc_ids")[0].as_py(), a.column("held_out")[0].as_py(), a.column("words")[0].as_py())
@@ -210,9 +212,9 @@ def _joined(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFram
     return left.cogroup(right).applyInArrow(each, schema)
 
 
-def _contexts(block: Block, words: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys of the block's contexts that keep pairs; the paired tokens (by place) that have one, and which it is."""
-    use = np.flatnonzero(words[block.paired - 1] >= least)
+def _contexts(block: Block, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys of the block's contexts that training has; the paired tokens (by place) that have one, and which it is."""
+    use = np.flatnonzero(words[block.paired - 1] > 0)
     keys, back = np.unique(block.word[block.paired[use] - 1], return_inverse=True)
     return keys, use, back
 
@@ -232,21 +234,22 @@ def _weights(masses: DataFrame) -> DataFrame:
     return masses.groupBy("part").applyInArrow(run, "part long, block long, weights binary")
 
 
-def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, share: float = 0.0, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
     blocks = written(_blocks(docs, folds, held, block_bytes), "katz-blocks")
-    tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    tokens, n_blocks = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count("*")).first()
     parts = max(1, round(tokens * 8 / part_bytes))
-    answers = written(_answers(_requests(blocks, parts), parts, k), "katz-counts")
+    tasks = max(1, n_blocks // BLOCKS_A_TASK)
+    answers = written(_answers(_requests(blocks, parts).repartition(parts, "part"), parts, k), "katz-counts")
     sums = answers.where("block IS NULL").select((F.col("part") >= parts).cast("int").alias("order"), F.posexplode("stats").alias("at", "n"))
-    model = Model.of({(r[0], r[1]): r[2] for r in sums.groupBy("order", "at").agg(F.sum("n")).collect()}, k, share)
+    model = Model.of({(r[0], r[1]): r[2] for r in sums.groupBy("order", "at").agg(F.sum("n")).collect()}, k)
 
     counts = answers.where("block IS NOT NULL").select("block", "part", "counts", "owned")
 
     def masses(block: Block, got: pa.Table) -> pa.Table:
         pack = zstandard.ZstdCompressor(level=1)
         words, pairs, own = _counts(block, got, parts)
-        keys, use, back = _contexts(block, words, model.least)
+        keys, use, back = _contexts(block, words)
         mine = np.isin(use, own)
         token = block.paired[use[mine]]
         seen = np.bincount(back[mine], weights=model.discounted(pairs[use[mine]], model.pair_discount) / words[token - 1], minlength=len(keys))
@@ -256,14 +259,14 @@ def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, sha
         columns = list(zip(*rows)) if rows else [()] * 5
         return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "block", "keys", "seen", "below"])
 
-    asked = _joined(blocks, counts, masses, "part long, block long, keys binary, seen binary, below binary")
-    weights = written(_weights(asked), "katz-weights")
+    asked = _joined(blocks, counts, tasks, masses, "part long, block long, keys binary, seen binary, below binary")
+    weights = written(_weights(asked.repartition(parts, "part")), "katz-weights")
 
     def scores(block: Block, got: pa.Table) -> pa.Table:
         weighed = np.array([x is not None for x in got.column("weights").to_pylist()])
         words, pairs, _ = _counts(block, got.filter(pa.array(~weighed)), parts)
         p = model.unigram(words)
-        _, use, back = _contexts(block, words, model.least)
+        _, use, back = _contexts(block, words)
         runs = sorted(zip(*(got.filter(pa.array(weighed)).column(c).to_pylist() for c in ("part", "weights"))))
         each = np.concatenate([np.zeros(0), *[np.frombuffer(zstandard.ZstdDecompressor().decompress(x)) for _, x in runs]])
         token, pairs = block.paired[use], pairs[use]
@@ -284,7 +287,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, sha
 
     none = F.lit(None).cast("binary")
     both = counts.withColumn("weights", none).unionByName(weights.select("block", "part", none.alias("counts"), none.alias("owned"), "weights"))
-    return _joined(blocks, both, scores, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return _joined(blocks, both, tasks, scores, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op10_katz(spark, sf_dir: str) -> DataFrame:
