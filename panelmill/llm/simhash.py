@@ -12,8 +12,10 @@ bounded by the few bits still free, so no bucket is cut and none is large. Insid
 the links leaves the task.
 
 Nulls: a null text is an empty one; texts without words have fingerprint zero and are linked like any other. Rows with
-the same doc_id count as one node and each is returned. A null doc_id is kept: it gets the component of its
-fingerprint's documents, null if there is no other. Other columns are not read.
+the same doc_id are one document, whatever their texts: their fingerprints are linked, and each row is returned. A null
+doc_id is kept: it gets the component of its fingerprint's documents, null if there is no other. Empty tables give no rows.
+Other columns are not read. Joins back to the documents read written tables, so that Spark can split a fingerprint that very
+many documents have (all empty texts).
 """
 
 from __future__ import annotations
@@ -142,7 +144,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = RADIUS, max
     """(doc_id, fp, component_id): component_id is the least doc_id reachable over links, the document's own included."""
     marked = written(fingerprints(docs, shingle), "simhash")
     firsts = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    edges = written(links(firsts.select("fp"), radius, max_bucket), "simhash-links")
+    several = marked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("other")).where("u <> other").select("doc_id", "u")
+    same_id = marked.join(written(several, "simhash-ids"), "doc_id").where("u <> fp").select("u", F.col("fp").alias("v")).distinct()
+    edges = written(links(firsts.select("fp"), radius, max_bucket).union(same_id), "simhash-links")
     reached = components(edges, "simhash-cc")
     classes = firsts.join(reached, firsts.fp == reached.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     named = written(classes, "simhash-classes")

@@ -359,6 +359,14 @@ def test_near_duplicates(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_documents_with_several_texts_are_one(spark):
+    a, b, c = (_text(50, k) for k in (1, 2, 3))
+    made = [(10, a), (20, b), (40, a), (40, b), (40, None), (50, ""), (60, c), (None, c), (None, "alone here")]
+    got = rows(simhash.near_duplicates(spark.createDataFrame(made, "doc_id long, text string")).select("doc_id", "component_id"))
+    want = [(10, 10), (20, 10), (40, 10), (40, 10), (40, 10), (50, 10), (60, 60), (None, 60), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("limit", [2, 1024])
 def test_all_links_are_found(spark, limit):
     """A dense ball around one fingerprint, and buckets cut down to any size, lose no link."""
