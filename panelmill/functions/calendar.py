@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Fixed values of the example calendar: its first Sunday, its years, the long ones, holidays by month and day.
-FIRST_SUNDAY = "1995-01-01"
-YEARS = list(range(1995, 2003))
-LONG_YEARS = (2000,)
+#: Fixed values of the example calendar: holidays by month and day.
 HOLIDAYS = ((1, 1, "New Year"), (7, 4, "Independence Day"), (12, 25, "Christmas Day"))
 
 
@@ -44,34 +40,46 @@ def is_dst(d: Column, tz: str = "America/New_York", standard: int = -5) -> Colum
     return utc_offset_hours(d, tz) != standard
 
 
-def holiday_table(spark: SparkSession, years: list[int] = YEARS) -> DataFrame:
+def year_start(year: Column) -> Column:
+    """The Sunday nearest to 1 January, on which a fiscal year starts; so a year has 52 or 53 weeks."""
+    first = F.make_date(year, F.lit(1), F.lit(1))
+    day = F.dayofweek(first) - 1
+    return F.date_add(first, F.when(day <= 3, -day).otherwise(7 - day))
+
+
+def fiscal_years(bounds: DataFrame) -> DataFrame:
+    """The years of the facts (one row: first, last date) and one more on either side: (fiscal_year)."""
+    return bounds.select(F.explode(F.sequence(F.year("first") - 1, F.year("last") + 1)).alias("fiscal_year"))
+
+
+def holiday_table(years: DataFrame) -> DataFrame:
     """Holidays are an input table: (date, holiday_name)."""
-    rows = [(f"{y}-{m:02d}-{d:02d}", name) for y in years for m, d, name in HOLIDAYS]
-    return spark.createDataFrame(rows, "date string, holiday_name string").select(F.to_date("date").alias("date"), "holiday_name")
-
-
-def date_dimension(spark: SparkSession, first_sunday: str = FIRST_SUNDAY, years: list[int] = YEARS, long_years: tuple[int, ...] = LONG_YEARS, holidays: DataFrame | None = None) -> DataFrame:
-    """One row for each date: fiscal and Gregorian attributes, weekend, holiday and daylight-saving flags."""
-    starts, at = [], 0
-    for y in years:
-        weeks = 53 if y in long_years else 52
-        starts.append((y, at, weeks))
-        at += weeks
-    table = F.broadcast(spark.createDataFrame(starts, T.StructType.fromDDL("fiscal_year int, first_week int, weeks int")))
-    weeks = table.select("fiscal_year", F.explode(F.sequence(F.lit(1), F.col("weeks"))).alias("fiscal_week"), "first_week")
-    first = F.date_add(F.to_date(F.lit(first_sunday)), (F.col("first_week") + F.col("fiscal_week") - 1) * 7)
-    days = weeks.select("fiscal_year", "fiscal_week", first.alias("week_start"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("k"))
-    days = days.select(F.date_add("week_start", F.col("k")).alias("date"), "fiscal_year", "fiscal_week", "week_start")
-    holidays = holiday_table(spark, years) if holidays is None else holidays
+    each = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(name).alias("name")) for m, d, name in HOLIDAYS])
+    every = years.select(F.explode(F.array(*[F.col("fiscal_year") + k for k in (-1, 0, 1)])).alias("y")).distinct()
+    return every.select("y", F.explode(each).alias("h")).select(F.make_date("y", "h.m", "h.d").alias("date"), F.col("h.name").alias("holiday_name"))
+
+
+def date_dimension(years: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """One row for each date of the fiscal years: fiscal and Gregorian attributes, weekend, holiday and daylight-saving flags."""
+    year = F.col("fiscal_year")
+    days = years.select(year.cast("int").alias("fiscal_year"), year_start(year).alias("start"), F.explode(F.sequence(year_start(year), F.date_sub(year_start(year + 1), 1))).alias("date"))
+    days = days.withColumn("fiscal_week", (F.floor(F.datediff("date", "start") / 7) + 1).cast("int"))
+    days = days.withColumn("fiscal_month", fiscal_month_of(F.col("fiscal_week")))
+    month = F.col("fiscal_month") - 1
+    first_week = 13 * F.floor(month / 3) + 4 * (month % 3) + 1
+    days = days.withColumn("fiscal_week_of_month", (F.col("fiscal_week") - first_week + 1).cast("int"))
+    holidays = holiday_table(years) if holidays is None else holidays
     d = F.col("date")
     return days.join(F.broadcast(holidays), "date", "left").select(
         "date",
-        "week_start",
+        week_start(d).alias("week_start"),
         "fiscal_year",
         "fiscal_week",
         yearweek(F.col("fiscal_year"), F.col("fiscal_week")).alias("fiscal_year_week"),
-        fiscal_month_of(F.col("fiscal_week")).alias("fiscal_month"),
-        (F.col("fiscal_year") * 100 + fiscal_month_of(F.col("fiscal_week"))).cast("int").alias("fiscal_year_month"),
+        "fiscal_month",
+        (F.col("fiscal_year") * 100 + F.col("fiscal_month")).cast("int").alias("fiscal_year_month"),
+        "fiscal_week_of_month",
+        ((F.col("fiscal_week_of_month") - 1) * 7 + F.dayofweek(d)).cast("int").alias("day_of_fiscal_month"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.date_format(d, "MMMM").alias("month_name"),
@@ -97,11 +105,6 @@ def weekly_calendar(dates: DataFrame) -> DataFrame:
     return weekly.withColumn("origin_month_fraction_elapsed", F.col("fiscal_week_of_month") / F.col("weeks_in_month"))
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    """The example weekly calendar; a few hundred rows."""
-    return weekly_calendar(date_dimension(spark))
-
-
 def indexed(cal: DataFrame) -> DataFrame:
     """The calendar with dense week and month numbers, for arithmetic on periods (201201 - 1 is not a month)."""
     week = Window.orderBy("ds")

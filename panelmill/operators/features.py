@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from panelmill.operators import gates
 from panelmill.operators.panel import MONEY, on_calendar
 
 
@@ -92,11 +93,24 @@ def remaining_target(table: DataFrame) -> DataFrame:
 
 
 def exogenous(panel: DataFrame, calendar: DataFrame, additional: DataFrame, features: list[str]) -> DataFrame:
-    """Additional regressors with calendar columns: (unique_id, ds, features...) for history and future weeks."""
+    """Additional regressors with calendar columns: (unique_id, ds, features...) for history and future weeks. A repeated calendar date or
+    key, and a panel row without regressors, are errors."""
     extra = [c for c in calendar.columns if c not in additional.columns]
+    gates.enforce(gates.unique_keys(calendar, ["ds"]), "calendar dates")
+    gates.enforce(gates.unique_keys(additional, ["unique_id", "ds"]), "regressor keys")
+    gates.enforce(gates.unmatched(panel, additional, ["unique_id", "ds"]), "panel rows without regressors")
     return additional.join(F.broadcast(calendar.select("ds", *extra)), "ds", "left").select("unique_id", "ds", *features)
 
 
+def progress(rows: DataFrame, spine: DataFrame) -> DataFrame:
+    """Fold rows with weeks_in_month and weeks_actualized of their origin and month. A row that the spine lacks is an error, as is an
+    origin and month that it has twice."""
+    keys = ["forecast_origin_date", "predicted_fiscal_year_month"]
+    gates.enforce(gates.unique_keys(spine, keys), "spine keys")
+    gates.enforce(gates.unmatched(rows.select(*keys).distinct(), spine, keys), "folds that the spine lacks")
+    return rows.join(F.broadcast(spine), keys)
+
+
 def additional_exogenous(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     """Holidays and yearly harmonics for each series and each calendar week from its first one on."""
     angle = 2 * F.pi() * F.dayofyear("ds") / 365.25

@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from panelmill.operators.panel import money, on_calendar
-from panelmill.session import written
+from panelmill.session import spent, written
 
 
-def history(panel: DataFrame, origins: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Every origin with all panel weeks up to it: (forecast_origin_date, origin_week, unique_id, ds, y, week_index)."""
-    weeks = on_calendar(panel, calendar).select("unique_id", "ds", "y", "week_index")
-    return weeks.join(F.broadcast(origins.select("forecast_origin_date", "origin_week")), F.col("week_index") <= F.col("origin_week"))
+def history(panel: DataFrame, origins: DataFrame, calendar: DataFrame, weeks: int | None = None) -> DataFrame:
+    """Every origin with the panel's weeks up to it, the last ``weeks`` if given: (forecast_origin_date, origin_week, unique_id, ds, y, week_index).
+
+    Pairs of origin and week come from the calendar alone and are joined by the week: no range join over the panel."""
+    ends = origins.select("forecast_origin_date", "origin_week")
+    within = F.col("week_index") <= F.col("origin_week")
+    pairs = ends.join(F.broadcast(calendar.select("ds", "week_index")), within & (F.col("week_index") > F.col("origin_week") - weeks) if weeks else within)
+    return panel.select("unique_id", "ds", "y").join(F.broadcast(pairs), "ds").select("unique_id", "ds", "y", "week_index", "forecast_origin_date", "origin_week")
 
 
 def future_weeks(panel: DataFrame, origins: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -30,8 +34,8 @@ def future_weeks(panel: DataFrame, origins: DataFrame, calendar: DataFrame) -> D
 
 
 def naive(history: DataFrame, future: DataFrame) -> DataFrame:
-    """The last value, for every week of the horizon."""
-    last = history.groupBy("forecast_origin_date", "unique_id").agg(F.max_by("y", "ds").alias("ypred"))
+    """The last value, for every week of the horizon: the panel has no gaps, so it is the origin's own week."""
+    last = history.where("week_index = origin_week").select("forecast_origin_date", "unique_id", F.col("y").alias("ypred"))
     return future.join(last, ["forecast_origin_date", "unique_id"]).select("forecast_origin_date", "unique_id", "ds", "ypred")
 
 
@@ -74,6 +78,7 @@ def recent_peak(train: pd.DataFrame, horizon: int) -> list[float]:
 FORECASTERS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "naive": naive,
     "recent_mean": lambda h, f: recent_mean(h, f, 7),
+    "recent_quarter": lambda h, f: recent_mean(h, f, 13),
     "seasonal_naive": lambda h, f: seasonal_naive(h, f, 52),
     "recent_peak": lambda h, f: per_series(h, f, recent_peak),
 }
@@ -84,9 +89,9 @@ FORECASTERS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 FEATURES = ["lag1", "lag52", "rolling_mean_lag1_window_size4", "has_lag52", "week_sin", "week_cos", "count_workdays", "fiscal_week_of_month", "weeks_in_month"]
 
 
-def _with_features(rows: DataFrame) -> DataFrame:
+def _with_features(rows: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Lag features, scaled by the series' level; a missing yearly lag is marked and stands in as the level (1)."""
-    w = Window.partitionBy("unique_id").orderBy("ds")
+    w = Window.partitionBy(*(key or ["unique_id"])).orderBy("ds")
     lag = lambda k: F.lag("scaled", k).over(w)
     mean4 = F.when(F.count(F.col("lag1")).over(w.rowsBetween(-3, 0)) == 4, F.avg("lag1").over(w.rowsBetween(-3, 0)))
     rows = rows.withColumn("lag1", lag(1)).withColumn("rolling_mean_lag1_window_size4", mean4).withColumn("raw52", lag(52))
@@ -95,33 +100,76 @@ def _with_features(rows: DataFrame) -> DataFrame:
 
 
 def levels(panel: DataFrame, weeks: int = 52) -> DataFrame:
-    """Each series' mean positive value over its last weeks, at least 1: targets are scaled by it, for trees on raw money barely move."""
+    """Each series' mean positive value over its last weeks, at least 1: targets are scaled by it, for trees on raw money barely move.
+    The panel must end where the model may look: levels are as of that end."""
     recent = panel.withColumn("k", F.row_number().over(Window.partitionBy("unique_id").orderBy(F.desc("ds")))).where(F.col("k") <= weeks)
     return recent.groupBy("unique_id").agg(F.greatest(F.coalesce(F.avg(F.when(F.col("y") > 0, F.col("y"))), F.lit(1.0)), F.lit(1.0)).alias("level"))
 
 
+def booster(rounds: int, depth: int = 3, seed: int = 7, label: str = "scaled") -> GBTRegressor:
+    """Boosted trees under absolute loss."""
+    return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=seed, lossType="absolute")
+
+
 def fit_boosted(panel: DataFrame, calendar: DataFrame, rounds: int = 10, depth: int = 3, seed: int = 7) -> Model:
-    """A global model of the scaled weekly value; one Spark ML fit over all series."""
+    """A global model of the scaled weekly value; one Spark ML fit over all series and weeks of ``panel``."""
     scaled = on_calendar(panel, calendar).join(levels(panel), "unique_id").withColumn("scaled", F.col("y") / F.col("level"))
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(_with_features(scaled))
-    return GBTRegressor(labelCol="scaled", maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=seed, lossType="squared").fit(rows)
+    return booster(rounds, depth, seed).fit(rows)
 
 
-def predict_boosted(model: Model, panel: DataFrame, calendar: DataFrame, horizon: int) -> DataFrame:
-    """Recursive forecasts: each step's forecast becomes the next step's lag. The loop has as many steps as the horizon has weeks
-    and each is written, so lineage doesn't grow."""
-    level = written(levels(panel), "levels")
-    end = panel.agg(F.max("ds")).first()[0]
-    known = written(panel.where(F.col("ds") > F.date_sub(F.lit(end), 7 * 60)).select("unique_id", "ds", "y"), "recursion")
+def prefix_prediction(model: Model, rows: DataFrame, grid: list[int]) -> DataFrame:
+    """``rows`` (which say their number of ``rounds``) with the prediction of the model's first so many trees: one fit serves the grid."""
+    for i, tree in enumerate(model.trees[: max(grid)]):
+        rows = tree.setPredictionCol(f"tree_{i}").transform(rows)
+    total: Column = F.lit(0.0)
+    made: Column = F.lit(None).cast("double")
+    for i, w in enumerate(model.treeWeights[: max(grid)]):
+        total = total + float(w) * F.col(f"tree_{i}")
+        if i + 1 in grid:
+            made = F.when(F.col("rounds") == i + 1, total).otherwise(made)
+    return rows.withColumn("prediction", made).drop(*[f"tree_{i}" for i in range(len(model.trees))])
+
+
+def predict_boosted(model: Model, panel: DataFrame, calendar: DataFrame, origins: DataFrame, grid: list[int] | None = None) -> DataFrame:
+    """Recursive forecasts from every origin, (rounds, forecast_origin_date, unique_id, ds, ypred): each step's forecast becomes the next
+    step's lag. ``origins`` has forecast_origin_date and horizon (weeks); ``grid`` gives numbers of rounds (all trees if None).
+
+    All origins and numbers of rounds take a step together; the loop has as many steps as the longest horizon has weeks, and each is
+    written, so lineage doesn't grow. Levels are as of each origin."""
+    grid = grid or [len(model.trees)]
+    each = F.explode(F.array(*map(F.lit, grid))).alias("rounds")
+    cases = origins.select("forecast_origin_date", "horizon", each)
+    window = Window.partitionBy("forecast_origin_date", "unique_id").orderBy(F.desc("ds"))
+    seen = panel.join(F.broadcast(origins.select("forecast_origin_date")), F.col("ds").between(F.date_sub("forecast_origin_date", 7 * 59), F.col("forecast_origin_date")))
+    recent = seen.withColumn("k", F.row_number().over(window)).where("k <= 52").groupBy("forecast_origin_date", "unique_id")
+    level = written(recent.agg(F.greatest(F.coalesce(F.avg(F.when(F.col("y") > 0, F.col("y"))), F.lit(1.0)), F.lit(1.0)).alias("level")), "levels")
+    known = written(seen.select("forecast_origin_date", "unique_id", "ds", "y").join(F.broadcast(cases), "forecast_origin_date"), "recursion")
+    key = ["rounds", "forecast_origin_date", "unique_id"]
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    for k in range(1, horizon + 1):
-        ds = F.date_add(F.lit(end), 7 * k)
-        rows = known.unionByName(level.select("unique_id", ds.alias("ds"), F.lit(None).cast("double").alias("y")))
-        rows = on_calendar(rows, calendar).join(level, "unique_id").withColumn("scaled", F.col("y") / F.col("level"))
-        made = model.transform(assemble.transform(_with_features(rows).where(F.col("ds") == ds)))
-        step = made.select("unique_id", "ds", F.greatest(F.col("prediction"), F.lit(0.0)).alias("p"), "level").select("unique_id", "ds", (F.col("p") * F.col("level")).alias("y"))
-        known = written(known.unionByName(step), "recursion")
-    return known.where(F.col("ds") > F.lit(end)).select("unique_id", "ds", F.col("y").alias("ypred"))
+    steps = origins.agg(F.max("horizon")).first()[0] or 0
+    for k in range(1, steps + 1):
+        ds = F.date_add("forecast_origin_date", 7 * k)
+        new = level.join(F.broadcast(cases.where(F.col("horizon") >= k)), "forecast_origin_date").select("forecast_origin_date", "unique_id", ds.alias("ds"), F.lit(None).cast("double").alias("y"), "horizon", "rounds")
+        rows = known.where(F.col("ds") > F.date_add("forecast_origin_date", 7 * (k - 58))).unionByName(new)
+        rows = on_calendar(rows, calendar).join(level, ["forecast_origin_date", "unique_id"]).withColumn("scaled", F.col("y") / F.col("level"))
+        made = assemble.transform(_with_features(rows, key).where(F.col("ds") == ds))
+        step = prefix_prediction(model, made, grid).select("forecast_origin_date", "unique_id", "ds", (F.greatest(F.col("prediction"), F.lit(0.0)) * F.col("level")).alias("y"), "horizon", "rounds")
+        before, known = known, written(known.unionByName(step), "recursion")
+        spent(before)
+    return known.where("ds > forecast_origin_date").select(*key, "ds", F.col("y").alias("ypred"))
+
+
+def boosted_from_origins(panel: DataFrame, calendar: DataFrame, origins: DataFrame, rounds: int = 10, refit_every: int = 8) -> DataFrame:
+    """Forecasts from all origins. Every ``refit_every`` of them share a model, fitted on what the first of them knows."""
+    dates = [r[0] for r in origins.select("forecast_origin_date").distinct().orderBy("forecast_origin_date").collect()]  # one row a week
+    out = None
+    for at in range(0, len(dates), refit_every):
+        group = dates[at : at + refit_every]
+        model = fit_boosted(panel.where(F.col("ds") <= F.lit(group[0])), calendar, rounds)
+        made = predict_boosted(model, panel, calendar, origins.where(F.col("forecast_origin_date").isin(group)))
+        out = made if out is None else out.unionByName(made)
+    return out.drop("rounds")
 
 
 def fitted(model: Model, panel: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -131,22 +179,15 @@ def fitted(model: Model, panel: DataFrame, calendar: DataFrame) -> DataFrame:
     return rows.select("unique_id", "ds", "y", (F.col("prediction") * F.col("level")).alias("fitted")).withColumn("residual", F.col("y") - F.col("fitted"))
 
 
-def rounds_curve(model: Model, rows: DataFrame, target: str, weight: str, keys: list[str], grid: list[int]) -> DataFrame:
-    """Weighted absolute error for each number of boosting rounds, from one fit: the first k trees are a prefix sum.
+def weighted_absolute_error(actual: Column, forecast: Column, weight: Column) -> Column:
+    """The scorer of a calibration: an aggregate over a fold's series; null where they have no weight."""
+    return F.try_divide(F.sum(weight * F.abs(forecast - actual)), F.nullif(F.sum(weight), F.lit(0.0)))
 
-    Each tree adds one column; the sums are formed in one plan and unpivoted.
-    """
-    for i, tree in enumerate(model.trees[: max(grid)]):
-        rows = tree.setPredictionCol(f"tree_{i}").transform(rows)
-    total: Column = F.lit(0.0)
-    at = {}
-    for i, w in enumerate(model.treeWeights[: max(grid)]):
-        total = total + float(w) * F.col(f"tree_{i}")
-        if i + 1 in grid:
-            at[i + 1] = total
-    errors = rows.select(*keys, F.col(weight).alias("w"), *[F.abs(p - F.col(target)).alias(str(k)) for k, p in at.items()])
-    long = errors.unpivot([*keys, "w"], [str(k) for k in at], "rounds", "error")
-    return long.groupBy(*keys, F.col("rounds").cast("int").alias("rounds")).agg((F.sum(F.col("w") * F.col("error")) / F.sum("w")).alias("score"))
+
+def rounds_curve(months: DataFrame, score: Callable[[Column, Column, Column], Column] = weighted_absolute_error) -> DataFrame:
+    """(forecast_origin_date, horizon, rounds, score) of held-out months: monthly forecasts, totals and weights of each number of rounds."""
+    got = score(F.col("actual_monthly_total"), F.col("monthly_forecast"), F.col("series_weight"))
+    return months.groupBy("forecast_origin_date", "horizon", "rounds").agg(got.alias("score"))
 
 
 def parsimonious(curve: DataFrame, keys: list[str], window: int = 3, epsilon: float = 0.01) -> DataFrame:

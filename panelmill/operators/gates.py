@@ -61,9 +61,29 @@ def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return both.where("_a IS NULL OR _b IS NULL").select(*keys, F.when(F.col("_a").isNull(), "right_only").otherwise("left_only").alias("side"))
 
 
+def lineage_facts(df: DataFrame, column: str = "feature_run_id") -> DataFrame:
+    """One row: how many values and nulls a lineage column has, and the greatest value."""
+    return df.agg(F.countDistinct(column).alias("ids"), F.count_if(F.col(column).isNull()).alias("nulls"), F.max(column).alias("id"))
+
+
+def other_runs(tables: dict[str, DataFrame], run_id: str) -> DataFrame:
+    """(table_name, n_rows, n_other_run): rows of each table that another run, or none, has stamped."""
+    out = None
+    for name, df in tables.items():
+        row = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.count_if(~F.col("run_id").eqNullSafe(F.lit(run_id))).alias("n_other_run"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def disjoint(calibration: DataFrame, starts: DataFrame) -> DataFrame:
+    """One row (last_calibration_month, first_start_month, disjoint): every month that calibration predicts lies before the backtest's."""
+    rows = calibration.agg(F.max("target_month").alias("last_calibration_month")).crossJoin(starts.agg(F.min("start_month").alias("first_start_month")))
+    return rows.withColumn("disjoint", F.coalesce(F.col("last_calibration_month") < F.col("first_start_month"), F.lit(False)))
+
+
 def single_lineage(df: DataFrame, column: str = "feature_run_id", expected: str | None = None) -> DataFrame:
     """A violation row unless the column has exactly one value, no null, and the expected one."""
-    rows = df.agg(F.countDistinct(column).alias("ids"), F.count_if(F.col(column).isNull()).alias("nulls"), F.max(column).alias("id"))
+    rows = lineage_facts(df, column)
     bad = (F.col("ids") != 1) | (F.col("nulls") > 0)
     return rows.where(bad | (F.col("id") != expected) if expected else bad)
 
@@ -91,15 +111,22 @@ def lag_alignment(features: DataFrame, panel: DataFrame, k: int) -> DataFrame:
 
 
 def mtd_increments(table: DataFrame, panel: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Origins whose month-to-date doesn't start at 0 or doesn't grow by the week's actual."""
+    """Origins with whether month-to-date starts at 0 and grows by the week's actual; an origin whose week before is absent isn't ok."""
     w = Window.partitionBy("unique_id", "target_month").orderBy("weeks_actualized")
     weeks = fiscal_position(panel, calendar).select("unique_id", F.col("fiscal_year_month").alias("target_month"), F.col("fiscal_week_of_month").alias("weeks_actualized"), "y")
     rows = table.select("unique_id", "target_month", "weeks_actualized", "mtd_revenue").withColumn("grown", F.col("mtd_revenue") - F.lag("mtd_revenue").over(w))
     joined = rows.join(weeks, ["unique_id", "target_month", "weeks_actualized"], "left")
-    ok = F.when(F.col("weeks_actualized") == 0, F.col("mtd_revenue") == 0).otherwise(F.col("grown").isNull() | close(F.col("grown"), F.col("y")))
+    ok = F.when(F.col("weeks_actualized") == 0, F.col("mtd_revenue") == 0).otherwise(close(F.col("grown"), F.col("y")))
     return joined.select("unique_id", "target_month", "weeks_actualized", "mtd_revenue", "grown", "y", F.coalesce(ok, F.lit(False)).alias("ok"))
 
 
+def week_zero_coverage(table: DataFrame, totals: DataFrame) -> DataFrame:
+    """(unique_id, target_month, side): active pairs of the table's months without a week-0 origin, and week-0 origins of no active pair."""
+    keys = ["unique_id", "target_month"]
+    active = totals.select("unique_id", F.col("fiscal_year_month").alias("target_month")).join(table.select("target_month").distinct(), "target_month", "left_semi")
+    return same_keys(active.distinct(), table.where("weeks_actualized = 0").select(*keys).distinct(), keys)
+
+
 def total_reconciliation(table: DataFrame, panel: DataFrame, calendar: DataFrame) -> DataFrame:
     """Month total against month-to-date at the last origin plus the final week."""
     last = fiscal_position(panel, calendar).select("unique_id", F.col("fiscal_year_month").alias("target_month"), F.col("fiscal_week_of_month").alias("weeks_in_month"), F.col("y").alias("final_week"))
@@ -117,7 +144,8 @@ def remaining_identity(table: DataFrame, panel: DataFrame, calendar: DataFrame)
 
 
 def join_integrity(model: DataFrame, table: DataFrame, features: DataFrame) -> DataFrame:
-    """(gate, checked, violations, ok): unique feature keys, every origin matched, no rows lost or made."""
+    """(gate, checked, violations): unique feature keys, every origin matched, no rows lost or made, the same key types. ``checked`` counts
+    the rows that a gate had to look at: a gate that checked none is a violation."""
     keys = ["unique_id", "ds"]
     spark = model.sparkSession
     dup = unique_keys(features, keys).agg(F.count("*").alias("violations")).select(F.lit("unique_feature_keys").alias("gate"), "violations")
@@ -125,7 +153,13 @@ def join_integrity(model: DataFrame, table: DataFrame, features: DataFrame) -> D
     rows = model.agg(F.count("*").alias("a")).crossJoin(table.agg(F.count("*").alias("b"))).select(F.lit("row_count").alias("gate"), F.abs(F.col("a") - F.col("b")).alias("violations"))
     kinds = {c: dict(features.dtypes)[c] for c in keys}
     types = spark.createDataFrame([("key_types", int(kinds["unique_id"] != dict(table.dtypes)["unique_id"]))], "gate string, violations long")
-    return dup.union(lost).union(rows).union(types)
+    sizes = {"unique_feature_keys": features, "origins_without_features": table, "row_count": table, "key_types": features}
+    checked = None
+    for gate, df in sizes.items():
+        row = df.agg(F.lit(gate).alias("gate"), F.count("*").alias("checked"))
+        checked = row if checked is None else checked.unionByName(row)
+    found = checked.join(dup.union(lost).union(rows).union(types), "gate")
+    return found.select("gate", "checked", F.when(F.col("checked") == 0, F.lit(1)).otherwise(F.col("violations")).cast("long").alias("violations"))
 
 
 def shared_cutoff(model: DataFrame, panel: DataFrame, lags: list[int]) -> DataFrame:
@@ -138,6 +172,12 @@ def shared_cutoff(model: DataFrame, panel: DataFrame, lags: list[int]) -> DataFr
     return out
 
 
+def feature_partition(df: DataFrame, keys: list[str], parts: dict[str, list[str]]) -> list[str]:
+    """Features of ``df`` that aren't in exactly one part, and names in parts that ``df`` lacks: a leakage check is only as whole as this."""
+    named = [c for part in parts.values() for c in part]
+    return sorted({c for c in df.columns if c not in keys and named.count(c) != 1} | (set(named) - set(df.columns)) | {c for c in named if named.count(c) > 1})
+
+
 def leakage(panel: DataFrame, rebuild: Callable[[DataFrame], DataFrame], keys: list[str], features: list[str], at: str, cutoff, seed: int = 0) -> DataFrame:
     """Features up to the cutoff that change when everything after it is scrambled. (feature, changed_before, changed_after):
     changed_after is the positive control and should not be 0 for features that follow y."""
@@ -164,6 +204,15 @@ def fold_population(rows: DataFrame, labels: tuple[str, ...]) -> DataFrame:
     )
 
 
+def expected_counts(spine: DataFrame, totals: DataFrame, months: DataFrame) -> DataFrame:
+    """One row: how many target months, origins, series and events a result over ``months`` (target_month) must have, from its inputs alone."""
+    at = spine.join(F.broadcast(months), "target_month", "left_semi").select("target_month", "forecast_origin_date").distinct()
+    active = totals.select("unique_id", F.col("fiscal_year_month").alias("target_month")).join(F.broadcast(months), "target_month", "left_semi").distinct()
+    events = at.join(active, "target_month")
+    of = lambda df, c, name: df.agg(F.countDistinct(c).alias(name))
+    return of(months, "target_month", "target_months").crossJoin(of(at, "forecast_origin_date", "origins")).crossJoin(of(active, "unique_id", "series")).crossJoin(events.agg(F.count("*").alias("events")))
+
+
 def parity(a: DataFrame, b: DataFrame, keys: list[str], exact: list[str], numeric: list[str], rtol: float = 1e-9) -> DataFrame:
     """Keys that only one side has, or whose exact or numeric columns differ."""
     left, right = a.select(*keys, F.struct(*exact, *numeric).alias("a")), b.select(*keys, F.struct(*exact, *numeric).alias("b"))
@@ -183,16 +232,33 @@ def reconstruction(series: DataFrame, components: DataFrame, keys: list[str]) ->
     return series.select(*keys, "monthly_forecast").join(c, keys, "full_outer").where(~F.col("monthly_forecast").eqNullSafe(F.col("rebuilt")))
 
 
-def base_frame_checks(base: DataFrame) -> DataFrame:
-    """One row of counts that should all be 0 but the first."""
-    return base.agg(
+def base_frame_checks(base: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row of counts that should all be 0 but the first: repeated keys, one-sided rows, columns that the sides disagree on, null
+    inputs, and origins that the calendar lacks."""
+    keys = ["forecast_origin_date", "predicted_fiscal_year_month", "unique_id"]
+    known = calendar.select(F.col("ds").alias("forecast_origin_date"), F.lit(True).alias("in_calendar"))
+    rows = base.join(F.broadcast(known), "forecast_origin_date", "left").join(unique_keys(base, keys).select(*keys, F.lit(True).alias("repeated")), keys, "left")
+    unlike = lambda c: F.count_if(F.array_contains("differs", c))
+    return rows.agg(
         F.count("*").alias("n_rows"),
-        F.count_if(F.col("_merge") != "both").alias("n_one_sided"),
-        F.count_if(F.col("w").isNull() | F.col("a").isNull() | F.col("fc").isNull() | F.col("fb").isNull()).alias("n_null_inputs"),
-        F.count_if(F.col("tier").isNull()).alias("n_null_tiers"),
+        F.count_if(F.col("repeated")).alias("n_repeated"),
+        F.count_if(F.col("_merge") == "left_only").alias("n_left_only"),
+        F.count_if(F.col("_merge") == "right_only").alias("n_right_only"),
+        unlike("tier").alias("n_other_tier"),
+        unlike("series_weight").alias("n_other_weight"),
+        unlike("actual_monthly_total").alias("n_other_actual"),
+        F.count_if((F.col("_merge") == "both") & (F.col("w").isNull() | F.col("a").isNull() | F.col("fc").isNull() | F.col("fb").isNull() | F.col("tier").isNull())).alias("n_null_inputs"),
+        F.count_if(F.col("in_calendar").isNull()).alias("n_not_in_calendar"),
     )
 
 
+def schema_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(column, a, b): columns that one side lacks or whose types differ."""
+    x, y = dict(a.dtypes), dict(b.dtypes)
+    rows = [(c, x.get(c), y.get(c)) for c in sorted({*x, *y}) if x.get(c) != y.get(c)]
+    return a.sparkSession.createDataFrame(rows, "column string, a string, b string")
+
+
 def calendars_agree(a: DataFrame, b: DataFrame, origins: DataFrame, columns: list[str]) -> DataFrame:
     """Origins where two calendars differ, or that one of them lacks."""
     o = origins.select(F.col("forecast_origin_date").alias("ds")).distinct()

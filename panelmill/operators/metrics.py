@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelmill.operators.monitor import tiers_held
+
 FOLD = ["forecast_origin_date", "predicted_fiscal_year_month"]
 KEYS = [*FOLD, "unique_id"]
 NEAR_ZERO = 1e-12
@@ -18,12 +20,19 @@ def ratio(n: Column, d: Column) -> Column:
     return F.when(d > NEAR_ZERO, n / d)
 
 
+AGREED = {"tier": "tier", "series_weight": "w", "actual_monthly_total": "a"}
+
+
 def base_frame(challenger: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Challenger and benchmark side by side, with ``_merge`` saying which side has the key; fc, fb: forecasts, a: actual, w: weight."""
+    """Challenger and benchmark side by side, with ``_merge`` saying which side has the key; fc, fb: forecasts, a: actual, w: weight.
+
+    ``differs`` lists the columns (tier, weight, actual) that both sides compute and that disagree; two nulls agree."""
     c = challenger.select(*KEYS, "horizon", "tier", "tier_rank", F.col("series_weight").alias("w"), F.col("actual_monthly_total").alias("a"), F.col("monthly_forecast").alias("fc"), "origin_month_fraction_elapsed", F.lit(True).alias("in_c"))
-    b = benchmark.select(*KEYS, F.col("monthly_forecast").alias("fb"), F.lit(True).alias("in_b"))
+    b = benchmark.select(*KEYS, F.col("monthly_forecast").alias("fb"), F.struct(*AGREED).alias("other"), F.lit(True).alias("in_b"))
     side = F.when(F.col("in_c").isNull(), "right_only").when(F.col("in_b").isNull(), "left_only").otherwise("both")
-    return c.join(b, KEYS, "full_outer").withColumn("_merge", side).drop("in_c", "in_b")
+    both = c.join(b, KEYS, "full_outer").withColumn("_merge", side)
+    unlike = [F.when((F.col("_merge") == "both") & ~F.col(mine).eqNullSafe(F.col(f"other.{name}")), F.lit(name)) for name, mine in AGREED.items()]
+    return both.withColumn("differs", F.array_compact(F.array(*unlike))).drop("in_c", "in_b", "other")
 
 
 def sums() -> dict[str, Column]:
@@ -49,10 +58,6 @@ def sums() -> dict[str, Column]:
     }
 
 
-#: Metric of a fold from its sums.
-METRICS: dict[str, Column] = {}
-
-
 def metric_columns() -> dict[str, Column]:
     r = lambda n, d: ratio(F.col(n), F.col(d))
     return {
@@ -130,6 +135,35 @@ def shares(base: DataFrame, by: list[str] | None = None) -> DataFrame:
     return all_series.join(made, [*by, "unique_id"], "left").select(*by, "unique_id", *[F.coalesce(F.col(c) / F.col("folds"), F.lit(0.0)).alias(c) for c in "xy"])
 
 
+def horizon_shares(base: DataFrame) -> DataFrame:
+    """The shares of each horizon with their net effect y - x, the tier at the series' last origin, and a label of its other tiers."""
+    held = tiers_held(base, ["horizon"]).select("horizon", "unique_id", F.col("last_tier").alias("tier"), F.col("held").alias("label"))
+    return shares(base, ["horizon"]).withColumn("net", F.col("y") - F.col("x")).join(held, ["horizon", "unique_id"], "left")
+
+
+GRAINS = {"summary": [], "period": ["predicted_fiscal_year_month"], "fold": FOLD}
+
+
+def against_benchmark(series: DataFrame, benchmark: str) -> DataFrame:
+    """Every model of ``series`` (the benchmark too) beside the benchmark's forecasts: the rows of a leaderboard."""
+    b = series.where(F.col("model") == benchmark).select(*KEYS, F.col("monthly_forecast").alias("fb"))
+    rows = series.select("model", *KEYS, "horizon", "tier", "tier_rank", F.col("series_weight").alias("w"), F.col("actual_monthly_total").alias("a"), F.col("monthly_forecast").alias("fc"))
+    return rows.join(b, KEYS)
+
+
+def leaderboard(series: DataFrame, benchmark: str) -> DataFrame:
+    """(grain, model, horizon, tier, period, origin, metric, value, n_folds) of all models, for each tier and ``global``: the fold scores
+    and their means over the folds of each period and of all."""
+    scores = fold_scores(against_benchmark(series, benchmark))
+    out = None
+    for grain, keys in GRAINS.items():
+        made = scores.groupBy("model", "horizon", "tier", "metric", *keys).agg(F.avg("value").alias("value"), F.count("value").alias("n_folds"))
+        at = lambda c, kind: (F.col(c) if c in keys else F.lit(None)).cast(kind)  # noqa: B023, E731
+        row = made.select(F.lit(grain).alias("grain"), "model", "horizon", "tier", at("predicted_fiscal_year_month", "int").alias("period"), at("forecast_origin_date", "date").alias("origin"), "metric", "value", "n_folds")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def by_progress(base: DataFrame, spine: DataFrame) -> DataFrame:
     """Pooled WRMAE by how much of the month was known: (weeks_in_month, weeks_actualized)."""
     at = spine.select("forecast_origin_date", F.col("target_month").alias("predicted_fiscal_year_month"), "weeks_in_month", "weeks_actualized")

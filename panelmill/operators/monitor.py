@@ -27,10 +27,11 @@ def fold_members(comparison: DataFrame) -> DataFrame:
 
 
 def global_monthly(monthly: DataFrame, members: DataFrame) -> DataFrame:
-    """The members' complete months summed; gapped if a member's month is."""
+    """The members' complete months summed; gapped if a member's month is, incomplete if no member has it whole."""
     rows = monthly.join(members.select("unique_id").distinct(), "unique_id", "left_semi")
-    gapped = F.max((F.col("status") == "gapped").cast("int")) == 1
-    return rows.groupBy("fiscal_year_month").agg(F.when(gapped, "gapped").otherwise("complete").alias("status"), F.when(~gapped, _money("total")).alias("total"))
+    has = lambda s: F.max((F.col("status") == s).cast("int")) == 1
+    made = rows.groupBy("fiscal_year_month").agg(F.when(has("gapped"), "gapped").when(has("complete"), "complete").otherwise("incomplete").alias("status"), _money("total").alias("total"))
+    return made.select("fiscal_year_month", "status", F.when(F.col("status") == "complete", F.col("total")).alias("total"))
 
 
 def forecast_points(comparison: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -59,13 +60,13 @@ def month_changes(forecast: DataFrame) -> DataFrame:
     return rows.where("month_before <> predicted_fiscal_year_month").select("model", "forecast_origin_date", "before", "ds", F.date_add("before", F.floor(F.datediff("ds", "before") / 2).cast("int")).alias("midpoint"))
 
 
-def facet(weekly: DataFrame, monthly: DataFrame, grain: str, unique_id: int | None = None, members: DataFrame | None = None) -> DataFrame:
-    """(period, y) of one series, or of all members if ``unique_id`` is None, by week or month."""
-    if grain == "week":
-        rows = weekly_sum(weekly, members) if unique_id is None else weekly.where(F.col("unique_id") == unique_id).select("ds", "y")
-        return rows.select(F.date_format("ds", "yyyy-MM-dd").alias("period"), "y")
-    rows = global_monthly(monthly, members) if unique_id is None else monthly.where(F.col("unique_id") == unique_id)
-    return rows.select(F.col("fiscal_year_month").cast("string").alias("period"), F.col("total").alias("y"))
+def facets(weekly: DataFrame, monthly: DataFrame, members: DataFrame) -> DataFrame:
+    """(facet, grain, period, y): every series by week and month, and ``global``, the sum of the members."""
+    name, week, month = F.col("unique_id").cast("string"), F.date_format("ds", "yyyy-MM-dd"), F.col("fiscal_year_month").cast("string")
+    row = lambda facet, grain, period, y: [facet.alias("facet"), F.lit(grain).alias("grain"), period.alias("period"), F.col(y).alias("y")]
+    out = weekly.select(*row(name, "week", week, "y")).unionByName(monthly.select(*row(name, "month", month, "total")))
+    out = out.unionByName(weekly_sum(weekly, members).select(*row(F.lit("global"), "week", week, "y")))
+    return out.unionByName(global_monthly(monthly, members).select(*row(F.lit("global"), "month", month, "total")))
 
 
 def scorecard(summary: DataFrame, metric: str, horizons: list[str]) -> DataFrame:
@@ -93,11 +94,12 @@ def fold_coverage(scores: DataFrame) -> DataFrame:
     return scores.groupBy("horizon").agg(F.countDistinct(*FOLD).alias("n_folds"), F.countDistinct("forecast_origin_date").alias("n_origins"))
 
 
-def tiers_held(ms: DataFrame) -> DataFrame:
-    """The tier a series has at its last origin and in how many folds it had each, as a sentence."""
-    counted = ms.groupBy("unique_id", "tier", "tier_rank").agg(F.count("*").alias("n"))
-    last = ms.groupBy("unique_id").agg(F.max_by("tier", "forecast_origin_date").alias("last_tier"), F.count("*").alias("folds"))
-    listed = counted.groupBy("unique_id").agg(F.array_sort(F.collect_list(F.struct("tier_rank", "tier", "n"))).alias("t"))
-    rows = last.join(listed, "unique_id")
-    others = F.expr("concat_ws(', ', transform(filter(t, x -> x.tier <> last_tier), x -> concat(x.tier, ' in ', x.n, ' of ', folds, ' folds')))")
-    return rows.select("unique_id", "last_tier", F.when(others == "", F.col("last_tier")).otherwise(F.concat(F.col("last_tier"), F.lit(" at last origin ("), others, F.lit(")"))).alias("held"))
+def tiers_held(ms: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """For each series (and ``by``): the tier at its last origin of all, and in how many folds it had which others, as a sentence."""
+    by = by or []
+    last = ms.groupBy("unique_id").agg(F.max_by("tier", F.struct("forecast_origin_date", "predicted_fiscal_year_month")).alias("last_tier"))
+    counted = ms.groupBy(*by, "unique_id", "tier", "tier_rank").agg(F.count("*").alias("n"))
+    listed = counted.groupBy(*by, "unique_id").agg(F.array_sort(F.collect_list(F.struct("tier_rank", "tier", "n"))).alias("t"), F.sum("n").alias("folds"))
+    others = F.expr("concat_ws('; ', transform(filter(t, x -> x.tier <> last_tier), x -> concat(x.tier, ' in ', x.n, ' of ', folds, ' folds')))")
+    held = F.when(others == "", F.col("last_tier")).otherwise(F.concat(F.col("last_tier"), F.lit(" at last origin ("), others, F.lit(")")))
+    return listed.join(last, "unique_id").select(*by, "unique_id", "last_tier", held.alias("held"))

@@ -90,3 +90,19 @@ def future_weeks(calendar: DataFrame, after: DataFrame, n: int) -> DataFrame:
     """The first ``n`` calendar rows after the date of a one-row table (last_ds)."""
     rows = calendar.select("ds", "week_index").crossJoin(F.broadcast(after))
     return rows.where("ds > last_ds").withColumn("step", F.row_number().over(Window.orderBy("ds"))).where(F.col("step") <= n).select("ds", "step")
+
+
+def fixed_step_folds(days: DataFrame, horizon: int, step: int, windows: int, test_days: int) -> DataFrame:
+    """(part, fold, train_end, validation_end, n_train, n_validation): rolling-origin folds of ``horizon`` days, ``step`` apart, fold 0 the
+    latest, before a hold-out test set of the last ``test_days`` days, which is the fold -1. ``days`` (day) are the observations."""
+    last = days.agg(F.max("day").alias("m"))
+    fold = last.select("m", F.lit("validation").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(windows - 1))).alias("fold"))
+    back = F.lit(test_days) + F.lit(step) * F.col("fold")
+    folds = fold.select("part", "fold", F.date_sub("m", (back + horizon).cast("int")).alias("train_end"), F.date_sub("m", back.cast("int")).alias("validation_end"))
+    folds = folds.unionByName(last.select(F.lit("test").alias("part"), F.lit(-1).alias("fold"), F.date_sub("m", test_days).alias("train_end"), F.col("m").alias("validation_end")))
+    counted = days.groupBy("day").agg(F.count("*").alias("n"))
+    # one row a day meets one row a fold
+    rows = counted.join(F.broadcast(folds), F.col("day") <= F.col("validation_end"))
+    keys = ["part", "fold", "train_end", "validation_end"]
+    sums = [F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) for c in (F.col("day") <= F.col("train_end"), F.col("day") > F.col("train_end"))]
+    return rows.groupBy(*keys).agg(sums[0].alias("n_train"), sums[1].alias("n_validation"))

@@ -21,18 +21,18 @@ def weekly_sums(facts: DataFrame) -> DataFrame:
     return facts.groupBy("unique_id", week_start(F.col("day")).alias("ds")).agg(F.sum("amount").cast("double").alias("y"))
 
 
-def weekly_panel(facts: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Weekly sums with a row for every calendar week from each series' first week to the panel's last."""
+def weekly_panel(facts: DataFrame) -> DataFrame:
+    """Weekly sums with a row for every week from each series' first one to the panel's last; every fact is in one of them."""
     sums = weekly_sums(facts)
-    spans = sums.groupBy("unique_id").agg(F.min("ds").alias("first_ds"), F.max("ds").alias("own_last"))
+    spans = sums.groupBy("unique_id").agg(F.min("ds").alias("first_ds"))
     last = sums.agg(F.max("ds").alias("last_ds"))
-    weeks = calendar.select("ds")
     grid = spans.crossJoin(F.broadcast(last)).select("unique_id", F.explode(F.sequence("first_ds", "last_ds", F.expr("interval 7 days"))).alias("ds"))
-    return grid.join(F.broadcast(weeks), "ds").join(sums, ["unique_id", "ds"], "left").select("unique_id", "ds", F.coalesce("y", F.lit(0.0)).alias("y"))
+    return grid.join(sums, ["unique_id", "ds"], "left").select("unique_id", "ds", F.coalesce("y", F.lit(0.0)).alias("y"))
 
 
 def on_calendar(panel: DataFrame, calendar: DataFrame) -> DataFrame:
-    """The panel with its calendar columns; the calendar has one row for each week, so no row is lost or doubled."""
+    """The panel with its calendar columns. Weeks that the calendar lacks go, and a week it has twice doubles: gates.uncovered_weeks and
+    gates.unique_keys find such calendars, and the study enforces both."""
     return panel.join(F.broadcast(calendar), "ds")
 
 

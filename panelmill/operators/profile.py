@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from panelmill.operators.panel import MONEY, on_calendar
+from panelmill.session import written
 
 
 def _sum(c: Column) -> Column:
@@ -99,25 +99,64 @@ def dispersion_ratios(shares: DataFrame, by: list[str], exact: bool = True) -> D
     return first.join(mad, by).select(*by, "n", over(at("r", 3) - at("r", 1), at("f", 3) - at("f", 1)).alias("iqr_ratio"), over(F.col("rm"), F.col("fm")).alias("mad_ratio"), over(at("r", 4) - at("r", 0), at("f", 4) - at("f", 0)).alias("p90_p10_ratio"))
 
 
+def _in_order(rows: DataFrame, *order: Column) -> DataFrame:
+    """The rows dealt out by ranges of ``order``, with their part: what ranks before a part is the sum over the parts before it. Written,
+    so that a row keeps its part."""
+    return written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "in-order")
+
+
+def _with_before(parts: DataFrame, **sums: Column) -> DataFrame:
+    """Each row with the sums over all earlier parts (0 for the first): one row a part goes through a window of its own."""
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    each = parts.groupBy("_part").agg(*[c.alias(name) for name, c in sums.items()])
+    before = each.select("_part", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in sums])
+    return parts.join(F.broadcast(before), "_part")
+
+
 def ranks(totals: DataFrame, measures: list[str]) -> DataFrame:
-    """The rank of each series by each measure, 1 for the largest; ties share the better rank."""
-    return totals.select("unique_id", *[F.rank().over(Window.orderBy(F.desc(m))).alias(f"rank_{m}") for m in measures])
+    """The rank of each series by each measure, 1 for the largest; ties share the better rank. No task sees all series."""
+    out = None
+    for m in measures:
+        parts = _with_before(_in_order(totals.select("unique_id", m), F.desc(m)), before=F.count("*"))
+        made = parts.select("unique_id", (F.col("before") + F.rank().over(Window.partitionBy("_part").orderBy(F.desc(m)))).cast("int").alias(f"rank_{m}"))
+        out = made if out is None else out.join(made, "unique_id")
+    return out
 
 
 def first_rank_buckets(totals: DataFrame, measure: str, n: int = 5) -> DataFrame:
     """Quantile bins of first ranks (ties by id): bin edges at linear quantiles of 1..N, which NTILE doesn't give."""
-    k = F.row_number().over(Window.orderBy(measure, "unique_id"))
-    total = F.count("*").over(Window.partitionBy())
-    bucket = F.greatest(F.lit(1), F.ceil(F.try_divide(n * (k - 1), total - 1))).cast("int")
-    return totals.select("unique_id", measure, F.coalesce(bucket, F.lit(1)).alias("bucket"))
+    order = [F.asc(measure), F.asc("unique_id")]
+    parts = _with_before(_in_order(totals.select("unique_id", measure), *order), before=F.count("*"))
+    k = F.col("before") + F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    rows = parts.withColumn("k", k).crossJoin(F.broadcast(totals.agg(F.count("*").alias("all_series"))))
+    bucket = F.greatest(F.lit(1), F.ceil(F.try_divide(n * (F.col("k") - 1), F.col("all_series") - 1))).cast("int")
+    return rows.select("unique_id", measure, F.coalesce(bucket, F.lit(1)).alias("bucket"))
 
 
 def concentration(totals: DataFrame, measure: str) -> DataFrame:
     """Cumulative share of the total by descending rank."""
-    down = Window.orderBy(F.desc(measure), "unique_id")
-    run = down.rowsBetween(Window.unboundedPreceding, 0)
+    order = [F.desc(measure), F.asc("unique_id")]
     m = F.col(measure).cast(MONEY)
-    return totals.select("unique_id", F.row_number().over(down).alias("position"), (F.sum(m).over(run).cast("double") / F.sum(m).over(Window.partitionBy()).cast("double")).alias("cumulative_share"))
+    parts = _with_before(_in_order(totals.select("unique_id", measure), *order), before=F.count("*"), summed=F.sum(m))
+    w = Window.partitionBy("_part").orderBy(*order)
+    run = F.col("summed") + F.sum(m).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = parts.select("unique_id", (F.col("before") + F.row_number().over(w)).cast("int").alias("position"), run.cast("double").alias("run"))
+    whole = totals.agg(F.sum(m).cast("double").alias("whole"))
+    return rows.crossJoin(F.broadcast(whole)).select("unique_id", "position", (F.col("run") / F.col("whole")).alias("cumulative_share"))
+
+
+def null_counts(df: DataFrame) -> DataFrame:
+    """(column_name, nulls, n) of every column."""
+    row = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+    return row.unpivot(["n"], df.columns, "column_name", "nulls").select("column_name", "nulls", "n")
+
+
+def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+    """(column_name, n, mean, std, least, q25, q50, q75, most) of numeric columns."""
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "v").where("v IS NOT NULL")
+    q = quantiles("v", [0.25, 0.5, 0.75], exact)
+    made = rows.groupBy("column_name").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("least"), q.alias("q"), F.max("v").alias("most"))
+    return made.select("column_name", "n", "mean", "std", "least", *[F.get("q", F.lit(k)).alias(name) for k, name in enumerate(("q25", "q50", "q75"))], "most")
 
 
 def autocorrelation(panel: DataFrame, lags: int) -> DataFrame:
@@ -131,22 +170,22 @@ def autocorrelation(panel: DataFrame, lags: int) -> DataFrame:
     return made.join(zero, "unique_id").select("unique_id", "lag", F.when(F.col("c0") != 0, F.col("c") / F.col("c0")).alias("acf"))
 
 
+#: The Durbin-Levinson recursion over an array r of autocorrelations (lag 0 first): phi holds the coefficients of the order before.
+_LEVINSON = """
+aggregate(sequence(1, size(r) - 1), named_struct('phi', cast(array() as array<double>), 'out', array(1D)), (s, k) ->
+  transform(array(
+    (element_at(r, k + 1) - aggregate(zip_with(s.phi, reverse(slice(r, 2, k - 1)), (p, x) -> p * x), 0D, (a, x) -> a + x))
+  ), num -> transform(array(1 - aggregate(zip_with(s.phi, slice(r, 2, k - 1), (p, x) -> p * x), 0D, (a, x) -> a + x)), den -> transform(array(if(abs(den) > 1e-12, num / den, 0D)), last ->
+    named_struct('phi', concat(zip_with(s.phi, reverse(s.phi), (p, x) -> p - last * x), array(last)), 'out', concat(s.out, array(last))))[0])[0])[0]
+, s -> s.out)"""
+
+
 def partial_autocorrelation(acf: DataFrame) -> DataFrame:
-    """Partial autocorrelation by the Durbin-Levinson recursion over each series' short list of autocorrelations."""
-
-    def levinson(r: list[float]) -> list[float]:
-        out, phi = [1.0], []
-        for k in range(1, len(r)):
-            num = r[k] - sum(p * r[k - 1 - j] for j, p in enumerate(phi))
-            den = 1 - sum(p * r[j + 1] for j, p in enumerate(phi))
-            last = num / den if abs(den) > 1e-12 else 0.0
-            phi = [p - last * phi[len(phi) - 1 - j] for j, p in enumerate(phi)] + [last]
-            out.append(last)
-        return out
-
-    solve = F.udf(lambda rows: levinson([x["acf"] for x in rows]) if rows and all(x["acf"] is not None for x in rows) else [], T.ArrayType(T.DoubleType()))
-    lists = acf.groupBy("unique_id").agg(F.array_sort(F.collect_list(F.struct("lag", "acf"))).alias("r"))
-    return lists.select("unique_id", F.posexplode(solve("r")).alias("lag", "pacf"))
+    """Partial autocorrelation by the Durbin-Levinson recursion over each series' short list of autocorrelations; none where one is
+    undefined. An expression over the array: no Python runs."""
+    lists = acf.groupBy("unique_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("r"), F.count("acf").alias("defined"))
+    lists = lists.where((F.col("defined") == F.size("r")) & (F.size("r") > 1))
+    return lists.select("unique_id", F.posexplode(F.expr(_LEVINSON)).alias("lag", "pacf"))
 
 
 def box_cox(y: Column, lam: Column) -> Column:

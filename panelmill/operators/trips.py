@@ -34,33 +34,45 @@ def valid_fares(trips: DataFrame) -> DataFrame:
 
 
 def trip_id() -> Column:
-    """MD5 over vendor, pickup time, zones and total; null if one of them is, so such trips aren't counted."""
-    parts = [F.col("vendor_id").cast("string"), F.date_format("pickup_ts", "yyyy-MM-dd HH:mm:ss"), F.col("pu_zone").cast("string"), F.col("do_zone").cast("string"), F.col("line").cast("string"), F.col("order_id").cast("string")]
+    """MD5 over vendor, pickup time with its offset (times are UTC), zones and source file; null if one of them is."""
+    parts = [F.col("vendor_id").cast("string"), F.concat(F.date_format("pickup_ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00")), F.col("pu_zone").cast("string"), F.col("do_zone").cast("string"), F.col("sourcefile_name")]
     return F.md5(F.concat(*[x for p in parts for x in (p, F.lit("|"))][:-1]))
 
 
+def local(ts: Column, tz: str) -> Column:
+    """A UTC time without zone as a local one, whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts)
+
+
+def with_trip_columns(trips: DataFrame, tz: str = "America/New_York") -> DataFrame:
+    """The columns that a curated trip has besides its own: an id, local dates, and hours of pickup and dropoff.
+
+    An hour is that hour's start as UTC time, cut at local hours."""
+    hour = lambda c: F.convert_timezone(F.lit(tz), F.lit("UTC"), F.date_trunc("hour", local(F.col(c), tz)).cast("timestamp_ntz"))
+    return trips.withColumns(
+        {
+            "trip_id": trip_id(),
+            "pickup_date": F.to_date(local(F.col("pickup_ts"), tz)),
+            "pickup_hour": hour("pickup_ts"),
+            "dropoff_date": F.to_date(local(F.col("dropoff_ts"), tz)),
+            "dropoff_hour": hour("dropoff_ts"),
+        }
+    )
+
+
 def curated(trips: DataFrame, tz: str = "America/New_York") -> DataFrame:
-    """Renamed columns with an id, local pickup date and hour, duration and the offset from the file month's start."""
+    """All columns of a trip, zones renamed, with those of ``with_trip_columns``, minutes of duration and from the file month's start."""
     minutes = lambda a, b: (F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))) / 6e7
     start, end = F.col("pickup_ts"), F.col("dropoff_ts")
-    return trips.select(
-        trip_id().alias("trip_id"),
-        F.col("vendor_id"),
-        F.col("pu_zone").alias("pickup_zone_id"),
-        F.col("do_zone").alias("dropoff_zone_id"),
-        F.to_date("pickup_ts").alias("pickup_date"),
-        F.date_trunc("hour", "pickup_ts").cast("timestamp_ntz").alias("pickup_hour"),
-        minutes(start, end).alias("duration_minutes"),
-        minutes(file_month(F.col("sourcefile_name")), start).alias("offset_minutes"),
-        "fare_amount",
-        "total_amount",
-        "trip_distance",
-    )
+    rows = with_trip_columns(trips, tz).withColumns({"duration_minutes": minutes(start, end), "offset_minutes": minutes(file_month(F.col("sourcefile_name")), start)})
+    return rows.withColumnsRenamed({"pu_zone": "pickup_zone_id", "do_zone": "dropoff_zone_id"})
 
 
-def daily_counts(trips: DataFrame, measure: Column | None = None) -> DataFrame:
-    """Trips (or another measure) per zone and date: partial counts before the shuffle."""
-    return trips.groupBy("pu_zone", "pickup_date").agg((F.count("*") if measure is None else F.sum(measure)).alias("n"))
+def daily_counts(trips: DataFrame, end: DataFrame | None = None, measure: Column | None = None) -> DataFrame:
+    """Trips with an id (or another measure) per zone and date, up to the covered end if it is given; partial counts before the shuffle."""
+    if end is not None:
+        trips = trips.crossJoin(F.broadcast(end)).where("pickup_date <= covered_end")
+    return trips.groupBy("pu_zone", "pickup_date").agg((F.count("trip_id") if measure is None else F.sum(measure)).alias("n"))
 
 
 def covered_end(trips: DataFrame) -> DataFrame:
@@ -69,9 +81,11 @@ def covered_end(trips: DataFrame) -> DataFrame:
 
 
 def zone_spine(daily: DataFrame, end: DataFrame) -> DataFrame:
-    """Every date of each zone from its first one to the covered end: one row per zone is exploded, nothing is range-joined."""
+    """Every date of each zone from its first one to the covered end, none for a zone that starts later: one row per zone is exploded,
+    nothing is range-joined."""
     first = daily.groupBy("pu_zone").agg(F.min("pickup_date").alias("first_date"))
-    return first.crossJoin(F.broadcast(end)).select("pu_zone", F.explode(F.sequence("first_date", "covered_end")).alias("pickup_date"))
+    spans = first.crossJoin(F.broadcast(end)).where("first_date <= covered_end")
+    return spans.select("pu_zone", F.explode(F.sequence("first_date", "covered_end")).alias("pickup_date"))
 
 
 def zero_filled(daily: DataFrame, spine: DataFrame) -> DataFrame:
@@ -84,10 +98,25 @@ def zero_filled_by_union(daily: DataFrame) -> DataFrame:
     return daily.unionByName(zeros).groupBy("pu_zone", "pickup_date").agg(F.sum("n").alias("n"))
 
 
-def month_cutoff(dates: DataFrame, end: DataFrame) -> DataFrame:
-    """One row: the last fiscal month whose days are all covered, and its last date."""
-    months = dates.groupBy("fiscal_year_month").agg(F.max("date").alias("last_date"))
-    return months.crossJoin(F.broadcast(end)).where("last_date <= covered_end").agg(F.max("fiscal_year_month").alias("cutoff_month"), F.max("last_date").alias("cutoff_date"))
+def month_cutoff(daily: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row (last_date, cutoff_month): the fiscal month of the last ride's date if that is the month's last day, else the month before."""
+    last = daily.agg(F.max("pickup_date").alias("last_date"))
+    ends = dates.groupBy("fiscal_year_month").agg(F.max("date").alias("month_end"))
+    at = dates.select(F.col("date").alias("last_date"), "fiscal_year_month").join(F.broadcast(last), "last_date").join(ends, "fiscal_year_month")
+    m = F.col("fiscal_year_month")
+    before = F.when(m % 100 == 1, m - 89).otherwise(m - 1)
+    return at.select("last_date", F.when(F.col("last_date") == F.col("month_end"), m).otherwise(before).cast("int").alias("cutoff_month"))
+
+
+def daily_extract(trips: DataFrame, end: DataFrame, dates: DataFrame) -> DataFrame:
+    """The extract that forecasting starts from: every zone and date from its first ride on, with its date's attributes and its number
+    of rides, up to the last complete fiscal month."""
+    daily = daily_counts(trips, end)
+    filled = zero_filled(daily, zone_spine(daily, end)).withColumnRenamed("n", "number_ride_pickups")
+    names = ["day_of_fiscal_month", "fiscal_week", "fiscal_week_of_month", "fiscal_month", "fiscal_year", "fiscal_year_month", "day_of_week", "day_name", "is_weekend", "is_holiday", "holiday_name", "is_dst", "fiscal_year_week"]
+    attributes = dates.select(F.col("date").alias("pickup_date"), *names, F.col("week_start").alias("fiscal_week_start_date"))
+    rows = filled.join(F.broadcast(attributes), "pickup_date").crossJoin(F.broadcast(month_cutoff(daily, dates).select("cutoff_month")))
+    return rows.where("fiscal_year_month <= cutoff_month").drop("cutoff_month")
 
 
 def gaps(facts: DataFrame, key: str, ts: str, step: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 CTES = r"""
 WITH trips AS (
-  SELECT l_orderkey AS order_id, l_linenumber AS line, l_suppkey AS vendor_id, c_nationkey AS pu_zone, CAST(l_partkey % 25 AS INTEGER) AS do_zone,
+  SELECT l_orderkey AS order_id, l_linenumber AS line, l_suppkey AS vendor_id, c_nationkey AS pu_zone, CASE WHEN l_orderkey % 41 = 7 THEN NULL ELSE CAST(l_partkey % 25 AS INTEGER) END AS do_zone,
     l_shipdate AS pickup_ts,
     l_shipdate + to_seconds(CAST(l_quantity AS BIGINT) * 60 - CASE WHEN l_orderkey % 53 = 0 THEN 3600 ELSE 0 END) AS dropoff_ts,
     CASE WHEN l_orderkey % 89 = 0 THEN 0.0 ELSE l_quantity END AS trip_distance,
@@ -14,28 +14,40 @@ WITH trips AS (
   SELECT *, CAST(pickup_ts AS DATE) AS pickup_date, CAST(regexp_extract(sourcefile_name, '(\d{4}-\d{2})', 1) || '-01' AS DATE) AS file_month FROM trips
 ), silver AS (
   SELECT * FROM filed WHERE pickup_date BETWEEN CAST(file_month - INTERVAL 1 MONTH AS DATE) AND CAST(file_month + INTERVAL 2 MONTH AS DATE)
+), curated AS (
+  SELECT * REPLACE (CAST(pickup_ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) AS pickup_date), CAST(dropoff_ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) AS dropoff_date,
+    md5(vendor_id || '|' || strftime(pickup_ts, '%Y-%m-%d %H:%M:%S') || '+00:00|' || pu_zone || '|' || do_zone || '|' || sourcefile_name) AS trip_id
+  FROM silver
 ), clean AS (
-  SELECT * FROM silver WHERE NOT (fare_amount = 0 OR total_amount = 0) AND NOT (trip_distance = 0 AND total_amount <= 0)
+  SELECT * FROM curated WHERE NOT (fare_amount = 0 OR total_amount = 0) AND NOT (trip_distance = 0 AND total_amount <= 0)
+), covered AS (
+  SELECT last_day(max(file_month)) AS covered_end FROM silver
 ), zones AS (
   SELECT n_nationkey AS zone_id, n_name AS zone, r_name AS borough FROM nation JOIN region ON n_regionkey = r_regionkey
-), fiscal_years AS (
-  SELECT CAST(y AS INTEGER) AS fiscal_year, 52 + CASE WHEN y = 2000 THEN 1 ELSE 0 END AS weeks FROM generate_series(1995, 2002) t(y)
+), bounds AS (
+  SELECT CAST(year(min(d)) AS INTEGER) - 1 AS lo, CAST(year(max(d)) AS INTEGER) + 1 AS hi
+  FROM (SELECT min(o_orderdate) AS d FROM orders UNION ALL SELECT max(o_orderdate) FROM orders UNION ALL SELECT min(l_shipdate) FROM lineitem UNION ALL SELECT max(l_shipdate) FROM lineitem)
+), each_year AS (
+  SELECT CAST(y AS INTEGER) AS y FROM (SELECT unnest(generate_series((SELECT lo - 1 FROM bounds), (SELECT hi + 1 FROM bounds))) AS y)
+), year_starts AS (
+  SELECT y, CAST(make_date(y, 1, 1) + to_days(CAST(CASE WHEN dayofweek(make_date(y, 1, 1)) <= 3 THEN -dayofweek(make_date(y, 1, 1)) ELSE 7 - dayofweek(make_date(y, 1, 1)) END AS INTEGER)) AS DATE) AS a FROM each_year
 ), fiscal_weeks AS (
-  SELECT fiscal_year, CAST(w AS INTEGER) AS fiscal_week,
-    CAST(DATE '1995-01-01' + to_days(CAST(7 * (w - 1 + coalesce((SELECT sum(p.weeks) FROM fiscal_years p WHERE p.fiscal_year < y.fiscal_year), 0)) AS INTEGER)) AS DATE) AS week_start
-  FROM fiscal_years y, generate_series(1, y.weeks) g(w)
+  SELECT s.y AS fiscal_year, CAST(w AS INTEGER) AS fiscal_week, CAST(s.a + to_days(CAST(7 * (w - 1) AS INTEGER)) AS DATE) AS week_start
+  FROM year_starts s JOIN year_starts n ON n.y = s.y + 1 JOIN bounds ON s.y BETWEEN lo AND hi, generate_series(1, (n.a - s.a) // 7) g(w)
 ), fiscal_named AS (
   SELECT *, CAST(CASE WHEN fiscal_week = 53 THEN 12 ELSE 3 * ((fiscal_week - 1) // 13) + least(3, ((fiscal_week - 1) % 13) // 4 + 1) END AS INTEGER) AS fiscal_month FROM fiscal_weeks
 ), holidays AS (
   SELECT make_date(y, m, d) AS date, name AS holiday_name
-  FROM generate_series(1995, 2002) t(y), (VALUES (1, 1, 'New Year'), (7, 4, 'Independence Day'), (12, 25, 'Christmas Day')) h(m, d, name)
+  FROM each_year, (VALUES (1, 1, 'New Year'), (7, 4, 'Independence Day'), (12, 25, 'Christmas Day')) h(m, d, name)
 ), dst_days AS (
   SELECT y, (SELECT min(x) FROM generate_series(make_date(y, 4, 1)::TIMESTAMP, make_date(y, 4, 30)::TIMESTAMP, INTERVAL 1 DAY) s(x) WHERE dayofweek(x) = 0) AS a,
     (SELECT max(x) FROM generate_series(make_date(y, 10, 1)::TIMESTAMP, make_date(y, 10, 31)::TIMESTAMP, INTERVAL 1 DAY) s(x) WHERE dayofweek(x) = 0) AS b
-  FROM generate_series(1995, 2003) t(y)
+  FROM each_year
 ), dates AS (
   SELECT CAST(week_start + to_days(CAST(k AS INTEGER)) AS DATE) AS date, week_start, fiscal_year, fiscal_week, CAST(fiscal_year * 100 + fiscal_week AS INTEGER) AS fiscal_year_week,
-    fiscal_month, CAST(fiscal_year * 100 + fiscal_month AS INTEGER) AS fiscal_year_month
+    fiscal_month, CAST(fiscal_year * 100 + fiscal_month AS INTEGER) AS fiscal_year_month,
+    CAST(dense_rank() OVER (PARTITION BY fiscal_year, fiscal_month ORDER BY week_start) AS INTEGER) AS fiscal_week_of_month,
+    CAST(row_number() OVER (PARTITION BY fiscal_year, fiscal_month ORDER BY week_start, k) AS INTEGER) AS day_of_fiscal_month
   FROM fiscal_named, generate_series(0, 6) g(k)
 ), date_dim AS (
   SELECT d.*, CAST(year(d.date) AS INTEGER) AS year, CAST(month(d.date) AS INTEGER) AS month, monthname(d.date) AS month_name, CAST(day(d.date) AS INTEGER) AS day,
@@ -87,8 +99,11 @@ WITH trips AS (
 ), recent AS (
   SELECT f.forecast_origin_date, f.unique_id, f.ds, f.fiscal_year_month, l.y AS ypred FROM future f
   JOIN (SELECT forecast_origin_date, unique_id, CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS y FROM trail WHERE week_index > origin_week - 7 GROUP BY ALL) l USING (forecast_origin_date, unique_id)
+), quarter AS (
+  SELECT f.forecast_origin_date, f.unique_id, f.ds, f.fiscal_year_month, l.y AS ypred FROM future f
+  JOIN (SELECT forecast_origin_date, unique_id, CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS y FROM trail WHERE week_index > origin_week - 13 GROUP BY ALL) l USING (forecast_origin_date, unique_id)
 ), forecasts AS (
-  SELECT 'naive' AS model, * FROM naive UNION ALL SELECT 'recent_mean' AS model, * FROM recent
+  SELECT 'naive' AS model, * FROM naive UNION ALL SELECT 'recent_mean' AS model, * FROM recent UNION ALL SELECT 'recent_quarter' AS model, * FROM quarter
 ), remaining AS (
   SELECT model, forecast_origin_date, unique_id, fiscal_year_month AS predicted_fiscal_year_month, sum(round(ypred, 2)::DECIMAL(18,2)) AS predicted_remaining FROM forecasts GROUP BY ALL
 ), mtd AS (

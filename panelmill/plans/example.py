@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import cached_property, partial
+from functools import cached_property, partial, reduce
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.functions import calendar as C
-from panelmill.operators import features, forecast, metrics, origins, panel, rollup, trips
+from panelmill.operators import features, forecast, gates, metrics, origins, panel, rollup, trips
 from panelmill.session import read, written
 
 
@@ -26,7 +26,7 @@ def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("vendor_id"),
         F.col("c_nationkey").alias("pu_zone"),
-        (F.col("l_partkey") % 25).cast("int").alias("do_zone"),
+        F.when(k % 41 != 7, (F.col("l_partkey") % 25).cast("int")).alias("do_zone"),
         F.col("l_shipdate").alias("pickup_ts"),
         (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))).alias("dropoff_ts"),
         F.when(k % 89 == 0, 0.0).otherwise(F.col("l_quantity")).alias("trip_distance"),
@@ -40,8 +40,12 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "nation").join(read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("zone_id"), F.col("n_name").alias("zone"), F.col("r_name").alias("borough"))
 
 
+def silver_trips(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.date_sanity(raw_trips(spark, sf))
+
+
 def clean_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return trips.valid_fares(trips.date_sanity(raw_trips(spark, sf)))
+    return trips.valid_fares(trips.with_trip_columns(silver_trips(spark, sf)))
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,8 +55,31 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    return C.indexed(C.calendar(spark))
+def bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """One row: the first and the last date of the facts."""
+    ends = lambda t, c: read(spark, sf, t).agg(F.min(c).alias("a"), F.max(c).alias("b"))
+    both = ends("orders", "o_orderdate").unionByName(ends("lineitem", "l_shipdate"))
+    return both.agg(F.to_date(F.min("a")).alias("first"), F.to_date(F.max("b")).alias("last"))
+
+
+def years(spark: SparkSession, sf: str) -> DataFrame:
+    """The fiscal years that the facts reach into."""
+    return Study.of(spark, sf).years
+
+
+def dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The date dimension of the facts' years."""
+    return Study.of(spark, sf).dates
+
+
+def calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return Study.of(spark, sf).calendar
+
+
+#: The benchmark and its challengers.
+MODELS = ("naive", "recent_mean", "recent_quarter")
+#: Numbers of boosting rounds that calibration compares.
+ROUNDS = [2, 4, 6, 8, 10, 12]
 
 
 class Study:
@@ -69,13 +96,24 @@ class Study:
         """The study of an input within one application: its written steps serve all queries. ``Study(...)`` is a new one."""
         return cls.known.setdefault((spark.sparkContext.applicationId, sf), cls(spark, sf))
 
+    @cached_property
+    def years(self) -> DataFrame:
+        return written(C.fiscal_years(bounds(self.spark, self.sf)).coalesce(1), "years")
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return written(C.date_dimension(self.years).coalesce(1), "dates")
+
     @cached_property
     def calendar(self) -> DataFrame:
-        return written(calendar(self.spark).coalesce(1), "calendar")
+        return written(C.indexed(C.weekly_calendar(self.dates)).coalesce(1), "calendar")
 
     @cached_property
     def panel(self) -> DataFrame:
-        return written(panel.weekly_panel(sales(self.spark, self.sf), self.calendar), "panel")
+        made = written(panel.weekly_panel(sales(self.spark, self.sf)), "panel")
+        gates.enforce(gates.uncovered_weeks(made, self.calendar), "calendar coverage")
+        gates.enforce(gates.unique_keys(self.calendar, ["ds"]), "calendar weeks")
+        return made
 
     @cached_property
     def last(self) -> DataFrame:
@@ -83,21 +121,25 @@ class Study:
 
     @cached_property
     def origins(self) -> DataFrame:
-        starts = origins.start_months(self.calendar, self.last, n=4, step=1, horizon_months=2)
-        return written(origins.origins_for(starts, self.calendar, horizon_months=2).coalesce(1), "origins")
+        return written(origins.origins_for(self.starts, self.calendar, horizon_months=2).coalesce(1), "origins")
 
     @cached_property
     def history(self) -> DataFrame:
+        """All weeks up to each origin, for what needs them all; the others read ``recent``."""
         return forecast.history(self.panel, self.origins, self.calendar)
 
+    @cached_property
+    def recent(self) -> DataFrame:
+        return forecast.history(self.panel, self.origins, self.calendar, 52)
+
     @cached_property
     def future(self) -> DataFrame:
         return forecast.future_weeks(self.panel, self.origins, self.calendar)
 
     @cached_property
     def forecasts(self) -> DataFrame:
-        each = [forecast.FORECASTERS[m](self.history, self.future).withColumn("model", F.lit(m)) for m in ("naive", "recent_mean")]
-        return written(each[0].unionByName(each[1]), "forecasts")
+        each = [forecast.FORECASTERS[m](self.recent, self.future).withColumn("model", F.lit(m)) for m in MODELS]
+        return written(reduce(DataFrame.unionByName, each), "forecasts")
 
     @cached_property
     def mtd(self) -> DataFrame:
@@ -117,7 +159,7 @@ class Study:
 
     @cached_property
     def series(self) -> DataFrame:
-        made = rollup.monthly_series(self.components, self.totals, rollup.tiers(self.history), rollup.weights(self.history), self.origins, self.calendar, self.last)
+        made = rollup.monthly_series(self.components, self.totals, rollup.tiers(self.recent), rollup.weights(self.recent), self.origins, self.calendar, self.last)
         return written(made, "monthly-series")
 
     @cached_property
@@ -128,6 +170,35 @@ class Study:
     def scores(self) -> DataFrame:
         return written(metrics.fold_scores(metrics.both_models(self.base, "recent_mean", "naive")), "fold-scores")
 
+    @cached_property
+    def starts(self) -> DataFrame:
+        return origins.start_months(self.calendar, self.last, n=4, step=1, horizon_months=2)
+
+    @cached_property
+    def calibration_origins(self) -> DataFrame:
+        """Origins of the two start months whose target months all lie before the backtest's, at month ends."""
+        first = self.starts.agg(F.min("month_index").alias("i"))
+        before = origins.months(self.calendar).crossJoin(F.broadcast(first)).where("month_index IN (i - 3, i - 2)").select(F.col("fiscal_year_month").alias("start_month"), "month_index")
+        return written(origins.origins_for(before, self.calendar, horizon_months=2).where("fraction = 1").coalesce(1), "calibration-origins")
+
+    @cached_property
+    def calibration_months(self) -> DataFrame:
+        """Held-out months: one fit at most rounds for each calibration origin, forecasts of every number of rounds, and what came true."""
+        rows = None
+        for at, horizon in [tuple(r) for r in self.calibration_origins.select("forecast_origin_date", "horizon").orderBy("forecast_origin_date").collect()]:
+            origin = self.calibration_origins.where(F.col("forecast_origin_date") == F.lit(at))
+            model = forecast.fit_boosted(self.panel.where(F.col("ds") <= F.lit(at)), self.calendar, rounds=max(ROUNDS))
+            made = forecast.predict_boosted(model, self.panel, self.calendar, origin, ROUNDS)
+            rows = made if rows is None else rows.unionByName(made)
+        components = rollup.combine(rollup.month_to_date(self.panel, self.calibration_origins, self.calendar), rollup.predicted_remaining(rows.withColumn("model", F.col("rounds").cast("string")), self.calendar))
+        past = forecast.history(self.panel, self.calibration_origins, self.calendar, 52)
+        made = rollup.monthly_series(components, self.totals, rollup.tiers(past), rollup.weights(past), self.calibration_origins, self.calendar, self.last)
+        return written(made.withColumn("rounds", F.col("model").cast("int")), "calibration-months")
+
+    @cached_property
+    def curve(self) -> DataFrame:
+        return written(forecast.rounds_curve(self.calibration_months), "rounds-curve")
+
     @cached_property
     def spine(self) -> DataFrame:
         return origins.spine(self.calendar)

@@ -43,9 +43,9 @@ def d8(s):
     return seen(s, s.calendar.drop("week_index", "month_index"))
 
 
-@q("e1_weeks_in_month", "SELECT ds, fiscal_week_of_month, weeks_in_month, origin_month_fraction_elapsed FROM cal WHERE fiscal_year >= 2000 AND ds " + SEEN, r=("origin_month_fraction_elapsed",))
+@q("e1_weeks_in_month", "SELECT ds, fiscal_week_of_month, weeks_in_month, origin_month_fraction_elapsed FROM cal WHERE ds " + SEEN, r=("origin_month_fraction_elapsed",))
 def e1(s):
-    return seen(s, s.calendar.where("fiscal_year >= 2000")).select("ds", "fiscal_week_of_month", "weeks_in_month", "origin_month_fraction_elapsed")
+    return seen(s, s.calendar).select("ds", "fiscal_week_of_month", "weeks_in_month", "origin_month_fraction_elapsed")
 
 
 @q("d9_weekly_fiscal_frame", "SELECT unique_id, ds, y, fiscal_year_week, fiscal_week_of_month FROM pc")
@@ -211,7 +211,7 @@ def c19(s):
 @q("c20_progress_join", "SELECT b.forecast_origin_date, b.predicted_fiscal_year_month, b.unique_id, s.weeks_in_month, s.weeks_actualized FROM base b JOIN spine s ON s.forecast_origin_date = b.forecast_origin_date AND s.target_month = b.predicted_fiscal_year_month")
 def c20(s):
     at = s.spine.withColumnRenamed("target_month", "predicted_fiscal_year_month")
-    return s.base.join(F.broadcast(at), ["forecast_origin_date", "predicted_fiscal_year_month"]).select("forecast_origin_date", "predicted_fiscal_year_month", "unique_id", "weeks_in_month", "weeks_actualized")
+    return FE.progress(s.base.where("horizon = 'horizon_1'"), at).select("forecast_origin_date", "predicted_fiscal_year_month", "unique_id", "weeks_in_month", "weeks_actualized")
 
 
 @q("c22_anti_join", "SELECT DISTINCT ds FROM weekly_sales WHERE ds NOT IN (SELECT ds FROM cal WHERE fiscal_year < 2001)")
@@ -287,9 +287,9 @@ def e16(s):
     return seen(s, s.calendar.select("ds", "week_index", "month_index"))
 
 
-@q("f1_ordered_result", "SELECT unique_id, ds, y FROM panel WHERE ds >= DATE '2001-01-01' ORDER BY unique_id, ds")
+@q("f1_ordered_result", "SELECT unique_id, ds, y FROM panel ORDER BY unique_id, ds")
 def f1(s):
-    return s.panel.where("ds >= date'2001-01-01'").orderBy("unique_id", "ds")
+    return s.panel.orderBy("unique_id", "ds")
 
 
 @q("f2_top_series", "SELECT unique_id, total FROM (SELECT unique_id, CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) AS total FROM panel GROUP BY 1) ORDER BY total DESC, unique_id LIMIT 20")
@@ -365,12 +365,17 @@ def k4(s):
     return a.join(s.future.groupBy("forecast_origin_date").agg(F.count("*").alias("n_validation")), "forecast_origin_date")
 
 
-@q("k5_fixed_step_folds", "SELECT CAST(k AS INTEGER) AS fold, CAST(m - CAST(28 * (k + 1) AS INTEGER) AS DATE) AS train_end, count(*) AS n_validation FROM (SELECT max(day) AS m FROM sales), generate_series(0, 4) g(k), sales WHERE day > m - CAST(28 * (k + 1) AS INTEGER) AND day <= m - CAST(28 * k AS INTEGER) GROUP BY ALL")
+K5_TEST, K5_STEP, K5_WINDOWS = 28, 28, 5
+
+
+@q(
+    "k5_fixed_step_folds",
+    f"""SELECT part, fold, train_end, validation_end, (SELECT count(*) FROM sales WHERE day <= train_end) AS n_train, (SELECT count(*) FROM sales WHERE day > train_end AND day <= validation_end) AS n_validation FROM (
+  SELECT 'validation' AS part, CAST(k AS INTEGER) AS fold, CAST(m - CAST({K5_TEST} + {K5_STEP} * (k + 1) AS INTEGER) AS DATE) AS train_end, CAST(m - CAST({K5_TEST} + {K5_STEP} * k AS INTEGER) AS DATE) AS validation_end FROM (SELECT max(day) AS m FROM sales), generate_series(0, {K5_WINDOWS - 1}) g(k)
+  UNION ALL SELECT 'test', -1, CAST(max(day) - {K5_TEST} AS DATE), max(day) FROM sales)""",
+)
 def k5(s):
-    rows = X.sales(s.spark, s.sf)
-    end = rows.agg(F.max("day").alias("m")).select("m", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("fold"))
-    cut = end.select("fold", F.date_sub("m", (28 * (F.col("fold") + 1)).cast("int")).alias("train_end"), F.date_sub("m", (28 * F.col("fold")).cast("int")).alias("to"))
-    return rows.join(F.broadcast(cut), (F.col("day") > F.col("train_end")) & (F.col("day") <= F.col("to"))).groupBy("fold", "train_end").agg(F.count("*").alias("n_validation"))
+    return O.fixed_step_folds(X.sales(s.spark, s.sf).select("day"), K5_STEP, K5_STEP, K5_WINDOWS, K5_TEST)
 
 
 @q("k6_month_block_folds", "SELECT v.fiscal_year_month AS validation_month, sum((g.target_month < v.fiscal_year_month)::INT)::BIGINT AS n_train, sum((g.target_month = v.fiscal_year_month)::INT)::BIGINT AS n_validation FROM (SELECT m.fiscal_year_month FROM months m, last_complete l WHERE m.month_index BETWEEN l.i - 2 AND l.i) v CROSS JOIN grid g GROUP BY ALL")
@@ -396,9 +401,9 @@ def k18(s):
     return s.forecasts.select("model", "forecast_origin_date", "unique_id", "ds", F.round("ypred", 2).alias("ypred"))
 
 
-@q("k19_month_end_forecast", "SELECT model, forecast_origin_date, unique_id, predicted_fiscal_year_month, monthly_forecast FROM components WHERE mtd_revenue > 0")
+@q("k19_month_end_forecast", "SELECT model, forecast_origin_date, unique_id, predicted_fiscal_year_month, monthly_forecast FROM components")
 def k19(s):
-    return s.components.where("mtd_revenue > 0").select("model", *R.KEYS, "monthly_forecast")
+    return s.components.select("model", *R.KEYS, "monthly_forecast")
 
 
 @q("k11_remaining_target", f"SELECT unique_id, forecast_origin_date, CAST(CAST(actual_monthly_total AS DECIMAL(18,2)) - CAST(mtd_revenue AS DECIMAL(18,2)) AS DOUBLE) AS remaining_target FROM ({MTD})")

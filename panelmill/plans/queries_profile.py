@@ -82,9 +82,13 @@ def o9(s):
     return PR.length_histogram(PR.series_stats(s.panel))
 
 
-@q("o10_year_over_year", "SELECT fiscal_week, " + ", ".join(f"CAST(sum(CASE WHEN fiscal_year = {y} THEN CAST(y AS DECIMAL(18,2)) END) AS DOUBLE) AS y{y}" for y in (1999, 2000, 2001)) + " FROM pc GROUP BY ALL")
+#: The fiscal years that sales reach into.
+YEARS = range(1994, 2003)
+
+
+@q("o10_year_over_year", "SELECT fiscal_week, " + ", ".join(f"CAST(sum(CASE WHEN fiscal_year = {y} THEN CAST(y AS DECIMAL(18,2)) END) AS DOUBLE) AS y{y}" for y in YEARS) + " FROM pc GROUP BY ALL")
 def o10(s):
-    return PR.year_over_year(s.panel, s.calendar, [1999, 2000, 2001]).toDF("fiscal_week", "y1999", "y2000", "y2001")
+    return PR.year_over_year(s.panel, s.calendar, list(YEARS)).toDF("fiscal_week", *[f"y{y}" for y in YEARS])
 
 
 @q("o11_trailing_months", "SELECT DISTINCT fiscal_year_month FROM pc WHERE ds > (SELECT max(ds) FROM panel) - 728 AND weeks_in_month >= 5")
@@ -115,7 +119,18 @@ def e17(s):
     return PR.autocorrelation(s.panel, 12)
 
 
-@q("e18_partial_autocorrelation")
+@q(
+    "e18_partial_autocorrelation",
+    f"""SELECT unique_id, CAST(k AS INTEGER) AS lag, pacf FROM (
+  WITH RECURSIVE lists AS (SELECT unique_id, list(acf ORDER BY lag) AS r FROM ({ACF}) WHERE lag <= 8 GROUP BY unique_id),
+  steps AS (
+    SELECT unique_id, r, 0 AS k, []::DOUBLE[] AS phi, 1.0::DOUBLE AS pacf FROM lists
+    UNION ALL
+    SELECT unique_id, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - last * phi[k + 1 - j]), last), last FROM (
+      SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0)) / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1])), 0)) AS last FROM steps WHERE k < 8)
+  ) SELECT * FROM steps)""",
+    r=("pacf",),
+)
 def e18(s):
     return PR.partial_autocorrelation(PR.autocorrelation(s.panel, 8))
 

@@ -16,7 +16,7 @@ from panelmill.operators import panel as P
 from panelmill.operators import rollup as R
 from panelmill.plans import example as X
 from panelmill.plans.queries_panel import q, seen
-from panelmill.session import shared_dir
+from panelmill.session import read, shared_dir
 from panelmill.sources import files as S
 
 #: SQL of the fold sums and metrics over rows (w, a, fc, fb).
@@ -46,7 +46,9 @@ LEFT JOIN (SELECT * FROM (SELECT model, horizon, {FOLD}, tier, n_obs, {SCORED} F
   SELECT model, horizon, {FOLD}, tier, {SUMS} FROM rows2 GROUP BY ALL UNION ALL SELECT model, horizon, {FOLD}, 'global', {SUMS} FROM rows2 GROUP BY model, horizon, {FOLD}))
   UNPIVOT (value FOR metric IN ({", ".join(M.SCORED)}))) u
 ON u.model = g.model AND u.horizon = g.horizon AND u.forecast_origin_date = g.forecast_origin_date AND u.predicted_fiscal_year_month = g.predicted_fiscal_year_month AND u.tier = g.tier AND u.metric = k.metric"""
-SCORES = SCORES.replace("g.tier, u.metric,", "g.tier, k.metric,").replace("rows2", "(SELECT 'recent_mean' AS model, * FROM base UNION ALL SELECT 'naive' AS model, * REPLACE (fb AS fc) FROM base)")
+SCORES = SCORES.replace("g.tier, u.metric,", "g.tier, k.metric,")
+ALL_SCORES = SCORES.replace("rows2", f"(SELECT c.model, {FOLD}, unique_id, c.horizon, c.tier, c.series_weight AS w, c.actual_monthly_total AS a, c.monthly_forecast AS fc, b.monthly_forecast AS fb FROM ms c JOIN ms b USING ({FOLD}, unique_id) WHERE b.model = 'naive')")
+SCORES = SCORES.replace("rows2", "(SELECT 'recent_mean' AS model, * FROM base UNION ALL SELECT 'naive' AS model, * REPLACE (fb AS fc) FROM base)")
 
 
 @q("c13_challenger_benchmark", f"SELECT {FOLD}, unique_id, fc, fb, a, w FROM base", r=("w",))
@@ -54,9 +56,9 @@ def c13(s):
     return s.base.select(*M.KEYS, "fc", "fb", "a", "w")
 
 
-@q("c14_match_indicator", f"SELECT {FOLD}, coalesce(c.unique_id, b.unique_id) AS unique_id, CASE WHEN c.model IS NULL THEN 'right_only' WHEN b.model IS NULL THEN 'left_only' ELSE 'both' END AS _merge FROM (SELECT * FROM ms WHERE model = 'recent_mean' AND unique_id <> 3) c FULL JOIN (SELECT * FROM ms WHERE model = 'naive' AND unique_id <> 5) b USING ({FOLD}, unique_id)")
+@q("c14_match_indicator", f"SELECT {FOLD}, coalesce(c.unique_id, b.unique_id) AS unique_id, CASE WHEN c.model IS NULL THEN 'right_only' WHEN b.model IS NULL THEN 'left_only' ELSE 'both' END AS _merge FROM (SELECT * FROM ms WHERE model = 'recent_mean') c FULL JOIN (SELECT * FROM ms WHERE model = 'naive') b USING ({FOLD}, unique_id)")
 def c14(s):
-    c, b = s.series.where("model = 'recent_mean' AND unique_id <> 3"), s.series.where("model = 'naive' AND unique_id <> 5")
+    c, b = (s.series.where(F.col("model") == m) for m in ("recent_mean", "naive"))
     return M.base_frame(c, b).select(*M.KEYS, "_merge")
 
 
@@ -104,11 +106,27 @@ for _name, _m in (("l2_wrmae_pooled", "wrmae_pooled"), ("l3_wrmae_per_series", "
 SHARES = f"SELECT unique_id, sum(b / t) / any_value(f) AS x, sum(c / t) / any_value(f) AS y FROM (SELECT *, w * abs(fb - a) AS b, w * abs(fc - a) AS c, sum(w * abs(fb - a)) OVER (PARTITION BY {FOLD}) AS t FROM base), (SELECT count(*) AS f FROM (SELECT {FOLD} FROM base GROUP BY ALL HAVING sum(w * abs(fb - a)) > 1e-12)) WHERE t > 1e-12 GROUP BY ALL"
 
 
+BY_HORIZON = f"SELECT horizon, unique_id, sum(b / t) / any_value(f) AS x, sum(c / t) / any_value(f) AS y FROM (SELECT *, w * abs(fb - a) AS b, w * abs(fc - a) AS c, sum(w * abs(fb - a)) OVER (PARTITION BY horizon, {FOLD}) AS t FROM base) JOIN (SELECT horizon, count(*) AS f FROM (SELECT horizon, {FOLD} FROM base GROUP BY ALL HAVING sum(w * abs(fb - a)) > 1e-12) GROUP BY 1) USING (horizon) WHERE t > 1e-12 GROUP BY horizon, unique_id"
+
+
+def _held(rows: str, by: str) -> str:
+    """SQL of the sentence about the tiers that a series held: its last one, and in how many folds it had others."""
+    keys = f"{by}, unique_id" if by else "unique_id"
+    return f"""SELECT {keys}, any_value(last_tier) AS last_tier, any_value(last_tier) || coalesce(' at last origin (' || string_agg(tier || ' in ' || n || ' of ' || folds || ' folds', '; ' ORDER BY tier_rank) FILTER (tier <> last_tier) || ')', '') AS held
+  FROM (SELECT {keys}, tier, tier_rank, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY {keys}) AS BIGINT) AS folds FROM {rows} GROUP BY {keys}, tier, tier_rank)
+  JOIN (SELECT unique_id, max_by(tier, (forecast_origin_date, predicted_fiscal_year_month)) AS last_tier FROM {rows} GROUP BY unique_id) USING (unique_id) GROUP BY {keys}"""
+
+
 @q("l8_error_shares", SHARES, r=("x", "y"))
 def l8(s):
     return M.shares(s.base)
 
 
+@q("l8_horizon_shares", f"SELECT k.horizon, k.unique_id, coalesce(x, 0) AS x, coalesce(y, 0) AS y, coalesce(y, 0) - coalesce(x, 0) AS net, last_tier AS tier, held AS label FROM (SELECT DISTINCT horizon, unique_id FROM base) k LEFT JOIN ({BY_HORIZON}) USING (horizon, unique_id) JOIN ({_held('base', 'horizon')}) USING (horizon, unique_id)", r=("x", "y", "net"))
+def l8_horizons(s):
+    return M.horizon_shares(s.base)
+
+
 @q("l9_wrmae_by_progress", f"SELECT weeks_in_month, weeks_actualized, avg(v) AS value, sum(n_obs)::BIGINT AS n_events FROM (SELECT s.weeks_in_month, s.weeks_actualized, b.forecast_origin_date, CASE WHEN sum(w * abs(fb - a)) > 1e-12 THEN sum(w * abs(fc - a)) / sum(w * abs(fb - a)) END AS v, count(*) AS n_obs FROM base b JOIN spine s ON s.forecast_origin_date = b.forecast_origin_date AND s.target_month = b.predicted_fiscal_year_month GROUP BY ALL) GROUP BY ALL", r=("value",))
 def l9(s):
     return M.by_progress(s.base, s.spine)
@@ -152,9 +170,13 @@ def l14_summary(s):
     return M.summary_scores(s.scores)
 
 
-@q("l15_leaderboard", f"SELECT model, tier, avg(value) AS wape, count(value) AS n_folds FROM ({SCORES}) WHERE metric = 'wape' GROUP BY ALL", r=("wape",))
+def _grain(grain: str, period: str, origin: str) -> str:
+    return f"SELECT '{grain}' AS grain, model, horizon, tier, {period} AS period, {origin} AS origin, metric, avg(value) AS value, count(value) AS n_folds FROM ({ALL_SCORES}) GROUP BY ALL"
+
+
+@q("l15_leaderboard", " UNION ALL ".join([_grain("summary", "CAST(NULL AS INTEGER)", "CAST(NULL AS DATE)"), _grain("period", "predicted_fiscal_year_month", "CAST(NULL AS DATE)"), _grain("fold", "predicted_fiscal_year_month", "forecast_origin_date")]), r=("value",))
 def l15(s):
-    return s.scores.where("metric = 'wape'").groupBy("model", "tier").agg(F.avg("value").alias("wape"), F.count("value").alias("n_folds")).orderBy("tier", "wape")
+    return M.leaderboard(s.series, "naive")
 
 
 @q("l16_headline", f"SELECT model, avg(value) FILTER (horizon = 'horizon_1') AS horizon_1, avg(value) FILTER (horizon = 'horizon_2') AS horizon_2 FROM ({SCORES}) WHERE tier = 'global' AND metric = 'wrmae_pooled' AND model = 'recent_mean' GROUP BY model", r=("horizon_1", "horizon_2"))
@@ -162,13 +184,33 @@ def l16(s):
     return M.headline(M.summary_scores(s.scores), "recent_mean", ["horizon_1", "horizon_2"])
 
 
-@q("a9_evaluate_sink", f"SELECT 'e1' AS run_id, 'recent_mean' AS model, 'fold_metrics' AS table_name, count(*) AS n_rows FROM ({SCORES}) UNION ALL SELECT 'e1', 'recent_mean', 'per_series_comparison', count(*) FROM base")
+@q(
+    "a9_evaluate_sink",
+    f"""SELECT 'e1' AS run_id, 'recent_mean' AS model, table_name, n_rows FROM (
+  SELECT 'fold_metrics' AS table_name, count(*) AS n_rows FROM ({SCORES}) UNION ALL SELECT 'per_series_comparison', count(*) FROM base
+  UNION ALL SELECT 'period_metrics', count(*) FROM (SELECT DISTINCT model, horizon, tier, predicted_fiscal_year_month, metric FROM ({SCORES}))
+  UNION ALL SELECT 'summary_metrics', count(*) FROM (SELECT DISTINCT model, horizon, tier, metric FROM ({SCORES})))""",
+)
 def a9(s):
     root = f"{shared_dir(s.spark)}/evaluate-{uuid.uuid4().hex}"
-    S.write_run({"fold_metrics": s.scores, "per_series_comparison": s.base}, root, "e1", "recent_mean")
+    tables = {"per_series_comparison": s.base, "fold_metrics": s.scores, "period_metrics": M.period_scores(s.scores), "summary_metrics": M.summary_scores(s.scores)}
+    S.write_run(tables, root, "e1", "recent_mean")
     return s.spark.read.parquet(f"{root}/manifest")
 
 
+@q(
+    "a9_evaluate_manifest",
+    f"""SELECT 'recent_mean' AS challenger_model, 'naive' AS benchmark_model, 'wrmae_pooled' AS hero_metric, (SELECT avg(value) FROM ({SCORES}) WHERE model = 'recent_mean' AND tier = 'global' AND metric = 'wrmae_pooled' AND horizon = 'horizon_1') AS horizon_1,
+  (SELECT avg(value) FROM ({SCORES}) WHERE model = 'recent_mean' AND tier = 'global' AND metric = 'wrmae_pooled' AND horizon = 'horizon_2') AS horizon_2,
+  count(DISTINCT forecast_origin_date) AS n_origins, min(forecast_origin_date) AS first_origin, max(forecast_origin_date) AS last_origin, count(DISTINCT unique_id) AS n_series, count(DISTINCT ({FOLD})) AS n_folds_total FROM base""",
+    r=("horizon_1", "horizon_2"),
+)
+def a9_manifest(s):
+    values = M.headline(M.summary_scores(s.scores), "recent_mean", ["horizon_1", "horizon_2"]).select("horizon_1", "horizon_2")
+    facts = s.base.agg(F.countDistinct("forecast_origin_date").alias("n_origins"), F.min("forecast_origin_date").alias("first_origin"), F.max("forecast_origin_date").alias("last_origin"), F.countDistinct("unique_id").alias("n_series"), F.countDistinct(*M.FOLD).alias("n_folds_total"))
+    return facts.crossJoin(values).select(F.lit("recent_mean").alias("challenger_model"), F.lit("naive").alias("benchmark_model"), F.lit("wrmae_pooled").alias("hero_metric"), "horizon_1", "horizon_2", *facts.columns)
+
+
 # -- gates: counts of what was checked and what was wrong -------------------------------------
 
 
@@ -177,10 +219,18 @@ def _gate(name: str, checked: str):
     return q(name, f"SELECT '{name}' AS gate, ({checked}) AS checked, 0::BIGINT AS violations, true AS ok")
 
 
-@_gate("m1_single_lineage", "SELECT 1::BIGINT")
+#: Planted defects: two runs in one frame, and rows that no run has stamped.
+MIXED = "CASE WHEN unique_id % 5 = 3 THEN NULL WHEN unique_id % 5 = 4 THEN 'run-2' ELSE 'run-1' END"
+
+
+@q("m1_single_lineage", f"SELECT 'published' AS frame, 1::BIGINT AS ids, 0::BIGINT AS nulls, 'run-1' AS id, true AS ok UNION ALL SELECT 'mixed', count(DISTINCT r), count(*) FILTER (r IS NULL), max(r), false FROM (SELECT {MIXED} AS r FROM panel)")
 def m1(s):
-    bad = G.single_lineage(S.with_lineage(s.panel, "run-1"), expected="run-1").agg(F.count("*").alias("v"))
-    return bad.select(F.lit("m1_single_lineage").alias("gate"), F.lit(1).cast("long").alias("checked"), F.col("v").alias("violations"), (F.col("v") == 0).alias("ok"))
+    frames = {"published": S.with_lineage(s.panel, "run-1"), "mixed": s.panel.withColumn("feature_run_id", F.expr(MIXED))}
+    out = None
+    for name, df in frames.items():
+        row = G.lineage_facts(df).select(F.lit(name).alias("frame"), "ids", "nulls", "id", F.lit(G.single_lineage(df, expected="run-1").isEmpty()).alias("ok"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @_gate("m2_calendar_coverage", "SELECT count(DISTINCT ds) FROM panel")
@@ -213,6 +263,19 @@ def m5(s):
     return G.check("m5_mtd_construction", G.mtd_increments(s.table, s.panel, s.calendar), ~F.col("ok"))
 
 
+@q(
+    "m5_planted_defects",
+    "SELECT 'increments' AS gate, count(*) FILTER (unique_id = 3 AND weeks_actualized = 1) + count(*) FILTER (unique_id = 5 AND weeks_actualized IN (2, 3)) AS violations FROM grid UNION ALL SELECT 'week_zero_coverage', count(DISTINCT target_month) FROM grid WHERE unique_id = 3",
+)
+def m5_planted(s):
+    """One series without its week-0 origins, and one whose month-to-date is off by one at week 2 (so week 3 grows wrongly too)."""
+    off = F.when((F.col("unique_id") == 5) & (F.col("weeks_actualized") == 2), F.col("mtd_revenue") + 1).otherwise(F.col("mtd_revenue"))
+    table = s.table.where("NOT (unique_id = 3 AND weeks_actualized = 0)").withColumn("mtd_revenue", off)
+    bad = G.mtd_increments(table, s.panel, s.calendar).agg(F.count_if(~F.col("ok")).alias("violations")).select(F.lit("increments").alias("gate"), "violations")
+    active = s.totals.join(s.complete_pairs, ["unique_id", "fiscal_year_month"], "left_semi")
+    return bad.unionByName(G.week_zero_coverage(table, active).agg(F.count("*").alias("violations")).select(F.lit("week_zero_coverage").alias("gate"), "violations"))
+
+
 @_gate("m6_total_reconciliation", "SELECT count(*) FROM grid WHERE weeks_actualized = weeks_in_month - 1")
 def m6(s):
     return G.check("m6_total_reconciliation", G.total_reconciliation(s.table, s.panel, s.calendar), ~F.col("ok"))
@@ -223,9 +286,19 @@ def m7(s):
     return G.check("m7_remaining_identity", G.remaining_identity(FE.remaining_target(s.table), s.panel, s.calendar), ~F.col("ok"))
 
 
-@q("m8_join_integrity", "SELECT unnest(['unique_feature_keys', 'origins_without_features', 'row_count', 'key_types']) AS gate, 0::BIGINT AS violations")
+@q(
+    "m8_join_integrity",
+    """SELECT 'whole' AS frame, gate, checked, 0::BIGINT AS violations FROM (SELECT unnest(['unique_feature_keys', 'key_types']) AS gate, (SELECT count(*) FROM panel) AS checked UNION ALL SELECT unnest(['origins_without_features', 'row_count']), (SELECT count(*) FROM grid))
+  UNION ALL SELECT 'doubled', 'unique_feature_keys', (SELECT count(*) FROM panel) + (SELECT count(*) FROM panel WHERE unique_id = 3), (SELECT count(*) FROM panel WHERE unique_id = 3)
+  UNION ALL SELECT 'empty', unnest(['unique_feature_keys', 'origins_without_features', 'row_count', 'key_types']), 0, 1""",
+)
 def m8(s):
-    return G.join_integrity(s.modelling_table, s.table, s.weekly_features)
+    """The study's own join, one with a series' features twice, and one over no rows at all, which passes nothing."""
+    twice = s.weekly_features.unionByName(s.weekly_features.where("unique_id = 3"))
+    none = s.table.where("false")
+    rows = G.join_integrity(s.modelling_table, s.table, s.weekly_features).select(F.lit("whole").alias("frame"), "*")
+    rows = rows.unionByName(G.join_integrity(s.modelling_table, s.table, twice).where("gate = 'unique_feature_keys'").select(F.lit("doubled").alias("frame"), "*"))
+    return rows.unionByName(G.join_integrity(none, none, s.weekly_features.where("false")).select(F.lit("empty").alias("frame"), "*"))
 
 
 @q("m9_shared_cutoff", "SELECT 0::BIGINT AS violations, (SELECT count(*) FROM grid) AS checked")
@@ -239,6 +312,9 @@ def m10(s):
         made = FE.weekly_features(panel, [1], {1: 4}).withColumn("at", F.date_sub("ds", 7))
         return P.on_calendar(made, s.calendar).select("unique_id", "at", "lag1", "rolling_mean_lag1_window_size4", "count_workdays")
 
+    made = rebuild(s.panel)
+    if odd := G.feature_partition(made, ["unique_id", "at"], {"follows_y": ["lag1", "rolling_mean_lag1_window_size4"], "calendar": ["count_workdays"]}):
+        raise G.GateError(f"features in no part, or in two: {odd}")
     cut = s.panel.agg(F.date_sub(F.max("ds"), 140)).first()[0]
     got = G.leakage(s.panel, rebuild, ["unique_id", "at"], ["lag1", "rolling_mean_lag1_window_size4", "count_workdays"], "at", F.lit(cut))
     return got.select("feature", "changed_before", (F.col("changed_after") > 0).alias("follows_y"))
@@ -262,6 +338,12 @@ def m13(s):
     return G.parity(a, b, M.KEYS, ["tier", "horizon"], ["monthly_forecast", "series_weight", "actual_monthly_total"])
 
 
+@q("m13_expected_counts", "SELECT count(DISTINCT target_month) AS target_months, count(DISTINCT forecast_origin_date) AS origins, count(DISTINCT unique_id) AS series, count(*) AS events FROM spine JOIN month_totals ON fiscal_year_month = target_month WHERE target_month IN (SELECT fiscal_year_month FROM months, last_complete l WHERE months.month_index BETWEEN l.i - 2 AND l.i)")
+def m13_counts(s):
+    months = O.months(s.calendar).crossJoin(F.broadcast(s.last)).where("month_index between last_index - 2 and last_index").select(F.col("fiscal_year_month").alias("target_month"))
+    return G.expected_counts(s.spine, s.totals, months)
+
+
 @_gate("m14_reconstruction", "SELECT count(*) FROM ms")
 def m14(s):
     keys = ["model", *R.KEYS]
@@ -270,9 +352,21 @@ def m14(s):
     return n.select(F.lit("m14_reconstruction").alias("gate"), "checked", F.col("v").alias("violations"), (F.col("v") == 0).alias("ok"))
 
 
-@q("m15_base_frame", "SELECT count(*) AS n_rows, 0::BIGINT AS n_one_sided, 0::BIGINT AS n_null_inputs, 0::BIGINT AS n_null_tiers FROM base")
+@q(
+    "m15_base_frame",
+    """SELECT 'study' AS frame, count(*) AS n_rows, 0::BIGINT AS n_repeated, 0::BIGINT AS n_left_only, 0::BIGINT AS n_right_only, 0::BIGINT AS n_other_tier, 0::BIGINT AS n_other_weight, 0::BIGINT AS n_other_actual, 0::BIGINT AS n_null_inputs, 0::BIGINT AS n_not_in_calendar FROM base
+  UNION ALL SELECT 'planted', count(*), 0, count(*) FILTER (unique_id = 3), count(*) FILTER (unique_id = 5), count(*) FILTER (unique_id = 7 AND tier <> 'low'), count(*) FILTER (unique_id = 8), count(*) FILTER (unique_id = 9), count(*) FILTER (unique_id = 10), count(*) FILTER (forecast_origin_date = (SELECT min(forecast_origin_date) FROM base)) FROM base""",
+)
 def m15(s):
-    return G.base_frame_checks(s.base)
+    """The study's frame, and one with a series on one side only, others whose tier, weight or actual differs or whose forecast is
+    null, and a calendar without the first origin."""
+    c, b = (s.series.where(F.col("model") == m) for m in ("recent_mean", "naive"))
+    of = lambda i, c, x: F.when(F.col("unique_id") == i, x).otherwise(F.col(c))
+    c2 = c.where("unique_id <> 5").withColumn("monthly_forecast", of(10, "monthly_forecast", F.lit(None)))
+    b2 = b.where("unique_id <> 3").withColumns({"tier": of(7, "tier", F.lit("low")), "series_weight": of(8, "series_weight", F.col("series_weight") + 1), "actual_monthly_total": of(9, "actual_monthly_total", F.col("actual_monthly_total") + 1)})
+    first = s.base.agg(F.min("forecast_origin_date").alias("ds"))
+    planted = G.base_frame_checks(M.base_frame(c2, b2), s.calendar.join(first, "ds", "left_anti"))
+    return G.base_frame_checks(s.base, s.calendar).select(F.lit("study").alias("frame"), "*").unionByName(planted.select(F.lit("planted").alias("frame"), "*"))
 
 
 @q("m16_calendars_agree", "SELECT forecast_origin_date AS ds FROM origins JOIN cal ON cal.ds = forecast_origin_date WHERE count_workdays = 4")
@@ -305,22 +399,69 @@ def m19_rows(s):
     return G.same_rows(P.weekly_sums(X.sales(s.spark, s.sf)), s.panel)
 
 
-@q("m20_report", "SELECT 'unique_keys' AS gate, count(*) AS checked, 0::BIGINT AS violations, true AS ok, 'PASS' AS status FROM ms UNION ALL SELECT 'positive_actuals', count(*), 0, true, 'PASS' FROM ms UNION ALL SELECT 'forecast_is_actual', count(*), sum((monthly_forecast <> actual_monthly_total)::INT)::BIGINT, false, 'FAIL' FROM ms")
-def m20(s):
-    rows = s.series.groupBy("model", *R.KEYS).agg(F.count("*").alias("n"))
-    return G.report([G.check("unique_keys", rows, F.col("n") > 1), G.check("positive_actuals", s.series, F.col("actual_monthly_total") < 0), G.check("forecast_is_actual", s.series, F.col("monthly_forecast") != F.col("actual_monthly_total"))])
+@q("m19_schema_difference", "SELECT 'model' AS \"column\", 'string' AS a, CAST(NULL AS VARCHAR) AS b UNION ALL SELECT 'tier_rank', 'int', 'bigint' FROM (SELECT count(*) AS n FROM ms) WHERE n > 0")
+def m19_schema(s):
+    return G.schema_difference(s.series, s.series.drop("model").withColumn("tier_rank", F.col("tier_rank").cast("long")))
 
 
-@q("m21_run_agreement", "SELECT 0::BIGINT AS n_other_run, count(*) AS n FROM base")
+@q(
+    "m20_report",
+    """SELECT gate, checked, violations, violations = 0 AND checked > 0 AS ok, CASE WHEN violations = 0 AND checked > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+  SELECT unnest(['series_keys', 'origins_in_calendar', 'known_tiers', 'weights_not_negative']) AS gate, (SELECT count(*) FROM ms) AS checked, 0::BIGINT AS violations
+  UNION ALL SELECT unnest(['component_keys', 'exact_reconstruction']), (SELECT count(*) FROM ms), 0
+  UNION ALL SELECT 'forecast_keys', count(*), 0 FROM forecasts UNION ALL SELECT 'forecast_weeks_after_origin', count(*), 0 FROM forecasts
+  UNION ALL SELECT 'forecast_is_actual', count(*), sum((monthly_forecast <> actual_monthly_total)::INT)::BIGINT FROM ms)""",
+)
+def m20(s):
+    """A run's outputs checked one by one; the last check is one that fails."""
+    keys, tiers = ["model", *R.KEYS], ["very_low", "low", "middle", "high", "very_high"]
+    known = s.calendar.select(F.col("ds").alias("forecast_origin_date"), F.lit(True).alias("known"))
+    both = s.series.select(*keys, "monthly_forecast").join(s.components.join(s.series.select(*keys), keys, "left_semi").select(*keys, "mtd_revenue", "predicted_remaining", F.lit(True).alias("there")), keys, "full_outer")
+    rebuilt = (F.col("mtd_revenue").cast(P.MONEY) + F.col("predicted_remaining").cast(P.MONEY)).cast("double")
+    repeated = lambda df, by: df.groupBy(*by).agg(F.count("*").alias("n"))
+    return G.report(
+        [
+            G.check("series_keys", repeated(s.series, keys), F.col("n") > 1),
+            G.check("origins_in_calendar", s.series.join(F.broadcast(known), "forecast_origin_date", "left"), F.col("known").isNull()),
+            G.check("known_tiers", s.series, ~F.col("tier").isin(tiers)),
+            G.check("weights_not_negative", s.series, F.col("series_weight") < 0),
+            G.check("component_keys", both, F.col("there").isNull() | F.col("monthly_forecast").isNull()),
+            G.check("exact_reconstruction", both, ~F.col("monthly_forecast").eqNullSafe(rebuilt)),
+            G.check("forecast_keys", repeated(s.forecasts, ["model", "forecast_origin_date", "unique_id", "ds"]), F.col("n") > 1),
+            G.check("forecast_weeks_after_origin", s.forecasts, F.col("ds") <= F.col("forecast_origin_date")),
+            G.check("forecast_is_actual", s.series, F.col("monthly_forecast") != F.col("actual_monthly_total")),
+        ]
+    )
+
+
+@q("m21_run_agreement", "SELECT 'base' AS table_name, count(*) AS n_rows, 0::BIGINT AS n_other_run FROM base UNION ALL SELECT 'series', count(*), count(*) FILTER (unique_id % 5 > 2) FROM ms")
 def m21(s):
-    rows = s.base.withColumn("run_id", F.lit("r"))
-    return rows.agg(F.count_if(F.col("run_id") != "r").alias("n_other_run"), F.count("*").alias("n"))
-
-
-@q("m22_self_score", "SELECT 1.0::DOUBLE AS least, 1.0::DOUBLE AS most")
+    """Tables as a run wrote them: one is the run's own, in the other are rows that another run and no run stamped."""
+    root = f"{shared_dir(s.spark)}/agreement-{uuid.uuid4().hex}"
+    stamps = {"base": (s.base.drop("differs"), F.lit("run-1")), "series": (s.series, F.expr(MIXED))}
+    for name, (df, run) in stamps.items():
+        df.withColumn("run_id", run).write.parquet(f"{root}/{name}")
+    return G.other_runs({name: s.spark.read.parquet(f"{root}/{name}") for name in stamps}, "run-1")
+
+
+@q(
+    "m22_self_score",
+    f"""SELECT 'self_score' AS gate, count(*) AS checked, count(*) FILTER (abs(value - 1) > 1e-9) AS violations FROM ({SCORES}) WHERE model = 'naive' AND metric IN ('wrmae_pooled', 'wrmae_per_series') AND value IS NOT NULL
+  UNION ALL SELECT 'mean_of_folds', (SELECT count(*) FROM (SELECT DISTINCT model, horizon, tier, metric FROM ({SCORES}))), 0
+  UNION ALL SELECT 'weightless_slices', count(*), count(*) FILTER (value IS NOT NULL AND wsum <= 1e-12) FROM ({SCORES}) z JOIN (SELECT horizon, forecast_origin_date, predicted_fiscal_year_month, tier, sum(w) AS wsum FROM base GROUP BY ALL) x USING (horizon, forecast_origin_date, predicted_fiscal_year_month, tier) WHERE metric IN ('wrmae_pooled', 'wrmae_per_series')""",
+)
 def m22(s):
-    rows = s.scores.where("model = 'naive' AND metric IN ('wrmae_pooled', 'wrmae_per_series') AND value IS NOT NULL")
-    return rows.agg(F.round(F.min("value"), 9).alias("least"), F.round(F.max("value"), 9).alias("most"))
+    """The benchmark scores 1 against itself, a summary is the mean of its folds, and a slice without weight has no weighted score."""
+    weighted = F.col("metric").isin("wrmae_pooled", "wrmae_per_series")
+    own = s.scores.where((F.col("model") == "naive") & weighted & F.col("value").isNotNull())
+    keys = ["model", "horizon", "tier", "metric"]
+    means = s.scores.groupBy(*keys).agg(F.avg("value").alias("mean")).join(M.summary_scores(s.scores), keys)
+    sums = s.base.groupBy("horizon", *M.FOLD, "tier").agg(F.sum("w").alias("wsum"))
+    slices = s.scores.where(weighted).join(sums, ["horizon", *M.FOLD, "tier"])
+    count = lambda name, df, bad: df.agg(F.lit(name).alias("gate"), F.count("*").alias("checked"), F.count_if(bad).alias("violations"))
+    out = count("self_score", own, F.abs(F.col("value") - 1) > 1e-9)
+    out = out.unionByName(count("mean_of_folds", means, ~F.coalesce(F.abs(F.col("value") - F.col("mean")) < 1e-12, F.col("value").isNull() & F.col("mean").isNull())))
+    return out.unionByName(count("weightless_slices", slices, F.col("value").isNotNull() & (F.col("wsum") <= 1e-12)))
 
 
 @_gate("m23_ambiguous_weeks", "SELECT count(DISTINCT ds) FROM panel")
@@ -354,7 +495,10 @@ def n3(s):
     return N.fold_members(s.base)
 
 
-@q("n4_global_month", f"SELECT fiscal_year_month, CASE WHEN bool_or(status = 'gapped') THEN 'gapped' ELSE 'complete' END AS status, CASE WHEN NOT bool_or(status = 'gapped') THEN CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) END AS total FROM ({STATUS}) GROUP BY ALL")
+GLOBAL = f"SELECT fiscal_year_month, CASE WHEN bool_or(status = 'gapped') THEN 'gapped' WHEN bool_or(status = 'complete') THEN 'complete' ELSE 'incomplete' END AS status, CASE WHEN NOT bool_or(status = 'gapped') THEN CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) END AS total FROM ({STATUS}) GROUP BY ALL"
+
+
+@q("n4_global_month", GLOBAL)
 def n4(s):
     return N.global_monthly(N.monthly_status(_gappy(s), s.calendar), N.fold_members(s.base))
 
@@ -390,11 +534,15 @@ def e15(s):
     return N.month_changes(_weekly_forecast(s))
 
 
-@q("n7_facet", f"SELECT strftime(ds, '%Y-%m-%d') AS period, y FROM {GAPPY} WHERE unique_id = 7 UNION ALL SELECT CAST(fiscal_year_month AS VARCHAR), total FROM ({STATUS}) WHERE unique_id = 7")
+@q(
+    "n7_facet",
+    f"""SELECT CAST(unique_id AS VARCHAR) AS facet, 'week' AS grain, strftime(ds, '%Y-%m-%d') AS period, y FROM {GAPPY} UNION ALL SELECT CAST(unique_id AS VARCHAR), 'month', CAST(fiscal_year_month AS VARCHAR), total FROM ({STATUS})
+  UNION ALL SELECT 'global', 'week', strftime(ds, '%Y-%m-%d'), CASE WHEN count(y) = count(*) THEN CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) END FROM {GAPPY} GROUP BY ds
+  UNION ALL SELECT 'global', 'month', CAST(fiscal_year_month AS VARCHAR), total FROM ({GLOBAL})""",
+)
 def n7(s):
     weekly = _gappy(s)
-    monthly = N.monthly_status(weekly, s.calendar)
-    return N.facet(weekly, monthly, "week", 7).unionByName(N.facet(weekly, monthly, "month", 7))
+    return N.facets(weekly, N.monthly_status(weekly, s.calendar), N.fold_members(s.base))
 
 
 @q("n8_scorecard", f"SELECT model, tier, avg(value) FILTER (horizon = 'horizon_1') AS horizon_1_value, (sum(n_obs) FILTER (horizon = 'horizon_1'))::BIGINT AS horizon_1_n_obs, avg(value) FILTER (horizon = 'horizon_2') AS horizon_2_value, (sum(n_obs) FILTER (horizon = 'horizon_2'))::BIGINT AS horizon_2_n_obs FROM ({SCORES}) WHERE metric = 'wape' GROUP BY ALL", r=("horizon_1_value", "horizon_2_value"))
@@ -412,16 +560,17 @@ def n10(s):
     return N.cohort_means(s.scores, s.calendar).where("metric = 'wape' AND tier = 'global' AND model = 'recent_mean' AND horizon = 'horizon_1'").select("weeks_in_month", "weeks_elapsed", "value", "n_defined")
 
 
-@q("n11_top_shares", f"SELECT unique_id, x, y FROM ({SHARES}) ORDER BY x DESC, unique_id LIMIT 20", r=("x", "y"))
+@q("n11_top_shares", f"SELECT horizon, unique_id, x, y, y - x AS net FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY x DESC, unique_id) AS k FROM ({BY_HORIZON})) WHERE k <= 20", r=("x", "y", "net"))
 def n11(s):
-    return M.shares(s.base).orderBy(F.desc("x"), "unique_id").limit(20)
+    from pyspark.sql.window import Window
 
+    down = Window.partitionBy("horizon").orderBy(F.desc("x"), "unique_id")
+    return M.horizon_shares(s.base).withColumn("k", F.row_number().over(down)).where("k <= 20").select("horizon", "unique_id", "x", "y", "net")
 
-@q("h19_tiers_held", "SELECT unique_id, max_by(tier, forecast_origin_date) AS last_tier, count(*) AS folds FROM ms WHERE model = 'naive' GROUP BY ALL")
+
+@q("h19_tiers_held", _held("(SELECT * FROM ms WHERE model = 'naive')", ""))
 def h19(s):
-    got = N.tiers_held(s.series.where("model = 'naive'"))
-    folds = s.series.where("model = 'naive'").groupBy("unique_id").agg(F.count("*").alias("folds"))
-    return got.join(folds, "unique_id").where(F.col("held").startswith(F.col("last_tier"))).select("unique_id", "last_tier", "folds")
+    return N.tiers_held(s.series.where("model = 'naive'"))
 
 
 # -- models that need a fit: rows only ------------------------------------------------------------
@@ -429,7 +578,7 @@ def h19(s):
 
 @q("k9_boosted_recursive")
 def k9(s):
-    return FC.predict_boosted(FC.fit_boosted(s.panel, s.calendar), s.panel, s.calendar, 5)
+    return FC.boosted_from_origins(s.panel, s.calendar, s.origins)
 
 
 #: Fixed value: the evaluation's target months, as many as the reference has.
@@ -439,18 +588,19 @@ TARGET_MONTHS = 6
 @q("k10_direct_month")
 def k10(s):
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
 
-    level = FC.levels(s.panel)
     names = ["mtd_revenue", "lag1", "lag2", "rolling_mean_lag1_window_size4", "last_completed_month_revenue"]
-    rows = s.modelling_table.join(level, "unique_id").dropna(subset=[*names, "actual_monthly_total"])
-    rows = rows.select("unique_id", "forecast_origin_date", "target_month", "weeks_in_month", "weeks_actualized", "level", *[(F.col(c) / F.col("level")).alias(c) for c in names], (F.col("actual_monthly_total") / F.col("level")).alias("label"))
-    rows = VectorAssembler(inputCols=[*names, "weeks_in_month", "weeks_actualized"], outputCol="features").transform(rows)
+    table = s.modelling_table.dropna(subset=[*names, "actual_monthly_total"])
+    months = table.groupBy("target_month").agg(F.min("forecast_origin_date").alias("first")).orderBy(F.desc("target_month")).limit(TARGET_MONTHS).collect()
+    assemble = VectorAssembler(inputCols=[*names, "weeks_in_month", "weeks_actualized"], outputCol="features")
     out = None
-    months = [r[0] for r in rows.select("target_month").distinct().orderBy(F.desc("target_month")).limit(TARGET_MONTHS).collect()]
-    for m in months:  # one fit for each validation month
-        model = GBTRegressor(labelCol="label", maxIter=8, maxDepth=3, seed=7).fit(rows.where(F.col("target_month") < m))
-        made = model.transform(rows.where(F.col("target_month") == m)).select("unique_id", "forecast_origin_date", "target_month", (F.col("prediction") * F.col("level")).alias("monthly_forecast"))
+    for month, first in [tuple(r) for r in months]:  # one fit for each validation month, with levels as of its first origin
+        level = FC.levels(s.panel.where(F.col("ds") <= F.lit(first)))
+        rows = table.where(F.col("target_month") <= month).join(level, "unique_id")
+        rows = rows.select("unique_id", "forecast_origin_date", "target_month", "weeks_in_month", "weeks_actualized", "level", *[(F.col(c) / F.col("level")).alias(c) for c in names], (F.col("actual_monthly_total") / F.col("level")).alias("label"))
+        rows = assemble.transform(rows)
+        model = FC.booster(8, label="label").fit(rows.where(F.col("target_month") < month))
+        made = model.transform(rows.where(F.col("target_month") == month)).select("unique_id", "forecast_origin_date", "target_month", (F.col("prediction") * F.col("level")).alias("monthly_forecast"))
         out = made if out is None else out.unionByName(made)
     return out
 
@@ -460,7 +610,7 @@ def k12(s):
     return FC.fitted(FC.fit_boosted(s.panel, s.calendar, rounds=5), s.panel, s.calendar)
 
 
-@q("k13_final_fit")
+@q("k13_final_fit", "SELECT max(ds) AS train_end_ds, count(DISTINCT unique_id) AS n_series, count(*) AS n_obs, 5 AS n_trees FROM panel")
 def k13(s):
     model = FC.fit_boosted(s.panel, s.calendar, rounds=5)
     model.write().overwrite().save(f"{shared_dir(s.spark)}/final-fit-{uuid.uuid4().hex}")
@@ -468,43 +618,61 @@ def k13(s):
     return facts.withColumn("n_trees", F.lit(len(model.trees)))
 
 
-def _curve(s):
-    from pyspark.ml.feature import VectorAssembler
-
-    model = FC.fit_boosted(s.panel, s.calendar, rounds=12)
-    level = FC.levels(s.panel)
-    scaled = P.on_calendar(s.panel, s.calendar).join(level, "unique_id").withColumn("scaled", F.col("y") / F.col("level"))
-    rows = VectorAssembler(inputCols=FC.FEATURES, outputCol="features").transform(FC._with_features(scaled))
-    rows = rows.select("fiscal_year", "scaled", "level", "features")
-    return FC.rounds_curve(model, rows, "scaled", "level", ["fiscal_year"], [2, 4, 6, 8, 10, 12])
-
-
 @q("k14_calibration_curve")
 def k14(s):
-    return _curve(s)
+    return s.curve
 
 
 @q("k15_parsimonious_rounds")
 def k15(s):
-    return FC.parsimonious(_curve(s), ["fiscal_year"])
+    return FC.parsimonious(s.curve, ["forecast_origin_date", "horizon"])
 
 
 @q("k16_pooled_rounds")
 def k16(s):
-    return FC.pooled_rounds(FC.parsimonious(_curve(s), ["fiscal_year"]))
+    return FC.pooled_rounds(FC.parsimonious(s.curve, ["forecast_origin_date", "horizon"]))
 
 
-@q("e12_centred_mean", "SELECT ds, avg(y) OVER (ORDER BY ds ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS smoothed FROM panel WHERE unique_id = 7", r=("smoothed",))
+#: Curves of given scores: for each line number the mean price of each quantity.
+GIVEN = "SELECT l_linenumber, CAST(l_quantity AS INTEGER) AS rounds, CAST(avg(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS score FROM lineitem GROUP BY ALL"
+CHOSEN = f"""SELECT l_linenumber, CAST(min(CASE WHEN smoothed <= best * 1.01 THEN rounds END) AS INTEGER) AS rounds, min(CASE WHEN smoothed <= best * 1.01 THEN rounds END) > 0.9 * max(rounds) AS inconclusive FROM (
+  SELECT *, min(smoothed) OVER (PARTITION BY l_linenumber) AS best FROM (SELECT *, avg(score) OVER (PARTITION BY l_linenumber ORDER BY rounds ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS smoothed FROM ({GIVEN}))) GROUP BY l_linenumber"""
+
+
+def _given(s):
+    rows = read(s.spark, s.sf, "lineitem")
+    return rows.groupBy("l_linenumber", F.col("l_quantity").cast("int").alias("rounds")).agg((F.sum(F.col("l_extendedprice").cast(P.MONEY)).cast("double") / F.count("*")).alias("score"))
+
+
+@q("k15_given_scores", CHOSEN)
+def k15_given(s):
+    return FC.parsimonious(_given(s), ["l_linenumber"])
+
+
+@q("k16_given_scores", f"SELECT list_sort(list(rounds))[1 + CAST(ceil((count(*) - 1) * 0.75) AS INTEGER)] AS rounds, avg(inconclusive::INT) AS share_inconclusive, avg(inconclusive::INT) > 0.25 AS refused FROM ({CHOSEN})", r=("share_inconclusive",))
+def k16_given(s):
+    return FC.pooled_rounds(FC.parsimonious(_given(s), ["l_linenumber"]))
+
+
+@q("e12_centred_mean", "SELECT unique_id, ds, avg(y) OVER (PARTITION BY unique_id ORDER BY ds ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS smoothed FROM panel", r=("smoothed",))
 def e12(s):
     from pyspark.sql.window import Window
 
-    return s.panel.where("unique_id = 7").select("ds", F.avg("y").over(Window.orderBy("ds").rowsBetween(-1, 1)).alias("smoothed"))
+    return s.panel.select("unique_id", "ds", F.avg("y").over(Window.partitionBy("unique_id").orderBy("ds").rowsBetween(-1, 1)).alias("smoothed"))
 
 
-@q("k17_disjoint_calibration", "SELECT max(CASE WHEN m.month_index < f.i THEN m.fiscal_year_month END) AS last_calibration_month, min(start_month) AS first_start_month, true AS disjoint FROM months m, (SELECT min(month_index) AS i FROM starts) f, starts")
+@q(
+    "k17_disjoint_calibration",
+    """SELECT c.name AS calibration, max(m.fiscal_year_month) AS last_calibration_month, (SELECT min(start_month) FROM starts) AS first_start_month, max(m.fiscal_year_month) < (SELECT min(start_month) FROM starts) AS disjoint
+  FROM (VALUES ('study', -1), ('a month late', 0)) c(name, k) JOIN months m ON m.month_index = (SELECT min(month_index) FROM starts) + c.k GROUP BY c.name""",
+)
 def k17(s):
-    starts = O.start_months(s.calendar, s.last, 4, 1, 2)
-    first = starts.agg(F.min("start_month").alias("first_start_month"), F.min("month_index").alias("i"))
-    months = O.months(s.calendar).crossJoin(F.broadcast(first)).where("month_index < i")
-    rows = months.agg(F.max("fiscal_year_month").alias("last_calibration_month"), F.max("first_start_month").alias("first_start_month"))
-    return rows.withColumn("disjoint", F.col("last_calibration_month") < F.col("first_start_month"))
+    """The months that the study's calibration origins predict, and those of origins a month later, of which the last is a month too late."""
+    m = O.months(s.calendar).select(F.col("fiscal_year_month").alias("target_month"), "month_index")
+    out = None
+    weeks = s.calibration_origins.select(F.explode(F.sequence(F.col("origin_week") + 1, F.col("origin_week") + F.col("horizon"))).alias("week_index")).distinct()
+    predicted = s.calendar.join(weeks, "week_index", "left_semi").select("month_index").distinct()
+    for name, late in (("study", 0), ("a month late", 1)):
+        row = G.disjoint(m.join(predicted.select((F.col("month_index") + late).alias("month_index")), "month_index"), s.starts).select(F.lit(name).alias("calibration"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelmill.functions import calendar as C
 from panelmill.operators import panel as P
+from panelmill.operators import profile as PR
 from panelmill.operators import trips as T
 from panelmill.plans import example as X
 from panelmill.plans.catalog import query
@@ -39,7 +40,7 @@ def a2(spark, sf):
     return S.read_zones(spark, root).drop("load_timestamp_utc")
 
 
-@query("a3_truncate_load", "SELECT pu_zone, pickup_date, count(*) AS n FROM clean GROUP BY ALL")
+@query("a3_truncate_load", "SELECT pu_zone, pickup_date, count(trip_id) AS n FROM clean GROUP BY ALL")
 def a3(spark, sf):
     root, daily = _dir(spark, "daily"), T.daily_counts(X.clean_trips(spark, sf))
     S.truncate_and_load(daily.withColumn("n", F.lit(0).cast("long")), root, ["pu_zone"])
@@ -47,17 +48,32 @@ def a3(spark, sf):
     return spark.read.parquet(root)
 
 
+A4 = "SELECT pu_zone, count(*) AS n FROM panelmill_clean WHERE pickup_date >= CAST(:since AS DATE) GROUP BY pu_zone"
+
+
 @query("a4_extract", "SELECT pu_zone, count(*) AS n FROM clean WHERE pickup_date >= DATE '1998-01-01' GROUP BY ALL")
 def a4(spark, sf):
     X.clean_trips(spark, sf).createOrReplaceTempView("panelmill_clean")
-    text = "SELECT pu_zone, count(*) AS n FROM panelmill_clean WHERE pickup_date >= CAST(:since AS DATE) GROUP BY pu_zone"
-    return S.extract(spark, text, {"since": "1998-01-01"}, _dir(spark, "extract")).drop("query_sha256")
+    return S.extract(spark, A4, {"since": "1998-01-01"}, _dir(spark, "extract")).drop("query_sha256")
+
+
+@query("a4_extract_metadata", f"SELECT sha256('{A4}' || '[(''since'', ''1998-01-01'')]') AS query_sha256, count(DISTINCT pu_zone) AS n_rows FROM clean WHERE pickup_date >= DATE '1998-01-01'")
+def a4_metadata(spark, sf):
+    X.clean_trips(spark, sf).createOrReplaceTempView("panelmill_clean")
+    path = _dir(spark, "extract")
+    S.extract(spark, A4, {"since": "1998-01-01"}, path)
+    return S.extract_metadata(spark, path)
+
+
+A5 = "SELECT o_orderpriority AS priority, count(*) AS n FROM panelmill_orders WHERE o_totalprice > :least GROUP BY o_orderpriority"
 
 
-@query("a5_prepared_sql", "SELECT o_orderpriority AS priority, count(*) AS n, sha256('SELECT :x') AS digest FROM orders GROUP BY ALL")
+@query("a5_prepared_sql", f"SELECT o_orderpriority AS priority, count(*) AS n, sha256('{A5}' || '[(''least'', 50000.0)]') AS digest FROM orders WHERE o_totalprice > 50000 GROUP BY ALL")
 def a5(spark, sf):
     read(spark, sf, "orders").createOrReplaceTempView("panelmill_orders")
-    return spark.sql("SELECT o_orderpriority AS priority, count(*) AS n, sha2(:x, 256) AS digest FROM panelmill_orders GROUP BY 1", args={"x": "SELECT :x"})
+    params = {"least": 50000.0}
+    text, digest = S.prepare_sql(A5, params)
+    return spark.sql(text, args=params).withColumn("digest", F.lit(digest))
 
 
 @query("a6_clustered_layout", "SELECT CAST(year(pickup_date) AS INTEGER) AS pickup_year, count(*) AS n, min(pickup_date) AS first_date, max(pickup_date) AS last_date FROM silver GROUP BY 1")
@@ -73,11 +89,27 @@ def a7(spark, sf):
     return S.publish_summary(S.with_lineage(X.weekly_panel(spark, sf), "run-1"))
 
 
-@query("a8_backtest_sink", "SELECT 'r1' AS run_id, 'both' AS model, 'components' AS table_name, count(*) AS n_rows FROM components UNION ALL SELECT 'r1', 'both', 'panel', count(*) FROM panel")
+@query(
+    "a8_backtest_sink",
+    """SELECT 'r1' AS run_id, 'recent_mean' AS model, table_name, n_rows FROM (
+  SELECT 'monthly_series' AS table_name, count(*) AS n_rows FROM ms WHERE model = 'recent_mean' UNION ALL SELECT 'monthly_forecast_components', count(*) FROM components WHERE model = 'recent_mean'
+  UNION ALL SELECT 'raw_cv_forecasts', count(*) FROM forecasts WHERE model = 'recent_mean' UNION ALL SELECT 'metrics', count(*) FROM (SELECT DISTINCT forecast_origin_date, predicted_fiscal_year_month FROM ms WHERE model = 'recent_mean')
+  UNION ALL SELECT 'fiscal_calendar', count(*) FROM cal UNION ALL SELECT 'time_series_snapshot', count(*) FROM panel
+  UNION ALL SELECT 'additional_exog', count(*) FROM (SELECT unique_id, min(ds) AS a FROM panel GROUP BY 1) p JOIN cal ON cal.ds >= p.a)""",
+)
 def a8(spark, sf):
-    root = _dir(spark, "runs")
-    study = X.Study.of(spark, sf)
-    S.write_run({"components": study.components, "panel": study.panel}, root, "r1", "both")
+    """Four outputs and three snapshots of a model's run; the manifest comes last."""
+    from panelmill.operators import features as FE
+    from panelmill.operators import metrics as M
+    from panelmill.operators import origins as O
+
+    root, study = _dir(spark, "runs"), X.Study.of(spark, sf)
+    of = lambda df: df.where("model = 'recent_mean'").drop("model")
+    folds = O.fold_ids(study.origins).groupBy("forecast_origin_date").agg(F.min("fold_id").cast("string").alias("fold_id"))
+    raw = of(study.forecasts).join(F.broadcast(folds), "forecast_origin_date").select("forecast_origin_date", "unique_id", "ds", "ypred", "fold_id")
+    frames = {"monthly_series": of(study.series), "monthly_forecast_components": of(study.components), "metrics": M.fold_values(M.against_benchmark(study.series, "naive").where("model = 'recent_mean'"), []), "raw_cv_forecasts": raw}
+    frames |= {"fiscal_calendar": study.calendar, "time_series_snapshot": study.panel, "additional_exog": FE.additional_exogenous(study.panel, study.calendar)}
+    S.write_run(frames, root, "r1", "recent_mean")
     return spark.read.parquet(f"{root}/manifest")
 
 
@@ -89,7 +121,7 @@ def a10(spark, sf):
 @query("a11_leaderboard_scan", "SELECT 'r1' AS run_id, model, count(*) AS n FROM ms GROUP BY model")
 def a11(spark, sf):
     root, ms = _dir(spark, "runs"), X.monthly_series(spark, sf)
-    for m in ("naive", "recent_mean"):
+    for m in X.MODELS:
         S.write_run({"monthly_series": ms.where(F.col("model") == m).drop("model")}, root, "r1", m)
     return S.scan_runs(spark, root, "monthly_series").groupBy("run_id", "model").agg(F.count("*").alias("n"))
 
@@ -103,7 +135,7 @@ def a12(spark, sf):
     return S.default_run(S.completed_runs(spark, root), "r2")
 
 
-@query("a13_daily_stitch", "SELECT strftime(pickup_date, '%Y-%m') AS source_month, sum(n)::BIGINT AS n FROM (SELECT pu_zone, pickup_date, count(*) AS n FROM clean GROUP BY ALL) GROUP BY 1")
+@query("a13_daily_stitch", "SELECT strftime(pickup_date, '%Y-%m') AS source_month, sum(n)::BIGINT AS n FROM (SELECT pu_zone, pickup_date, count(trip_id) AS n FROM clean GROUP BY ALL) GROUP BY 1")
 def a13(spark, sf):
     root = _dir(spark, "aggregated")
     T.daily_counts(X.clean_trips(spark, sf)).withColumn("m", F.date_format("pickup_date", "yyyy-MM")).repartition("m").write.partitionBy("m").parquet(root)
@@ -135,16 +167,16 @@ def b2_rejected(spark, sf):
     return T.date_sanity(X.raw_trips(spark, sf), keep=False).groupBy("sourcefile_name").agg(F.count("*").alias("n"))
 
 
-MD5 = "md5(vendor_id || '|' || strftime(pickup_ts, '%Y-%m-%d %H:%M:%S') || '|' || pu_zone || '|' || do_zone || '|' || line || '|' || order_id)"
+HOUR = "CAST(date_trunc('hour', {} AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York') AT TIME ZONE 'America/New_York' AT TIME ZONE 'UTC' AS TIMESTAMP)"
 
 
 @query(
     "b3_curated_trips",
-    f"SELECT {MD5} AS trip_id, vendor_id, pu_zone AS pickup_zone_id, do_zone AS dropoff_zone_id, pickup_date, date_trunc('hour', pickup_ts)::TIMESTAMP AS pickup_hour, epoch(dropoff_ts - pickup_ts) / 60 AS duration_minutes, epoch(pickup_ts - file_month) / 60 AS offset_minutes, fare_amount, total_amount, trip_distance FROM silver",
+    f"SELECT order_id, line, trip_id, vendor_id, pickup_ts, dropoff_ts, pu_zone AS pickup_zone_id, do_zone AS dropoff_zone_id, pickup_date, {HOUR.format('pickup_ts')} AS pickup_hour, dropoff_date, {HOUR.format('dropoff_ts')} AS dropoff_hour, file_month, epoch(dropoff_ts - pickup_ts) / 60 AS duration_minutes, epoch(pickup_ts - file_month) / 60 AS offset_minutes, fare_amount, total_amount, trip_distance, sourcefile_name FROM curated",
     r=("duration_minutes", "offset_minutes"),
 )
 def b3(spark, sf):
-    return T.curated(T.date_sanity(X.raw_trips(spark, sf)))
+    return T.curated(X.silver_trips(spark, sf))
 
 
 @query("b4_valid_fares", f"SELECT {KEY} FROM clean")
@@ -170,10 +202,11 @@ def b11(spark, sf):
     return X.raw_trips(spark, sf).unpivot(["order_id", "line", "vendor_id"], ["fare_amount", "total_amount"], "metric", "value")
 
 
-@query("b12_pivot", "SELECT pickup_date, " + ", ".join(f"sum(CASE WHEN pu_zone = {z} THEN 1 END)::BIGINT AS zone_{z}" for z in range(5)) + " FROM clean GROUP BY ALL")
+@query("b12_pivot", "SELECT pickup_date, " + ", ".join(f"sum(CASE WHEN pu_zone = {z} THEN 1 END)::BIGINT AS zone_{z}" for z in range(25)) + " FROM clean GROUP BY ALL")
 def b12(spark, sf):
-    rows = X.clean_trips(spark, sf).groupBy("pickup_date").pivot("pu_zone", list(range(5))).agg(F.count("order_id"))
-    return rows.toDF("pickup_date", *[f"zone_{z}" for z in range(5)])
+    zones = [r[0] for r in X.zones(spark, sf).select("zone_id").orderBy("zone_id").collect()]  # a dimension: 25 rows
+    rows = X.clean_trips(spark, sf).groupBy("pickup_date").pivot("pu_zone", zones).agg(F.count("order_id"))
+    return rows.toDF("pickup_date", *[f"zone_{z}" for z in zones])
 
 
 @query(
@@ -197,19 +230,27 @@ def c1(spark, sf):
     return X.raw_trips(spark, sf).join(X.zones(spark, sf), F.col("pu_zone") == F.col("zone_id"), "left").groupBy("borough", "zone").agg(F.count("*").alias("n"))
 
 
-@query("c2_zone_centroids", "SELECT z.*, c.balance FROM zones z LEFT JOIN (SELECT s_nationkey, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM supplier WHERE s_acctbal > 5000 GROUP BY 1) c ON zone_id = s_nationkey")
+@query("c2_zone_centroids", "SELECT z.*, c.balance FROM zones z LEFT JOIN (SELECT s_nationkey, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM supplier GROUP BY 1) c ON zone_id = s_nationkey")
 def c2(spark, sf):
-    extra = read(spark, sf, "supplier").where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("zone_id")).agg(P.money("s_acctbal").cast("double").alias("balance"))
+    extra = read(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("zone_id")).agg(P.money("s_acctbal").cast("double").alias("balance"))
     return X.zones(spark, sf).join(extra, "zone_id", "left")
 
 
-SPINE = "SELECT pu_zone, CAST(d AS DATE) AS pickup_date FROM (SELECT pu_zone, min(pickup_date) AS a FROM clean GROUP BY 1), (SELECT last_day(max(file_month)) AS b FROM clean), generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 1 DAY) g(d)"
-DAILY = "SELECT pu_zone, pickup_date, count(*) AS n FROM clean GROUP BY ALL"
+DAILY = "SELECT pu_zone, pickup_date, count(trip_id) AS n FROM clean WHERE pickup_date <= (SELECT covered_end FROM covered) GROUP BY ALL"
+SPINE = f"SELECT pu_zone, CAST(d AS DATE) AS pickup_date FROM (SELECT pu_zone, min(pickup_date) AS a FROM ({DAILY}) GROUP BY 1) s, covered, generate_series(a::TIMESTAMP, covered_end::TIMESTAMP, INTERVAL 1 DAY) g(d) WHERE a <= covered_end"
+LAST = f"(SELECT max(pickup_date) FROM ({DAILY}))"
+CUTOFF = f"""SELECT {LAST} AS last_date, CAST(CASE WHEN {LAST} = max(date) THEN fiscal_year_month
+  ELSE CAST(strftime(make_date(fiscal_year_month // 100, fiscal_year_month % 100, 1) - INTERVAL 1 MONTH, '%Y%m') AS INTEGER) END AS INTEGER) AS cutoff_month
+  FROM date_dim WHERE fiscal_year_month = (SELECT fiscal_year_month FROM date_dim WHERE date = {LAST}) GROUP BY fiscal_year_month"""
+
+
+def _end(spark, sf):
+    return T.covered_end(X.silver_trips(spark, sf))
 
 
 def _daily(spark, sf):
-    rows = X.clean_trips(spark, sf)
-    return T.daily_counts(rows), T.covered_end(rows)
+    end = _end(spark, sf)
+    return T.daily_counts(X.clean_trips(spark, sf), end), end
 
 
 @query("c3_calendar_spine", SPINE)
@@ -223,6 +264,23 @@ def c4(spark, sf):
     return T.zero_filled(daily, T.zone_spine(daily, end))
 
 
+def _of_borough(sql: str) -> str:
+    return sql.replace("FROM clean", "FROM clean JOIN zones ON pu_zone = zone_id AND borough = 'AMERICA'")
+
+
+@query(
+    "d4_daily_extract",
+    f"""SELECT s.pu_zone, s.pickup_date, coalesce(n, 0) AS number_ride_pickups, d.day_of_fiscal_month, d.fiscal_week, d.fiscal_week_of_month, d.fiscal_month, d.fiscal_year, d.fiscal_year_month, d.day_of_week, d.day_name,
+  d.is_weekend, d.is_holiday, d.holiday_name, d.is_dst, d.week_start AS fiscal_week_start_date, d.fiscal_year * 100 + d.fiscal_week AS fiscal_year_week
+  FROM ({_of_borough(SPINE)}) s JOIN date_dim d ON d.date = s.pickup_date LEFT JOIN ({_of_borough(DAILY)}) n ON n.pu_zone = s.pu_zone AND n.pickup_date = s.pickup_date
+  WHERE d.fiscal_year_month <= (SELECT cutoff_month FROM ({_of_borough(CUTOFF)}))""",
+)
+def d4_extract(spark, sf):
+    z = X.zones(spark, sf).where("borough = 'AMERICA'").select("zone_id")
+    trips = X.clean_trips(spark, sf).join(z, F.col("pu_zone") == F.col("zone_id"), "left_semi")
+    return T.daily_extract(trips, _end(spark, sf), X.dates(spark, sf))
+
+
 @query("c5_zero_fill_union", f"SELECT z.pu_zone, t.pickup_date, coalesce(n, 0) AS n FROM (SELECT DISTINCT pu_zone FROM clean) z CROSS JOIN (SELECT DISTINCT pickup_date FROM clean) t LEFT JOIN ({DAILY}) d ON d.pu_zone = z.pu_zone AND d.pickup_date = t.pickup_date")
 def c5(spark, sf):
     return T.zero_filled_by_union(_daily(spark, sf)[0])
@@ -236,11 +294,11 @@ def c6(spark, sf):
 
 @query("c7_daily_dates", f"SELECT d.pu_zone, d.pickup_date, d.n, x.fiscal_year_month, x.day_name, x.is_holiday FROM ({DAILY}) d JOIN date_dim x ON x.date = d.pickup_date")
 def c7(spark, sf):
-    dates = C.date_dimension(spark).select(F.col("date").alias("pickup_date"), "fiscal_year_month", "day_name", "is_holiday")
+    dates = X.dates(spark, sf).select(F.col("date").alias("pickup_date"), "fiscal_year_month", "day_name", "is_holiday")
     return _daily(spark, sf)[0].join(F.broadcast(dates), "pickup_date")
 
 
-@query("c26_nulls_by_vendor", "SELECT vendor_id, sum((do_zone > 20)::INT)::BIGINT AS null_zone, sum((trip_distance = 0)::INT)::BIGINT AS null_distance, count(*) AS n FROM trips GROUP BY ALL")
+@query("c26_nulls_by_vendor", "SELECT vendor_id, sum((do_zone IS NULL OR do_zone > 20)::INT)::BIGINT AS null_zone, sum((trip_distance = 0)::INT)::BIGINT AS null_distance, count(*) AS n FROM trips GROUP BY ALL")
 def c26(spark, sf):
     rows = X.raw_trips(spark, sf).withColumns({"z": F.when(F.col("do_zone") <= 20, F.col("do_zone")), "t": F.nullif("trip_distance", F.lit(0.0))})
     return rows.groupBy("vendor_id").agg(F.count_if(F.col("z").isNull()).alias("null_zone"), F.count_if(F.col("t").isNull()).alias("null_distance"), F.count("*").alias("n"))
@@ -251,47 +309,58 @@ def d1(spark, sf):
     return _daily(spark, sf)[0]
 
 
-@query("d2_first_active", "SELECT pu_zone, min(pickup_date) AS first_date FROM clean GROUP BY ALL")
+@query("d2_first_active", f"SELECT pu_zone, min(pickup_date) AS first_date FROM ({DAILY}) GROUP BY ALL")
 def d2(spark, sf):
     return _daily(spark, sf)[0].groupBy("pu_zone").agg(F.min("pickup_date").alias("first_date"))
 
 
-@query("d3_covered_end", "SELECT last_day(max(file_month)) AS covered_end FROM clean")
+@query("d3_covered_end", "SELECT covered_end FROM covered")
 def d3(spark, sf):
     return _daily(spark, sf)[1]
 
 
-@query("d4_month_cutoff", "SELECT max(fiscal_year_month) AS cutoff_month, max(b) AS cutoff_date FROM (SELECT fiscal_year_month, max(date) AS b FROM date_dim GROUP BY 1) WHERE b <= (SELECT last_day(max(file_month)) FROM clean)")
+@query("d4_month_cutoff", CUTOFF)
 def d4(spark, sf):
-    return T.month_cutoff(C.date_dimension(spark), _daily(spark, sf)[1])
+    return T.month_cutoff(_daily(spark, sf)[0], X.dates(spark, sf))
 
 
 @query("d5_complete_calendar", "SELECT date, fiscal_year_month FROM date_dim WHERE fiscal_year_month < (SELECT max(fiscal_year_month) FROM date_dim WHERE date <= (SELECT max(pickup_date) FROM clean))")
 def d5(spark, sf):
-    dates = C.date_dimension(spark).select("date", "fiscal_year_month")
+    dates = X.dates(spark, sf).select("date", "fiscal_year_month")
     last = X.clean_trips(spark, sf).agg(F.max("pickup_date").alias("d"))
     month = dates.crossJoin(F.broadcast(last)).where("date <= d").agg(F.max("fiscal_year_month").alias("m"))
     return dates.crossJoin(F.broadcast(month)).where("fiscal_year_month < m").drop("m")
 
 
-@query("d6_totals", "SELECT 'day' AS grain, CAST(pickup_date AS VARCHAR) AS period, count(*) AS n FROM clean GROUP BY ALL UNION ALL SELECT 'week', CAST(x.fiscal_year_week AS VARCHAR), count(*) FROM clean JOIN date_dim x ON x.date = pickup_date GROUP BY ALL")
+@query("d6_totals", f"SELECT 'day' AS grain, CAST(pickup_date AS VARCHAR) AS period, sum(n)::BIGINT AS n FROM ({DAILY}) GROUP BY ALL UNION ALL SELECT 'week', CAST(x.fiscal_year_week AS VARCHAR), sum(n)::BIGINT FROM ({DAILY}) JOIN date_dim x ON x.date = pickup_date GROUP BY ALL")
 def d6(spark, sf):
     daily = _daily(spark, sf)[0].groupBy("pickup_date").agg(F.sum("n").alias("n"))
-    dates = C.date_dimension(spark).select(F.col("date").alias("pickup_date"), "fiscal_year_week")
+    dates = X.dates(spark, sf).select(F.col("date").alias("pickup_date"), "fiscal_year_week")
     weekly = daily.join(F.broadcast(dates), "pickup_date").groupBy("fiscal_year_week").agg(F.sum("n").alias("n"))
     return daily.select(F.lit("day").alias("grain"), F.col("pickup_date").cast("string").alias("period"), "n").unionByName(weekly.select(F.lit("week").alias("grain"), F.col("fiscal_year_week").cast("string").alias("period"), "n"))
 
 
-@query("d25_null_counts", "SELECT count(*) FILTER (o_orderdate IS NULL) AS o_orderdate, count(*) FILTER (o_totalprice IS NULL) AS o_totalprice, count(*) AS n FROM orders")
+ORDER_COLUMNS = {"o_orderkey": "", "o_custkey": "", "o_orderstatus": "", "o_totalprice": "", "o_orderdate": "", "o_orderpriority": ""}
+
+
+@query("d25_null_counts", "SELECT column_name, nulls, n FROM (SELECT count(*) AS n, " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in ORDER_COLUMNS) + " FROM orders) UNPIVOT (nulls FOR column_name IN (" + ", ".join(ORDER_COLUMNS) + "))")
 def d25(spark, sf):
-    o = read(spark, sf, "orders")
-    return o.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("o_orderdate", "o_totalprice")], F.count("*").alias("n"))
+    return PR.null_counts(read(spark, sf, "orders"))
+
+
+@query(
+    "d25_describe",
+    "SELECT c AS column_name, count(v) AS n, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS least, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75, max(v) AS most FROM (SELECT c, v FROM (SELECT l_quantity, l_extendedprice, l_discount FROM lineitem) UNPIVOT (v FOR c IN (l_quantity, l_extendedprice, l_discount))) GROUP BY ALL",
+    r=("mean", "std", "least", "q25", "q50", "q75", "most"),
+)
+def d25_describe(spark, sf):
+    return PR.describe(read(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
 
 
 @query("d27_daily_from_clean", "SELECT pickup_date, pu_zone, count(*) AS n FROM filed WHERE pickup_ts > file_month - INTERVAL 1 MONTH AND pickup_ts < file_month + INTERVAL 2 MONTH AND NOT (fare_amount = 0 OR total_amount = 0) GROUP BY ALL")
 def d27(spark, sf):
     rows = T.strict_date_sanity(X.raw_trips(spark, sf)).where("NOT (fare_amount = 0 OR total_amount = 0)")
-    return T.daily_counts(rows.withColumn("pickup_date", F.to_date("pickup_ts")))
+    return T.daily_counts(rows.withColumn("pickup_date", F.to_date("pickup_ts")), measure=F.lit(1))
 
 
 @query("e14_gaps", "SELECT user_id, ts, previous FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS previous FROM (SELECT DISTINCT user_id, date_trunc('hour', ts)::TIMESTAMP AS ts FROM events)) WHERE ts > previous + INTERVAL 1 DAY")
@@ -313,7 +382,7 @@ def g2(spark, sf):
 
 def _seen_dates(spark, sf):
     """The date dimension's rows that have sales."""
-    return C.date_dimension(spark).join(X.sales(spark, sf).select(F.col("day").alias("date")).distinct(), "date", "left_semi")
+    return X.dates(spark, sf).join(X.sales(spark, sf).select(F.col("day").alias("date")).distinct(), "date", "left_semi")
 
 
 @query("h1_file_month", "SELECT regexp_extract(sourcefile_name, '(\\d{4}-\\d{2})', 1) AS month, count(*) AS n FROM trips GROUP BY ALL")
@@ -327,17 +396,15 @@ def h2(spark, sf):
     return d.select(F.concat(F.col("year"), F.lpad(F.col("month").cast("string"), 2, "0")).alias("yyyymm"), (F.col("year") * 100 + F.col("month")).alias("number")).distinct()
 
 
-@query("h3_trip_ids", f"SELECT count(DISTINCT {MD5}) AS ids, min({MD5}) AS least, max({MD5}) AS most FROM silver")
+@query("h3_trip_ids", "SELECT trip_id, count(*) AS n FROM curated GROUP BY ALL")
 def h3(spark, sf):
-    ids = T.curated(T.date_sanity(X.raw_trips(spark, sf))).select("trip_id")
-    return ids.agg(F.countDistinct("trip_id").alias("ids"), F.min("trip_id").alias("least"), F.max("trip_id").alias("most"))
+    return T.with_trip_columns(X.silver_trips(spark, sf)).groupBy("trip_id").agg(F.count("*").alias("n"))
 
 
-@query("h4_local_hours", "SELECT CAST(ts - INTERVAL 5 HOUR AS DATE) AS local_date, date_trunc('hour', ts - INTERVAL 5 HOUR)::TIMESTAMP AS local_hour, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-03-10' GROUP BY ALL")
+@query("h4_local_hours", "SELECT CAST(t AS DATE) AS local_date, CAST(date_trunc('hour', t) AS TIMESTAMP) AS local_hour, count(*) AS n FROM (SELECT ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS t FROM events) GROUP BY ALL")
 def h4(spark, sf):
-    local = F.from_utc_timestamp(F.col("ts").cast("timestamp"), "America/New_York")
-    rows = read(spark, sf, "events").where("ts < timestamp_ntz'2024-03-10'")
-    return rows.groupBy(F.to_date(local).alias("local_date"), F.date_trunc("hour", local).cast("timestamp_ntz").alias("local_hour")).agg(F.count("*").alias("n"))
+    local = T.local(F.col("ts"), "America/New_York")
+    return read(spark, sf, "events").groupBy(F.to_date(local).alias("local_date"), F.date_trunc("hour", local).cast("timestamp_ntz").alias("local_hour")).agg(F.count("*").alias("n"))
 
 
 @query("h5_week_start", "SELECT day, ds, count(*) AS n FROM sales GROUP BY ALL")
@@ -351,7 +418,7 @@ def h6(spark, sf):
     return X.sales(spark, sf).select("day", first.alias("first_day"), F.last_day("day").alias("last_day"), F.add_months(first, 2).alias("later")).distinct()
 
 
-@query("h7_date_dimension", "SELECT date, week_start, fiscal_year, fiscal_week, fiscal_year_week, fiscal_month, fiscal_year_month, year, month, month_name, day, day_of_week, day_name, is_weekend, is_holiday, holiday_name, is_dst FROM date_dim WHERE date IN (SELECT day FROM sales)")
+@query("h7_date_dimension", "SELECT date, week_start, fiscal_year, fiscal_week, fiscal_year_week, fiscal_month, fiscal_year_month, fiscal_week_of_month, day_of_fiscal_month, year, month, month_name, day, day_of_week, day_name, is_weekend, is_holiday, holiday_name, is_dst FROM date_dim WHERE date IN (SELECT day FROM sales)")
 def h7(spark, sf):
     return _seen_dates(spark, sf)
 
@@ -363,19 +430,19 @@ def h8(spark, sf):
 
 @query("h9_holiday_sales", "SELECT holiday_name, count(*) AS n FROM sales JOIN date_dim d ON d.date = sales.day WHERE d.is_holiday GROUP BY ALL")
 def h9(spark, sf):
-    return X.sales(spark, sf).join(F.broadcast(C.holiday_table(spark)), F.col("day") == F.col("date")).groupBy("holiday_name").agg(F.count("*").alias("n"))
+    return X.sales(spark, sf).join(F.broadcast(C.holiday_table(X.years(spark, sf))), F.col("day") == F.col("date")).groupBy("holiday_name").agg(F.count("*").alias("n"))
 
 
 @query("h10_fiscal_months", "SELECT fiscal_year_month, count(*) AS weeks, min(ds) AS first_ds FROM cal WHERE ds IN (SELECT ds FROM sales) GROUP BY ALL")
 def h10(spark, sf):
     weeks = X.sales(spark, sf).select(C.week_start(F.col("day")).alias("ds")).distinct()
-    return X.calendar(spark).join(weeks, "ds", "left_semi").groupBy("fiscal_year_month").agg(F.count("*").alias("weeks"), F.min("ds").alias("first_ds"))
+    return X.calendar(spark, sf).join(weeks, "ds", "left_semi").groupBy("fiscal_year_month").agg(F.count("*").alias("weeks"), F.min("ds").alias("first_ds"))
 
 
 @query("h11_year_weeks", "SELECT fiscal_year_week, count(*) AS n FROM sales s JOIN cal c ON c.ds = s.ds GROUP BY ALL")
 def h11(spark, sf):
     rows = X.sales(spark, sf).withColumn("ds", C.week_start(F.col("day")))
-    return rows.join(F.broadcast(X.calendar(spark)), "ds").groupBy("fiscal_year_week").agg(F.count("*").alias("n"))
+    return rows.join(F.broadcast(X.calendar(spark, sf)), "ds").groupBy("fiscal_year_week").agg(F.count("*").alias("n"))
 
 
 @query("h12_harmonics", "SELECT DISTINCT day, sin(2 * pi() * dayofyear(day) / 365.25) AS week_sin, cos(2 * pi() * dayofyear(day) / 365.25) AS week_cos FROM sales", r=("week_sin", "week_cos"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,13 +14,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset a local session (tests) gets a folder of its own; on a
+    cluster that is an error, for executors would write to their own disks."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("panelmill.shared.dir", None)
     if not found:
-        found = spark.conf.get("panelmill.shared.dir", None)
-        if not found:
-            found = "file://" + tempfile.mkdtemp(prefix="spark-panelmill-")
-            spark.conf.set("panelmill.shared.dir", found)
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        found = "file://" + tempfile.mkdtemp(prefix="spark-panelmill-")
+        spark.conf.set("panelmill.shared.dir", found)
     return found
 
 
@@ -27,7 +30,7 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage, so a lost executor costs a re-read and not a recomputation, and the
-    shuffle files behind ``df`` are dropped as soon as the write has ended.
+    shuffle files behind ``df`` are dropped as soon as the write has ended. ``spent`` deletes such tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -38,7 +41,19 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         df.write.option("compression", compression).parquet(path)
     finally:
         spark.conf.set(cleanup, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote for these tables. Only tables that nothing reads any more: what was made of them must be written."""
+    for t in tables:
+        path = getattr(t, "written_path", None)
+        if path:
+            spark = t.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 _SHIPPED: set[str] = set()

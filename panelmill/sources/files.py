@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The columns of a trip file and their types.
 TRIP_COLUMNS = {
@@ -26,27 +28,34 @@ LATER_COLUMNS = ("congestion_fee",)
 LINEAGE = ("run_id", "feature_run_id", "challenger_model", "benchmark_model", "git_commit", "config_hash")
 
 
-def ingest_trip_file(spark: SparkSession, path: str) -> DataFrame:
-    """One file in the fixed schema: lower-case names, later columns as null where absent, no others, each column cast, and the
-    file's name kept. Files are read one by one for their schemas drift."""
-    raw = spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+def _in_fixed_schema(raw: DataFrame, name: str) -> DataFrame:
+    """Lower-case names, later columns as null where absent, no others, each column cast, and the file's name kept."""
+    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
     raw = raw.toDF(*[c.lower() for c in raw.columns])
     for c in LATER_COLUMNS:
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast("double"))
     found = set(raw.columns) - {"_file"}
     if odd := found ^ set(TRIP_COLUMNS):
-        raise ValueError(f"{path}: unexpected or missing columns {sorted(odd)}")
+        raise ValueError(f"{name}: unexpected or missing columns {sorted(odd)}")
     return raw.select(*[F.col(c).cast(t).alias(c) for c, t in TRIP_COLUMNS.items()], F.col("_file").alias("sourcefile_path"), F.current_timestamp().alias("load_timestamp_utc"))
 
 
-def ingest_trip_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+def ingest_trip_files(spark: SparkSession, paths: Iterable[str], readers: int = 16) -> DataFrame:
+    """Files in the fixed schema. Their schemas drift, so footers are read file by file (``readers`` at a time), and the files of each
+    schema are one read: the plan has as many branches as there are schemas, not files."""
+    paths = list(paths)
+    if not paths:
+        raise ValueError("no trip files")
+    with ThreadPoolExecutor(readers) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
+    alike: dict[str, tuple[StructType, list[str]]] = {}
+    for path, schema in zip(paths, schemas):
+        alike.setdefault(schema.json(), (schema, []))[1].append(path)
     out = None
-    for p in paths:
-        one = ingest_trip_file(spark, p)
+    for schema, same in alike.values():
+        one = _in_fixed_schema(spark.read.schema(schema).parquet(*same), same[0])
         out = one if out is None else out.unionByName(one)
-    if out is None:
-        raise ValueError("no trip files")
     return out
 
 
@@ -82,6 +91,11 @@ def extract(spark: SparkSession, text: str, params: dict[str, object], path: str
     return rows
 
 
+def extract_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """An extract's fingerprint and number of rows, from what was written."""
+    return spark.read.parquet(path).groupBy("query_sha256").agg(F.count("*").alias("n_rows"))
+
+
 def with_lineage(df: DataFrame, feature_run_id: str) -> DataFrame:
     if not feature_run_id:
         raise ValueError("an empty lineage id")
