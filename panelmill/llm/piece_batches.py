@@ -2,7 +2,7 @@
 
 The same recursion over the same lattice: nodes after each character, an edge for each piece, admitted if the piece and
 the one before it stay apart. All words of a batch take a step together; words with characters outside the vocabulary
-and very long ones are left to ``Pieces``.
+and words longer than the longest piece are left to the window of ``Pieces``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from panelmill.llm.pieces import MARK, Pieces
 from panelmill.llm.text import mix, word_hashes
 
 _P = np.uint64(0x5851F42D4C957F2D)
-LONG = 40
 PAIR_SLOTS = 1 << 21
 KEEP_WORDS = 2_000_000
 NONE = np.int32(-1)
@@ -214,7 +213,7 @@ class Batches:
         start = np.cumsum(length) - length
         counts = np.zeros(len(words), dtype=np.int64)
         flats, owners = [], []
-        slow = length > LONG
+        slow = length > self.pieces.longest
         order = np.argsort(length, kind="stable")
         order = order[~slow[order]]
         for lo in range(0, len(order), 32768):

@@ -1,8 +1,10 @@
 """Operator 9: SentencePiece encoding and decoding by a streaming Viterbi pass.
 
-The lattice has a node after every character and an edge for every piece of the vocabulary. The pass keeps backpointers
-for a window of a few times the longest piece; when the paths behind all nodes that a later piece could still start
-from meet in one node, the ids up to it are final, are put out, and the window moves there.
+The lattice has a node after every character and an edge for every piece of the vocabulary. The pass keeps backpointers for the
+characters since the last commit. From one longest piece on it asks, at every further character, whether the paths behind all
+nodes that a later piece could still start from meet in one node; the ids up to it are then final, are put out, and the window
+moves there. ``commits`` counts these, ``widest`` is the widest window there was: for the given vocabulary a few characters more
+than the longest piece, however long a text without spaces is.
 
 * Unigram models: an edge adds its score; the best sum wins (the usual Viterbi recursion).
 * BPE models (such as piece_bpe_32k): scores are merge ranks, and their best sum is not what the tokenizer puts out. So an
@@ -10,8 +12,11 @@ from meet in one node, the ids up to it are final, are put out, and the window m
   Merging never crosses a boundary of its own result, so exactly one admitted edge ends at each node, and the path is the
   encoding that BPE gives. ids equal the sentencepiece library's.
 
-No piece of the vocabulary reaches across a word start, so all paths meet there: texts are cut at word starts, and the
-ids of a word are kept for its next occurrence in a bounded table. A model with pieces across word starts isn't cut.
+No piece of the vocabulary reaches across a word start, so there only one node is left to start from and all paths meet: every word
+start commits. The pass therefore runs from one such commit to the next, and what it put out for a word is kept for the word's next
+occurrence in a bounded table. Words of up to one longest piece, which end before the window could move, take their steps together
+(piece_batches); all others, and texts with other spacing, go through the window character by character. Long texts are taken in
+parts of ``PART_BYTES`` that end at a commit. A model with pieces across word starts isn't cut.
 
 Characters without a piece become byte pieces. Nulls: a null text is an empty one, with no ids. A text that holds the mark
 U+2581 itself decodes to one with spaces there (``exact`` is false), as in the library; all others decode to themselves.
@@ -34,6 +39,7 @@ MARK = "▁"
 KEEP_WORDS = 400_000
 KEEP_PAIRS = 1_000_000
 WHOLE = 256
+PART_BYTES = 1 << 20
 
 
 def model_bytes(path: str) -> bytes:
@@ -57,6 +63,7 @@ class Pieces:
         self.cuts = not any(MARK in p.lstrip(MARK) for p in ids)
         self.words: dict[str, list[int]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.commits = self.widest = 0
         self.bytes_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.text_of = [self.bytes_of.get(i) or n.replace(MARK, " ").encode() for i, n in enumerate(names)]
 
@@ -104,9 +111,9 @@ class Pieces:
         piece: list[str] = [""]  # the piece that ends at start + k on the best path
         score = [0.0]
         before = ""  # the piece that ended at ``start``
-        check = 4 * longest
         for end in range(1, n + 1):
             k = end - start
+            self.widest = max(self.widest, k)
             found, best = text[end - 1], None
             for size in range(min(k, longest), 0, -1):
                 p = text[end - size : end]
@@ -124,7 +131,7 @@ class Pieces:
                     found, best = text[end - 1], alone
             piece.append(found)
             score.append(best or 0.0)
-            if k >= check:
+            if k >= longest and end < n:
                 live = set(range(max(0, k - longest + 1), k + 1))
                 while len(live) > 1:  # step the furthest node back until all paths meet
                     at = max(live)
@@ -132,15 +139,13 @@ class Pieces:
                     live.add(at - len(piece[at]))
                 meet = live.pop()
                 if meet:
+                    self.commits += 1
                     yield from self._path(piece, meet)
                     before = piece[meet]
                     start += meet
                     base = score[meet]
                     piece = ["", *piece[meet + 1 :]]
                     score = [s - base for s in score[meet:]]
-                    check = 4 * longest
-                else:
-                    check = k + longest
         yield from self._path(piece, n - start)
 
     @staticmethod
@@ -197,30 +202,54 @@ def _words(text: str) -> Iterator[str]:
         yield held[:-1]
 
 
-def encode_all(pieces: Pieces, raw: list[bytes]) -> list[np.ndarray]:
-    """The ids of each text. Texts whose words have single spaces between them are cut at the spaces and go together."""
+def _parts(text: bytes, size: int) -> Iterator[bytes]:
+    """The text cut before spaces (all paths meet there) into parts of about ``size``, the space between two parts left out."""
+    at = 0
+    while len(text) - at > size:
+        cut = text.find(b" ", at + size)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:]
+
+
+def encode_all(pieces: Pieces, raw: list[bytes], part_bytes: int = PART_BYTES) -> list[np.ndarray]:
+    """The ids of each text. Words of texts with single spaces between them go together, about ``part_bytes`` at a time."""
     from panelmill.llm.piece_batches import batches_of
 
     together = batches_of(pieces) if pieces.prefix else None
-    out: list[np.ndarray | None] = [None] * len(raw)
+    out: list[list[np.ndarray]] = [[] for _ in raw]
     words: list[bytes] = []
     sizes: list[tuple[int, int]] = []
+    held = 0
+
+    def flush() -> None:
+        if words:
+            ids, n = together.encode(words)
+            end = np.cumsum(n)
+            at = 0
+            for k, size in sizes:
+                lo = end[at - 1] if at else 0
+                at += size
+                out[k].append(ids[lo : end[at - 1]])
+            words.clear()
+            sizes.clear()
+
     for k, t in enumerate(raw):
         if together is not None and t and not (t[:1] == b" " or t[-1:] == b" " or b"  " in t or _MARK in t):
-            cut = t.split(b" ")
-            words += cut
-            sizes.append((k, len(cut)))
+            for part in _parts(t, part_bytes):
+                cut = part.split(b" ")
+                words.extend(cut)
+                sizes.append((k, len(cut)))
+                held += len(part)
+                if held >= part_bytes:
+                    flush()
+                    held = 0
         else:
-            out[k] = np.array(pieces.encode(t.decode()), dtype=np.int32)
-    if words:
-        ids, n = together.encode(words)
-        end = np.cumsum(n)
-        at = 0
-        for k, size in sizes:
-            lo = end[at - 1] if at else 0
-            at += size
-            out[k] = ids[lo : end[at - 1]]
-    return out
+            out[k].append(np.array(pieces.encode(t.decode()), dtype=np.int32))
+    flush()
+    return [x[0] if len(x) == 1 else np.concatenate([np.zeros(0, np.int32), *x]) for x in out]
 
 
 _MARK = MARK.encode()

@@ -537,6 +537,23 @@ def test_pieces_equal_the_library(docs, empty, spark):
     assert piece_batches.batches_of(loaded) is not None
 
 
+def test_windows_stay_near_the_longest_piece(spark):
+    """By way of the query's own steps: long texts without spaces commit as they go, and ids are the library's."""
+    import sentencepiece
+
+    model = pieces.model_bytes(pieces.default_model())
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    r = random.Random(10)
+    runs = ["".join(r.choice("etaoinshrdlucmfwypvbgk") for _ in range(30_000)), "the" * 9000, "ab" * 20_000, "日本語中文字" * 3000, _text(6000, 12).replace(" ", ""), "x" * 5000]
+    every = [*runs, f"some words {runs[0]} and {runs[4]} more", " ".join(_text(9, k) for k in range(60_000)), *[_text(200, k) for k in range(40)]]
+    loaded = pieces.Pieces.load(model)
+    assert [x.tolist() for x in pieces.encode_all(loaded, [t.encode() for t in every], 200_000)] == sp.encode(every)
+    assert loaded.widest <= 3 * loaded.longest  # a window is bounded by the longest piece, not by the text
+    assert loaded.commits > sum(map(len, runs)) / (3 * loaded.longest)
+    got = pieces.encode(spark.createDataFrame(list(enumerate(every)), "doc_id long, text string"), model).collect()
+    assert {x.doc_id: list(x.ids) for x in got} == dict(enumerate(sp.encode(every))) and all(x.exact for x in got)
+
+
 def test_streaming_unigram_is_the_best_sum():
     """A unigram vocabulary: the streamed path has the best sum, over texts far longer than the window."""
     vocabulary = {"a": -1.0, "b": -1.5, "ab": -1.8, "ba": -2.2, "aba": -2.5, "bab": -3.9, "▁": -1.0}
