@@ -10,7 +10,9 @@ written as Parquet and read again as the next one's docs. All but the last retur
 5. token_ids: SentencePiece ids of what is left.
 
 Nulls: a null text is an empty one (the first stage rejects it); a null doc_id is judged by its text and isn't dropped as
-anyone's duplicate. An empty table gives an empty table. Rows with equal doc_id stand or fall together.
+anyone's duplicate. An empty table gives an empty table. Rules and decontamination judge each row by its own text; rows with equal
+doc_id are one document to near-dedup, where they stand or fall together, and to repeated passages. run() deletes a stage's rows once
+the next one's are written.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.llm import decontaminate, pieces, rules, simhash, substrings
-from panelmill.session import written
+from panelmill.session import spent, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,5 +68,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        spent(before)
     return STAGES[-1][1](spark, docs, sf_dir)
