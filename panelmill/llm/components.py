@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.session import written
+from panelmill.session import spent, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -39,8 +39,9 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
     if before[0] == 0:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        now = written(_star(_star(now, True), False), name)
+        last, now = now, written(_star(_star(now, True), False), name)
         after = state(now)
+        spent(last)
         if tuple(after) == tuple(before):
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -30,6 +30,7 @@ RIDGE = 1e-3
 BINS = 1000
 CUT = 0.3
 SEED = 17
+SUMS = 2048  # partial sums of the normal equations, at most
 
 N_STATS = 18
 
@@ -129,7 +130,7 @@ def _ridge(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, features: int,
         yield pa.record_batch([pa.array(keys, pa.int64()), pa.array([total[k].tolist() for k in keys], pa.list_(pa.float64()))], names=["at", "sums"])
 
     schema = "at long, sums array<double>"
-    parts = rows.mapInArrow(sums, schema).repartition("at").mapInArrow(add, schema)
+    parts = rows.coalesce(SUMS).mapInArrow(sums, schema).repartition("at").mapInArrow(add, schema)
     a = np.zeros((d, d + 1))
     for at, row in parts.collect():  # features + 1 rows, whatever the input
         a[at] += np.array(row)

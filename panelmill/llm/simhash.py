@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.components import components
 from panelmill.llm.text import slices, texts
-from panelmill.session import written
+from panelmill.session import spent, written
 
 RADIUS = 3
 MAX_BUCKET = 1024
@@ -150,6 +150,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = RADIUS, max
     reached = components(edges, "simhash-cc")
     classes = firsts.join(reached, firsts.fp == reached.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     named = written(classes, "simhash-classes")
+    spent(firsts, edges)
     names = named.groupBy("class").agg(F.min("first").alias("component_id"))
     return marked.join(named.join(names, "class").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 

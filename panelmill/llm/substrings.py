@@ -16,7 +16,8 @@ that also starts earlier (smaller doc_id, or same document and earlier start).
    the automaton of their shard. Only its hits remove words: exact words that also start at the passage's first place. An
    automaton holds no more words than its shard's documents.
 
-Hashes only choose what is compared; a collision can't remove a word that isn't repeated.
+Hashes only choose what is compared; a collision can't remove a word that isn't repeated. Each step is a written table; one that no
+later step reads is deleted.
 
 Nulls: a null text is an empty one (nothing removed, digest of the empty string). A null doc_id has no place in the
 order: such rows are returned whole and remove nothing. Rows with equal doc_id are one document, whatever their texts: a place
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.llm.text import gram_hashes, slices, texts, word_hashes
-from panelmill.session import written
+from panelmill.session import spent, written
 
 WINDOW = 20
 ANCHOR = 10
@@ -206,7 +207,9 @@ def passages(docs: DataFrame, window: int, anchor: int, shards: int) -> DataFram
     ranges = ranges.groupBy("doc_id", "version").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n")).join(copies, ["doc_id", "version"], "left_anti")
     none = F.array().cast("array<int>")
     marks = written(ranges.join(originals, ["doc_id", "version"], "full_outer").withColumns({"lo": F.coalesce("lo", none), "n": F.coalesce("n", none)}), "repeats-ranges")
+    spent(places, hot, firsts, whole)
     found = written(_windows(docs.join(marks, ["doc_id", "version"]).select("doc_id", "version", "text", "lo", "n", "full"), window), "repeats-windows")
+    spent(marks)
     windows = found.where("words IS NULL").select("a", "b", "doc_id", "version", "pos")
     place = F.struct("doc_id", "pos")
     earliest = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
@@ -218,11 +221,15 @@ def passages(docs: DataFrame, window: int, anchor: int, shards: int) -> DataFram
     copied = copies.select(shard, F.col("original").alias("first_doc"), "windows", F.explode(F.sequence(F.lit(0), F.col("windows") - 1, F.lit(PIECE))).alias("first_pos"))
     copied = copied.select("shard", "first_doc", "first_pos", F.least(F.lit(PIECE), F.col("windows") - F.col("first_pos")).alias("n"))
     wanted = written(_runs(later.select(shard, "pos", "first_doc", "first_pos")).unionByName(copied).distinct(), "repeats-wanted")
+    spent(earliest, copies)
     block = lambda c: F.floor(F.col(c) / PIECE).alias("block")
     runs = wanted.select("first_doc", "first_pos", "n").distinct().groupBy("first_doc", block("first_pos")).agg(F.collect_list(F.struct("first_pos", "n")).alias("runs"))
     pieces = found.where("words IS NOT NULL").select(F.col("doc_id").alias("first_doc"), block("pos"), "pos", "words")
     cut = written(_cut(runs.join(pieces, ["first_doc", "block"]).select("first_doc", "pos", "words", "runs"), window).distinct(), "repeats-words")
-    return wanted.join(cut, ["first_doc", "first_pos", "n"]).select("shard", "first_doc", "first_pos", "text")
+    spent(found)
+    out = written(wanted.join(cut, ["first_doc", "first_pos", "n"]).select("shard", "first_doc", "first_pos", "text"), "repeats")
+    spent(wanted, cut)
+    return out
 
 
 class Automaton:
@@ -294,8 +301,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(size / shard_bytes))
     docs = _versions(docs, shards)
-    found = written(passages(docs.select("doc_id", "version", "text"), window, anchor, shards), "repeats")
-    return stream(docs, found, kind)
+    return stream(docs, passages(docs.select("doc_id", "version", "text"), window, anchor, shards), kind)
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -83,7 +83,7 @@ def write_flat(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, vocabulary: st
 
 
 def scan_flat(flat: DataFrame, separator: int, dtype: str = "<u2") -> DataFrame:
-    """A row for each document of each file: (file, ordinal, n_tokens, start), ordinal from 0, start in tokens of the file."""
+    """A row for each document of each file: (file, ordinal, n_tokens), ordinal from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

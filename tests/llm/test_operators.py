@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -349,6 +350,32 @@ def test_classifier_edge_cases(docs, empty, spark):
     assert quality.classify(empty, labels).count() == 0
 
 
+def test_classifier_equals_one_solved_at_once(spark):
+    """The query's whole chain over the smallest table against the same model solved in one place from all rows."""
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+    texts, marks = {r.doc_id: r.text for r in read("documents").collect()}, {r.doc_id: float(r.quality != 0) for r in read("labels").collect() if r.quality is not None}
+    x = {i: quality.statistics_of((t or "").encode()).astype(np.float32).astype(float) for i, t in texts.items()}
+    known = sorted(i for i in marks if i in x and zlib.crc32(str(i).encode()) % 5)
+    a = np.array([x[i] for i in known])
+    mean, scale = a.mean(axis=0), np.maximum(a.std(axis=0), 1e-3)
+    z = lambda rows: quality.fourier(np.array(rows), mean, scale, quality.FEATURES, quality.GAMMA)
+    y = np.array([marks[i] for i in known])
+    penalty = quality.RIDGE * len(known) * np.eye(quality.FEATURES + 1)
+    penalty[-1, -1] = 0
+    weights = np.linalg.solve(z(a).T @ z(a) + penalty, z(a).T @ y)
+    raw = dict(zip(x, np.clip(z(list(x.values())) @ weights, 0, 1)))
+    bins = collections.defaultdict(lambda: [0, 0.0])
+    for i, m in zip(known, y):
+        bins[int(raw[i] * quality.BINS)][0] += 1
+        bins[int(raw[i] * quality.BINS)][1] += m
+    at = np.array(sorted(bins))
+    level = quality.isotonic(np.array([bins[k][0] for k in at], float), np.array([bins[k][1] for k in at], float))
+    assert all(b >= a - 1e-12 for a, b in zip(level, level[1:]))
+    got = {r.doc_id: r.score for r in quality.classify(read("documents"), read("labels")).collect()}
+    want = {i: 0.999 * np.interp(r * quality.BINS, at + 0.5, level) + 0.001 * r for i, r in raw.items()}
+    assert set(got) == set(want) and sum(abs(got[i] - want[i]) < 1e-3 for i in want) >= 0.99 * len(want)
+
+
 def test_isotonic():
     assert quality.isotonic(np.ones(4), np.array([0.0, 1.0, 0.0, 1.0])).tolist() == [0.0, 0.5, 0.5, 1.0]
 
@@ -373,6 +400,42 @@ def test_rule_statistics(docs, empty, spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {10, 11, 12, 38}
 
 
+def test_verdicts_are_those_of_the_learned_list(spark):
+    """kept, rule and base_failed of the smallest table against statistics, cells and the list applied in plain Python."""
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+    marks = [(r.doc_id, r.quality) for r in read("labels").collect() if r.doc_id is not None and r.quality is not None]
+    got = {r.doc_id: r for r in rules.judge(read("documents"), read("labels")).collect()}
+    value, failed = {}, {}
+    for r in read("documents").collect():
+        w, t = words(r.text), r.text or ""
+        grams = collections.Counter(zip(w, w[1:], w[2:]))
+        repeat = len({k + j for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(3)})
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        solid, n = "".join(w), max(1, len(w))
+        value[r.doc_id] = {
+            "symbols_per_word": sum(c in "#*$%&|<>" for c in solid) / n,
+            "repeat_share": repeat / n,
+            "dup_line_share": (len(lines) - len(set(lines))) / max(1, len(lines)),
+            "chars_per_word": len(solid) / n,
+            "capital_share": sum(unicodedata.category(c) == "Lu" for c in solid) / max(1, len(solid)),
+            "marks_per_word": sum(c in "!?" for c in solid) / n,
+            "n_words": float(len(w)),
+        }
+        failed[r.doc_id] = len(w) < 50 or 100 * repeat > 50 * len(w)
+    counted = collections.Counter()
+    for i, q in marks:
+        if i in value:
+            cell = tuple(sum(value[i][m] >= t for t in cuts) for m, cuts in rules.THRESHOLDS.items())
+            counted[(int(zlib.crc32(str(i).encode()) % 3 == 0), *cell), q == 0] += 1
+    table = [(*key, counted[key, True], counted[key, False]) for key in {k for k, _ in counted}]
+    found = rules.learn(table)
+    holds = lambda c, v: (v[c.measure] >= c.threshold) == c.above
+    assert found.rules
+    for i, v in value.items():
+        rule = next((k for k, x in enumerate(found.rules, 1) if all(holds(c, v) for c in x.conditions)), 0)
+        assert (got[i].base_failed, got[i].rule, got[i].kept) == (failed[i], rule, not failed[i] and not rule), i
+
+
 def test_rules_are_learned():
     # parts 0 and 1; the second statistic decides
     thresholds = {"symbols_per_word": [0.1], "marks_per_word": [0.2, 0.4]}
@@ -640,6 +703,27 @@ def test_katz_keeps_rare_contexts(spark):
     assert abs(got[200].score - want) < 1e-9
 
 
+def test_very_long_texts(spark):
+    """A text far over every slice and part (7 MB, 900,000 words), its copy with a tail, and an item near its end."""
+    r = np.random.default_rng(12)
+    w = [VOCABULARY[k] for k in r.integers(0, len(VOCABULARY), 900_000)]
+    long = " ".join(w[:450_000]) + "\n" + " ".join(w[450_000:]) + " " + PASSAGE
+    made = [(1, long), (2, long + " tail"), (3, long), (4, None), (5, "short")]
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(2)
+    n = {i: len(words(t)) for i, t in made}
+    encoding, _ = token_counts.coder()
+    size = len(encoding.encode_ordinary(long))
+    counted = {x.doc_id: x.n_tokens for x in token_counts.count_tokens(docs).collect()}
+    assert counted[1] == counted[3] == size and counted[4] == 0
+    assert {(x.doc_id, x.item_id): x.score for x in decontaminate.contaminated(docs, spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")).collect()} == {(i, 1): 1.0 for i in (1, 2, 3)}
+    assert {x.doc_id: x.n_words for x in rules.statistics(docs).collect()} == n
+    gone = {x.doc_id: x.n_removed for x in substrings.remove_repeats(docs).collect()}
+    assert gone == {1: 0, 2: n[1], 3: n[3], 4: 0, 5: 0}
+    assert {x.doc_id: x.component_id for x in simhash.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+    scored = {x.doc_id: (x.n_tokens, x.score) for x in katz.score(docs).collect()}
+    assert {i: k for i, (k, _) in scored.items()} == {i: k + 1 for i, k in n.items()} and scored[1][1] == scored[3][1]
+
+
 def test_digest_queries_have_the_contract_columns(spark, tmp_path, docs):
     root = str(tmp_path)
     docs.write.parquet(f"{root}/documents.parquet")
