@@ -13,7 +13,7 @@ from panelmill.operators import features, forecast, gates, metrics, monitor, ori
 from panelmill.sources import files
 
 D = dt.date.fromisoformat
-SUNDAY = D("2025-01-05")
+SUNDAY = D("2023-04-02")
 
 
 def week(k: int) -> dt.date:
@@ -22,7 +22,7 @@ def week(k: int) -> dt.date:
 
 @pytest.fixture(scope="module")
 def cal(spark):
-    """16 weeks from 2025-01-05, four months of four weeks, five workdays each."""
+    """16 weeks, four months of four weeks, five workdays each."""
     rows = [(week(k), 202501 + k // 4, k % 4 + 1, 4, (k % 4 + 1) / 4, 5, k + 1, k // 4 + 1) for k in range(16)]
     return spark.createDataFrame(rows, "ds date, fiscal_year_month int, fiscal_week_of_month int, weeks_in_month int, origin_month_fraction_elapsed double, count_workdays int, week_index int, month_index int")
 
@@ -137,11 +137,11 @@ def test_month_to_date_and_remainder(spark, cal):
 
 
 def test_trim_drops_pairs_with_missing_or_doubled_weeks(spark, cal):
-    rows = frame(spark, {10: [1] * 8, 20: [1] * 7})
+    rows = frame(spark, {31: [1] * 8, 47: [1] * 7})
     kept, dropped = panel.trim_incomplete(rows, cal)
-    assert kept.count() == 12 and [(r.unique_id, r.fiscal_year_month, r.present, r.expected) for r in dropped.collect()] == [(20, 202502, 3, 4)]
-    doubled = rows.union(rows.where(f"unique_id = 10 AND ds = date'{week(1)}'"))
-    assert panel.trim_incomplete(doubled, cal)[0].where("unique_id = 10 AND fiscal_year_month = 202501").count() == 0
+    assert kept.count() == 12 and [(r.unique_id, r.fiscal_year_month, r.present, r.expected) for r in dropped.collect()] == [(47, 202502, 3, 4)]
+    doubled = rows.union(rows.where(f"unique_id = 31 AND ds = date'{week(1)}'"))
+    assert panel.trim_incomplete(doubled, cal)[0].where("unique_id = 31 AND fiscal_year_month = 202501").count() == 0
 
 
 def test_origins_of_one_month(spark, cal):
@@ -151,7 +151,7 @@ def test_origins_of_one_month(spark, cal):
     assert origins.last_complete_month(frame(spark, {1: [1] * 7}), cal).first().last_month == 202501
     starts = origins.start_months(cal, last, 1, 1, 1)
     got = [(r.forecast_origin_date, r.horizon) for r in origins.origins_for(starts, cal, 1).orderBy("forecast_origin_date").collect()]
-    assert got == [(D("2025-01-26"), 4), (D("2025-02-02"), 3), (D("2025-02-09"), 2), (D("2025-02-16"), 1)]
+    assert got == [(week(3), 4), (week(4), 3), (week(5), 2), (week(6), 1)]
 
 
 def test_horizon_labels_shift_at_a_month_end(spark):
@@ -290,7 +290,7 @@ def test_prefix_of_trees_is_the_model_fitted_with_fewer_rounds(spark, cal):
 
 @pytest.fixture(scope="module")
 def modelling(spark, cal):
-    rows = frame(spark, {10: [10.0 * k for k in range(1, 9)], 20: list(range(1, 9))})
+    rows = frame(spark, {11: [7.0 * k for k in range(1, 9)], 23: [k * k for k in range(1, 9)]})
     totals = panel.monthly_totals(rows, cal)
     pairs = totals.select("unique_id", "fiscal_year_month")
     spine = origins.spine(cal)
@@ -301,8 +301,8 @@ def modelling(spark, cal):
 def test_mtd_of_the_gate_fixture(modelling):
     _, table, _ = modelling
     got = {(r.unique_id, r.weeks_actualized): (r.mtd_revenue, r.actual_monthly_total) for r in table.where("target_month = 202502").collect()}
-    assert [got[10, k][0] for k in range(4)] == [0, 50, 110, 180] and [got[20, k][0] for k in range(4)] == [0, 5, 11, 18]
-    assert got[10, 0][1] == 260 and got[20, 0][1] == 26
+    assert [got[11, k][0] for k in range(4)] == [0, 35, 77, 126] and [got[23, k][0] for k in range(4)] == [0, 25, 61, 110]
+    assert got[11, 0][1] == 182 and got[23, 0][1] == 174
 
 
 def test_gates_pass_and_fail(spark, cal, modelling):
@@ -313,7 +313,7 @@ def test_gates_pass_and_fail(spark, cal, modelling):
     ok = lambda df: df.where("NOT ok").count() == 0 and df.count() > 0
     assert ok(gates.mtd_increments(table, rows, cal)) and ok(gates.total_reconciliation(table, rows, cal))
     assert ok(gates.remaining_identity(features.remaining_target(table), rows, cal))
-    wrong = table.withColumn("mtd_revenue", F.when((F.col("unique_id") == 10) & (F.col("weeks_actualized") == 2), F.col("mtd_revenue") + 1).otherwise(F.col("mtd_revenue")))
+    wrong = table.withColumn("mtd_revenue", F.when((F.col("unique_id") == 11) & (F.col("weeks_actualized") == 2), F.col("mtd_revenue") + 1).otherwise(F.col("mtd_revenue")))
     assert not ok(gates.mtd_increments(wrong, rows, cal))
     assert not ok(gates.total_reconciliation(table.withColumn("actual_monthly_total", F.col("actual_monthly_total") + 1), rows, cal))
     feats = features.weekly_features(rows, [1, 2])
@@ -340,7 +340,7 @@ def test_lineage_parity_merge(spark, modelling):
     stamped = files.with_lineage(rows, "r1")
     assert gates.single_lineage(stamped, expected="r1").count() == 0
     assert gates.single_lineage(stamped.union(files.with_lineage(rows, "r2"))).count() == 1
-    assert gates.parity(rows, rows.withColumn("y", F.col("y") + (F.col("unique_id") == 10).cast("int")), ["unique_id", "ds"], [], ["y"]).count() == 8
+    assert gates.parity(rows, rows.withColumn("y", F.col("y") + (F.col("unique_id") == 11).cast("int")), ["unique_id", "ds"], [], ["y"]).count() == 8
     a = rows.withColumnRenamed("ds", "forecast_origin_date")
     with pytest.raises(gates.GateError, match="overlap"):
         gates.merge_parts(a, a)
