@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from panelmill.session import written
 
 SPACE = r"[\x20\x09-\x0D]+"
-SYMBOLS = "[^#*$%&|<>]+"
+BLANKS = " \t\n\x0b\x0c\r"
+SYMBOLS = "#*$%&|<>"
 
 #: What a threshold may be, for each statistic; the last two settings bound the list.
 THRESHOLDS: dict[str, list[float]] = {
@@ -56,22 +57,17 @@ def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
         *held,
         F.array_remove(F.split("text", SPACE, -1), "").alias("words"),
         F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        F.regexp_replace("text", SPACE, "").alias("solid"),
+        F.translate("text", BLANKS, "").alias("solid"),
     ).withColumn("n", F.size("words"))
-    # Windows sorted by hash, then text: equal ones are neighbours, whatever the hash does.
+    # Windows sorted by 96 bits of hash: equal ones are neighbours. Neighbours count if their words are equal.
     windows = F.when(
         F.col("n") >= 3,
-        F.expr(
-            "array_sort(transform(transform(sequence(0, n - 3), i -> concat_ws(' ', words[i], words[i + 1], words[i + 2])),"
-            " (t, i) -> struct(xxhash64(t) AS h, t AS t, i AS i)))"
-        ),
-    ).otherwise(F.expr("cast(array() AS array<struct<h: bigint, t: string, i: int>>)"))
-    twice = F.expr(
-        "array_sort(filter(transform(w, (x, j) -> CASE WHEN (j > 0 AND get(w, j - 1).h = x.h AND get(w, j - 1).t = x.t)"
-        " OR (get(w, j + 1).h = x.h AND get(w, j + 1).t = x.t) THEN x.i ELSE -1 END), i -> i >= 0))"
-    )
+        F.expr("array_sort(transform(sequence(0, n - 3), i -> struct(xxhash64(words[i], words[i + 1], words[i + 2]) AS h, hash(words[i + 2], words[i], words[i + 1]) AS g, i AS i)))"),
+    ).otherwise(F.expr("cast(array() AS array<struct<h: bigint, g: int, i: int>>)"))
+    same = "(get(w, {j}).h = x.h AND get(w, {j}).g = x.g AND words[get(w, {j}).i] = words[x.i] AND words[get(w, {j}).i + 1] = words[x.i + 1] AND words[get(w, {j}).i + 2] = words[x.i + 2])"
+    twice = F.expr(f"array_sort(filter(transform(w, (x, j) -> CASE WHEN (j > 0 AND {same.format(j='j - 1')}) OR {same.format(j='j + 1')} THEN x.i ELSE -1 END), i -> i >= 0))")
     covered = F.expr("aggregate(twice, struct(-3 AS p, 0L AS c), (a, i) -> struct(i AS p, a.c + least(3, i - a.p) AS c), a -> a.c)")
-    count = lambda kept: F.length(F.regexp_replace("solid", kept, "")).cast("long")
+    count = lambda marks: (F.length("solid") - F.length(F.translate("solid", marks, ""))).cast("long")
     return (
         parts.withColumn("w", windows)
         .withColumn("twice", twice)
@@ -83,8 +79,8 @@ def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
             (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
             covered.alias("n_repeat_words"),
             F.size("lines").cast("long").alias("n_lines"),
-            count(r"[^\p{Lu}]+").alias("n_capitals"),
-            count("[^!?]+").alias("n_marks"),
+            F.length(F.regexp_replace("solid", r"[^\p{Lu}]+", "")).cast("long").alias("n_capitals"),
+            count("!?").alias("n_marks"),
             *held,
         )
     )
