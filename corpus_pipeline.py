@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     later = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("later_doc_id")).distinct(), "later-copies")
-    return docs.join(later, F.col("doc_id") == F.col("later_doc_id"), "left_anti")
+    return docs.join(later, docs["doc_id"] == later["later_doc_id"], "left_anti")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

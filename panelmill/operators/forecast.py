@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.ml import Model
@@ -131,15 +132,16 @@ def prefix_prediction(model: Model, rows: DataFrame, grid: list[int]) -> DataFra
     return rows.withColumn("prediction", made).drop(*[f"tree_{i}" for i in range(len(model.trees))])
 
 
-def predict_boosted(model: Model, panel: DataFrame, calendar: DataFrame, origins: DataFrame, grid: list[int] | None = None) -> DataFrame:
+def predict_boosted(models: list[Model], panel: DataFrame, calendar: DataFrame, origins: DataFrame, grid: list[int] | None = None) -> DataFrame:
     """Recursive forecasts from every origin, (rounds, forecast_origin_date, unique_id, ds, ypred): each step's forecast becomes the next
-    step's lag. ``origins`` has forecast_origin_date and horizon (weeks); ``grid`` gives numbers of rounds (all trees if None).
+    step's lag. ``origins`` has forecast_origin_date, horizon (weeks) and fit, the place of its model in ``models``; ``grid`` gives numbers
+    of rounds (all trees if None).
 
     All origins and numbers of rounds take a step together; the loop has as many steps as the longest horizon has weeks, and each is
     written, so lineage doesn't grow. Levels are as of each origin."""
-    grid = grid or [len(model.trees)]
+    grid = grid or [len(models[0].trees)]
     each = F.explode(F.array(*map(F.lit, grid))).alias("rounds")
-    cases = origins.select("forecast_origin_date", "horizon", each)
+    cases = origins.select("forecast_origin_date", "horizon", "fit", each)
     window = Window.partitionBy("forecast_origin_date", "unique_id").orderBy(F.desc("ds"))
     seen = panel.join(F.broadcast(origins.select("forecast_origin_date")), F.col("ds").between(F.date_sub("forecast_origin_date", 7 * 59), F.col("forecast_origin_date")))
     recent = seen.withColumn("k", F.row_number().over(window)).where("k <= 52").groupBy("forecast_origin_date", "unique_id")
@@ -150,11 +152,12 @@ def predict_boosted(model: Model, panel: DataFrame, calendar: DataFrame, origins
     steps = origins.agg(F.max("horizon")).first()[0] or 0
     for k in range(1, steps + 1):
         ds = F.date_add("forecast_origin_date", 7 * k)
-        new = level.join(F.broadcast(cases.where(F.col("horizon") >= k)), "forecast_origin_date").select("forecast_origin_date", "unique_id", ds.alias("ds"), F.lit(None).cast("double").alias("y"), "horizon", "rounds")
+        new = level.join(F.broadcast(cases.where(F.col("horizon") >= k)), "forecast_origin_date").select("forecast_origin_date", "unique_id", ds.alias("ds"), F.lit(None).cast("double").alias("y"), "horizon", "fit", "rounds")
         rows = known.where(F.col("ds") > F.date_add("forecast_origin_date", 7 * (k - 58))).unionByName(new)
         rows = on_calendar(rows, calendar).join(level, ["forecast_origin_date", "unique_id"]).withColumn("scaled", F.col("y") / F.col("level"))
         made = assemble.transform(_with_features(rows, key).where(F.col("ds") == ds))
-        step = prefix_prediction(model, made, grid).select("forecast_origin_date", "unique_id", "ds", (F.greatest(F.col("prediction"), F.lit(0.0)) * F.col("level")).alias("y"), "horizon", "rounds")
+        made = reduce(DataFrame.unionByName, [prefix_prediction(m, made.where(F.col("fit") == i), grid) for i, m in enumerate(models)])
+        step = made.select("forecast_origin_date", "unique_id", "ds", (F.greatest(F.col("prediction"), F.lit(0.0)) * F.col("level")).alias("y"), "horizon", "fit", "rounds")
         before, known = known, written(known.unionByName(step), "recursion")
         spent(before)
     return known.where("ds > forecast_origin_date").select(*key, "ds", F.col("y").alias("ypred"))
@@ -163,13 +166,10 @@ def predict_boosted(model: Model, panel: DataFrame, calendar: DataFrame, origins
 def boosted_from_origins(panel: DataFrame, calendar: DataFrame, origins: DataFrame, rounds: int = 10, refit_every: int = 8) -> DataFrame:
     """Forecasts from all origins. Every ``refit_every`` of them share a model, fitted on what the first of them knows."""
     dates = [r[0] for r in origins.select("forecast_origin_date").distinct().orderBy("forecast_origin_date").collect()]  # one row a week
-    out = None
-    for at in range(0, len(dates), refit_every):
-        group = dates[at : at + refit_every]
-        model = fit_boosted(panel.where(F.col("ds") <= F.lit(group[0])), calendar, rounds)
-        made = predict_boosted(model, panel, calendar, origins.where(F.col("forecast_origin_date").isin(group)))
-        out = made if out is None else out.unionByName(made)
-    return out.drop("rounds")
+    firsts = dates[::refit_every]
+    models = [fit_boosted(panel.where(F.col("ds") <= F.lit(d)), calendar, rounds) for d in firsts]
+    fit = sum(((F.col("forecast_origin_date") >= F.lit(d)).cast("int") for d in firsts[1:]), F.lit(0))
+    return predict_boosted(models, panel, calendar, origins.withColumn("fit", fit)).drop("rounds")
 
 
 def fitted(model: Model, panel: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -184,12 +184,10 @@ class Study:
     @cached_property
     def calibration_months(self) -> DataFrame:
         """Held-out months: one fit at most rounds for each calibration origin, forecasts of every number of rounds, and what came true."""
-        rows = None
-        for at, horizon in [tuple(r) for r in self.calibration_origins.select("forecast_origin_date", "horizon").orderBy("forecast_origin_date").collect()]:
-            origin = self.calibration_origins.where(F.col("forecast_origin_date") == F.lit(at))
-            model = forecast.fit_boosted(self.panel.where(F.col("ds") <= F.lit(at)), self.calendar, rounds=max(ROUNDS))
-            made = forecast.predict_boosted(model, self.panel, self.calendar, origin, ROUNDS)
-            rows = made if rows is None else rows.unionByName(made)
+        dates = [r[0] for r in self.calibration_origins.select("forecast_origin_date").orderBy("forecast_origin_date").collect()]  # three
+        models = [forecast.fit_boosted(self.panel.where(F.col("ds") <= F.lit(d)), self.calendar, rounds=max(ROUNDS)) for d in dates]
+        fit = sum(((F.col("forecast_origin_date") >= F.lit(d)).cast("int") for d in dates[1:]), F.lit(0))
+        rows = forecast.predict_boosted(models, self.panel, self.calendar, self.calibration_origins.withColumn("fit", fit), ROUNDS)
         components = rollup.combine(rollup.month_to_date(self.panel, self.calibration_origins, self.calendar), rollup.predicted_remaining(rows.withColumn("model", F.col("rounds").cast("string")), self.calendar))
         past = forecast.history(self.panel, self.calibration_origins, self.calendar, 52)
         made = rollup.monthly_series(components, self.totals, rollup.tiers(past), rollup.weights(past), self.calibration_origins, self.calendar, self.last)

@@ -275,14 +275,14 @@ def test_calibration_scores_by_the_given_function(spark):
 def test_prefix_of_trees_is_the_model_fitted_with_fewer_rounds(spark, cal):
     rows = frame(spark, {i: [10 * i + (k * i) % 5 for k in range(14)] for i in range(1, 7)})
     cal = cal.withColumn("holiday_days_in_week", F.lit(0))
-    o = spark.createDataFrame([(week(12), 13, 3), (week(11), 12, 2)], "forecast_origin_date date, origin_week int, horizon int")
+    o = spark.createDataFrame([(week(12), 13, 3, 0), (week(11), 12, 2, 0)], "forecast_origin_date date, origin_week int, horizon int, fit int")
     train = rows.where(F.col("ds") <= F.lit(week(11)))
     many, few = (forecast.fit_boosted(train, cal, rounds=n, depth=2) for n in (4, 2))
-    a = forecast.predict_boosted(many, rows, cal, o, [2, 4]).where("rounds = 2")
-    b = forecast.predict_boosted(few, rows, cal, o)
+    a = forecast.predict_boosted([many], rows, cal, o, [2, 4]).where("rounds = 2")
+    b = forecast.predict_boosted([few], rows, cal, o)
     assert a.count() == 6 * (3 + 2) and gates.parity(a, b, ["forecast_origin_date", "unique_id", "ds"], [], ["ypred"]).count() == 0
     later = rows.withColumn("y", F.when(F.col("ds") > F.lit(week(12)), 1e6).otherwise(F.col("y")))
-    assert gates.parity(b, forecast.predict_boosted(few, later, cal, o), ["forecast_origin_date", "unique_id", "ds"], [], ["ypred"]).count() == 0  # nothing after an origin counts
+    assert gates.parity(b, forecast.predict_boosted([few], later, cal, o), ["forecast_origin_date", "unique_id", "ds"], [], ["ypred"]).count() == 0  # nothing after an origin counts
 
 
 # -- modelling table and gates ------------------------------------------------------------------------
