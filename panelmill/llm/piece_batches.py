@@ -155,6 +155,8 @@ class Batches:
     def _lattice(self, chars: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids from last to first for each word, and whether a character has no piece."""
         n, width = chars.shape
+        if width > self.pieces.longest:
+            raise ValueError("a word is wider than the window")
         last = np.full((n, width + 1), self.unknown, dtype=np.int64)
         step = np.ones((n, width + 1), dtype=np.int64)
         odd = np.zeros(n, dtype=bool)
@@ -190,6 +192,7 @@ class Batches:
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and their number for each word. Each word gets a mark before it."""
         h = word_hashes(words)
+        self.pieces.commits += len(words)  # all paths meet at each word's start
         keys, first, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) > KEEP_WORDS:
             self.forget()

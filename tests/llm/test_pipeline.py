@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sentencepiece
+from pyspark.sql import functions as F
 from tests.llm.helpers import brute_components, brute_repeats, fingerprint, words
 
 import corpus_pipeline
@@ -44,6 +45,11 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+    clashing = {c: F.lit(7) for c in ("later_doc_id", "fp", "row", "rest", "shard", "version", "component_id", "kept")}
+    more = docs.withColumns(clashing)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, more, SF)
+        assert got.columns == more.columns and got.select("row").distinct().collect() == [(7,)]
     none = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, SF).count() == 0
