@@ -59,13 +59,13 @@ def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
         F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.translate("text", BLANKS, "").alias("solid"),
     ).withColumn("n", F.size("words"))
-    # Windows sorted by 96 bits of hash: equal ones are neighbours. Neighbours count if their words are equal.
+    # Windows sorted by hash and place: equal ones are neighbours. Neighbours of one hash count if their words are equal.
     windows = F.when(
         F.col("n") >= 3,
-        F.expr("array_sort(transform(sequence(0, n - 3), i -> struct(xxhash64(words[i], words[i + 1], words[i + 2]) AS h, hash(words[i + 2], words[i], words[i + 1]) AS g, i AS i)))"),
-    ).otherwise(F.expr("cast(array() AS array<struct<h: bigint, g: int, i: int>>)"))
-    same = "(get(w, {j}).h = x.h AND get(w, {j}).g = x.g AND words[get(w, {j}).i] = words[x.i] AND words[get(w, {j}).i + 1] = words[x.i + 1] AND words[get(w, {j}).i + 2] = words[x.i + 2])"
-    twice = F.expr(f"array_sort(filter(transform(w, (x, j) -> CASE WHEN (j > 0 AND {same.format(j='j - 1')}) OR {same.format(j='j + 1')} THEN x.i ELSE -1 END), i -> i >= 0))")
+        F.expr("sort_array(transform(sequence(0, n - 3), i -> struct(xxhash64(words[i], words[i + 1], words[i + 2]) AS h, i AS i)))"),
+    ).otherwise(F.expr("cast(array() AS array<struct<h: bigint, i: int>>)"))
+    same = "(get(w, {j}).h = x.h AND words[get(w, {j}).i] = words[x.i] AND words[get(w, {j}).i + 1] = words[x.i + 1] AND words[get(w, {j}).i + 2] = words[x.i + 2])"
+    twice = F.expr(f"sort_array(filter(transform(w, (x, j) -> CASE WHEN (j > 0 AND {same.format(j='j - 1')}) OR {same.format(j='j + 1')} THEN x.i ELSE -1 END), i -> i >= 0))")
     covered = F.expr("aggregate(twice, struct(-3 AS p, 0L AS c), (a, i) -> struct(i AS p, a.c + least(3, i - a.p) AS c), a -> a.c)")
     count = lambda marks: (F.length("solid") - F.length(F.translate("solid", marks, ""))).cast("long")
     return (
