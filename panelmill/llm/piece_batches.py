@@ -39,6 +39,7 @@ class Batches:
         self.pieces = pieces
         names = list(pieces.ids)
         ids = np.array([pieces.ids[p] for p in names], dtype=np.int64)
+        self.breaks = not any("\n" in p for p in names)  # no piece holds a line break: all paths meet before and after one
         self.whole = pieces.bpe and pieces.cuts and all(c in pieces.ids for c in set("".join(names)))
         if not self.whole:
             return
@@ -189,10 +190,17 @@ class Batches:
             rows = rows[at[rows] > 0]
         return np.stack(columns, axis=1), odd
 
+    def cut(self, text: bytes) -> list[bytes]:
+        """The words of a text with single spaces, each with the space before it (also the first), and its line breaks."""
+        text = (b" " + text).replace(b" ", b"\0 ")
+        if self.breaks:
+            text = text.replace(b"\n", b"\0\n\0")
+        return list(filter(None, text.split(b"\0")))
+
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and their number for each word. Each word gets a mark before it."""
+        """Ids of all words one after another, and their number for each word. A space in a word stands for a mark."""
         h = word_hashes(words)
-        self.pieces.commits += len(words)  # all paths meet at each word's start
+        self.pieces.commits += len(words)  # all paths meet where a word starts
         keys, first, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) > KEEP_WORDS:
             self.forget()
@@ -208,11 +216,11 @@ class Batches:
 
     def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
         mark = MARK.encode()
-        joined = np.frombuffer((mark + mark.join(words)).decode().encode("utf-32-le"), dtype=np.uint32)
+        joined = np.frombuffer(b"".join(words).replace(b" ", mark).decode().encode("utf-32-le"), dtype=np.uint32)
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         bytes_at = np.cumsum([0, *map(len, words)])
         heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        length = heads[bytes_at[1:]] - heads[bytes_at[:-1]] + 1
+        length = heads[bytes_at[1:]] - heads[bytes_at[:-1]]
         start = np.cumsum(length) - length
         counts = np.zeros(len(words), dtype=np.int64)
         flats, owners = [], []
@@ -232,7 +240,7 @@ class Batches:
             owners.append(np.repeat(o, counts[o]))
             slow[o[odd]] = True
         for i in np.flatnonzero(slow).tolist():
-            got = np.array(self.pieces._ids(MARK + words[i].decode()), dtype=np.int64)
+            got = np.array(self.pieces._ids(words[i].decode().replace(" ", MARK)), dtype=np.int64)
             counts[i] = len(got)
             flats.append(got)
             owners.append(np.full(len(got), i))

@@ -12,8 +12,8 @@ than the longest piece, however long a text without spaces is.
   Merging never crosses a boundary of its own result, so exactly one admitted edge ends at each node, and the path is the
   encoding that BPE gives. ids equal the sentencepiece library's.
 
-No piece of the vocabulary reaches across a word start, so there only one node is left to start from and all paths meet: every word
-start commits. The pass therefore runs from one such commit to the next, and what it put out for a word is kept for the word's next
+No piece of the vocabulary reaches across a word start or a line break, so there only one node is left to start from and all paths
+meet: each of them commits. The pass therefore runs from one such commit to the next, and what it put out for a word is kept for the word's next
 occurrence in a bounded table. Words of up to one longest piece, which end before the window could move, take their steps together
 (piece_batches); all others, and texts with other spacing, go through the window character by character. Long texts are taken in
 parts of ``PART_BYTES`` that end at a commit. A model with pieces across word starts isn't cut.
@@ -237,9 +237,9 @@ def encode_all(pieces: Pieces, raw: list[bytes], part_bytes: int = PART_BYTES) -
             sizes.clear()
 
     for k, t in enumerate(raw):
-        if together is not None and t and not (t[:1] == b" " or t[-1:] == b" " or b"  " in t or _MARK in t):
+        if together is not None and t and not (t[:1] == b" " or b"  " in t or b"\0" in t or _MARK in t):
             for part in _parts(t, part_bytes):
-                cut = part.split(b" ")
+                cut = together.cut(part)
                 words.extend(cut)
                 sizes.append((k, len(cut)))
                 held += len(part)
