@@ -45,6 +45,7 @@ WINDOW = 20
 ANCHOR = 10
 PIECE = 256
 SHARD_BYTES = 4 << 20
+SHARDS_A_TASK = 4
 
 
 class Slice:
@@ -262,8 +263,9 @@ class Automaton:
         return [w for w, k in zip(words, keep.tolist()) if k]
 
 
-def stream(docs: DataFrame, passages: DataFrame, kind: str = "int") -> DataFrame:
-    """All documents (doc_id, text, shard, rest) through the automata of their shards' passages."""
+def stream(docs: DataFrame, passages: DataFrame, shards: int, kind: str = "int") -> DataFrame:
+    """All documents (doc_id, text, shard, rest) through the automata of their shards' passages; a task has a few shards, whatever the
+    input and the session's number of partitions."""
     each = passages.select("shard", F.lit(0).alias("document"), F.col("first_doc").alias("doc_id"), F.col("first_pos").alias("pos"), "text", F.lit(None).cast(kind).alias("rest"))
     each = each.unionByName(docs.select("shard", F.lit(1).alias("document"), "doc_id", F.lit(None).cast("int").alias("pos"), "text", "rest"))
 
@@ -288,7 +290,7 @@ def stream(docs: DataFrame, passages: DataFrame, kind: str = "int") -> DataFrame
             at = pa.array(rows, pa.int64())
             yield pa.record_batch([b.column(2).take(at), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), b.column(5).take(at)], names=["doc_id", "n_words", "n_removed", "text", "rest"])
 
-    return each.repartition("shard").sortWithinPartitions("shard", "document").mapInArrow(run, f"doc_id long, n_words long, n_removed long, text string, rest {kind}")
+    return each.repartition(max(1, shards // SHARDS_A_TASK), "shard").sortWithinPartitions("shard", "document").mapInArrow(run, f"doc_id long, n_words long, n_removed long, text string, rest {kind}")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -301,7 +303,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(size / shard_bytes))
     docs = _versions(docs, shards)
-    return stream(docs, passages(docs.select("doc_id", "version", "text"), window, anchor, shards), kind)
+    return stream(docs, passages(docs.select("doc_id", "version", "text"), window, anchor, shards), shards, kind)
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -487,7 +487,7 @@ def test_substrings_go_by_hits_alone(docs):
     at = {i: words(t) for i, t in TEXTS}
     cut = found.collect()
     assert {x.first_doc for x in cut} >= {10, 32} and all(at[x.first_doc][x.first_pos :][: len(x.text.split(" "))] == x.text.split(" ") for x in cut)
-    removed = lambda p: {x.doc_id for x in substrings.stream(keyed, p).where("n_removed > 0").collect()}
+    removed = lambda p: {x.doc_id for x in substrings.stream(keyed, p, 3).where("n_removed > 0").collect()}
     assert removed(found) >= {30, 31, 33, 34} and not removed(found.where("false"))
     assert removed(found.where("first_doc = 32")) == {33, 34}
 
