@@ -139,6 +139,7 @@ def predict_boosted(models: list[Model], panel: DataFrame, calendar: DataFrame,
 
     All origins and numbers of rounds take a step together; the loop has as many steps as the longest horizon has weeks, and each is
     written, so lineage doesn't grow. Levels are as of each origin."""
+    predict = (lambda m, rows: prefix_prediction(m, rows, grid)) if grid else (lambda m, rows: m.transform(rows))
     grid = grid or [len(models[0].trees)]
     each = F.explode(F.array(*map(F.lit, grid))).alias("rounds")
     cases = origins.select("forecast_origin_date", "horizon", "fit", each)
@@ -156,7 +157,7 @@ def predict_boosted(models: list[Model], panel: DataFrame, calendar: DataFrame,
         rows = known.where(F.col("ds") > F.date_add("forecast_origin_date", 7 * (k - 58))).unionByName(new)
         rows = on_calendar(rows, calendar).join(level, ["forecast_origin_date", "unique_id"]).withColumn("scaled", F.col("y") / F.col("level"))
         made = assemble.transform(_with_features(rows, key).where(F.col("ds") == ds))
-        made = reduce(DataFrame.unionByName, [prefix_prediction(m, made.where(F.col("fit") == i), grid) for i, m in enumerate(models)])
+        made = reduce(DataFrame.unionByName, [predict(m, made.where(F.col("fit") == i)) for i, m in enumerate(models)])
         step = made.select("forecast_origin_date", "unique_id", "ds", (F.greatest(F.col("prediction"), F.lit(0.0)) * F.col("level")).alias("y"), "horizon", "fit", "rounds")
         before, known = known, written(known.unionByName(step), "recursion")
         spent(before)
