@@ -10,6 +10,7 @@ from panelmill.llm.pieces import op9_sentencepiece
 from panelmill.llm.quality import op5_quality_classifier
 from panelmill.llm.rules import op6_quality_rules
 from panelmill.llm.simhash import op8_simhash
+from panelmill.llm.spelling import op13_spelling_variants
 from panelmill.llm.substrings import op7_substring_dedup
 from panelmill.llm.token_counts import op1_token_counts
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_katz": op10_katz,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {}
 
