@@ -12,6 +12,7 @@ from panelmill.llm.rules import op6_quality_rules
 from panelmill.llm.simhash import op8_simhash
 from panelmill.llm.spelling import op13_spelling_variants
 from panelmill.llm.substrings import op7_substring_dedup
+from panelmill.llm.suffixes import op11_suffix_dedup
 from panelmill.llm.token_counts import op1_token_counts
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_katz": op10_katz,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {}
