@@ -14,6 +14,7 @@ from panelmill.llm.spelling import op13_spelling_variants
 from panelmill.llm.substrings import op7_substring_dedup
 from panelmill.llm.suffixes import op11_suffix_dedup
 from panelmill.llm.token_counts import op1_token_counts
+from panelmill.llm.tries import op12_prefix_trie
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_katz": op10_katz,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {}
