@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,12 +21,6 @@ def yearweek(year: Column, week: Column) -> Column:
     return (year * 100 + week).cast("int")
 
 
-def fiscal_month_of(week: Column) -> Column:
-    """4-4-5 month of a fiscal week; week 53 belongs to month 12."""
-    w = week - 1
-    return F.when(week == 53, F.lit(12)).otherwise(3 * F.floor(w / 13) + F.least(F.lit(3), F.floor((w % 13) / 4) + 1)).cast("int")
-
-
 def harmonics(d: Column) -> tuple[Column, Column]:
     angle = 2 * F.pi() * F.dayofyear(d) / 365.25
     return F.sin(angle), F.cos(angle)
@@ -52,6 +48,38 @@ def fiscal_years(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence(F.year("first") - 1, F.year("last") + 1)).alias("fiscal_year"))
 
 
+#: Days of a fiscal year's months: 4, 4 and 5 weeks a quarter; a long year has a week more at its end.
+REGULAR_YEAR = [28, 28, 35] * 4
+LONG_YEAR = [28, 28, 35] * 3 + [28, 28, 42]
+
+
+def year_table(spark: SparkSession, years: Iterable[int], long_years: Iterable[int] = ()) -> DataFrame:
+    """(fiscal_year, month_days): the days of each month of the given years."""
+    rows = [(y, LONG_YEAR if y in set(long_years) else REGULAR_YEAR) for y in years]
+    return spark.createDataFrame(rows, "fiscal_year int, month_days array<int>")
+
+
+def ruled_years(years: DataFrame) -> DataFrame:
+    """The default where no table is given, (fiscal_year, start, month_days): a year starts on the Sunday nearest to 1 January and is long
+    if that makes it so."""
+    days = F.datediff(year_start(F.col("fiscal_year") + 1), year_start(F.col("fiscal_year")))
+    lengths = F.when(days == sum(LONG_YEAR), F.array(*map(F.lit, LONG_YEAR))).otherwise(F.array(*map(F.lit, REGULAR_YEAR)))
+    return years.select(F.col("fiscal_year").cast("int").alias("fiscal_year"), year_start(F.col("fiscal_year")).alias("start"), lengths.alias("month_days"))
+
+
+def given_years(table: DataFrame, first_sunday: str) -> DataFrame:
+    """(fiscal_year, start, month_days) of a year table whose first year starts on ``first_sunday``; each year starts where the one before
+    ends. A table with a year missing or twice, a year of broken weeks, or a first day that is no Sunday is an error."""
+    total = F.aggregate("month_days", F.lit(0), lambda s, n: s + n)
+    before = Window.orderBy("fiscal_year").rowsBetween(Window.unboundedPreceding, -1)
+    rows = table.select("fiscal_year", "month_days", total.alias("days"))
+    first = F.to_date(F.lit(first_sunday))
+    checked = rows.agg(F.count_if((F.col("days") % 7 != 0) | F.col("days").isNull()).alias("broken"), F.count("*").alias("n"), F.countDistinct("fiscal_year").alias("years"), (F.max("fiscal_year") - F.min("fiscal_year") + 1).alias("span"), F.first(F.dayofweek(first)).alias("day")).first()
+    if checked.broken or checked.n == 0 or not checked.n == checked.years == checked.span or checked.day != 1:
+        raise ValueError(f"a calendar needs consecutive years of whole weeks from a Sunday on: {checked.asDict()}")
+    return rows.select("fiscal_year", F.date_add(first, F.coalesce(F.sum("days").over(before), F.lit(0)).cast("int")).alias("start"), "month_days")  # a row a year
+
+
 def holiday_table(years: DataFrame) -> DataFrame:
     """Holidays are an input table: (date, holiday_name)."""
     each = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(name).alias("name")) for m, d, name in HOLIDAYS])
@@ -60,14 +88,14 @@ def holiday_table(years: DataFrame) -> DataFrame:
 
 
 def date_dimension(years: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
-    """One row for each date of the fiscal years: fiscal and Gregorian attributes, weekend, holiday and daylight-saving flags."""
-    year = F.col("fiscal_year")
-    days = years.select(year.cast("int").alias("fiscal_year"), year_start(year).alias("start"), F.explode(F.sequence(year_start(year), F.date_sub(year_start(year + 1), 1))).alias("date"))
-    days = days.withColumn("fiscal_week", (F.floor(F.datediff("date", "start") / 7) + 1).cast("int"))
-    days = days.withColumn("fiscal_month", fiscal_month_of(F.col("fiscal_week")))
-    month = F.col("fiscal_month") - 1
-    first_week = 13 * F.floor(month / 3) + 4 * (month % 3) + 1
-    days = days.withColumn("fiscal_week_of_month", (F.col("fiscal_week") - first_week + 1).cast("int"))
+    """One row for each date of the fiscal years: fiscal and Gregorian attributes, weekend, holiday and daylight-saving flags. ``years`` are
+    ``given_years``, or (fiscal_year) alone, for which the rule holds."""
+    spans = years if "month_days" in years.columns else ruled_years(years)
+    months = spans.select("fiscal_year", "start", "month_days", F.posexplode("month_days").alias("m", "n"))
+    gone = F.aggregate(F.slice("month_days", F.lit(1), F.col("m")), F.lit(0), lambda s, n: s + n)
+    days = months.select("fiscal_year", "start", (F.col("m") + 1).alias("fiscal_month"), gone.alias("gone"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
+    at = F.col("gone") + F.col("k")
+    days = days.select("fiscal_year", F.date_add("start", at).alias("date"), (F.floor(at / 7) + 1).cast("int").alias("fiscal_week"), "fiscal_month", (F.floor(F.col("k") / 7) + 1).cast("int").alias("fiscal_week_of_month"), (F.col("k") + 1).alias("day_of_fiscal_month"))
     holidays = holiday_table(years) if holidays is None else holidays
     d = F.col("date")
     return days.join(F.broadcast(holidays), "date", "left").select(
@@ -79,7 +107,7 @@ def date_dimension(years: DataFrame, holidays: DataFrame | None = None) -> DataF
         "fiscal_month",
         (F.col("fiscal_year") * 100 + F.col("fiscal_month")).cast("int").alias("fiscal_year_month"),
         "fiscal_week_of_month",
-        ((F.col("fiscal_week_of_month") - 1) * 7 + F.dayofweek(d)).cast("int").alias("day_of_fiscal_month"),
+        "day_of_fiscal_month",
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.date_format(d, "MMMM").alias("month_name"),

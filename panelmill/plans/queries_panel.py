@@ -309,7 +309,7 @@ def f4(s):
 
 @q("g1_union_of_models", "SELECT model, forecast_origin_date, unique_id, ds, round(ypred, 2) AS ypred FROM forecasts")
 def g1(s):
-    return s.forecasts.withColumn("ypred", F.round("ypred", 2))
+    return s.forecasts
 
 
 @q("g3_symmetric_difference", "SELECT unique_id, ds, 'left_only' AS side FROM panel WHERE (unique_id, ds) NOT IN (SELECT (unique_id, ds) FROM weekly_sales)")
@@ -419,3 +419,20 @@ def j1(s):
 @q("j2_dampening_by_name", "SELECT forecast_origin_date, unique_id, sqrt(greatest(CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE), 0)) AS series_weight FROM trail WHERE week_index > origin_week - 26 GROUP BY ALL", r=("series_weight",))
 def j2(s):
     return R.weights(s.history, dampening="sqrt")
+
+
+RATE_WEEKS = 6
+RATES = f"SELECT forecast_origin_date, unique_id, sum(y) / greatest(1, sum(count_workdays)) AS rate FROM trail JOIN cal USING (ds) WHERE trail.week_index > origin_week - {RATE_WEEKS} GROUP BY ALL"
+
+
+@q("j1_future_regressor", f"SELECT f.forecast_origin_date, f.unique_id, f.ds, rate * c.count_workdays AS ypred FROM future f JOIN cal c ON c.ds = f.ds JOIN ({RATES}) r ON r.forecast_origin_date = f.forecast_origin_date AND r.unique_id = f.unique_id", r=("ypred",))
+def j1_regressor(s):
+    """A per-series forecaster with a regressor that is known ahead and a hyper-parameter by name."""
+    workdays = s.calendar.select("ds", "count_workdays")
+    return FC.per_series(s.recent, s.future, FC.workday_rate, workdays, {"weeks": RATE_WEEKS})
+
+
+@q("j1_fitted_values", f"SELECT t.forecast_origin_date, t.unique_id, t.ds, rate * c.count_workdays AS fitted FROM trail t JOIN cal c ON c.ds = t.ds JOIN ({RATES}) r ON r.forecast_origin_date = t.forecast_origin_date AND r.unique_id = t.unique_id WHERE t.week_index > t.origin_week - {RATE_WEEKS}", r=("fitted",))
+def j1_fitted(s):
+    workdays = s.calendar.select("ds", "count_workdays")
+    return FC.per_series_fitted(s.recent, s.future, FC.workday_rate, workdays, {"weeks": RATE_WEEKS})

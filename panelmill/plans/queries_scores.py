@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from panelmill.operators import boosting as B
 from panelmill.operators import features as FE
 from panelmill.operators import forecast as FC
 from panelmill.operators import gates as G
@@ -562,8 +564,6 @@ def n10(s):
 
 @q("n11_top_shares", f"SELECT horizon, unique_id, x, y, y - x AS net FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY x DESC, unique_id) AS k FROM ({BY_HORIZON})) WHERE k <= 20", r=("x", "y", "net"))
 def n11(s):
-    from pyspark.sql.window import Window
-
     down = Window.partitionBy("horizon").orderBy(F.desc("x"), "unique_id")
     return M.horizon_shares(s.base).withColumn("k", F.row_number().over(down)).where("k <= 20").select("horizon", "unique_id", "x", "y", "net")
 
@@ -583,39 +583,40 @@ def k9(s):
 
 #: Fixed value: the evaluation's target months, as many as the reference has.
 TARGET_MONTHS = 6
+DIRECT_ROUNDS, FINAL_ROUNDS = 24, 12
+
+
+#: Inputs of the direct-month model, in units of the series' level.
+DIRECT = ["mtd_revenue", "lag1", "lag2", "rolling_mean_lag1_window_size4", "last_completed_month_revenue"]
 
 
 @q("k10_direct_month")
 def k10(s):
-    from pyspark.ml.feature import VectorAssembler
-
-    names = ["mtd_revenue", "lag1", "lag2", "rolling_mean_lag1_window_size4", "last_completed_month_revenue"]
-    table = s.modelling_table.dropna(subset=[*names, "actual_monthly_total"])
-    months = table.groupBy("target_month").agg(F.min("forecast_origin_date").alias("first")).orderBy(F.desc("target_month")).limit(TARGET_MONTHS).collect()
-    assemble = VectorAssembler(inputCols=[*names, "weeks_in_month", "weeks_actualized"], outputCol="features")
-    out = None
-    for month, first in [tuple(r) for r in months]:  # one fit for each validation month, with levels as of its first origin
-        level = FC.levels(s.panel.where(F.col("ds") <= F.lit(first)))
-        rows = table.where(F.col("target_month") <= month).join(level, "unique_id")
-        rows = rows.select("unique_id", "forecast_origin_date", "target_month", "weeks_in_month", "weeks_actualized", "level", *[(F.col(c) / F.col("level")).alias(c) for c in names], (F.col("actual_monthly_total") / F.col("level")).alias("label"))
-        rows = assemble.transform(rows)
-        model = FC.booster(8, label="label").fit(rows.where(F.col("target_month") < month))
-        made = model.transform(rows.where(F.col("target_month") == month)).select("unique_id", "forecast_origin_date", "target_month", (F.col("prediction") * F.col("level")).alias("monthly_forecast"))
-        out = made if out is None else out.unionByName(made)
-    return out
+    """A model of month totals for each of the last target months, fitted on the months before it, with levels as of its first origin; all
+    fits go through the same jobs."""
+    table = s.modelling_table.dropna(subset=[*DIRECT, "actual_monthly_total"])
+    months = table.groupBy("target_month").agg(F.min("forecast_origin_date").alias("until")).orderBy(F.desc("target_month")).limit(TARGET_MONTHS)
+    fits = months.select(F.col("target_month").alias("month"), "until", (F.row_number().over(Window.orderBy("target_month")) - 1).alias("fit"))
+    per = lambda c: F.col(c) / F.col("level")
+    rows = table.join(F.broadcast(fits), F.col("target_month") <= F.col("month")).join(FC.levels(s.panel, fits), ["fit", "unique_id"])
+    rows = rows.select("fit", "month", "unique_id", "forecast_origin_date", "target_month", "level", per("actual_monthly_total").alias("label"), *[per(c).alias(c) for c in DIRECT], *[F.col(c).cast("double").alias(c) for c in ("weeks_in_month", "weeks_actualized")])
+    forest = B.fit(rows.where("target_month < month"), [*DIRECT, "weeks_in_month", "weeks_actualized"], "label", TARGET_MONTHS, DIRECT_ROUNDS)
+    made = B.predicted(rows.where("target_month = month"), forest)
+    return made.select("unique_id", "forecast_origin_date", "target_month", (F.get("predictions", F.lit(0)) * F.col("level")).alias("monthly_forecast"))
 
 
 @q("k12_residuals")
 def k12(s):
-    return FC.fitted(FC.fit_boosted(s.panel, s.calendar, rounds=5), s.panel, s.calendar)
+    return FC.fitted(FC.fit_boosted(s.panel, s.calendar, FC.one_fit(s.panel), FINAL_ROUNDS), s.panel, s.calendar)
 
 
-@q("k13_final_fit", "SELECT max(ds) AS train_end_ds, count(DISTINCT unique_id) AS n_series, count(*) AS n_obs, 5 AS n_trees FROM panel")
+@q("k13_final_fit", "SELECT max(ds) AS train_end_ds, count(DISTINCT unique_id) AS n_series, count(*) AS n_obs, 12 AS n_trees FROM panel")
 def k13(s):
-    model = FC.fit_boosted(s.panel, s.calendar, rounds=5)
-    model.write().overwrite().save(f"{shared_dir(s.spark)}/final-fit-{uuid.uuid4().hex}")
+    forest = FC.fit_boosted(s.panel, s.calendar, FC.one_fit(s.panel), FINAL_ROUNDS)
+    path = f"{shared_dir(s.spark)}/final-fit-{uuid.uuid4().hex}"
+    forest.table(s.spark).write.parquet(path)
     facts = s.panel.agg(F.max("ds").alias("train_end_ds"), F.countDistinct("unique_id").alias("n_series"), F.count("*").alias("n_obs"))
-    return facts.withColumn("n_trees", F.lit(len(model.trees)))
+    return facts.crossJoin(s.spark.read.parquet(path).where("round >= 0").agg(F.countDistinct("round").cast("int").alias("n_trees")))
 
 
 @q("k14_calibration_curve")
@@ -656,8 +657,6 @@ def k16_given(s):
 
 @q("e12_centred_mean", "SELECT unique_id, ds, avg(y) OVER (PARTITION BY unique_id ORDER BY ds ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS smoothed FROM panel", r=("smoothed",))
 def e12(s):
-    from pyspark.sql.window import Window
-
     return s.panel.select("unique_id", "ds", F.avg("y").over(Window.partitionBy("unique_id").orderBy("ds").rowsBetween(-1, 1)).alias("smoothed"))
 
 

@@ -439,6 +439,25 @@ def h10(spark, sf):
     return X.calendar(spark, sf).join(weeks, "ds", "left_semi").groupBy("fiscal_year_month").agg(F.count("*").alias("weeks"), F.min("ds").alias("first_ds"))
 
 
+#: The reference's years, long ones and first day; sales are moved by whole weeks into its years.
+TABLE_YEARS, LONG_YEARS, FIRST_SUNDAY, MOVED_DAYS = range(2018, 2028), (2020, 2026), "2017-12-31", 7 * 1486
+BY_TABLE = "(SELECT y AS fiscal_year, CAST(m AS INTEGER) AS fiscal_month, n, CAST(DATE '2017-12-31' + CAST(sum(n) OVER (ORDER BY y, m) - n AS INTEGER) AS DATE) AS first_date FROM (SELECT y, unnest(generate_series(1, 12)) AS m, unnest(l) AS n FROM (VALUES " + ", ".join(
+    f"({y}, {[28, 28, 35, 28, 28, 35, 28, 28, 35, 28, 28, 42 if y in (2020, 2026) else 35]})" for y in range(2018, 2028)
+) + ") t(y, l)))"
+
+
+@query(
+    "h10_calendar_by_table",
+    f"""SELECT CAST(fiscal_year * 100 + fiscal_month AS INTEGER) AS fiscal_year_month, CAST(any_value(n) // 7 AS BIGINT) AS weeks, any_value(first_date) AS first_date, CAST(any_value(first_date) + any_value(n) - 1 AS DATE) AS last_date, count(day) AS n_sales, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total
+  FROM {BY_TABLE} c LEFT JOIN sales s ON s.day + {MOVED_DAYS} BETWEEN first_date AND first_date + n - 1 GROUP BY fiscal_year, fiscal_month""",
+)
+def h10_table(spark, sf):
+    """All months of a calendar given as a table, with the sales of each."""
+    dates = C.date_dimension(C.given_years(C.year_table(spark, TABLE_YEARS, LONG_YEARS), FIRST_SUNDAY)).select("date", "week_start", "fiscal_year_month")
+    daily = X.sales(spark, sf).groupBy(F.date_add("day", MOVED_DAYS).alias("date")).agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    return dates.join(daily, "date", "left").groupBy("fiscal_year_month").agg(F.countDistinct("week_start").alias("weeks"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_sales"), F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("total"))
+
+
 @query("h11_year_weeks", "SELECT fiscal_year_week, count(*) AS n FROM sales s JOIN cal c ON c.ds = s.ds GROUP BY ALL")
 def h11(spark, sf):
     rows = X.sales(spark, sf).withColumn("ds", C.week_start(F.col("day")))

@@ -56,6 +56,21 @@ def test_no_fact_is_lost_to_the_calendar(spark):
     assert gates.uncovered_weeks(made, cal.where("fiscal_year > 1996")).count() > 0
 
 
+def test_calendar_by_table(spark):
+    table = C.year_table(spark, range(2018, 2028), (2020, 2026))
+    dates = C.date_dimension(C.given_years(table, "2017-12-31"))
+    starts = {r.fiscal_year: str(r.a) for r in dates.groupBy("fiscal_year").agg(F.min("date").alias("a")).collect()}
+    assert starts == {2018: "2017-12-31", 2019: "2018-12-30", 2020: "2019-12-29", 2021: "2021-01-03", 2022: "2022-01-02", 2023: "2023-01-01", 2024: "2023-12-31", 2025: "2024-12-29", 2026: "2025-12-28", 2027: "2027-01-03"}
+    weeks = {r.fiscal_year_month: r.weeks_in_month for r in C.weekly_calendar(dates).collect()}
+    assert weeks[202012] == weeks[202612] == 6 and weeks[202512] == 5 and len(weeks) == 120
+    ruled = C.ruled_years(spark.createDataFrame([(2025,), (2026,)], "fiscal_year int"))  # the rule puts the long year elsewhere
+    assert [str(r.start) for r in ruled.orderBy("fiscal_year").collect()] == ["2024-12-29", "2026-01-04"]
+    broken = spark.createDataFrame([(2018, [28, 29, 35])], "fiscal_year int, month_days array<int>")
+    for bad, day in ((broken, "2017-12-31"), (table, "2018-01-01"), (table.where("fiscal_year <> 2020"), "2017-12-31"), (table.union(table), "2017-12-31"), (table.where("false"), "2017-12-31")):
+        with pytest.raises(ValueError, match="whole weeks"):
+            C.given_years(bad, day)
+
+
 def test_week_start_is_sunday(spark):
     got = spark.range(14).select(C.week_start(F.date_add(F.lit(SUNDAY), F.col("id").cast("int"))).alias("d")).collect()
     assert [r.d for r in got] == [SUNDAY] * 7 + [week(1)] * 7
@@ -190,6 +205,22 @@ def test_recursive_hook_and_naive(spark, cal):
     assert sorted(r.ypred for r in forecast.seasonal_naive(h, f, 2).collect()) == [5.0, 9.0]
 
 
+def test_forecasters_with_regressors_and_hyper_parameters(spark, cal):
+    o = spark.createDataFrame([(week(5), 6, 2), (week(4), 5, 1)], "forecast_origin_date date, origin_week int, horizon int")
+    rows = frame(spark, {1: [5, 10, 5, 10, 5, 9, 100], 2: [1] * 7})
+    days = spark.createDataFrame([(week(k), 5 if k % 2 else 2) for k in range(16)], "ds date, count_workdays int")
+    h, f = forecast.history(rows, o, cal), forecast.future_weeks(rows, o, cal)
+    got = {(r.forecast_origin_date, r.unique_id, r.ds): r.ypred for r in forecast.per_series(h, f, forecast.workday_rate, days, {"weeks": 4}).collect()}
+    assert got[week(5), 1, week(6)] == 29 / 14 * 2 and got[week(5), 1, week(7)] == 29 / 14 * 5 and got[week(4), 1, week(5)] == 30 / 14 * 5 and len(got) == 6
+    fitted = {(r.forecast_origin_date, r.unique_id, r.ds): r.fitted for r in forecast.per_series_fitted(h, f, forecast.workday_rate, days, {"weeks": 2}).collect()}
+    assert fitted == {(week(a), i, week(k)): v / 7 * (5 if k % 2 else 2) for a in (5, 4) for i, v in ((1, 14 if a == 5 else 15), (2, 2)) for k in (a - 1, a)}
+    own = days.crossJoin(spark.createDataFrame([(1,), (2,)], "unique_id long")).withColumn("count_workdays", F.col("count_workdays") * F.col("unique_id"))
+    by_series = forecast.per_series(h, f, forecast.workday_rate, own, {"weeks": 4})
+    assert {(r.forecast_origin_date, r.unique_id, r.ds): round(r.ypred, 9) for r in by_series.collect()} == {k: round(v, 9) for k, v in got.items()}
+    with pytest.raises(TypeError, match="week"):
+        forecast.per_series(h, f, forecast.workday_rate, days, {"week": 4})
+
+
 # -- metrics --------------------------------------------------------------------------------------
 
 
@@ -272,19 +303,6 @@ def test_calibration_scores_by_the_given_function(spark):
     assert {r.rounds: r.score for r in forecast.rounds_curve(rows, lambda a, f, w: F.max(F.abs(f - a))).collect()} == {2: 4.0, 4: 5.0}
 
 
-def test_prefix_of_trees_is_the_model_fitted_with_fewer_rounds(spark, cal):
-    rows = frame(spark, {i: [10 * i + (k * i) % 5 for k in range(14)] for i in range(1, 7)})
-    cal = cal.withColumn("holiday_days_in_week", F.lit(0))
-    o = spark.createDataFrame([(week(12), 13, 3, 0), (week(11), 12, 2, 0)], "forecast_origin_date date, origin_week int, horizon int, fit int")
-    train = rows.where(F.col("ds") <= F.lit(week(11)))
-    many, few = (forecast.fit_boosted(train, cal, rounds=n, depth=2) for n in (4, 2))
-    a = forecast.predict_boosted([many], rows, cal, o, [2, 4]).where("rounds = 2")
-    b = forecast.predict_boosted([few], rows, cal, o)
-    assert a.count() == 6 * (3 + 2) and gates.parity(a, b, ["forecast_origin_date", "unique_id", "ds"], [], ["ypred"]).count() == 0
-    later = rows.withColumn("y", F.when(F.col("ds") > F.lit(week(12)), 1e6).otherwise(F.col("y")))
-    assert gates.parity(b, forecast.predict_boosted([few], later, cal, o), ["forecast_origin_date", "unique_id", "ds"], [], ["ypred"]).count() == 0  # nothing after an origin counts
-
-
 # -- modelling table and gates ------------------------------------------------------------------------
 
 
