@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from panelmill.session import spent, written
 
 BINS = 32
+#: Of medians and bin edges, which are mergeable sketches: exact up to some ten thousand rows of a group, and within 1/ACCURACY of the rank beyond.
+ACCURACY = 100_000
 #: Trees since the last written predictions that a task evaluates again.
 KEEP = 16
 #: Rows of a written partition, and the most partitions whose sums the driver adds up itself; those of more are shuffled first.
@@ -118,10 +120,10 @@ def _best_splits(n: np.ndarray, g: np.ndarray, least: int) -> tuple[np.ndarray,
 def fit(rows: DataFrame, names: list[str], label: str, fits: int, rounds: int, depth: int = 2, rate: float = 0.3, least: int = 10) -> Forest:
     """One forest of ``fits`` models over rows with ``fit`` (0 to fits - 1), features and label."""
     probs = [k / BINS for k in range(1, BINS)]
-    cuts = rows.agg(*[F.percentile_approx(c, probs).alias(c) for c in names]).first()
+    cuts = rows.agg(*[F.percentile_approx(c, probs, ACCURACY).alias(c) for c in names]).first()
     edges = tuple(np.unique(np.array(cuts[c] if cuts[c] else [0.0], dtype=float)) for c in names)
     base, parts = np.zeros(fits), 0.0
-    for k, m, n in rows.groupBy("fit").agg(F.percentile_approx(label, 0.5), F.count("*")).collect():
+    for k, m, n in rows.groupBy("fit").agg(F.percentile_approx(label, 0.5, ACCURACY), F.count("*")).collect():
         base[k], parts = m, parts + n / PARTITION_ROWS
     parts = max(1, round(parts))
     inner, leaves, width = (1 << depth) - 1, 1 << depth, len(names)
@@ -191,7 +193,7 @@ def fit(rows: DataFrame, names: list[str], label: str, fits: int, rounds: int, d
             feature[:, now, first : 2 * first + 1], cut[:, now, first : 2 * first + 1] = _best_splits(n, g, least)
             forest = replace(forest, feature=feature.copy(), cut=cut.copy())
         value = forest.value.copy()
-        medians = state.mapInArrow(leafed(forest, since, now), "at long, r double").groupBy("at").agg(F.percentile_approx("r", 0.5)).collect()
+        medians = state.mapInArrow(leafed(forest, since, now), "at long, r double").groupBy("at").agg(F.percentile_approx("r", 0.5, ACCURACY)).collect()
         for at, m in medians:
             value[at // leaves, now, at % leaves] = rate * m
         forest = replace(forest, value=value)

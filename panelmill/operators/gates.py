@@ -304,6 +304,25 @@ def report(checks: list[DataFrame]) -> DataFrame:
     return out.withColumn("status", F.when(F.col("ok"), "PASS").otherwise("FAIL"))
 
 
+def mutations_seen(cases: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """(gate, mutation, violations) for each case: what a gate finds on a frame with a named defect. One plan over all cases; a gate that
+    doesn't see its defect has 0."""
+    out = None
+    for (gate, mutation), violations in cases.items():
+        row = violations.agg(F.count("*").alias("violations")).select(F.lit(gate).alias("gate"), F.lit(mutation).alias("mutation"), "violations")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def mean_of_folds(summary: DataFrame, scores: DataFrame) -> DataFrame:
+    """Rows of a summary whose value isn't the mean of their folds' defined scores (null if none is defined), and rows that one side lacks."""
+    keys = ["model", "horizon", "tier", "metric"]
+    means = scores.groupBy(*keys).agg(F.struct((F.sum("value") / F.count("value")).alias("mean")).alias("m"))
+    both = summary.select(*keys, F.struct("value").alias("s")).join(means, keys, "full_outer")
+    same = F.coalesce(close(F.col("s.value"), F.col("m.mean"), 1e-12, 1e-12), F.col("s.value").isNull() & F.col("m.mean").isNull())
+    return both.where(F.col("s").isNull() | F.col("m").isNull() | ~same)
+
+
 def merge_parts(first: DataFrame, second: DataFrame) -> DataFrame:
     """Two results of one model as one: same columns, and every origin of the first before every one of the second."""
     if set(first.columns) != set(second.columns):

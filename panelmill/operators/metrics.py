@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelmill.operators.features import progress
 from panelmill.operators.monitor import tiers_held
 
 FOLD = ["forecast_origin_date", "predicted_fiscal_year_month"]
@@ -165,9 +166,11 @@ def leaderboard(series: DataFrame, benchmark: str) -> DataFrame:
 
 
 def by_progress(base: DataFrame, spine: DataFrame) -> DataFrame:
-    """Pooled WRMAE by how much of the month was known: (weeks_in_month, weeks_actualized)."""
+    """Pooled WRMAE by how much of the month was known: (weeks_in_month, weeks_actualized). Folds that the spine lacks, or has twice, are an
+    error: none is left out without a word. The spine has a row for each origin and one month, so later months are left out by name."""
     at = spine.select("forecast_origin_date", F.col("target_month").alias("predicted_fiscal_year_month"), "weeks_in_month", "weeks_actualized")
-    rows = base.join(F.broadcast(at), FOLD)
+    nearest = base.join(F.broadcast(base.groupBy("forecast_origin_date").agg(F.min("predicted_fiscal_year_month").alias("predicted_fiscal_year_month"))), FOLD, "left_semi")
+    rows = progress(nearest, at)
     by = ["weeks_in_month", "weeks_actualized"]
     return fold_values(rows, by).groupBy(*by).agg(F.avg("wrmae_pooled").alias("value"), F.sum("n_obs").alias("n_events"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,12 +26,40 @@ def fold_members(comparison: DataFrame) -> DataFrame:
     return comparison.select("forecast_origin_date", "unique_id").distinct()
 
 
+def member_runs(members: DataFrame) -> DataFrame:
+    """(unique_id, first, last): the runs of consecutive origins, by their number, at which a series is a member. As members hardly change
+    from one origin to the next, that is about a row a series."""
+    rows = members.select("forecast_origin_date", "unique_id").distinct().join(F.broadcast(numbered(members)), "forecast_origin_date")
+    island = F.col("at") - F.row_number().over(Window.partitionBy("unique_id").orderBy("at"))
+    return rows.withColumn("island", island).groupBy("unique_id", "island").agg(F.min("at").alias("first"), F.max("at").alias("last")).drop("island")
+
+
+def numbered(members: DataFrame) -> DataFrame:
+    """(forecast_origin_date, at): the origins numbered from 0, a row a week."""
+    return members.select("forecast_origin_date").distinct().withColumn("at", F.row_number().over(Window.orderBy("forecast_origin_date")) - 1)
+
+
+def _over_members(rows: DataFrame, period: str, members: DataFrame, **sums: Column) -> DataFrame:
+    """(forecast_origin_date, period, ...): sums over the members of each origin, for each period that one of them has. Each run of origins
+    adds a series' rows where it begins and takes them away behind its end; running sums over the origins give every origin's, so series
+    by origins by periods are never made."""
+    runs = rows.select("unique_id", period, *[c.alias(n) for n, c in sums.items()]).join(member_runs(members), "unique_id")
+    sign = F.explode(F.array(F.struct(F.col("first").alias("at"), F.lit(1).alias("sign")), F.struct((F.col("last") + 1).alias("at"), F.lit(-1).alias("sign")))).alias("edge")
+    edges = runs.select(period, *sums, sign)
+    changes = edges.groupBy(period, F.col("edge.at").alias("at")).agg(F.sum(F.col("edge.sign").cast("long")).alias("members"), *[F.sum(F.col(n) * F.col("edge.sign")).alias(n) for n in sums])
+    grid = changes.select(period).distinct().crossJoin(F.broadcast(numbered(members)))
+    run = Window.partitionBy(period).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    made = grid.join(changes, [period, "at"], "left").select("forecast_origin_date", period, *[F.coalesce(F.sum(n).over(run), F.lit(0)).alias(n) for n in ("members", *sums)])
+    return made.where("members > 0")
+
+
 def global_monthly(monthly: DataFrame, members: DataFrame) -> DataFrame:
-    """The members' complete months summed; gapped if a member's month is, incomplete if no member has it whole."""
-    rows = monthly.join(members.select("unique_id").distinct(), "unique_id", "left_semi")
-    has = lambda s: F.max((F.col("status") == s).cast("int")) == 1
-    made = rows.groupBy("fiscal_year_month").agg(F.when(has("gapped"), "gapped").when(has("complete"), "complete").otherwise("incomplete").alias("status"), _money("total").alias("total"))
-    return made.select("fiscal_year_month", "status", F.when(F.col("status") == "complete", F.col("total")).alias("total"))
+    """(forecast_origin_date, fiscal_year_month, status, total): the complete months of each origin's members summed; gapped if a member's
+    month is, incomplete if no member has it whole."""
+    is_ = lambda s: (F.col("status") == s).cast("long")
+    made = _over_members(monthly, "fiscal_year_month", members, total=F.coalesce(F.col("total"), F.lit(0.0)).cast(MONEY), gapped=is_("gapped"), whole=is_("complete"))
+    status = F.when(F.col("gapped") > 0, "gapped").when(F.col("whole") > 0, "complete").otherwise("incomplete")
+    return made.select("forecast_origin_date", "fiscal_year_month", status.alias("status"), F.when(status == "complete", F.col("total").cast("double")).alias("total"))
 
 
 def forecast_points(comparison: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -42,15 +70,16 @@ def forecast_points(comparison: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def weekly_sum(weekly: DataFrame, members: DataFrame) -> DataFrame:
-    """The members' sum for each week, null if one has no value."""
-    rows = weekly.join(members.select("unique_id").distinct(), "unique_id", "left_semi")
-    return rows.groupBy("ds").agg(F.when(F.count("y") == F.count("*"), _money("y")).alias("y"))
+    """(forecast_origin_date, ds, y): the sum of each origin's members for each week, null if one of them has no value."""
+    made = _over_members(weekly, "ds", members, y=F.coalesce(F.col("y"), F.lit(0.0)).cast(MONEY), absent=F.col("y").isNull().cast("long"))
+    return made.select("forecast_origin_date", "ds", F.when(F.col("absent") == 0, F.col("y").cast("double")).alias("y"))
 
 
-def weekly_forecast(forecasts: DataFrame, horizons: DataFrame) -> DataFrame:
-    """Forecast weeks summed over series, with the horizon of the month they lie in."""
-    rows = forecasts.groupBy("model", "forecast_origin_date", "ds", "predicted_fiscal_year_month").agg(F.round(F.sum(F.round("ypred", 2).cast(MONEY)), 2).cast("double").alias("ypred"))
-    return rows.join(F.broadcast(horizons.select(*FOLD, "horizon").distinct()), FOLD)
+def weekly_forecast(forecasts: DataFrame, comparison: DataFrame) -> DataFrame:
+    """Forecast weeks summed over the origin's members, with the horizon of the month they lie in."""
+    own = forecasts.join(fold_members(comparison), ["forecast_origin_date", "unique_id"], "left_semi")
+    rows = own.groupBy("model", "forecast_origin_date", "ds", "predicted_fiscal_year_month").agg(F.round(F.sum(F.round("ypred", 2).cast(MONEY)), 2).cast("double").alias("ypred"))
+    return rows.join(F.broadcast(comparison.select(*FOLD, "horizon").distinct()), FOLD)
 
 
 def month_changes(forecast: DataFrame) -> DataFrame:
@@ -60,13 +89,37 @@ def month_changes(forecast: DataFrame) -> DataFrame:
     return rows.where("month_before <> predicted_fiscal_year_month").select("model", "forecast_origin_date", "before", "ds", F.date_add("before", F.floor(F.datediff("ds", "before") / 2).cast("int")).alias("midpoint"))
 
 
-def facets(weekly: DataFrame, monthly: DataFrame, members: DataFrame) -> DataFrame:
-    """(facet, grain, period, y): every series by week and month, and ``global``, the sum of the members."""
-    name, week, month = F.col("unique_id").cast("string"), F.date_format("ds", "yyyy-MM-dd"), F.col("fiscal_year_month").cast("string")
-    row = lambda facet, grain, period, y: [facet.alias("facet"), F.lit(grain).alias("grain"), period.alias("period"), F.col(y).alias("y")]
-    out = weekly.select(*row(name, "week", week, "y")).unionByName(monthly.select(*row(name, "month", month, "total")))
-    out = out.unionByName(weekly_sum(weekly, members).select(*row(F.lit("global"), "week", week, "y")))
-    return out.unionByName(global_monthly(monthly, members).select(*row(F.lit("global"), "month", month, "total")))
+def facets(weekly: DataFrame, monthly: DataFrame, comparison: DataFrame, forecasts: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The lines of all facets: (facet, forecast_origin_date, grain, line, ds, fiscal_year_month, horizon, y).
+
+    A facet is a series or ``global``, the sum of the origin's members. Lines: ``actual``, and a forecast for each model: monthly ones stand
+    at their month's last week. A series' actuals are the same from every origin and have none (null); ``facet`` puts them together.
+    ``forecasts`` has model, forecast_origin_date, unique_id, ds, ypred; only folds of the comparison are drawn."""
+    ends = F.broadcast(calendar.groupBy("fiscal_year_month").agg(F.max("ds").alias("ds")))
+    months = F.broadcast(calendar.select("ds", "fiscal_year_month"))
+    members = fold_members(comparison)
+    none = F.lit(None)
+
+    def lines(rows: DataFrame, grain: str, facet: Column, origin: Column, line: Column, horizon: Column, y: str) -> DataFrame:
+        dated = rows.join(ends, "fiscal_year_month") if grain == "month" else rows.join(months, "ds")
+        return dated.select(facet.alias("facet"), origin.cast("date").alias("forecast_origin_date"), F.lit(grain).alias("grain"), line.alias("line"), "ds", "fiscal_year_month", horizon.cast("string").alias("horizon"), F.col(y).alias("y"))
+
+    own, origin, actual, every = F.col("unique_id").cast("string"), F.col("forecast_origin_date"), F.lit("actual"), F.lit("global")
+    out = lines(weekly, "week", own, none, actual, none, "y").unionByName(lines(monthly, "month", own, none, actual, none, "total"))
+    out = out.unionByName(lines(weekly_sum(weekly, members), "week", every, origin, actual, none, "y")).unionByName(lines(global_monthly(monthly, members), "month", every, origin, actual, none, "total"))
+    points = comparison.select(*FOLD, "unique_id", "horizon", F.explode(F.map_from_arrays(F.array(F.lit("challenger"), F.lit("benchmark")), F.array("fc", "fb"))).alias("line", "y")).withColumnRenamed("predicted_fiscal_year_month", "fiscal_year_month")
+    summed = points.groupBy("forecast_origin_date", "fiscal_year_month", "horizon", "line").agg(_money("y").alias("y"))
+    out = out.unionByName(lines(points, "month", own, origin, F.col("line"), F.col("horizon"), "y")).unionByName(lines(summed, "month", every, origin, F.col("line"), F.col("horizon"), "y"))
+    folds = comparison.select(*FOLD, "unique_id", "horizon").withColumnRenamed("predicted_fiscal_year_month", "fiscal_year_month")
+    ahead = forecasts.join(months, "ds").join(folds, ["forecast_origin_date", "fiscal_year_month", "unique_id"]).select("model", "forecast_origin_date", "unique_id", "ds", "horizon", F.round("ypred", 2).alias("y"))
+    total = ahead.groupBy("model", "forecast_origin_date", "ds", "horizon").agg(_money("y").alias("y"))
+    return out.unionByName(lines(ahead, "week", own, origin, F.col("model"), F.col("horizon"), "y")).unionByName(lines(total, "week", every, origin, F.col("model"), F.col("horizon"), "y"))
+
+
+def facet(lines: DataFrame, name: str, origin: Column, grain: str) -> DataFrame:
+    """One facet from one origin at one grain. A series without a fold at the origin has its history and no forecast."""
+    own = (F.col("facet") == name) & (F.col("grain") == grain)
+    return lines.where(own & (F.col("forecast_origin_date").isNull() | (F.col("forecast_origin_date") == origin)))
 
 
 def scorecard(summary: DataFrame, metric: str, horizons: list[str]) -> DataFrame:

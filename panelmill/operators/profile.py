@@ -48,15 +48,50 @@ def mtd_shares(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def quantiles(column: str, at: list[float], exact: bool = True) -> Column:
-    """Quantiles of a group. Exact ones hold a group's distinct values in memory; for many millions of series take sketches."""
-    return F.percentile(column, at) if exact else F.percentile_approx(column, at, 100_000)
+def select_ranks(rows: DataFrame, by: list[str], value: str, wanted: DataFrame) -> DataFrame:
+    """(by, k, value): the values of ranks k (from 0) of each group, for a table ``wanted`` of (by, k). Distributed selection: distinct values
+    are counted, dealt out by ranges of (group, value), and a value's rank is its part's offset plus its place there, so no task sees a whole
+    group."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    parts = written(counted.repartitionByRange(*by, value).withColumn("_part", F.spark_partition_id()), "ordered-values")
+    each = parts.groupBy("_part", *by).agg(F.sum("n").alias("m"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = each.select("_part", *by, F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))  # a row for each part and group in it
+    here = Window.partitionBy("_part", *by).orderBy(value)
+    placed = parts.withColumn("run", F.sum("n").over(here)).join(before, ["_part", *by]).join(wanted.groupBy(*by).agg(F.collect_set("k").alias("ks")), by)
+    end = F.col("before") + F.col("run")
+    hit = F.filter("ks", lambda k: (k >= end - F.col("n")) & (k < end))
+    return placed.select(*by, value, F.explode(hit).alias("k"))
+
+
+def exact_quantiles(rows: DataFrame, by: list[str], value: str, at: list[float]) -> DataFrame:
+    """(by, n, q): linear-interpolated quantiles of each group, q an array in the order of ``at``; few or many groups, of any size. Without
+    ``by`` all rows are one group."""
+    if not by:
+        return exact_quantiles(rows.withColumn("_all", F.lit(0)), ["_all"], value, at).drop("_all")
+    sizes = rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"))
+    sizes = written(sizes, "group-sizes")
+    points = sizes.select(*by, "n", F.posexplode(F.array(*map(F.lit, at))).alias("i", "p")).withColumn("at", (F.col("n") - 1) * F.col("p"))
+    ranks_ = points.select(*by, F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("k"))
+    found = written(select_ranks(rows, by, value, ranks_), "quantile-values")
+    side = lambda how, name: points.select(*by, "i", "at", how("at").alias("k")).join(found, [*by, "k"]).select(*by, "i", F.col("at").alias(f"at_{name}"), F.col(value).alias(name))
+    both = side(F.floor, "a").join(side(F.ceil, "b"), [*by, "i"])
+    made = F.col("a") + (F.col("at_a") - F.floor("at_a")) * (F.col("b") - F.col("a"))
+    each = both.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", made.alias("v")))), lambda x: x["v"]).alias("q"))
+    return sizes.join(each, by)
+
+
+def group_quantiles(rows: DataFrame, by: list[str], value: str, at: list[float], exact: bool = True) -> DataFrame:
+    """(by, n, q): exact, or by mergeable sketches within 1/100,000 of the rank."""
+    if exact:
+        return exact_quantiles(rows, by, value, at)
+    return rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx(value, at, 100_000).alias("q"))
 
 
 def share_distribution(shares: DataFrame, exact: bool = True) -> DataFrame:
     """Five numbers of the share by month length and week, over core months."""
-    p = quantiles("mtd_share", [0.0, 0.25, 0.5, 0.75, 1.0], exact)
-    rows = shares.where("is_core AND mtd_share IS NOT NULL").groupBy("weeks_in_month", "fiscal_week_of_month").agg(F.count("*").alias("n"), p.alias("p"))
+    core = shares.where("is_core AND mtd_share IS NOT NULL")
+    rows = group_quantiles(core, ["weeks_in_month", "fiscal_week_of_month"], "mtd_share", [0.0, 0.25, 0.5, 0.75, 1.0], exact).withColumnRenamed("q", "p")
     return rows.select("weeks_in_month", "fiscal_week_of_month", "n", *[F.get("p", F.lit(k)).alias(c) for k, c in enumerate(("least", "q25", "q50", "q75", "most"))])
 
 
@@ -89,11 +124,12 @@ def spread(panel: DataFrame) -> DataFrame:
 def dispersion_ratios(shares: DataFrame, by: list[str], exact: bool = True) -> DataFrame:
     """How much less the remaining month varies than the final month: ratios of interquartile range, MAD and P90 - P10."""
     rows = shares.withColumn("remaining", F.col("month_total") - F.col("mtd"))
-    q = [0.1, 0.25, 0.5, 0.75, 0.9]
-    first = rows.groupBy(*by).agg(F.count("*").alias("n"), quantiles("remaining", q, exact).alias("r"), quantiles("month_total", q, exact).alias("f"))
+    at5 = [0.1, 0.25, 0.5, 0.75, 0.9]
+    of = lambda df, c, at, name: group_quantiles(df, by, c, at, exact).select(*by, *(["n"] if name == "r" else []), F.col("q").alias(name))
+    first = of(rows, "remaining", at5, "r").join(of(rows, "month_total", at5, "f"), by)
     off = rows.join(F.broadcast(first.select(*by, F.get("r", F.lit(2)).alias("rc"), F.get("f", F.lit(2)).alias("fc"))), by)
     off = off.withColumns({"ro": F.abs(F.col("remaining") - F.col("rc")), "fo": F.abs(F.col("month_total") - F.col("fc"))})
-    mad = off.groupBy(*by).agg(F.get(quantiles("ro", [0.5], exact), F.lit(0)).alias("rm"), F.get(quantiles("fo", [0.5], exact), F.lit(0)).alias("fm"))
+    mad = of(off, "ro", [0.5], "rq").join(of(off, "fo", [0.5], "fq"), by).select(*by, F.get("rq", F.lit(0)).alias("rm"), F.get("fq", F.lit(0)).alias("fm"))
     at = lambda c, k: F.get(c, F.lit(k))
     over = lambda a, b: F.when(b != 0, a / b)
     return first.join(mad, by).select(*by, "n", over(at("r", 3) - at("r", 1), at("f", 3) - at("f", 1)).alias("iqr_ratio"), over(F.col("rm"), F.col("fm")).alias("mad_ratio"), over(at("r", 4) - at("r", 0), at("f", 4) - at("f", 0)).alias("p90_p10_ratio"))
@@ -154,8 +190,8 @@ def null_counts(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """(column_name, n, mean, std, least, q25, q50, q75, most) of numeric columns."""
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "v").where("v IS NOT NULL")
-    q = quantiles("v", [0.25, 0.5, 0.75], exact)
-    made = rows.groupBy("column_name").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("least"), q.alias("q"), F.max("v").alias("most"))
+    q = group_quantiles(rows, ["column_name"], "v", [0.25, 0.5, 0.75], exact).drop("n")
+    made = rows.groupBy("column_name").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("least"), F.max("v").alias("most")).join(q, "column_name")
     return made.select("column_name", "n", "mean", "std", "least", *[F.get("q", F.lit(k)).alias(name) for k, name in enumerate(("q25", "q50", "q75"))], "most")
 
 
@@ -201,6 +237,21 @@ def choose_lambda(panel: DataFrame, grid: list[float]) -> DataFrame:
     return made.groupBy("unique_id").agg(F.max_by("power", "likelihood").alias("power"), F.max("likelihood").alias("likelihood"))
 
 
+def guerrero_lambda(panel: DataFrame, grid: list[float], season: int) -> DataFrame:
+    """(unique_id, power, variation): Guerrero's Box-Cox lambda of each series on a grid. The series is cut into whole seasons, the first
+    weeks left out if they don't make one; of the powers the one wins under which std / mean^(1 - power) varies least between them
+    (deviation over mean; ties: the smaller power). Seasons without a positive mean don't count; with fewer than two there is no row."""
+    by = Window.partitionBy("unique_id")
+    placed = panel.withColumns({"k": F.row_number().over(by.orderBy("ds")) - 1, "n": F.count("*").over(by)})
+    placed = placed.withColumn("block", F.floor((F.col("k") - F.col("n") % season) / season)).where("block >= 0")
+    blocks = placed.groupBy("unique_id", "block").agg(F.avg("y").alias("mean"), F.stddev_samp("y").alias("std")).where("mean > 0")
+    each = blocks.select("unique_id", "mean", "std", F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("power"))
+    ratio = F.col("std") / F.pow("mean", 1 - F.col("power"))
+    varied = each.groupBy("unique_id", "power").agg(F.try_divide(F.stddev_pop(ratio), F.avg(ratio)).alias("variation"), F.count("*").alias("seasons")).where("seasons > 1 AND variation IS NOT NULL")
+    best = varied.groupBy("unique_id").agg(F.min(F.struct("variation", "power")).alias("best"))
+    return best.select("unique_id", "best.power", "best.variation")
+
+
 def year_over_year(panel: DataFrame, calendar: DataFrame, years: list[int]) -> DataFrame:
     """Totals by fiscal week with a column for each year."""
     rows = on_calendar(panel, calendar)

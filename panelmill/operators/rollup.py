@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from panelmill.operators.origins import horizon_label, months
 from panelmill.operators.panel import money, on_calendar
+from panelmill.operators.profile import select_ranks
 
 TIERS = ("very_low", "low", "middle", "high", "very_high")
 KEYS = ["forecast_origin_date", "unique_id", "predicted_fiscal_year_month"]
@@ -51,7 +51,8 @@ def tiers(history: DataFrame, weeks: int = 52, labels: tuple[str, ...] = TIERS)
     cuts = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("bins").cast("int") - 1)))
     edges = bins.select("forecast_origin_date", "n", "bins", cuts.alias("i")).select("forecast_origin_date", ((F.col("n") - 1) * F.col("i") / F.col("bins")).alias("p"))
     edges = edges.withColumns({"low": F.floor("p").cast("int"), "high": F.ceil("p").cast("int")})
-    ranked = up.select("forecast_origin_date", (F.row_number().over(Window.partitionBy("forecast_origin_date").orderBy("mean_positive")) - 1).alias("k"), "mean_positive")
+    wanted = edges.select("forecast_origin_date", F.explode(F.array("low", "high")).alias("k"))
+    ranked = select_ranks(up.select("forecast_origin_date", "mean_positive"), ["forecast_origin_date"], "mean_positive", wanted)
     at = lambda k, name: F.broadcast(edges.select("forecast_origin_date", "p", F.col(k).alias("k"))).join(ranked, ["forecast_origin_date", "k"]).select("forecast_origin_date", "p", F.col("mean_positive").alias(name))
     edges = at("low", "a").join(at("high", "b"), ["forecast_origin_date", "p"])
     edges = edges.groupBy("forecast_origin_date").agg(F.collect_list(F.col("a") + (F.col("p") - F.floor("p")) * (F.col("b") - F.col("a"))).alias("edges"))

@@ -28,9 +28,18 @@ def strict_date_sanity(trips: DataFrame) -> DataFrame:
     return trips.where((F.col("pickup_ts") > F.add_months(month, -1).cast("timestamp_ntz")) & (F.col("pickup_ts") < F.add_months(month, 2).cast("timestamp_ntz")))
 
 
+def fare_is_valid() -> Column:
+    return ~((F.col("fare_amount") == 0) | (F.col("total_amount") == 0)) & ~((F.col("trip_distance") == 0) & (F.col("total_amount") <= 0))
+
+
 def valid_fares(trips: DataFrame) -> DataFrame:
     """Without trips of no fare or total, and without those of no distance and no positive total; nulls go, as in SQL."""
-    return trips.where(~((F.col("fare_amount") == 0) | (F.col("total_amount") == 0)) & ~((F.col("trip_distance") == 0) & (F.col("total_amount") <= 0)))
+    return trips.where(fare_is_valid())
+
+
+def is_named() -> Column:
+    """Whether a trip has an id: all that goes into it is there. Counts of ids need no id."""
+    return F.col("vendor_id").isNotNull() & F.col("pickup_ts").isNotNull() & F.col("pu_zone").isNotNull() & F.col("do_zone").isNotNull() & F.col("sourcefile_name").isNotNull()
 
 
 def trip_id() -> Column:
@@ -69,10 +78,24 @@ def curated(trips: DataFrame, tz: str = "America/New_York") -> DataFrame:
 
 
 def daily_counts(trips: DataFrame, end: DataFrame | None = None, measure: Column | None = None) -> DataFrame:
-    """Trips with an id (or another measure) per zone and date, up to the covered end if it is given; partial counts before the shuffle."""
+    """Trips with an id (or another measure) per zone and date, up to the covered end if it is given; partial counts before the shuffle. An
+    id isn't made to be counted: where its parts are there, they are asked."""
+    named = is_named() if {"vendor_id", "pickup_ts", "do_zone", "sourcefile_name"} <= set(trips.columns) else F.col("trip_id").isNotNull()
     if end is not None:
         trips = trips.crossJoin(F.broadcast(end)).where("pickup_date <= covered_end")
-    return trips.groupBy("pu_zone", "pickup_date").agg((F.count("trip_id") if measure is None else F.sum(measure)).alias("n"))
+    return trips.groupBy("pu_zone", "pickup_date").agg((F.count_if(named) if measure is None else F.sum(measure)).alias("n"))
+
+
+def daily_facts(trips: DataFrame, tz: str = "America/New_York") -> DataFrame:
+    """(pu_zone, pickup_date, n, valid, file_month) of trips that passed the date sanity: named trips and trips of a valid fare by zone and
+    local date, and the newest file's month. One pass and one small table serve the daily series, its end and its zones."""
+    dated = trips.withColumn("pickup_date", F.to_date(local(F.col("pickup_ts"), tz)))
+    return dated.groupBy("pu_zone", "pickup_date").agg(F.count_if(fare_is_valid() & is_named()).alias("n"), F.count_if(fare_is_valid()).alias("valid"), F.max("file_month").alias("file_month"))
+
+
+def daily_of(facts: DataFrame, end: DataFrame) -> DataFrame:
+    """The daily counts of ``daily_facts`` up to the covered end."""
+    return facts.where("valid > 0").crossJoin(F.broadcast(end)).where("pickup_date <= covered_end").select("pu_zone", "pickup_date", "n")
 
 
 def covered_end(trips: DataFrame) -> DataFrame:
@@ -108,10 +131,9 @@ def month_cutoff(daily: DataFrame, dates: DataFrame) -> DataFrame:
     return at.select("last_date", F.when(F.col("last_date") == F.col("month_end"), m).otherwise(before).cast("int").alias("cutoff_month"))
 
 
-def daily_extract(trips: DataFrame, end: DataFrame, dates: DataFrame) -> DataFrame:
-    """The extract that forecasting starts from: every zone and date from its first ride on, with its date's attributes and its number
-    of rides, up to the last complete fiscal month."""
-    daily = daily_counts(trips, end)
+def daily_extract(daily: DataFrame, end: DataFrame, dates: DataFrame) -> DataFrame:
+    """The extract that forecasting starts from: every zone and date of the daily counts from its first ride on, with its date's
+    attributes and its number of rides, up to the last complete fiscal month. ``daily`` is read three times: give it written."""
     filled = zero_filled(daily, zone_spine(daily, end)).withColumnRenamed("n", "number_ride_pickups")
     names = ["day_of_fiscal_month", "fiscal_week", "fiscal_week_of_month", "fiscal_month", "fiscal_year", "fiscal_year_month", "day_of_week", "day_name", "is_weekend", "is_holiday", "holiday_name", "is_dst", "fiscal_year_week"]
     attributes = dates.select(F.col("date").alias("pickup_date"), *names, F.col("week_start").alias("fiscal_week_start_date"))

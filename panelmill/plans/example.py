@@ -111,6 +111,10 @@ class Study:
     def calendar(self) -> DataFrame:
         return written(C.indexed(C.weekly_calendar(self.dates)).coalesce(1), "calendar")
 
+    @cached_property
+    def daily_facts(self) -> DataFrame:
+        return written(trips.daily_facts(silver_trips(self.spark, self.sf)), "daily-facts")
+
     @cached_property
     def panel(self) -> DataFrame:
         made = written(panel.weekly_panel(sales(self.spark, self.sf)), "panel")

@@ -147,3 +147,15 @@ LIKE = "SELECT unique_id, l AS power, -count(*) / 2 * ln(var_pop(CASE WHEN l = 0
 @q("h18_choose_lambda", f"SELECT unique_id, max_by(power, likelihood) AS power, max(likelihood) AS likelihood FROM ({LIKE}) GROUP BY ALL", r=("likelihood",))
 def h18(s):
     return PR.choose_lambda(s.panel, [0.0, 0.25, 0.5, 0.75, 1.0])
+
+
+GUERRERO = """SELECT unique_id, power, stddev_pop(r) / avg(r) AS variation FROM (
+  SELECT unique_id, l AS power, s / pow(m, 1 - l) AS r FROM (
+    SELECT unique_id, (k - n % 13) // 13 AS block, avg(y) AS m, stddev_samp(y) AS s FROM (SELECT unique_id, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds) - 1 AS k, count(*) OVER (PARTITION BY unique_id) AS n FROM panel) WHERE k >= n % 13 GROUP BY ALL HAVING avg(y) > 0),
+    (SELECT unnest([-1.0, -0.5, 0.0, 0.25, 0.5, 0.75, 1.0, 1.5, 2.0])::DOUBLE AS l)) GROUP BY ALL HAVING count(*) > 1 AND avg(r) <> 0"""
+
+
+@q("h18_guerrero_lambda", f"SELECT unique_id, min_by(power, (round(variation, 9), power)) AS power, min(variation) AS variation FROM ({GUERRERO}) GROUP BY ALL", r=("variation",))
+def h18_guerrero(s):
+    """Seasons of a quarter."""
+    return PR.guerrero_lambda(s.panel, [-1.0, -0.5, 0.0, 0.25, 0.5, 0.75, 1.0, 1.5, 2.0], 13)

@@ -17,7 +17,7 @@ from panelmill.operators import origins as O
 from panelmill.operators import panel as P
 from panelmill.operators import rollup as R
 from panelmill.plans import example as X
-from panelmill.plans.queries_panel import q, seen
+from panelmill.plans.queries_panel import q
 from panelmill.session import read, shared_dir
 from panelmill.sources import files as S
 
@@ -237,8 +237,8 @@ def m1(s):
 
 @_gate("m2_calendar_coverage", "SELECT count(DISTINCT ds) FROM panel")
 def m2(s):
-    weeks = s.panel.select("ds").distinct().join(F.broadcast(s.calendar.select("ds", F.lit(True).alias("covered"))), "ds", "left")
-    return G.check("m2_calendar_coverage", weeks, F.col("covered").isNull())
+    bad = G.uncovered_weeks(s.panel, s.calendar).withColumn("bad", F.lit(True))
+    return G.check("m2_calendar_coverage", s.panel.select("ds").distinct().join(bad, "ds", "left"), F.col("bad").isNotNull())
 
 
 @q("m2_fiscal_position", "SELECT unique_id, fiscal_year_month, fiscal_week_of_month, y FROM pc")
@@ -457,18 +457,74 @@ def m22(s):
     weighted = F.col("metric").isin("wrmae_pooled", "wrmae_per_series")
     own = s.scores.where((F.col("model") == "naive") & weighted & F.col("value").isNotNull())
     keys = ["model", "horizon", "tier", "metric"]
-    means = s.scores.groupBy(*keys).agg(F.avg("value").alias("mean")).join(M.summary_scores(s.scores), keys)
     sums = s.base.groupBy("horizon", *M.FOLD, "tier").agg(F.sum("w").alias("wsum"))
     slices = s.scores.where(weighted).join(sums, ["horizon", *M.FOLD, "tier"])
     count = lambda name, df, bad: df.agg(F.lit(name).alias("gate"), F.count("*").alias("checked"), F.count_if(bad).alias("violations"))
     out = count("self_score", own, F.abs(F.col("value") - 1) > 1e-9)
-    out = out.unionByName(count("mean_of_folds", means, ~F.coalesce(F.abs(F.col("value") - F.col("mean")) < 1e-12, F.col("value").isNull() & F.col("mean").isNull())))
+    summary = M.summary_scores(s.scores)
+    wrong = G.mean_of_folds(summary, s.scores).select(*keys, F.lit(True).alias("wrong"))
+    out = out.unionByName(count("mean_of_folds", summary.join(wrong, keys, "left"), F.coalesce("wrong", F.lit(False))))
     return out.unionByName(count("weightless_slices", slices, F.col("value").isNotNull() & (F.col("wsum") <= 1e-12)))
 
 
 @_gate("m23_ambiguous_weeks", "SELECT count(DISTINCT ds) FROM panel")
 def m23(s):
-    return G.check("m23_ambiguous_weeks", seen(s, s.calendar).groupBy("ds").agg(F.countDistinct("fiscal_year_month").alias("n")), F.col("n") > 1)
+    weeks = s.panel.select("ds").distinct()
+    return G.check("m23_ambiguous_weeks", weeks.join(G.ambiguous_weeks(s.calendar), "ds", "left"), F.col("months").isNotNull())
+
+
+#: The month whose calendar rows the matrix drops, doubles or renames.
+SPOILT = "(SELECT max(fiscal_year_month) FROM months WHERE fiscal_year_month < (SELECT m FROM last_complete))"
+SPOILT_SCORES = SCORES.replace("* REPLACE (fb AS fc)", "* REPLACE (fb + 1 AS fc)")
+
+
+@q(
+    "m_mutation_matrix",
+    f"""SELECT 'm2' AS gate, 'weeks dropped from the calendar' AS mutation, count(DISTINCT ds) AS violations FROM pc WHERE fiscal_year_month = {SPOILT}
+  UNION ALL SELECT 'm4', 'lag 1 shifted by a week', count(*) FROM (SELECT unique_id, lag(y, 1) OVER w AS a, lag(y, 2) OVER w AS b FROM panel WINDOW w AS (PARTITION BY unique_id ORDER BY ds)) WHERE unique_id = 3 AND a IS DISTINCT FROM b
+  UNION ALL SELECT 'm6', 'one added to a total', count(*) FROM grid WHERE unique_id = 3 AND weeks_actualized = weeks_in_month - 1
+  UNION ALL SELECT 'm7', 'one added to a remainder', count(*) FROM grid WHERE unique_id = 5
+  UNION ALL SELECT 'm9', 'a lag taken a week later', count(*) FROM grid g LEFT JOIN panel p ON p.unique_id = g.unique_id AND p.ds = g.forecast_origin_date LEFT JOIN panel n ON n.unique_id = g.unique_id AND n.ds = g.forecast_origin_date + 7 WHERE g.unique_id = 7 AND p.y IS DISTINCT FROM n.y
+  UNION ALL SELECT 'm12_dates', 'calendar weeks doubled', count(*) FROM cal WHERE fiscal_year_month = {SPOILT}
+  UNION ALL SELECT 'm12_keys', 'a series doubled', count(*) FROM cal WHERE ds >= (SELECT min(ds) FROM panel WHERE unique_id = 3)
+  UNION ALL SELECT 'm12_coverage', 'a series dropped', count(*) FROM panel WHERE unique_id = 5
+  UNION ALL SELECT 'm14', 'one added to a forecast', count(*) FROM ms WHERE unique_id = 3
+  UNION ALL SELECT 'm18', 'a series doubled', count(*) FROM ms WHERE unique_id = 3
+  UNION ALL SELECT 'm22_self_score', 'one added to the benchmark', count(*) FROM ({SPOILT_SCORES}) WHERE model = 'naive' AND metric IN ('wrmae_pooled', 'wrmae_per_series') AND abs(value - 1) > 1e-9
+  UNION ALL SELECT 'm22_mean_of_folds', 'one added to a summary', count(*) FROM (SELECT model, horizon, tier, metric FROM ({SCORES}) WHERE tier = 'global' GROUP BY ALL HAVING count(value) > 0)
+  UNION ALL SELECT 'm22_mean_of_folds', 'folds pooled over tiers', count(*) FROM (SELECT model, horizon, tier, metric, avg(value) AS v FROM ({SCORES}) GROUP BY ALL) a JOIN (SELECT model, horizon, metric, avg(value) AS v FROM ({SCORES}) GROUP BY ALL) b USING (model, horizon, metric) WHERE a.v IS DISTINCT FROM b.v AND coalesce(abs(a.v - b.v) > 1e-12 + 1e-12 * abs(a.v), true)
+  UNION ALL SELECT 'm23', 'weeks in two months', count(*) FROM cal WHERE fiscal_year_month = {SPOILT}""",
+)
+def m_matrix(s):
+    """Each gate on a frame with a defect of its kind: the counts are those of the rows that the defect touches."""
+    month = O.months(s.calendar).crossJoin(F.broadcast(s.last)).where("fiscal_year_month < last_month").agg(F.max("fiscal_year_month").alias("m"))
+    spoilt = s.calendar.join(F.broadcast(month), F.col("fiscal_year_month") == F.col("m"), "left_semi")
+    of = lambda i, c, x: F.when(F.col("unique_id") == i, x).otherwise(F.col(c))
+    later = s.panel.select("unique_id", F.date_sub("ds", 7).alias("forecast_origin_date"), F.col("y").alias("late"))
+    shifted = s.modelling_table.join(later, ["unique_id", "forecast_origin_date"], "left").withColumn("lag1", of(7, "lag1", F.col("late"))).drop("late")
+    extra, keys = FE.additional_exogenous(s.panel, s.calendar), ["model", *R.KEYS]
+    both = M.both_models(s.base, "recent_mean", "naive")
+    own = M.fold_scores(both.withColumn("fc", F.when(F.col("model") == "naive", F.col("fc") + 1).otherwise(F.col("fc"))))
+    self_score = own.where((F.col("model") == "naive") & F.col("metric").isin("wrmae_pooled", "wrmae_per_series") & (F.abs(F.col("value") - 1) > 1e-9))
+    summary = M.summary_scores(s.scores)
+    pooled = s.scores.groupBy("model", "horizon", "metric").agg(F.avg("value").alias("value"))
+    cases = {
+        ("m2", "weeks dropped from the calendar"): G.uncovered_weeks(s.panel, s.calendar.join(spoilt.select("ds"), "ds", "left_anti")),
+        ("m4", "lag 1 shifted by a week"): G.lag_alignment(s.weekly_features.withColumn("lag1", of(3, "lag1", F.col("lag2"))), s.panel, 1),
+        ("m6", "one added to a total"): G.total_reconciliation(s.table.withColumn("actual_monthly_total", of(3, "actual_monthly_total", F.col("actual_monthly_total") + 1)), s.panel, s.calendar).where(~F.col("ok")),
+        ("m7", "one added to a remainder"): G.remaining_identity(FE.remaining_target(s.table).withColumn("remaining_target", of(5, "remaining_target", F.col("remaining_target") + 1)), s.panel, s.calendar).where(~F.col("ok")),
+        ("m9", "a lag taken a week later"): G.shared_cutoff(shifted, s.panel, [1]),
+        ("m12_dates", "calendar weeks doubled"): G.unique_keys(s.calendar.unionByName(spoilt), ["ds"]),
+        ("m12_keys", "a series doubled"): G.unique_keys(extra.unionByName(extra.where("unique_id = 3")), ["unique_id", "ds"]),
+        ("m12_coverage", "a series dropped"): G.unmatched(s.panel, extra.where("unique_id <> 5"), ["unique_id", "ds"]),
+        ("m14", "one added to a forecast"): G.reconstruction(s.series.withColumn("monthly_forecast", of(3, "monthly_forecast", F.col("monthly_forecast") + 1)), s.components.join(s.series.select(*keys), keys, "left_semi"), keys),
+        ("m18", "a series doubled"): G.unique_keys(s.series.unionByName(s.series.where("unique_id = 3")), keys),
+        ("m22_self_score", "one added to the benchmark"): self_score,
+        ("m22_mean_of_folds", "one added to a summary"): G.mean_of_folds(summary.withColumn("value", F.when(F.col("tier") == "global", F.col("value") + 1).otherwise(F.col("value"))), s.scores),
+        ("m22_mean_of_folds", "folds pooled over tiers"): G.mean_of_folds(summary.drop("value").join(pooled, ["model", "horizon", "metric"]), s.scores),
+        ("m23", "weeks in two months"): G.ambiguous_weeks(s.calendar.unionByName(spoilt.withColumn("fiscal_year_month", F.col("fiscal_year_month") + 1))),
+    }
+    return G.mutations_seen(cases)
 
 
 # -- monitoring --------------------------------------------------------------------------------
@@ -497,7 +553,10 @@ def n3(s):
     return N.fold_members(s.base)
 
 
-GLOBAL = f"SELECT fiscal_year_month, CASE WHEN bool_or(status = 'gapped') THEN 'gapped' WHEN bool_or(status = 'complete') THEN 'complete' ELSE 'incomplete' END AS status, CASE WHEN NOT bool_or(status = 'gapped') THEN CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) END AS total FROM ({STATUS}) GROUP BY ALL"
+#: Members that change: every third series is left out at the origins of even months.
+CHANGING = "NOT (unique_id % 3 = 1 AND month(forecast_origin_date) % 2 = 0)"
+GLOBAL = f"SELECT forecast_origin_date, fiscal_year_month, CASE WHEN bool_or(status = 'gapped') THEN 'gapped' WHEN bool_or(status = 'complete') THEN 'complete' ELSE 'incomplete' END AS status, CASE WHEN NOT bool_or(status = 'gapped') THEN CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) END AS total FROM ({STATUS}) JOIN (SELECT DISTINCT forecast_origin_date, unique_id FROM base) USING (unique_id) GROUP BY ALL"
+CHANGING_GLOBAL = GLOBAL.replace("FROM base)", f"FROM base WHERE {CHANGING})")
 
 
 @q("n4_global_month", GLOBAL)
@@ -505,6 +564,11 @@ def n4(s):
     return N.global_monthly(N.monthly_status(_gappy(s), s.calendar), N.fold_members(s.base))
 
 
+@q("n4_changing_members", CHANGING_GLOBAL)
+def n4_changing(s):
+    return N.global_monthly(N.monthly_status(_gappy(s), s.calendar), N.fold_members(s.base.where(CHANGING)))
+
+
 POINTS = f"SELECT {FOLD}, horizon, CAST(sum(CAST(fc AS DECIMAL(18,2))) AS DOUBLE) AS challenger, CAST(sum(CAST(fb AS DECIMAL(18,2))) AS DOUBLE) AS benchmark, CAST(sum(CAST(a AS DECIMAL(18,2))) AS DOUBLE) AS actual, any_value(last_ds) AS ds FROM base JOIN months ON months.fiscal_year_month = predicted_fiscal_year_month GROUP BY {FOLD}, horizon"
 
 
@@ -513,7 +577,10 @@ def n5(s):
     return N.forecast_points(s.base, s.calendar)
 
 
-@q("n6_weekly_sum", f"SELECT ds, CASE WHEN count(y) = count(*) THEN CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) END AS y FROM {GAPPY} GROUP BY ALL")
+WEEKS = f"SELECT forecast_origin_date, ds, CASE WHEN count(y) = count(*) THEN CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) END AS y FROM {GAPPY} JOIN (SELECT DISTINCT forecast_origin_date, unique_id FROM base) USING (unique_id) GROUP BY ALL"
+
+
+@q("n6_weekly_sum", WEEKS)
 def n6(s):
     return N.weekly_sum(_gappy(s), N.fold_members(s.base))
 
@@ -536,15 +603,23 @@ def e15(s):
     return N.month_changes(_weekly_forecast(s))
 
 
-@q(
-    "n7_facet",
-    f"""SELECT CAST(unique_id AS VARCHAR) AS facet, 'week' AS grain, strftime(ds, '%Y-%m-%d') AS period, y FROM {GAPPY} UNION ALL SELECT CAST(unique_id AS VARCHAR), 'month', CAST(fiscal_year_month AS VARCHAR), total FROM ({STATUS})
-  UNION ALL SELECT 'global', 'week', strftime(ds, '%Y-%m-%d'), CASE WHEN count(y) = count(*) THEN CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) END FROM {GAPPY} GROUP BY ds
-  UNION ALL SELECT 'global', 'month', CAST(fiscal_year_month AS VARCHAR), total FROM ({GLOBAL})""",
-)
+FOLDS_SEEN = f"(SELECT * FROM base WHERE {CHANGING})"
+LAST_WEEK = "(SELECT fiscal_year_month, last_ds AS ds FROM months)"
+LINES = f"""SELECT CAST(unique_id AS VARCHAR) AS facet, CAST(NULL AS DATE) AS forecast_origin_date, 'week' AS grain, 'actual' AS line, g.ds, c.fiscal_year_month, CAST(NULL AS VARCHAR) AS horizon, y FROM {GAPPY} g JOIN cal c ON c.ds = g.ds
+  UNION ALL SELECT CAST(unique_id AS VARCHAR), NULL, 'month', 'actual', ds, fiscal_year_month, NULL, total FROM ({STATUS}) JOIN {LAST_WEEK} USING (fiscal_year_month)
+  UNION ALL SELECT 'global', forecast_origin_date, 'week', 'actual', w.ds, c.fiscal_year_month, NULL, y FROM ({WEEKS.replace("FROM base)", f"FROM base WHERE {CHANGING})")}) w JOIN cal c ON c.ds = w.ds
+  UNION ALL SELECT 'global', forecast_origin_date, 'month', 'actual', ds, fiscal_year_month, NULL, total FROM ({CHANGING_GLOBAL}) JOIN {LAST_WEEK} USING (fiscal_year_month)
+  UNION ALL SELECT CAST(unique_id AS VARCHAR), forecast_origin_date, 'month', line, ds, fiscal_year_month, horizon, CASE line WHEN 'challenger' THEN fc ELSE fb END FROM {FOLDS_SEEN} b, (SELECT unnest(['challenger', 'benchmark']) AS line) JOIN {LAST_WEEK} m ON m.fiscal_year_month = b.predicted_fiscal_year_month
+  UNION ALL SELECT 'global', forecast_origin_date, 'month', line, any_value(ds), fiscal_year_month, horizon, CAST(sum(CAST(CASE line WHEN 'challenger' THEN fc ELSE fb END AS DECIMAL(18,2))) AS DOUBLE) FROM {FOLDS_SEEN} b, (SELECT unnest(['challenger', 'benchmark']) AS line) JOIN {LAST_WEEK} m ON m.fiscal_year_month = b.predicted_fiscal_year_month GROUP BY forecast_origin_date, fiscal_year_month, horizon, line
+  UNION ALL SELECT CAST(f.unique_id AS VARCHAR), f.forecast_origin_date, 'week', f.model, f.ds, f.fiscal_year_month, b.horizon, round(f.ypred, 2) FROM forecasts f JOIN {FOLDS_SEEN} b ON b.forecast_origin_date = f.forecast_origin_date AND b.predicted_fiscal_year_month = f.fiscal_year_month AND b.unique_id = f.unique_id
+  UNION ALL SELECT 'global', f.forecast_origin_date, 'week', f.model, f.ds, any_value(f.fiscal_year_month), b.horizon, CAST(sum(round(f.ypred, 2)::DECIMAL(18,2)) AS DOUBLE) FROM forecasts f JOIN {FOLDS_SEEN} b ON b.forecast_origin_date = f.forecast_origin_date AND b.predicted_fiscal_year_month = f.fiscal_year_month AND b.unique_id = f.unique_id GROUP BY f.forecast_origin_date, f.model, f.ds, b.horizon"""
+
+
+@q("n7_facet", LINES, r=("y",))
 def n7(s):
+    """Over folds whose members change."""
     weekly = _gappy(s)
-    return N.facets(weekly, N.monthly_status(weekly, s.calendar), N.fold_members(s.base))
+    return N.facets(weekly, N.monthly_status(weekly, s.calendar), s.base.where(CHANGING), s.forecasts, s.calendar)
 
 
 @q("n8_scorecard", f"SELECT model, tier, avg(value) FILTER (horizon = 'horizon_1') AS horizon_1_value, (sum(n_obs) FILTER (horizon = 'horizon_1'))::BIGINT AS horizon_1_n_obs, avg(value) FILTER (horizon = 'horizon_2') AS horizon_2_value, (sum(n_obs) FILTER (horizon = 'horizon_2'))::BIGINT AS horizon_2_n_obs FROM ({SCORES}) WHERE metric = 'wape' GROUP BY ALL", r=("horizon_1_value", "horizon_2_value"))

@@ -120,9 +120,11 @@ def a10(spark, sf):
 
 @query("a11_leaderboard_scan", "SELECT 'r1' AS run_id, model, count(*) AS n FROM ms GROUP BY model")
 def a11(spark, sf):
+    """A second run was cut off before its manifest: its rows stay out."""
     root, ms = _dir(spark, "runs"), X.monthly_series(spark, sf)
     for m in X.MODELS:
         S.write_run({"monthly_series": ms.where(F.col("model") == m).drop("model")}, root, "r1", m)
+    ms.where("model = 'naive'").drop("model").write.parquet(f"{root}/monthly_series/run_id=r2/model=naive")
     return S.scan_runs(spark, root, "monthly_series").groupBy("run_id", "model").agg(F.count("*").alias("n"))
 
 
@@ -244,13 +246,10 @@ CUTOFF = f"""SELECT {LAST} AS last_date, CAST(CASE WHEN {LAST} = max(date) THEN
   FROM date_dim WHERE fiscal_year_month = (SELECT fiscal_year_month FROM date_dim WHERE date = {LAST}) GROUP BY fiscal_year_month"""
 
 
-def _end(spark, sf):
-    return T.covered_end(X.silver_trips(spark, sf))
-
-
 def _daily(spark, sf):
-    end = _end(spark, sf)
-    return T.daily_counts(X.clean_trips(spark, sf), end), end
+    facts = X.Study.of(spark, sf).daily_facts
+    end = T.covered_end(facts)
+    return T.daily_of(facts, end), end
 
 
 @query("c3_calendar_spine", SPINE)
@@ -277,8 +276,8 @@ def _of_borough(sql: str) -> str:
 )
 def d4_extract(spark, sf):
     z = X.zones(spark, sf).where("borough = 'AMERICA'").select("zone_id")
-    trips = X.clean_trips(spark, sf).join(z, F.col("pu_zone") == F.col("zone_id"), "left_semi")
-    return T.daily_extract(trips, _end(spark, sf), X.dates(spark, sf))
+    daily, end = _daily(spark, sf)
+    return T.daily_extract(daily.join(F.broadcast(z), F.col("pu_zone") == F.col("zone_id"), "left_semi"), end, X.dates(spark, sf))
 
 
 @query("c5_zero_fill_union", f"SELECT z.pu_zone, t.pickup_date, coalesce(n, 0) AS n FROM (SELECT DISTINCT pu_zone FROM clean) z CROSS JOIN (SELECT DISTINCT pickup_date FROM clean) t LEFT JOIN ({DAILY}) d ON d.pu_zone = z.pu_zone AND d.pickup_date = t.pickup_date")

@@ -135,8 +135,21 @@ def default_run(runs: DataFrame, pointer: str | None) -> DataFrame:
 
 
 def scan_runs(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """One table of all runs; run and model come from the folders."""
-    return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+    """One table of all committed runs; run and model come from the folders. The manifest prunes the folders at run time, so what a run
+    without one has left is never read."""
+    rows = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+    committed = spark.read.parquet(f"{root}/manifest").where(F.col("table_name") == table).select("run_id", "model").distinct()
+    return rows.join(F.broadcast(committed), ["run_id", "model"], "left_semi")  # a row a run and model
+
+
+def read_committed(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
+    """One table of one run, checked against its manifest: a model whose rows aren't as many as were written is an error."""
+    rows = scan_runs(spark, root, table).where(F.col("run_id") == run_id)
+    wanted = {r["model"]: r["n_rows"] for r in spark.read.parquet(f"{root}/manifest").where((F.col("table_name") == table) & (F.col("run_id") == run_id)).collect()}
+    found = {r["model"]: r["count"] for r in rows.groupBy("model").count().collect()}
+    if not wanted or wanted != {m: found.get(m, 0) for m in wanted}:
+        raise ValueError(f"{table} of run {run_id}: manifest {wanted}, found {found}")
+    return rows
 
 
 def stitch_daily(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -190,7 +190,8 @@ def test_reindex_shows_gaps(spark, cal):
     assert got[1, week(1)] is None and got[1, week(7)] is None and len(got) == 16
     ragged = spark.createDataFrame([(3, week(k), 2.0) for k in range(1, 8)], "unique_id long, ds date, y double")
     monthly = monitor.monthly_status(ragged, cal)
-    both = {r.fiscal_year_month: (r.status, r.total) for r in monitor.global_monthly(monthly, ragged).collect()}
+    one_origin = ragged.select("unique_id", F.lit(week(7)).alias("forecast_origin_date"))
+    both = {r.fiscal_year_month: (r.status, r.total) for r in monitor.global_monthly(monthly, one_origin).collect()}
     assert both == {202501: ("incomplete", None), 202502: ("complete", 8.0)}  # a month that no member has whole
     status = {(r.unique_id, r.fiscal_year_month): (r.status, r.total) for r in monitor.monthly_status(panel.reindexed(rows, cal), cal).collect()}
     assert status[1, 202501] == ("gapped", None) and status[2, 202502] == ("complete", 4.0)
@@ -205,6 +206,59 @@ def test_recursive_hook_and_naive(spark, cal):
     assert sorted(r.ypred for r in forecast.seasonal_naive(h, f, 2).collect()) == [5.0, 9.0]
 
 
+def test_global_follows_the_members_of_each_origin(spark, cal):
+    rows = frame(spark, {1: [1] * 8, 2: [10] * 8, 3: [100] * 8, 4: [1000] * 8}).where(f"NOT (unique_id = 3 AND ds = date'{week(1)}')")
+    rows = rows.union(spark.createDataFrame([(3, week(1), None)], "unique_id long, ds date, y double"))
+    at = {5: [1, 2], 6: [1], 7: [1, 2, 3], 9: [4], 10: [1, 2]}  # a member that goes and comes back, one with a gap, an origin of one alone
+    members = spark.createDataFrame([(week(o), i) for o, ids in at.items() for i in ids], "forecast_origin_date date, unique_id long")
+    assert sorted((r.unique_id, r.first, r.last) for r in monitor.member_runs(members).collect()) == [(1, 0, 2), (1, 4, 4), (2, 0, 0), (2, 2, 2), (2, 4, 4), (3, 2, 2), (4, 3, 3)]
+    weekly = {(r.forecast_origin_date, r.ds): r.y for r in monitor.weekly_sum(rows, members).collect()}
+    size = {1: 1, 2: 10, 3: 100, 4: 1000}
+    assert len(weekly) == 5 * 8 and all(weekly[week(o), week(k)] == (None if 3 in ids and k == 1 else sum(size[i] for i in ids)) for o, ids in at.items() for k in range(8))
+    monthly = {(r.forecast_origin_date, r.fiscal_year_month): (r.status, r.total) for r in monitor.global_monthly(monitor.monthly_status(rows, cal), members).collect()}
+    assert monthly[week(7), 202501] == ("gapped", None) and monthly[week(7), 202502] == ("complete", 444.0) and monthly[week(6), 202501] == ("complete", 4.0) and monthly[week(9), 202502] == ("complete", 4000.0)
+
+
+def test_facets_hold_the_origins_own_folds(spark, cal):
+    rows = frame(spark, {1: [1] * 8, 2: [10] * 8})
+    folds = [(week(5), 202502, 1, "horizon_1", 7.0, 8.0), (week(5), 202502, 2, "horizon_1", 70.0, 80.0), (week(6), 202502, 1, "horizon_1", 9.0, 9.5)]
+    comparison = spark.createDataFrame(folds, "forecast_origin_date date, predicted_fiscal_year_month int, unique_id long, horizon string, fc double, fb double")
+    ahead = [("m", week(o), i, week(k), 10.0 * i) for o in (5, 6) for i in (1, 2) for k in range(o + 1, 8)]
+    forecasts = spark.createDataFrame(ahead, "model string, forecast_origin_date date, unique_id long, ds date, ypred double")
+    lines = monitor.facets(rows, monitor.monthly_status(rows, cal), comparison, forecasts, cal)
+    of = lambda name, o, grain: {(r.line, r.ds): r.y for r in monitor.facet(lines, name, F.lit(week(o)), grain).collect()}
+    assert of("global", 5, "month") == {("actual", week(3)): 44.0, ("actual", week(7)): 44.0, ("challenger", week(7)): 77.0, ("benchmark", week(7)): 88.0}
+    assert of("global", 6, "month") == {("actual", week(3)): 4.0, ("actual", week(7)): 4.0, ("challenger", week(7)): 9.0, ("benchmark", week(7)): 9.5}
+    assert of("global", 6, "week") == {**{("actual", week(k)): 1.0 for k in range(8)}, ("m", week(7)): 10.0}
+    assert of("2", 6, "week") == {("actual", week(k)): 10.0 for k in range(8)}  # no fold there: history and no forecast
+    assert of("2", 5, "week") == {**{("actual", week(k)): 10.0 for k in range(8)}, ("m", week(6)): 20.0, ("m", week(7)): 20.0}
+
+
+def test_progress_refuses_lost_folds(spark, cal, scored):
+    spine = spark.createDataFrame([(202502, week(0), 2, 4), (202502, week(1), 3, 4)], "target_month int, forecast_origin_date date, weeks_actualized int, weeks_in_month int")
+    got = {(r.weeks_in_month, r.weeks_actualized): (r.value, r.n_events) for r in metrics.by_progress(scored, spine).collect()}
+    assert got == {(4, 2): (12 / 30, 2), (4, 3): (6 / 18, 2)}
+    for wrong in (spine.where("weeks_actualized = 2"), spine.union(spine)):
+        with pytest.raises(gates.GateError):
+            metrics.by_progress(scored, wrong)
+
+
+def test_scans_see_committed_runs_alone(spark, tmp_path):
+    root = str(tmp_path)
+    files.write_run({"t": spark.range(3), "u": spark.range(1)}, root, "r1", "a")
+    files.write_run({"t": spark.range(4)}, root, "r1", "b")
+    spark.range(50).write.parquet(f"{root}/t/run_id=r2/model=a")  # cut off before its manifest
+    spark.range(60).write.parquet(f"{root}/t/run_id=r1/model=c")
+    rows = files.scan_runs(spark, root, "t")
+    assert {(r.run_id, r.model): r["count"] for r in rows.groupBy("run_id", "model").count().collect()} == {("r1", "a"): 3, ("r1", "b"): 4}
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString().lower()
+    assert [r.run_id for r in files.completed_runs(spark, root).collect()] == ["r1"] and files.read_committed(spark, root, "t", "r1").count() == 7
+    spark.range(1).write.mode("append").parquet(f"{root}/t/run_id=r1/model=b")
+    for run in ("r1", "r2"):
+        with pytest.raises(ValueError, match=run):
+            files.read_committed(spark, root, "t", run)
+
+
 def test_forecasters_with_regressors_and_hyper_parameters(spark, cal):
     o = spark.createDataFrame([(week(5), 6, 2), (week(4), 5, 1)], "forecast_origin_date date, origin_week int, horizon int")
     rows = frame(spark, {1: [5, 10, 5, 10, 5, 9, 100], 2: [1] * 7})
@@ -404,6 +458,39 @@ def test_global_ranks_over_many_parts(spark):
     assert [p for p, _ in curve] == list(range(1, 301)) and all(abs(s - sum(order[:p]) / sum(order)) < 1e-12 for p, s in curve)
 
 
+@pytest.mark.parametrize("by", [["g"], []])
+def test_quantiles_of_groups_in_many_parts(spark, by):
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    values = [("big", float(v)) for v in r.integers(0, 400, 3000) / 8] + [("small", 2.5), ("two", 1.0), ("two", 2.0), ("same", 7.0), ("same", 7.0)] + [("big", None)]
+    rows = spark.createDataFrame(values, "g string, v double").repartition(9)
+    at = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    got = {tuple(x[c] for c in by): (x.n, x.q) for x in profile.exact_quantiles(rows, by, "v", at).collect()}
+    groups: dict = {}
+    for g, v in values:
+        groups.setdefault((g,) if by else (), []).extend([] if v is None else [v])
+    assert got.keys() == groups.keys() and all(n == len(groups[k]) and np.allclose(q, np.quantile(groups[k], at)) for k, (n, q) in got.items())
+    near = {tuple(x[c] for c in by): x.q for x in profile.group_quantiles(rows, by, "v", at, exact=False).collect()}
+    assert all(np.abs(np.searchsorted(np.sort(groups[k]), q) - np.array(at) * len(groups[k])).max() <= 15 for k, q in near.items())
+
+
+def test_guerrero_lambda(spark):
+    import numpy as np
+
+    r = np.random.default_rng(6)
+    base = np.repeat(np.array([1.0, 4, 2, 9, 3, 7]), 5)
+    shape = {1: base + 0.1 * np.tile([1, -1, 2, -2, 0], 6), 2: base * (1 + 0.1 * np.tile([1, -1, 2, -2, 0], 6)), 3: r.random(33) + 1, 4: np.zeros(20), 5: np.ones(7)}
+    grid = [-1.0, 0.0, 0.5, 1.0, 2.0]
+    got = {x.unique_id: (x.power, x.variation) for x in profile.guerrero_lambda(frame(spark, {i: list(v) for i, v in shape.items()}), grid, 5).collect()}
+    assert got[1][0] == 1.0 and got[2][0] == 0.0 and 4 not in got and 5 not in got
+    for i in (1, 2, 3):
+        x = shape[i][len(shape[i]) % 5 :].reshape(-1, 5)
+        ratio = {g: x.std(axis=1, ddof=1) / x.mean(axis=1) ** (1 - g) for g in grid}
+        want = {g: v.std() / v.mean() for g, v in ratio.items()}
+        assert abs(got[i][1] - min(want.values())) < 1e-12 and want[got[i][0]] == pytest.approx(min(want.values()))
+
+
 def test_shared_folder_is_an_error_on_a_cluster(spark):
     from types import SimpleNamespace
 

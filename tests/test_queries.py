@@ -20,7 +20,7 @@ c24_weeks_after_origin d4_month_cutoff d7_weekly_panel d10_monthly_totals d14_ti
 e14_gaps e17_autocorrelation g4_set_equality h3_trip_ids h7_date_dimension h18_choose_lambda k2_origins k8_seasonal_naive l3_wrmae_per_series l8_error_shares l9_wrmae_by_progress l14_fold_scores m5_mtd_construction
 m10_leakage m19_frame_difference n2_month_status n5_forecast_points o3_mtd_shares o6_intermittency o8_dispersion_ratios
 d4_daily_extract e18_partial_autocorrelation h4_local_hours h19_tiers_held k5_fixed_step_folds k15_given_scores k17_disjoint_calibration l8_horizon_shares l15_leaderboard m1_single_lineage m5_planted_defects m15_base_frame m20_report
-m21_run_agreement m22_self_score n4_global_month n7_facet""".split()
+m21_run_agreement m22_self_score n4_global_month n7_facet h10_calendar_by_table j1_future_regressor j1_fitted_values h18_guerrero_lambda m_mutation_matrix n4_changing_members n6_weekly_sum a11_leaderboard_scan d25_describe o4_share_distribution""".split()
 
 
 def plain(v):
