@@ -12,20 +12,26 @@ from pyspark.sql import functions as F
 from panelmill.session import spent, written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star round. Edges are (u, v); every node is linked to the least node it sees."""
+def _star(edges: DataFrame, large: bool, name: str) -> DataFrame:
+    """One star round. Edges are (u, v), a written table; every node is linked to the least node it sees.
+
+    The least nodes are written before they are joined to the edges again: the join then deals both sides out anew, and the edges of a
+    hub can be split over tasks."""
     flipped = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     if large:
         both = edges.union(flipped)
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = written(least, f"{name}-least")
     joined = both.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    out = written(out.where("u <> v").distinct(), name)
+    spent(least, edges)
+    return out
 
 
 def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
@@ -39,9 +45,8 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
     if before[0] == 0:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        last, now = now, written(_star(_star(now, True), False), name)
+        now = _star(_star(now, True, name), False, name)
         after = state(now)
-        spent(last)
         if tuple(after) == tuple(before):
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

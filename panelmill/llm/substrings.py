@@ -45,7 +45,8 @@ WINDOW = 20
 ANCHOR = 10
 PIECE = 256
 SHARD_BYTES = 4 << 20
-SHARDS_A_TASK = 4
+#: Shards of a streaming task at least; with very many shards a task has more, so that tasks stay within so many times the session's partitions.
+SHARDS_A_TASK, TASKS = 4, 4
 
 
 class Slice:
@@ -264,8 +265,8 @@ class Automaton:
 
 
 def stream(docs: DataFrame, passages: DataFrame, shards: int, kind: str = "int") -> DataFrame:
-    """All documents (doc_id, text, shard, rest) through the automata of their shards' passages; a task has a few shards, whatever the
-    input and the session's number of partitions."""
+    """All documents (doc_id, text, shard, rest) through the automata of their shards' passages, shard after shard, one automaton at a time."""
+    tasks = max(1, min(shards // SHARDS_A_TASK, TASKS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     each = passages.select("shard", F.lit(0).alias("document"), F.col("first_doc").alias("doc_id"), F.col("first_pos").alias("pos"), "text", F.lit(None).cast(kind).alias("rest"))
     each = each.unionByName(docs.select("shard", F.lit(1).alias("document"), "doc_id", F.lit(None).cast("int").alias("pos"), "text", "rest"))
 
@@ -290,7 +291,7 @@ def stream(docs: DataFrame, passages: DataFrame, shards: int, kind: str = "int")
             at = pa.array(rows, pa.int64())
             yield pa.record_batch([b.column(2).take(at), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), b.column(5).take(at)], names=["doc_id", "n_words", "n_removed", "text", "rest"])
 
-    return each.repartition(max(1, shards // SHARDS_A_TASK), "shard").sortWithinPartitions("shard", "document").mapInArrow(run, f"doc_id long, n_words long, n_removed long, text string, rest {kind}")
+    return each.repartition(tasks, "shard").sortWithinPartitions("shard", "document").mapInArrow(run, f"doc_id long, n_words long, n_removed long, text string, rest {kind}")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -577,6 +577,20 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_a_large_star(spark):
+    """The least node of a hub's edges is written, and joined to edges that are read again: no aggregate stands under the join."""
+    leaves = spark.range(1, 100_001).selectExpr("id AS u", "0L AS v").union(spark.range(1, 1000).selectExpr("200000 + id AS u", "200000L AS v"))
+    found = components(leaves).groupBy("component").count().collect()
+    assert {r["component"]: r["count"] for r in found} == {0: 100_001, 200_000: 1000}
+
+
+def test_streaming_tasks_are_bounded_by_the_session(spark, docs):
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("int").alias("rest"))
+    found = substrings.stream(substrings._versions(plain, 200), spark.createDataFrame([], "shard int, first_doc long, first_pos int, text string"), 200)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == len(TEXTS) and "hashpartitioning(shard#" in (plan := found._jdf.queryExecution().toString()) and f", {substrings.TASKS * parts})" in plan.replace("REPARTITION_BY_NUM", "")
+
+
 # -- 9 SentencePiece --------------------------------------------------------------------------------
 
 
