@@ -181,6 +181,24 @@ def concentration(totals: DataFrame, measure: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(whole)).select("unique_id", "position", (F.col("run") / F.col("whole")).alias("cumulative_share"))
 
 
+def daily_sketches(rows: DataFrame, day: str, identity: str, measure: str, lg_k: int = 14, k: int = 400) -> DataFrame:
+    """(day, n, distinct_sketch, measure_sketch): for each day its rows, a sketch of its distinct identities (HyperLogLog, a standard error of
+    1.04 / 2^(lg_k / 2), 0.8 %) and one of its measure (KLL, ranks within about 1 %). Days are stored once; any period is a merge of its
+    days, without the facts."""
+    return rows.groupBy(day).agg(F.count("*").alias("n"), F.hll_sketch_agg(identity, lg_k).alias("distinct_sketch"), F.kll_sketch_agg_double(F.col(measure).cast("double"), k).alias("measure_sketch"))
+
+
+def merged_sketches(sketches: DataFrame, *by: Column) -> DataFrame:
+    """Sketches of longer periods from those of shorter ones; merging is associative, so merges can be merged."""
+    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.hll_union_agg("distinct_sketch").alias("distinct_sketch"), F.kll_merge_agg_double("measure_sketch").alias("measure_sketch"))
+
+
+def sketch_figures(sketches: DataFrame, at: list[float]) -> DataFrame:
+    """The sketches' keys, n, the estimated number of distinct identities, and q, the measure's quantiles in the order of ``at``."""
+    keys = [c for c in sketches.columns if c not in ("n", "distinct_sketch", "measure_sketch")]
+    return sketches.select(*keys, "n", F.hll_sketch_estimate("distinct_sketch").alias("distinct"), F.array(*[F.kll_sketch_get_quantile_double("measure_sketch", F.lit(p)) for p in at]).alias("q"))
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """(column_name, nulls, n) of every column."""
     row = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
@@ -252,9 +270,11 @@ def guerrero_lambda(panel: DataFrame, grid: list[float], season: int) -> DataFra
     return best.select("unique_id", "best.power", "best.variation")
 
 
-def year_over_year(panel: DataFrame, calendar: DataFrame, years: list[int]) -> DataFrame:
-    """Totals by fiscal week with a column for each year."""
+def year_over_year(panel: DataFrame, calendar: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """Totals by fiscal week with a column for each year, of all years that the panel reaches into if none are given."""
     rows = on_calendar(panel, calendar)
+    if years is None:
+        years = [r[0] for r in rows.select("fiscal_year").distinct().orderBy("fiscal_year").collect()]  # a row a year
     return rows.groupBy("fiscal_week").pivot("fiscal_year", years).agg(_sum(F.col("y")))
 
 

@@ -82,13 +82,10 @@ def o9(s):
     return PR.length_histogram(PR.series_stats(s.panel))
 
 
-#: The fiscal years that sales reach into.
-YEARS = range(1994, 2003)
-
-
-@q("o10_year_over_year", "SELECT fiscal_week, " + ", ".join(f"CAST(sum(CASE WHEN fiscal_year = {y} THEN CAST(y AS DECIMAL(18,2)) END) AS DOUBLE) AS y{y}" for y in YEARS) + " FROM pc GROUP BY ALL")
+@q("o10_year_over_year", "SELECT * FROM (PIVOT (SELECT fiscal_week, 'y' || fiscal_year AS named, CAST(y AS DECIMAL(18,2)) AS y FROM pc) ON named USING CAST(sum(y) AS DOUBLE) GROUP BY fiscal_week)")
 def o10(s):
-    return PR.year_over_year(s.panel, s.calendar, list(YEARS)).toDF("fiscal_week", *[f"y{y}" for y in YEARS])
+    made = PR.year_over_year(s.panel, s.calendar)
+    return made.toDF("fiscal_week", *[f"y{c}" for c in made.columns[1:]])
 
 
 @q("o11_trailing_months", "SELECT DISTINCT fiscal_year_month FROM pc WHERE ds > (SELECT max(ds) FROM panel) - 728 AND weeks_in_month >= 5")

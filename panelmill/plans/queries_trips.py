@@ -29,7 +29,7 @@ def a1(spark, sf):
     new = rows.where("order_id % 2 = 0").withColumn("Congestion_Fee", F.col("total_amount"))
     new.toDF(*[c.upper() for c in new.columns]).write.parquet(f"{root}/era=new")
     rows.where("order_id % 2 <> 0").write.parquet(f"{root}/era=old")
-    got = S.ingest_trip_files(spark, [f"{root}/era=new", f"{root}/era=old"])
+    got = S.ingest_trip_files(spark, [root])
     return got.withColumn("era", F.regexp_extract("sourcefile_path", "era=(\\w+)", 1)).drop("sourcefile_path", "load_timestamp_utc")
 
 
@@ -356,6 +356,28 @@ def d25_describe(spark, sf):
     return PR.describe(read(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
 
 
+@query(
+    "d26_trip_sketches",
+    "SELECT strftime(pickup_date, '%Y-%m') AS month, count(*) AS n, true AS orders_within_error, true AS amounts_within_error FROM silver GROUP BY 1",
+)
+def d26_sketches(spark, sf):
+    """Months from daily sketches that were stored and merged, held against the exact figures: distinct orders within 3 %, and quantiles of
+    the amount within 2 % of the rank."""
+    at = [0.1, 0.5, 0.9]
+    trips = X.silver_trips(spark, sf).select("pickup_date", "order_id", "total_amount")
+    path = _dir(spark, "sketches")
+    PR.daily_sketches(trips, "pickup_date", "order_id", "total_amount").write.parquet(path)
+    month = F.date_format("pickup_date", "yyyy-MM").alias("month")
+    merged = PR.sketch_figures(PR.merged_sketches(spark.read.parquet(path), month), at)
+    exact = trips.groupBy(month).agg(F.count("*").alias("rows"), F.countDistinct("order_id").alias("orders"), F.count("total_amount").alias("amounts"))
+    rows = trips.select(month, "total_amount").join(F.broadcast(merged.select("month", "q")), "month")  # a row a month
+    side = lambda k, test: F.count_if(test(F.col("total_amount"), F.get("q", F.lit(k))))
+    places = rows.groupBy("month").agg(*[side(k, lambda v, q: v < q).alias(f"below{k}") for k in range(3)], *[side(k, lambda v, q: v <= q).alias(f"upto{k}") for k in range(3)])
+    both = merged.join(exact, "month").join(places, "month")
+    near = lambda k, p: (F.col(f"below{k}") <= (p + 0.02) * F.col("amounts") + 1) & (F.col(f"upto{k}") >= (p - 0.02) * F.col("amounts") - 1)
+    return both.select("month", F.when(F.col("n") == F.col("rows"), F.col("n")).alias("n"), (F.abs(F.col("distinct") - F.col("orders")) <= 0.03 * F.col("orders") + 1).alias("orders_within_error"), (near(0, 0.1) & near(1, 0.5) & near(2, 0.9)).alias("amounts_within_error"))
+
+
 @query("d27_daily_from_clean", "SELECT pickup_date, pu_zone, count(*) AS n FROM filed WHERE pickup_ts > file_month - INTERVAL 1 MONTH AND pickup_ts < file_month + INTERVAL 2 MONTH AND NOT (fare_amount = 0 OR total_amount = 0) GROUP BY ALL")
 def d27(spark, sf):
     rows = T.strict_date_sanity(X.raw_trips(spark, sf)).where("NOT (fare_amount = 0 OR total_amount = 0)")

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+
+from panelmill.session import written
 
 #: The columns of a trip file and their types.
 TRIP_COLUMNS = {
@@ -41,20 +45,54 @@ def _in_fixed_schema(raw: DataFrame, name: str) -> DataFrame:
     return raw.select(*[F.col(c).cast(t).alias(c) for c, t in TRIP_COLUMNS.items()], F.col("_file").alias("sourcefile_path"), F.current_timestamp().alias("load_timestamp_utc"))
 
 
-def ingest_trip_files(spark: SparkSession, paths: Iterable[str], readers: int = 16) -> DataFrame:
-    """Files in the fixed schema. Their schemas drift, so footers are read file by file (``readers`` at a time), and the files of each
-    schema are one read: the plan has as many branches as there are schemas, not files."""
+def file_schemas(spark: SparkSession, paths: Iterable[str], footers: bool = True) -> DataFrame:
+    """(path, kind) of every Parquet file at or below the paths: kind tells schemas apart. Spark lists the files; tasks read their footers, by
+    the store's own client where there is one, else (or without ``footers``) from the file as Spark reads it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+
+    def kind(source) -> str:
+        schema = pq.read_schema(source).remove_metadata()
+        return "; ".join(f"{f.name} {f.type}" for f in schema)
+
+    def by_footer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kinds = []
+            for path in b.column(0).to_pylist():
+                try:
+                    store, at = FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                    with store.open_input_file(at) as f:
+                        kinds.append(kind(f))
+                except (pa.ArrowException, OSError):
+                    kinds.append(None)
+            yield pa.record_batch([b.column(0), pa.array(kinds, pa.string())], names=["path", "kind"])
+
+    def by_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), pa.array([kind(pa.BufferReader(x)) for x in b.column(1).to_pylist()], pa.string())], names=["path", "kind"])
+
+    found = files.load(list(paths)).select("path")
+    if not footers:
+        return files.load(list(paths)).select("path", "content").mapInArrow(by_content, "path string, kind string")
+    found = written(found.mapInArrow(by_footer, "path string, kind string"), "footers")
+    unread = [r[0] for r in found.where("kind IS NULL").select("path").collect()]
+    if not unread:
+        return found
+    rest = files.load(unread).select("path", "content").mapInArrow(by_content, "path string, kind string")
+    return found.where("kind IS NOT NULL").unionByName(rest)
+
+
+def ingest_trip_files(spark: SparkSession, paths: Iterable[str], footers: bool = True) -> DataFrame:
+    """Files in the fixed schema, from files and folders whose schemas drift from file to file. Footers are read by a job, and the files of
+    each schema are one read: the plan has as many branches as there are schemas, and the driver opens as many files."""
     paths = list(paths)
     if not paths:
         raise ValueError("no trip files")
-    with ThreadPoolExecutor(readers) as pool:
-        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
-    alike: dict[str, tuple[StructType, list[str]]] = {}
-    for path, schema in zip(paths, schemas):
-        alike.setdefault(schema.json(), (schema, []))[1].append(path)
+    kinds = file_schemas(spark, paths, footers).groupBy("kind").agg(F.array_sort(F.collect_list("path")).alias("paths")).orderBy("kind").collect()
+    if not kinds:
+        raise ValueError(f"no Parquet files in {paths[:3]}")
     out = None
-    for schema, same in alike.values():
-        one = _in_fixed_schema(spark.read.schema(schema).parquet(*same), same[0])
+    for _, same in kinds:
+        one = _in_fixed_schema(spark.read.schema(spark.read.parquet(same[0]).schema).parquet(*same), same[0])
         out = one if out is None else out.unionByName(one)
     return out
 

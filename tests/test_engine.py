@@ -104,6 +104,32 @@ def test_ingest_demands_the_exact_columns(spark, tmp_path):
         files.ingest_trip_files(spark, [f"{tmp_path}/b"])
 
 
+@pytest.mark.parametrize("footers", [True, False])
+def test_schemas_are_found_file_by_file(spark, tmp_path, footers):
+    cols = [F.lit(None).cast(t).alias(c.upper()) for c, t in files.TRIP_COLUMNS.items() if c not in files.LATER_COLUMNS]
+    folder = f"{tmp_path}/year=2024/month=01"
+    spark.range(2).select(*cols).coalesce(1).write.parquet(folder)
+    spark.range(3).select(*cols, F.lit(1.5).alias("Congestion_Fee")).coalesce(1).write.mode("append").parquet(folder)
+    spark.range(1).select(*[c.cast("string") if k == 1 else c for k, c in enumerate(cols)]).coalesce(1).write.mode("append").parquet(folder)
+    kinds = files.file_schemas(spark, [str(tmp_path)], footers).collect()
+    assert len(kinds) == 3 and len({r["kind"] for r in kinds}) == 3
+    got = files.ingest_trip_files(spark, [str(tmp_path)], footers)
+    assert got.count() == 6 and got.where("congestion_fee = 1.5").count() == 3 and got.columns[:11] == list(files.TRIP_COLUMNS)
+    assert got.select("sourcefile_path").distinct().count() == 3
+
+
+def test_stored_sketches_merge(spark):
+    rows = spark.range(60_000).selectExpr("date_add(date'2024-01-01', cast(id % 60 as int)) AS day", "id % 9000 AS who", "cast((id * 7919) % 60000 as double) AS v")
+    daily = profile.daily_sketches(rows, "day", "who", "v")
+    whole = profile.sketch_figures(profile.merged_sketches(daily), [0.0, 0.25, 0.5, 0.9, 1.0]).first()
+    assert whole.n == 60_000 and abs(whole.distinct - 9000) <= 0.03 * 9000
+    assert all(abs(q - p * 60_000) <= 0.02 * 60_000 for q, p in zip(whole.q, [0.0, 0.25, 0.5, 0.9, 1.0]))
+    monthly = profile.merged_sketches(daily, F.trunc("day", "month").alias("month"))
+    again = profile.sketch_figures(profile.merged_sketches(monthly), [0.5]).first()  # merges of merges
+    assert again.n == 60_000 and abs(again.distinct - 9000) <= 0.03 * 9000 and abs(again.q[0] - 30_000) <= 0.02 * 60_000
+    assert {str(r.month): r.n for r in monthly.collect()} == {"2024-01-01": 31_000, "2024-02-01": 29_000}
+
+
 def test_curated_trips_are_local_and_unnamed_ones_do_not_count(spark):
     rows = [(1, 4, 7, "2024-03-10 06:59:00", "2024-03-10 07:01:00"), (1, 4, None, "2024-07-01 03:30:00", "2024-07-01 04:30:00"), (None, 4, 7, "2024-01-01 00:00:00", "2024-01-01 00:00:30")]
     df = spark.createDataFrame(rows, "vendor_id long, pu_zone int, do_zone int, p string, d string")
