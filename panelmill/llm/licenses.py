@@ -1,14 +1,16 @@
 """Operator 4: licence scans by conditional compression.
 
-Words that name a licence, copyright or permission are triggers. Candidates are the lines and sentences that a trigger stands
-in, runs of lines, and, wherever lines are broken, the best local alignments of each template with the words around triggers.
-A candidate is confirmed by exact wording: the template's words that it has in order, ``CONFIRM`` of them or more, and the
-words that differ. Templates without that many of their words there can't be confirmed and are passed over. Each confirmed
-candidate is compressed with its template as a raw zstandard dictionary against compression without one. All are ranked by
-wording, then by that reduction, and each one whose words aren't those of a better one is reported.
+Words that name a licence, copyright or permission are triggers. Candidate blocks are the lines and sentences that a trigger stands
+in, runs of lines, and the words around triggers wherever lines are broken. Each block is compressed with each template as a raw
+zstandard dictionary and without one; all pairs of block and template are ranked by the bytes that the dictionary saves, and a
+template that saves nothing is no candidate. Winners are confirmed in that order by exact wording: where the template's words stand in
+the block, by their best local alignments, which of them are there in order (``CONFIRM`` of them or more), and which words differ. What
+is confirmed is compressed again on its own, ranked by the bytes saved, then by wording, and reported if its words aren't those of a
+better one.
 
 Map-only, whatever the input. Nulls: a null text is an empty one and has no notice. A licence that stands in a text several
-times is reported at each place; rows with equal doc_id are scanned one by one. Other columns are not read.
+times is reported at each place; rows with equal doc_id are scanned one by one; very long texts are scanned whole, region by region. An
+empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -119,29 +121,30 @@ class Scanner:
         same = sum(m.size for m in pairs)
         return (same, lo + pairs[0].b, lo + pairs[-1].b + pairs[-1].size) if same and same >= CONFIRM * len(template) else None
 
-    def possible(self, words: list[str], lo: int, hi: int) -> list[int]:
-        """Templates that have enough of their words among words lo to hi, in whatever order."""
-        there = set(words[lo:hi])
-        return [k for k, (_, t, _) in enumerate(self.rows) if sum(w in there for w in t) >= CONFIRM * len(t)]
-
-    def aligned(self, words: list[str], lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
-        """(template, first, end) of local alignments among words lo to hi, the best ones first, each place once for a template."""
-        ids = np.array([self.ids.get(w, -1) for w in words[lo:hi]])
-        for k in self.possible(words, lo, hi):
-            template = np.array([self.ids[w] for w in self.rows[k][1]])
-            left = ids.copy()
-            while True:
-                best, end = align(template, left)
-                if best < CONFIRM * len(template):
-                    break
-                first = end - align(template[::-1], left[:end][::-1])[1]
-                yield k, lo + first, lo + end
-                left[first:end] = -1
+    def saved(self, block: bytes) -> list[int]:
+        """The bytes that each template saves as a dictionary for the block."""
+        plain = len(self.plain.compress(block))
+        return [plain - len(dictionary.compress(block)) for _, _, dictionary in self.rows]
+
+    def aligned(self, k: int, words: list[str], lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """(first, end) of template k's local alignments among words lo to hi, the best ones first, each place once. A template without
+        enough of its words there, in whatever order, has none."""
+        there, wording_ = set(words[lo:hi]), self.rows[k][1]
+        if sum(w in there for w in wording_) < CONFIRM * len(wording_):
+            return
+        template, left = np.array([self.ids[w] for w in wording_]), np.array([self.ids.get(w, -1) for w in words[lo:hi]])
+        while True:
+            best, end = align(template, left)
+            if best < CONFIRM * len(template):
+                break
+            first = end - align(template[::-1], left[:end][::-1])[1]
+            yield lo + first, lo + end
+            left[first:end] = -1
 
     def notices(self, text: bytes) -> Iterator[tuple]:
         """(licence, start, reduction, share of the wording, words missing, words added) of each notice."""
         at = Words(text)
-        spans = {(k, lo, hi) for a, b in blocks(text) for lo, hi in [(bisect_left(at.start, a), bisect_left(at.start, b))] for k in self.possible(at.words, lo, hi)}
+        spans = {(bisect_left(at.start, a), bisect_left(at.start, b)) for a, b in blocks(text)}
         around = 2 * self.longest
         regions: list[list[int]] = []
         for m in _TRIGGER.finditer(text):
@@ -150,21 +153,30 @@ class Scanner:
                 regions[-1][1] = min(len(at.words), k + around)
             else:
                 regions.append([max(0, k - around), min(len(at.words), k + around)])
-        for lo, hi in regions:
-            spans.update(self.aligned(at.words, lo, hi))
-        found = {(k, *got) for k, lo, hi in spans if (got := self.judge(k, at.words, lo, hi))}
+        spans.update(map(tuple, regions))
+        block = lambda lo, hi: text[at.start[lo] : at.end[hi - 1]].replace(b"\n", b" ")
+        pairs = [(-bytes_, k, lo, hi) for lo, hi in spans if lo < hi for k, bytes_ in enumerate(self.saved(block(lo, hi))) if bytes_ > 0]
+        found = set()
+        for _, k, lo, hi in sorted(pairs):
+            found.update((k, *got) for first, end in self.aligned(k, at.words, lo, hi) if (got := self.judge(k, at.words, first, end)))
         ranked = []
-        for k, same, lo, hi in found:
-            name, template, dictionary = self.rows[k]
-            block = text[at.start[lo] : at.end[hi - 1]].replace(b"\n", b" ")
-            reduction = 1 - len(dictionary.compress(block)) / len(self.plain.compress(block))
+        places: dict[int, np.ndarray] = {}
+        # A place may lie in several blocks: a template stands where its wording fits best.
+        for _, lo, hi, k, same in sorted((len(self.rows[k][1]) + hi - lo - 4 * same, lo, hi, k, same) for k, same, lo, hi in found):
+            own = places.setdefault(k, np.zeros(len(at.words), dtype=bool))
+            if own[lo:hi].any():
+                continue
+            own[lo:hi] = True
+            name, template, _ = self.rows[k]
+            bytes_ = self.saved(block(lo, hi))[k]
             missing, added = len(template) - same, hi - lo - same
-            ranked.append((missing + added - 2 * same, -same / len(template), -reduction, name, lo, hi, missing, added))
+            if bytes_ > 0:
+                ranked.append((-bytes_, missing + added - 2 * same, -same / len(template), name, lo, hi, missing, added))
         taken = np.zeros(len(at.words), dtype=bool)
-        for _, share, reduction, name, lo, hi, missing, added in sorted(ranked):
+        for bytes_, _, share, name, lo, hi, missing, added in sorted(ranked):
             if not taken[lo:hi].any():
                 taken[lo:hi] = True
-                yield name, at.start[lo], -reduction, -share, missing, added
+                yield name, at.start[lo], -bytes_ / len(self.plain.compress(block(lo, hi))), -share, missing, added
 
 
 def blocks(text: bytes) -> Iterator[tuple[int, int]]:
