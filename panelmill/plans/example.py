@@ -99,13 +99,12 @@ class Study:
 
     @cached_property
     def years(self) -> DataFrame:
-        if self.fiscal is not None:
-            return written(self.fiscal.coalesce(1), "years")
-        return written(C.fiscal_years(bounds(self.spark, self.sf)).coalesce(1), "years")
+        return self.dates.select("fiscal_year").distinct()
 
     @cached_property
     def dates(self) -> DataFrame:
-        return written(C.date_dimension(self.years).coalesce(1), "dates")
+        years = C.fiscal_years(bounds(self.spark, self.sf)) if self.fiscal is None else self.fiscal
+        return written(C.date_dimension(years).coalesce(1), "dates")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -118,8 +117,8 @@ class Study:
     @cached_property
     def panel(self) -> DataFrame:
         made = written(panel.weekly_panel(sales(self.spark, self.sf)), "panel")
-        gates.enforce(gates.uncovered_weeks(made, self.calendar), "calendar coverage")
-        gates.enforce(gates.unique_keys(self.calendar, ["ds"]), "calendar weeks")
+        twice = gates.unique_keys(self.calendar, ["ds"]).select("ds")
+        gates.enforce(gates.uncovered_weeks(made, self.calendar).union(twice), "weeks that the calendar lacks or has twice")
         return made
 
     @cached_property
