@@ -2,7 +2,8 @@
 
 The same recursion over the same lattice: nodes after each character, an edge for each piece, admitted if the piece and
 the one before it stay apart. All words of a batch take a step together; words with characters outside the vocabulary
-and words longer than the longest piece are left to the window of ``Pieces``.
+and words longer than the longest piece are left to the window of ``Pieces``. Words that were met before are told by their 64-bit hash
+alone: of the ``KEEP_WORDS`` that a task remembers at most, two share one with a probability of about 1 in 10 million.
 """
 
 from __future__ import annotations
@@ -200,7 +201,6 @@ class Batches:
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and their number for each word. A space in a word stands for a mark."""
         h = word_hashes(words)
-        self.pieces.commits += len(words)  # all paths meet where a word starts
         keys, first, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) > KEEP_WORDS:
             self.forget()
@@ -215,6 +215,7 @@ class Batches:
         return self.pool[where].astype(np.int32), n
 
     def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        self.pieces.starts += len(words)  # each lattice ends where the next word starts, the one node that is left there
         mark = MARK.encode()
         joined = np.frombuffer(b"".join(words).replace(b" ", mark).decode().encode("utf-32-le"), dtype=np.uint32)
         data = np.frombuffer(b"".join(words), dtype=np.uint8)

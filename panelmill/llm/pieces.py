@@ -3,7 +3,7 @@
 The lattice has a node after every character and an edge for every piece of the vocabulary. The pass keeps backpointers for the
 characters since the last commit. From one longest piece on it asks, at every further character, whether the paths behind all
 nodes that a later piece could still start from meet in one node; the ids up to it are then final, are put out, and the window
-moves there. ``commits`` counts these, ``widest`` is the widest window there was: for the given vocabulary a few characters more
+moves there. ``commits`` counts these alone, ``widest`` is the widest window there was: for the given vocabulary a few characters more
 than the longest piece, however long a text without spaces is.
 
 * Unigram models: an edge adds its score; the best sum wins (the usual Viterbi recursion).
@@ -13,14 +13,14 @@ than the longest piece, however long a text without spaces is.
   encoding that BPE gives. ids equal the sentencepiece library's.
 
 No piece of the vocabulary reaches across a word start or a line break, so there only one node is left to start from and all paths
-meet: each of them commits. The pass therefore runs from one such commit to the next, and what it put out for a word is kept for the word's next
-occurrence in a bounded table. Words of up to one longest piece, which end before the window could move, take their steps together
+meet: each of them commits without a search. The pass therefore runs from one such commit to the next, and what it put out for a word is
+kept for the word's next occurrence in a bounded table; ``starts`` counts the words that it was run for, not their repeats. Words of up to one longest piece, which end before the window could move, take their steps together
 (piece_batches); all others, and texts with other spacing, go through the window character by character. Long texts are taken in
 parts of ``PART_BYTES`` that end at a commit. A model with pieces across word starts isn't cut.
 
 Characters without a piece become byte pieces. Nulls: a null text is an empty one, with no ids. A text that holds the mark
 U+2581 itself decodes to one with spaces there (``exact`` is false), as in the library; all others decode to themselves.
-Rows with equal doc_id are encoded one by one. Other columns are not read.
+Rows with equal doc_id are encoded one by one. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ class Pieces:
         self.cuts = not any(MARK in p.lstrip(MARK) for p in ids)
         self.words: dict[str, list[int]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.commits = self.widest = 0
+        self.commits = self.starts = self.widest = 0
         self.bytes_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.text_of = [self.bytes_of.get(i) or n.replace(MARK, " ").encode() for i, n in enumerate(names)]
 

@@ -659,7 +659,11 @@ def test_windows_stay_near_the_longest_piece(spark):
     loaded = pieces.Pieces.load(model)
     assert [x.tolist() for x in pieces.encode_all(loaded, [t.encode() for t in every], 200_000)] == sp.encode(every)
     assert loaded.widest <= 3 * loaded.longest  # a window is bounded by the longest piece, not by the text
-    assert loaded.commits > sum(map(len, runs)) / (3 * loaded.longest) + sum(len(t.split(" ")) for t in every)  # inside words, and at each word's start
+    assert loaded.commits > sum(map(len, runs)) / (3 * loaded.longest)  # where paths converged inside words
+    assert loaded.starts == len({w for t in every for w in (" " + t).replace(" ", "\0 ").split("\0") if w})  # each word once
+    before = loaded.commits
+    pieces.encode_all(loaded, [b"these are all quite short words"], 200_000)
+    assert loaded.commits == before  # word starts aren't counted as convergences
     got = pieces.encode(spark.createDataFrame(list(enumerate(every)), "doc_id long, text string"), model).collect()
     assert {x.doc_id: list(x.ids) for x in got} == dict(enumerate(sp.encode(every))) and all(x.exact for x in got)
 
