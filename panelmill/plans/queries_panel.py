@@ -25,27 +25,19 @@ def q(name: str, sql: str | None = None, r: tuple[str, ...] = ()):
     return keep
 
 
-def seen(s, weeks, column: str = "ds"):
-    """The rows of a calendar table whose week the panel has."""
-    return weeks.join(s.panel.select(F.col("ds").alias(column)).distinct(), column, "left_semi").select(*weeks.columns)
-
-
-SEEN = "IN (SELECT ds FROM panel)"
-
-
 @q("d7_weekly_panel", "SELECT unique_id, ds, y FROM panel")
 def d7(s):
     return s.panel
 
 
-@q("d8_weekly_calendar", "SELECT ds, fiscal_year, fiscal_week, fiscal_year_week, fiscal_month, fiscal_year_month, count_workdays, holiday_days_in_week, fiscal_week_of_month, weeks_in_month, origin_month_fraction_elapsed FROM cal WHERE ds " + SEEN, r=("origin_month_fraction_elapsed",))
+@q("d8_weekly_calendar", "SELECT ds, fiscal_year, fiscal_week, fiscal_year_week, fiscal_month, fiscal_year_month, count_workdays, holiday_days_in_week, fiscal_week_of_month, weeks_in_month, origin_month_fraction_elapsed FROM cal", r=("origin_month_fraction_elapsed",))
 def d8(s):
-    return seen(s, s.calendar.drop("week_index", "month_index"))
+    return s.calendar.drop("week_index", "month_index")
 
 
-@q("e1_weeks_in_month", "SELECT ds, fiscal_week_of_month, weeks_in_month, origin_month_fraction_elapsed FROM cal WHERE ds " + SEEN, r=("origin_month_fraction_elapsed",))
+@q("e1_weeks_in_month", "SELECT ds, fiscal_week_of_month, weeks_in_month, origin_month_fraction_elapsed FROM cal", r=("origin_month_fraction_elapsed",))
 def e1(s):
-    return seen(s, s.calendar).select("ds", "fiscal_week_of_month", "weeks_in_month", "origin_month_fraction_elapsed")
+    return s.calendar.select("ds", "fiscal_week_of_month", "weeks_in_month", "origin_month_fraction_elapsed")
 
 
 @q("d9_weekly_fiscal_frame", "SELECT unique_id, ds, y, fiscal_year_week, fiscal_week_of_month FROM pc")
@@ -151,17 +143,17 @@ def d26(s):
     return s.series.agg(F.countDistinct("unique_id").alias("n_series"), F.countDistinct("forecast_origin_date").alias("n_origins"), F.countDistinct("forecast_origin_date", "predicted_fiscal_year_month").alias("n_folds"))
 
 
-@q("e2_origin_spine", "SELECT target_month, forecast_origin_date, weeks_actualized, weeks_in_month FROM spine WHERE forecast_origin_date " + SEEN)
+@q("e2_origin_spine", "SELECT target_month, forecast_origin_date, weeks_actualized, weeks_in_month FROM spine")
 def e2(s):
-    return seen(s, s.spine, "forecast_origin_date")
+    return s.spine
 
 
 PROGRESS = "SELECT s.*, t.workdays_total, coalesce(c.done, 0)::BIGINT AS workdays_to_date, (t.workdays_total - coalesce(c.done, 0))::BIGINT AS workdays_remaining FROM spine s JOIN (SELECT fiscal_year_month AS m, sum(count_workdays)::BIGINT AS workdays_total FROM cal GROUP BY 1) t ON t.m = s.target_month LEFT JOIN (SELECT fiscal_year_month AS m, fiscal_week_of_month AS w, sum(count_workdays) OVER (PARTITION BY fiscal_year_month ORDER BY fiscal_week_of_month) AS done FROM cal) c ON c.m = s.target_month AND c.w = s.weeks_actualized"
 
 
-@q("e3_workday_progress", PROGRESS + " WHERE s.forecast_origin_date " + SEEN)
+@q("e3_workday_progress", PROGRESS)
 def e3(s):
-    return seen(s, O.workday_progress(s.spine, s.calendar), "forecast_origin_date")
+    return O.workday_progress(s.spine, s.calendar)
 
 
 @q("c16_origin_series_grid", "SELECT target_month, unique_id, actual_monthly_total, forecast_origin_date, weeks_actualized, weeks_in_month FROM grid")
@@ -282,9 +274,9 @@ def e13(s):
     return s.series.select("unique_id", "forecast_origin_date", "tier").distinct().groupBy("unique_id").agg(F.max_by("tier", "forecast_origin_date").alias("last_tier"), F.count("*").alias("n"))
 
 
-@q("e16_week_index", "SELECT ds, week_index, month_index FROM cal WHERE ds " + SEEN)
+@q("e16_week_index", "SELECT ds, week_index, month_index FROM cal")
 def e16(s):
-    return seen(s, s.calendar.select("ds", "week_index", "month_index"))
+    return s.calendar.select("ds", "week_index", "month_index")
 
 
 @q("f1_ordered_result", "SELECT unique_id, ds, y FROM panel ORDER BY unique_id, ds")

@@ -134,9 +134,17 @@ def l9(s):
     return M.by_progress(s.base, s.spine)
 
 
-@q("l10_hero_metric", f"SELECT avg(wape) AS value, count(wape) AS n_folds, 'wape' AS metric FROM (SELECT {FOLD}, {DEFINED['wape']} AS wape FROM (SELECT {FOLD}, {SUMS} FROM base WHERE horizon = 'horizon_1' GROUP BY ALL))", r=("value",))
+HEROES = " UNION ALL ".join(f"SELECT avg(v) AS value, count(v) AS n_folds, '{m}' AS metric, '{h}' AS horizon FROM (SELECT {FOLD}, {DEFINED[m]} AS v FROM (SELECT {FOLD}, {SUMS} FROM base WHERE horizon = '{h}' GROUP BY ALL))" for m in ("wrmae_pooled", "wrmae_per_series", "wape") for h in ("horizon_1", "horizon_2"))
+
+
+@q("l10_hero_metric", HEROES, r=("value",))
 def l10(s):
-    return M.hero(s.base, "wape", "horizon_1")
+    out = None
+    for metric in M.HERO:
+        for horizon in ("horizon_1", "horizon_2"):
+            row = M.hero(s.base, metric, horizon).withColumn("horizon", F.lit(horizon))
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 @q("l11_native_mae", "SELECT f.model, f.forecast_origin_date, f.unique_id, avg(abs(f.ypred - p.y)) AS mae FROM forecasts f JOIN panel p ON p.unique_id = f.unique_id AND p.ds = f.ds GROUP BY ALL", r=("mae",))
@@ -627,14 +635,18 @@ def n8(s):
     return N.scorecard(M.summary_scores(s.scores), "wape", ["horizon_1", "horizon_2"])
 
 
-@q("n9_skill_by_origin", f"SELECT model, horizon, forecast_origin_date, avg(value) AS value, count(value) AS n_folds FROM ({SCORES}) WHERE metric = 'wrmae_pooled' AND tier = 'global' GROUP BY ALL", r=("value",))
+@q("n9_skill_by_origin", f"SELECT metric, model, horizon, forecast_origin_date, avg(value) AS value, count(value) AS n_folds FROM ({SCORES}) WHERE tier = 'global' GROUP BY ALL", r=("value",))
 def n9(s):
-    return N.skill_by_origin(s.scores, "wrmae_pooled")
+    out = None
+    for metric in M.SCORED:
+        rows = N.skill_by_origin(s.scores, metric).withColumn("metric", F.lit(metric))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-@q("n10_cohort_means", f"SELECT weeks_in_month, fiscal_week_of_month AS weeks_elapsed, avg(value) AS value, count(value) AS n_defined FROM ({SCORES}) s JOIN cal ON ds = forecast_origin_date WHERE metric = 'wape' AND tier = 'global' AND model = 'recent_mean' AND horizon = 'horizon_1' GROUP BY ALL", r=("value",))
+@q("n10_cohort_means", f"SELECT metric, model, horizon, weeks_in_month, fiscal_week_of_month AS weeks_elapsed, avg(value) AS value, count(value) AS n_defined FROM ({SCORES}) s JOIN cal ON ds = forecast_origin_date WHERE tier = 'global' GROUP BY ALL", r=("value",))
 def n10(s):
-    return N.cohort_means(s.scores, s.calendar).where("metric = 'wape' AND tier = 'global' AND model = 'recent_mean' AND horizon = 'horizon_1'").select("weeks_in_month", "weeks_elapsed", "value", "n_defined")
+    return N.cohort_means(s.scores, s.calendar).where("tier = 'global'").select("metric", "model", "horizon", "weeks_in_month", "weeks_elapsed", "value", "n_defined")
 
 
 @q("n11_top_shares", f"SELECT horizon, unique_id, x, y, y - x AS net FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY x DESC, unique_id) AS k FROM ({BY_HORIZON})) WHERE k <= 20", r=("x", "y", "net"))
@@ -643,9 +655,9 @@ def n11(s):
     return M.horizon_shares(s.base).withColumn("k", F.row_number().over(down)).where("k <= 20").select("horizon", "unique_id", "x", "y", "net")
 
 
-@q("h19_tiers_held", _held("(SELECT * FROM ms WHERE model = 'naive')", ""))
+@q("h19_tiers_held", _held("ms", "model"))
 def h19(s):
-    return N.tiers_held(s.series.where("model = 'naive'"))
+    return N.tiers_held(s.series, ["model"])
 
 
 # -- models that need a fit: rows only ------------------------------------------------------------

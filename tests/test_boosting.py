@@ -127,3 +127,55 @@ def test_residuals_are_those_of_the_model(spark):
     assert len(got) == len(rows) and all(abs(got[q.unique_id, q.ds].residual - (q.y - got[q.unique_id, q.ds].fitted)) < 1e-6 for q in rows)
     error = lambda made: np.abs(np.array([q.y for q in rows]) - made).mean()
     assert error(np.array([got[q.unique_id, q.ds].fitted for q in rows])) < error(want[:, 2] * level) < error(want[:, 0] * level)
+
+
+def test_direct_month_is_a_fit_of_each_target_month(spark):
+    """The last target month's forecasts, from a plain fit on the months before it; earlier months don't see later ones."""
+    from panelmill.plans import queries_scores as Q
+
+    s = Study.of(spark, SF)
+    got = {(q.unique_id, q.forecast_origin_date, q.target_month): q.monthly_forecast for q in registered.QUERIES["k10_direct_month"](spark, SF).collect()}
+    names = [*Q.DIRECT, "weeks_in_month", "weeks_actualized"]
+    table = s.modelling_table.dropna(subset=[*Q.DIRECT, "actual_monthly_total"]).collect()
+    months = sorted({q.target_month for q in table})[-Q.TARGET_MONTHS :]
+    assert {k[2] for k in got} == set(months) and len(got) == sum(q.target_month in months for q in table)
+    panel = s.panel.toPandas()
+    everything = []  # the bins' edges come from the training rows of all fits
+    for month in months:
+        until = min(q.forecast_origin_date for q in table if q.target_month == month)
+        recent = panel[(panel.ds <= until) & (panel.ds > until - dt.timedelta(weeks=52)) & (panel.y > 0)]
+        level = {i: max(1.0, v) for i, v in recent.groupby("unique_id").y.mean().items()}
+        scaled = lambda q: [*(q[c] / level[q.unique_id] for c in Q.DIRECT), float(q.weeks_in_month), float(q.weeks_actualized)]  # noqa: B023, E731
+        train, held = [q for q in table if q.target_month < month], [q for q in table if q.target_month == month]
+        everything.append((np.array([scaled(q) for q in train]), np.array([q.actual_monthly_total / level[q.unique_id] for q in train]), np.array([scaled(q) for q in held]), [level[q.unique_id] for q in held], held))
+    rows = spark.createDataFrame([(k, *map(float, x), float(y)) for k, (a, b, *_) in enumerate(everything) for x, y in zip(a, b)], ", ".join(["fit int", *(f"{c} double" for c in names), "label double"]))
+    forest = boosting.fit(rows, names, "label", len(months), 1)
+    for k in (0, len(months) - 1):
+        x, y, ahead, level, held = everything[k]
+        both = plain_forecast(x, y, ahead, list(forest.edges), Q.DIRECT_ROUNDS)
+        assert np.allclose([got[q.unique_id, q.forecast_origin_date, q.target_month] for q in held], both * np.array(level))
+
+
+def plain_forecast(x: np.ndarray, y: np.ndarray, ahead: np.ndarray, edges: list[np.ndarray], rounds: int) -> np.ndarray:
+    """Predictions of other rows by the plain fit: they go where training rows of their bins would, so each is put behind the training rows
+    without a say in splits or leaves."""
+    bins, far = (np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, a.T)], axis=1) for a in (x, ahead))
+    made, out = np.full(len(y), lower_median(y)), np.full(len(ahead), lower_median(y))
+    for _ in range(rounds):
+        r = y - made
+        node, far_node = np.zeros(len(y), dtype=int), np.zeros(len(ahead), dtype=int)
+        for _ in range(2):
+            new, far_new = 2 * node, 2 * far_node
+            for k in np.unique(node):
+                at = node == k
+                n = np.stack([np.bincount(bins[at, f], minlength=boosting.BINS) for f in range(x.shape[1])])
+                g = np.stack([np.bincount(bins[at, f], np.sign(r[at]), boosting.BINS) for f in range(x.shape[1])])
+                f, cut = boosting._best_splits(n, g, 10)
+                new[at] += bins[at, f] > cut
+                far_new[far_node == k] += far[far_node == k, f] > cut
+            node, far_node = new, far_new
+        for k in np.unique(node):
+            m = 0.3 * lower_median(r[node == k])
+            made[node == k] += m
+            out[far_node == k] += m
+    return out
