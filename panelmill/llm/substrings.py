@@ -45,6 +45,8 @@ WINDOW = 20
 ANCHOR = 10
 PIECE = 256
 SHARD_BYTES = 4 << 20
+#: Text that a Python worker has as words at once (or one longer text).
+SLICE_BYTES = 1 << 20
 #: Shards of a streaming task at least; with very many shards a task has more, so that tasks stay within so many times the session's partitions.
 SHARDS_A_TASK, TASKS = 4, 4
 
@@ -97,7 +99,7 @@ def _places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     once, and a 128-bit digest of the document's words (whole, check)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE_BYTES):
             part = Slice(texts(b.column(2)))
             phrase, doc, lo, n = anchors(part, window, anchor)
             digests = np.zeros((b.num_rows, 2), dtype=np.int64)
@@ -120,7 +122,7 @@ def _windows(marked: DataFrame, window: int) -> DataFrame:
     names = ["a", "b", "doc_id", "version", "pos", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE_BYTES):
             part = Slice(texts(b.column(2)))
             last = part.n - window
             lo, n = (c.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (b.column(3), b.column(4)))
@@ -272,7 +274,7 @@ def stream(docs: DataFrame, passages: DataFrame, shards: int, kind: str = "int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held, automaton = None, [], None
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE_BYTES):
             n_words, n_removed, kept, rows = [], [], [], []
             for k, (s, document, doc_id, pos, t) in enumerate(zip(*(b.column(i).to_pylist() for i in range(4)), texts(b.column(4)))):
                 if s != shard:
