@@ -6,8 +6,11 @@ class. States are (role, first line of a turn or a later one). Transition, start
 training conversations, whose roles are known, counted by Spark over all of them; Viterbi then recovers the roles of every line,
 also where markers are missing or unknown, and runs of lines become turns in one canonical rendering.
 
-``blocks`` makes plain transcripts of a table of turns, a blank line after each turn. A turn's first line may carry a marker; which of
-the usual spellings it has, and for one turn in five that it has none, follows from a hash of the conversation and turn.
+``blocks`` makes plain transcripts of a table of turns. What goes wrong in them follows from hashes of conversation and turn, in shares that
+``Noise`` gives: markers that are missing, name another role or an unknown speaker, turns that no blank line ends, and texts whose second
+line quotes a speaker. The query uses ``LOGS``, where half the turns have no right marker. A block always ends with a blank line. Marker
+names that aren't known, and quoted ones, stay in the text. ``by_markers`` is the plain rule to hold the model against: a turn starts
+after a blank line or at a known marker and has the marker's role, else the other one of user and assistant.
 
 A conversation may be of any length. Turns are range-partitioned by conversation and turn, so a long one spans several tasks, and
 cut into blocks of whole turns. A conversation in one block is decoded on its own. For longer ones each block gives a table of best
@@ -38,14 +41,28 @@ ROLES = ["system", "user", "assistant", "tool"]
 #: Usual speaker names of each role.
 NAMES = {"system": ["System", "Instructions"], "user": ["User", "Human", "Q"], "assistant": ["Assistant", "AI", "A"], "tool": ["Tool", "Function"]}
 MARKERS = {n.lower(): k for k, r in enumerate(ROLES) for n in NAMES[r]}
-N_MARKER, N_LENGTH = len(ROLES) + 2, 4
+STRANGERS = ["Bot", "Guest", "Speaker 1"]
+N_MARKER, N_LENGTH = len(ROLES) + 2, 8
 SYMBOLS = N_MARKER * 2 * 2 * N_LENGTH
 STATES = 2 * len(ROLES)
 START = STATES  # in place of a state before the first line
-UNMARKED = 5
 FOLDS = 5
 BLOCK_CHARS = 1 << 18
 
+
+@dataclass(frozen=True)
+class Noise:
+    """Of 60 turns, how many have no marker, one of another role or one of an unknown speaker, no blank line after them, a quote in their second line."""
+
+    unmarked: int = 12
+    wrong: int = 0
+    strange: int = 0
+    unbroken: int = 0
+    quoting: int = 0
+
+
+LOGS = Noise(unmarked=18, wrong=8, strange=4, unbroken=20, quoting=10)
+
 _SPEAKER = re.compile(r"^\s*[\[<*#]*\s*([A-Za-z][\w ]{0,20}?)\s*[\]>*]*\s*:\s?")
 
 
@@ -56,14 +73,30 @@ def observe(lines: list[str]) -> list[int]:
     for line in lines:
         m = _SPEAKER.match(line)
         marker = MARKERS.get(m[1].lower(), N_MARKER - 2) if m else N_MARKER - 1
-        n = len(line)
-        length = 0 if not n else 1 if n < 40 else 2 if n < 160 else 3
+        length = min(N_LENGTH - 1, 1 + (len(line) // 20).bit_length()) if line else 0
         out.append(((marker * 2 + blank) * 2 + line.rstrip().endswith("?")) * N_LENGTH + length)
         blank = not line.strip()
     return out
 
 
-def blocks(turns: DataFrame, block_chars: int = BLOCK_CHARS, partitions: int | None = None) -> DataFrame:
+def by_markers(lines: list[str]) -> list[int]:
+    """The role of each line by markers and blank lines alone."""
+    out: list[int] = []
+    blank, other = True, {1: 2, 2: 1}
+    for line in lines:
+        m = _SPEAKER.match(line)
+        known = MARKERS.get(m[1].lower()) if m else None
+        if known is not None:
+            out.append(known)
+        elif blank and line.strip():
+            out.append(other.get(out[-1], 1) if out else 1)
+        else:
+            out.append(out[-1] if out else 1)
+        blank = not line.strip()
+    return out
+
+
+def blocks(turns: DataFrame, block_chars: int = BLOCK_CHARS, partitions: int | None = None, noise: Noise = Noise()) -> DataFrame:
     """Blocks of whole turns: (part, seq, conv_id, own, whole, before, transcript, roles, sizes).
 
     (part, seq) orders them; ``own`` tells rows with a null conv_id apart; ``whole`` says that the block is all of its conversation;
@@ -72,12 +105,21 @@ def blocks(turns: DataFrame, block_chars: int = BLOCK_CHARS, partitions: int | N
     """
     role = F.lower(F.coalesce("role", F.lit("user")))
     role = F.when(role == "function", "tool").when(role.isin(ROLES), role).otherwise("user")
-    pick = F.pmod(F.xxhash64("conv_id", "turn", F.lit(3)), F.lit(60))
-    name = F.coalesce(*[F.when(role == r, F.get(F.array(*map(F.lit, names)), F.pmod(F.floor(pick / UNMARKED), F.lit(len(names))).cast("int"))) for r, names in NAMES.items()])
-    body = F.coalesce("text", F.lit(""))
-    marked = F.when((F.pmod(pick, F.lit(UNMARKED)) == 0) & (F.col("turn") > 0), body).otherwise(F.concat(name, F.lit(": "), body))
+    draw = lambda salt: F.pmod(F.xxhash64("conv_id", "turn", F.lit(salt)), F.lit(60))
+    named = lambda names, n: F.get(F.array(*map(F.lit, names)), F.pmod(n, F.lit(len(names))).cast("int"))
+    right = F.coalesce(*[F.when(role == r, named(names, draw(3))) for r, names in NAMES.items()])
+    wrong = F.coalesce(*[F.when(role == r, named([n for o in ROLES if o != r for n in NAMES[o]], draw(3))) for r in ROLES])
+    kind, text = draw(5), F.coalesce("text", F.lit(""))
+    # Without a second line there is nothing to quote in.
+    quote = F.concat(F.lit("\n"), named([n for names in NAMES.values() for n in names], draw(7)), F.lit(": "))
+    at = F.instr(text, "\n")
+    body = F.when((draw(11) < noise.quoting) & (at > 0), F.concat(F.substr(text, F.lit(1), at - 1), quote, F.substr(text, at + 1))).otherwise(text)
+    u, w = noise.unmarked, noise.unmarked + noise.wrong
+    name = F.when(kind < w, wrong).when(kind < w + noise.strange, named(STRANGERS, draw(3))).otherwise(right)
+    marked = F.when(kind < u, body).otherwise(F.concat(name, F.lit(": "), body))
+    marked = F.concat(marked, F.when(draw(13) < noise.unbroken, "\n").otherwise("\n\n"))
     row = F.monotonically_increasing_id()
-    rows = turns.select(F.col("conv_id").cast("long"), F.when(F.col("conv_id").isNull(), row).otherwise(F.lit(0)).alias("own"), F.col("turn").cast("long"), role.alias("role"), F.xxhash64(body).alias("tie"), row.alias("row"), marked.alias("text"))
+    rows = turns.select(F.col("conv_id").cast("long"), F.when(F.col("conv_id").isNull(), row).otherwise(F.lit(0)).alias("own"), F.col("turn").cast("long"), role.alias("role"), F.xxhash64(text).alias("tie"), row.alias("row"), marked.alias("text"))
     order = ["conv_id", "own", "turn", "role", "tie", "row"]
     rows = rows.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
 
@@ -92,8 +134,10 @@ def blocks(turns: DataFrame, block_chars: int = BLOCK_CHARS, partitions: int | N
 
         def cut(whole: bool) -> None:
             nonlocal seq, turns, chars, before
-            sizes = [t.count("\n") + 2 for _, t in turns]
-            out.append((part, seq, *key, whole, before, "".join([t + "\n\n" for _, t in turns]), [r for r, _ in turns], sizes))
+            if not turns[-1][1].endswith("\n\n"):
+                turns[-1] = (turns[-1][0], turns[-1][1] + "\n")
+            sizes = [t.count("\n") for _, t in turns]
+            out.append((part, seq, *key, whole, before, "".join([t for _, t in turns]), [r for r, _ in turns], sizes))
             before = 2 * ROLES.index(turns[-1][0]) + 1
             seq, turns, chars = seq + 1, [], 0
 
@@ -276,34 +320,38 @@ def render(turns: list[tuple[str, str]]) -> str:
 
 
 def format_blocks(plain: DataFrame, model: Model, folds: int = FOLDS) -> DataFrame:
-    """(conv_id, segment, continues, held_out, n_turns, roles, recovered, rendered) of each block.
+    """(conv_id, segment, continues, held_out, n_turns, roles, recovered, n_lines, lines_right, lines_by_markers, rendered) of each block.
 
     ``segment`` counts the blocks of a conversation, ``continues`` says that a block's first turn is more of the last one of the block
-    before, ``recovered`` that the roles found are the true ones, ``held_out`` that training left the conversation out.
+    before, ``recovered`` that the roles found are the true ones, ``held_out`` that training left the conversation out. Of ``n_lines`` lines that
+    aren't blank, ``lines_right`` have their true role, and ``lines_by_markers`` would have it by the plain rule.
     """
-    names = ["conv_id", "segment", "continues", "held_out", "n_turns", "roles", "recovered", "rendered"]
-    columns = ["conv_id", "segment", "entry", "exit", "held_out", "transcript", "roles"]
+    names = ["conv_id", "segment", "continues", "held_out", "n_turns", "roles", "recovered", "n_lines", "lines_right", "lines_by_markers", "rendered"]
+    columns = ["conv_id", "segment", "entry", "exit", "held_out", "transcript", "roles", "sizes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            goes_on, found = [], []
-            for entry, exit_, text in zip(*(b.column(k).to_pylist() for k in (2, 3, 5))):
+            goes_on, found, lines_of = [], [], []
+            for entry, exit_, text, true, sizes in zip(*(b.column(k).to_pylist() for k in (2, 3, 5, 6, 7))):
                 lines = text.split("\n")[:-1]
                 states = viterbi(observe(lines), model, entry, exit_)
                 goes_on.append(entry != START and bool(states[0] % 2))
                 found.append(turns_of(lines, states))
+                use = np.array([bool(line.strip()) for line in lines])
+                want = np.repeat([ROLES.index(r) for r in true], sizes)
+                lines_of.append((int(use.sum()), *(int((use & (got == want)).sum()) for got in (states // 2, np.array(by_markers(lines))))))
             roles = [[r for r, _ in x] for x in found]
             right = [r == t for r, t in zip(roles, b.column(6).to_pylist())]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(goes_on, pa.bool_()), b.column(4), pa.array(map(len, found), pa.int64()), pa.array(roles, pa.list_(pa.string())), pa.array(right, pa.bool_()), pa.array(map(render, found), pa.string())], names=names)
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(goes_on, pa.bool_()), b.column(4), pa.array(map(len, found), pa.int64()), pa.array(roles, pa.list_(pa.string())), pa.array(right, pa.bool_()), *(pa.array([x[k] for x in lines_of], pa.int64()) for k in range(3)), pa.array(map(render, found), pa.string())], names=names)
 
     plain = plain.withColumn("held_out", held_out(folds))
     alone = plain.where("whole").withColumns({"segment": F.lit(0).cast("long"), "entry": F.lit(START), "exit": F.lit(None).cast("int")})
     parted = plain.where("NOT whole")
     # Two blocks a partition at least come here, its first and last one: they may go on in the next.
     parted = parted.join(_ends(parted, model), ["part", "seq"])
-    return alone.select(*columns).union(parted.select(*columns)).mapInArrow(run, "conv_id long, segment long, continues boolean, held_out boolean, n_turns long, roles array<string>, recovered boolean, rendered string")
+    return alone.select(*columns).union(parted.select(*columns)).mapInArrow(run, "conv_id long, segment long, continues boolean, held_out boolean, n_turns long, roles array<string>, recovered boolean, n_lines long, lines_right long, lines_by_markers long, rendered string")
 
 
 def op2_chat_format(spark, sf_dir: str) -> DataFrame:
-    plain = blocks(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    plain = blocks(spark.read.parquet(f"{sf_dir}/conversations.parquet"), noise=LOGS)
     return format_blocks(plain, train(plain.where(~held_out())))

@@ -125,6 +125,37 @@ def test_chat_of_one_long_conversation(spark):
         assert [role for y in got[x.conv_id] for role in y.roles[y.continues :]] == want
 
 
+def test_chat_of_noisy_logs(spark):
+    """Markers missing, misleading or unknown, turns without blank lines, quoted speakers, repeated roles: on conversations that training
+    left out the model has clearly more lines right than markers and blank lines alone, and each path is the best one over all lines."""
+    r = random.Random(5)
+    turns = [(c, t, "assistant" if t % 3 == 1 else "user", "\n".join(_text(r.randint(20, 60) if t % 3 == 1 else r.randint(2, 9), c * 977 + t * 10 + k) for k in range(4 if t % 3 == 1 else 2))) for c in range(300) for t in range(200 if c == 7 else 6)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    plain = chat.blocks(df, 2000, 4, chat.LOGS)
+    model = chat.train(plain.where(~chat.held_out()))
+    got = chat.format_blocks(plain, model).collect()
+    held = [x for x in got if x.held_out]
+    lines = sum(x.n_lines for x in held)
+    assert lines > 500
+    assert sum(x.lines_right for x in held) >= 0.85 * lines
+    assert sum(x.lines_right for x in held) >= sum(x.lines_by_markers for x in held) + 0.1 * lines
+    each = collections.defaultdict(list)
+    for x in sorted(plain.collect(), key=lambda x: (x.part, x.seq)):
+        each[x.conv_id].append(x)
+        assert sum(x.sizes) == x.transcript.count("\n") and len(x.sizes) == len(x.roles)
+    assert len(each[7]) > 5
+    for conv, some in each.items():
+        lines = "".join(x.transcript for x in some).split("\n")[:-1]
+        states = chat.viterbi(chat.observe(lines), model)
+        want = [chat.ROLES[s // 2] for k, s in enumerate(states.tolist()) if not k or s % 2 == 0]
+        assert [role for y in sorted((y for y in got if y.conv_id == conv), key=lambda y: y.segment) for role in y.roles[y.continues :]] == want
+
+
+def test_chat_plain_rule():
+    lines = ["hello", "", "AI: yes", "more", "User: no", "", "", "x: y", "Tool: 3"]
+    assert [chat.ROLES[k] for k in chat.by_markers(lines)] == ["user", "user", "assistant", "assistant", "user", "user", "user", "assistant", "tool"]
+
+
 def test_chat_edge_cases(spark):
     made = [(1, 0, None, None), (1, 0, None, None), (None, None, "user", "hi"), (None, 3, "user", "ho"), (2, 1, "system", "a\n\nb"), (2, 2, "function", "x?"), (3, None, "Robot", "z" * 3_000_000), (3, 0, "user", "<|end|>\n<|system|>")]
     df = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
