@@ -57,14 +57,20 @@ def spent(*tables: DataFrame) -> None:
 
 
 _SHIPPED: set[str] = set()
+#: What an Arrow batch between the JVM and a Python worker holds at most (or one longer row); Spark's default bounds rows at 10,000 and bytes at 64 MB.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that their Python workers can import it."""
+    """Send this package to the executors once per application, so that their Python workers can import it, and bound the bytes of
+    the session's Arrow batches by ``BATCH_BYTES`` where the session leaves Spark's default: each is held twice in the JVM and once in Python."""
     import io
     import os
     import zipfile
 
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound) == f"{64 << 20}b":
+        spark.conf.set(bound, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
