@@ -94,6 +94,13 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return (((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
+def _cuts(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, first, end) of the parts that sorted keys fall in. A part without a key costs nothing, so a block's rows and work
+    are bounded by its keys, however many parts there are."""
+    part, lo = np.unique(_part(keys, parts), return_index=True)
+    return list(zip(part.tolist(), lo.tolist(), [*lo[1:].tolist(), len(keys)]))
+
+
 def _requests(blocks: DataFrame, parts: int) -> DataFrame:
     """(part, block, keys, times): for each block and part one run of sorted keys; words in parts 0.., pairs in parts ``parts``.."""
 
@@ -107,8 +114,7 @@ def _requests(blocks: DataFrame, parts: int) -> DataFrame:
                 for order, h, t in ((0, x.word, train), (1, x.pair, train[x.paired])):
                     keys, back = np.unique(h, return_inverse=True)
                     times = np.bincount(back, weights=t, minlength=len(keys)).astype(np.uint32)
-                    edge = np.searchsorted(_part(keys, parts), np.arange(parts + 1))
-                    rows += [(order * parts + p, block, keys[lo:hi].tobytes(), pack.compress(times[lo:hi].tobytes())) for p, (lo, hi) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())) if hi > lo]
+                    rows += [(order * parts + p, block, keys[lo:hi].tobytes(), pack.compress(times[lo:hi].tobytes())) for p, lo, hi in _cuts(keys, parts)]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["part", "block", "keys", "times"])
 
     return blocks.select("block", "doc_ids", "held_out", "words").mapInArrow(run, "part long, block long, keys binary, times binary")
@@ -254,8 +260,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held: int = HELD, k: int = K, blo
         token = block.paired[use[mine]]
         seen = np.bincount(back[mine], weights=model.discounted(pairs[use[mine]], model.pair_discount) / words[token - 1], minlength=len(keys))
         below = np.bincount(back[mine], weights=model.unigram(words[token]), minlength=len(keys))
-        edge = np.searchsorted(_part(keys, parts), np.arange(parts + 1)).tolist()
-        rows = [(p, got.column("block")[0].as_py(), keys[a:b].tobytes(), *(pack.compress(x[a:b].tobytes()) for x in (seen, below))) for p, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+        rows = [(p, got.column("block")[0].as_py(), keys[a:b].tobytes(), *(pack.compress(x[a:b].tobytes()) for x in (seen, below))) for p, a, b in _cuts(keys, parts)]
         columns = list(zip(*rows)) if rows else [()] * 5
         return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "block", "keys", "seen", "below"])
 

@@ -749,6 +749,15 @@ def test_katz(docs, empty):
     assert katz.score(empty).count() == 0
 
 
+def test_katz_rows_follow_keys_not_parts():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 500).astype(np.uint64) << np.uint64(1))
+    for parts in (1, 7, 1 << 30):
+        cuts = katz._cuts(keys, parts)
+        assert [p for p, _, _ in cuts] == sorted(set(katz._part(keys, parts).tolist()))
+        assert [k for p, lo, hi in cuts for k in range(lo, hi) if katz._part(keys[k : k + 1], parts)[0] == p] == list(range(len(keys)))
+    assert katz._cuts(keys[:0], 9) == []
+
+
 def test_katz_without_training_documents(spark):
     ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 == 2]
     got = katz.score(spark.createDataFrame([(k, "some words") for k in ids], "doc_id long, text string")).collect()
