@@ -50,11 +50,26 @@ def _blocks(docs: DataFrame, folds: int, held: int, block_bytes: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
+        lines, ids, held_out, tokens, size = [], [], [], 0, 0
+
+        def block() -> pa.RecordBatch:
+            data = pack.compress(b"\n".join(lines))
+            columns = [pa.array([uuid.uuid4().int >> 65]), pa.array([ids], pa.list_(pa.int64())), pa.array([held_out], pa.list_(pa.bool_()))]
+            return pa.record_batch([*columns, pa.array([tokens], pa.int64()), pa.array([data], pa.binary())], names=["block", "doc_ids", "held_out", "tokens", "words"])
+
+        # A block is filled from batch after batch, whatever their size; no block exceeds ``block_bytes`` but for one longer text.
         for b in slices(batches, "text", block_bytes):
-            words = [t.lower().split() for t in texts(b.column(1))]
-            data = pack.compress(b"\n".join([b" ".join(w) for w in words]))
-            columns = [pa.array([uuid.uuid4().int >> 65]), pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([b.column(2).to_pylist()], pa.list_(pa.bool_()))]
-            yield pa.record_batch([*columns, pa.array([sum(map(len, words)) + len(words)], pa.int64()), pa.array([data], pa.binary())], names=["block", "doc_ids", "held_out", "tokens", "words"])
+            for doc_id, out, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), texts(b.column(1))):
+                if lines and size + len(t) > block_bytes:
+                    yield block()
+                    lines, ids, held_out, tokens, size = [], [], [], 0, 0
+                words = t.lower().split()
+                lines.append(b" ".join(words))
+                ids.append(doc_id)
+                held_out.append(out)
+                tokens, size = tokens + len(words) + 1, size + len(t)
+        if lines:
+            yield block()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("held_out", held_out).select("doc_id", "text", "held_out")
     return rows.mapInArrow(run, "block long, doc_ids array<long>, held_out array<boolean>, tokens long, words binary")
