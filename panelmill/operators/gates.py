@@ -40,6 +40,11 @@ def close(a: Column, b: Column, rtol: float = 1e-9, atol: float = 1e-8) -> Colum
     return F.abs(a - b) <= F.lit(atol) + rtol * F.abs(b)
 
 
+def same_amount(a: Column, b: Column) -> Column:
+    """Close, and the same to the cent: on amounts of a billion the relative tolerance alone lets a whole unit pass. False for nulls."""
+    return F.coalesce(close(a, b) & (a.cast(MONEY) == b.cast(MONEY)), F.lit(False))
+
+
 def check(name: str, rows: DataFrame, bad: Column) -> DataFrame:
     """One row: (gate, checked, violations, ok), ok only if rows were checked and none is bad."""
     found = rows.agg(F.count("*").alias("checked"), F.coalesce(F.sum(F.coalesce(bad, F.lit(True)).cast("long")), F.lit(0)).alias("violations"))
@@ -114,9 +119,11 @@ def mtd_increments(table: DataFrame, panel: DataFrame, calendar: DataFrame) -> D
     """Origins with whether month-to-date starts at 0 and grows by the week's actual; an origin whose week before is absent isn't ok."""
     w = Window.partitionBy("unique_id", "target_month").orderBy("weeks_actualized")
     weeks = fiscal_position(panel, calendar).select("unique_id", F.col("fiscal_year_month").alias("target_month"), F.col("fiscal_week_of_month").alias("weeks_actualized"), "y")
-    rows = table.select("unique_id", "target_month", "weeks_actualized", "mtd_revenue").withColumn("grown", F.col("mtd_revenue") - F.lag("mtd_revenue").over(w))
+    mtd = F.col("mtd_revenue").cast(MONEY)
+    added = {"grown": F.col("mtd_revenue") - F.lag("mtd_revenue").over(w), "added": (mtd - F.lag(mtd).over(w)).cast("double")}
+    rows = table.select("unique_id", "target_month", "weeks_actualized", "mtd_revenue").withColumns(added)
     joined = rows.join(weeks, ["unique_id", "target_month", "weeks_actualized"], "left")
-    ok = F.when(F.col("weeks_actualized") == 0, F.col("mtd_revenue") == 0).otherwise(close(F.col("grown"), F.col("y")))
+    ok = F.when(F.col("weeks_actualized") == 0, F.col("mtd_revenue") == 0).otherwise(same_amount(F.col("added"), F.col("y")))
     return joined.select("unique_id", "target_month", "weeks_actualized", "mtd_revenue", "grown", "y", F.coalesce(ok, F.lit(False)).alias("ok"))
 
 
@@ -131,7 +138,8 @@ def total_reconciliation(table: DataFrame, panel: DataFrame, calendar: DataFrame
     """Month total against month-to-date at the last origin plus the final week."""
     last = fiscal_position(panel, calendar).select("unique_id", F.col("fiscal_year_month").alias("target_month"), F.col("fiscal_week_of_month").alias("weeks_in_month"), F.col("y").alias("final_week"))
     rows = table.where(F.col("weeks_actualized") == F.col("weeks_in_month") - 1).join(last, ["unique_id", "target_month", "weeks_in_month"], "left")
-    return rows.select("unique_id", "target_month", "actual_monthly_total", (F.col("mtd_revenue") + F.col("final_week")).alias("rebuilt")).withColumn("ok", F.coalesce(close(F.col("actual_monthly_total"), F.col("rebuilt")), F.lit(False)))
+    rebuilt = (F.col("mtd_revenue").cast(MONEY) + F.col("final_week").cast(MONEY)).cast("double")
+    return rows.select("unique_id", "target_month", "actual_monthly_total", rebuilt.alias("rebuilt")).withColumn("ok", same_amount(F.col("actual_monthly_total"), F.col("rebuilt")))
 
 
 def remaining_identity(table: DataFrame, panel: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -139,7 +147,7 @@ def remaining_identity(table: DataFrame, panel: DataFrame, calendar: DataFrame)
     weeks = fiscal_position(panel, calendar).select("unique_id", F.col("fiscal_year_month").alias("target_month"), "fiscal_week_of_month", "y")
     rows = table.join(weeks, ["unique_id", "target_month"]).where(F.col("fiscal_week_of_month") > F.col("weeks_actualized"))
     made = rows.groupBy("unique_id", "target_month", "weeks_actualized", "weeks_in_month", "remaining_target").agg(F.sum(F.col("y").cast(MONEY)).cast("double").alias("summed"), F.count("*").alias("weeks"))
-    ok = close(F.col("remaining_target"), F.col("summed")) & (F.col("weeks") == F.col("weeks_in_month") - F.col("weeks_actualized"))
+    ok = same_amount(F.col("remaining_target"), F.col("summed")) & (F.col("weeks") == F.col("weeks_in_month") - F.col("weeks_actualized"))
     return made.withColumn("ok", ok)
 
 

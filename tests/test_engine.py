@@ -403,6 +403,23 @@ def test_mtd_of_the_gate_fixture(modelling):
     assert got[11, 0][1] == 182 and got[23, 0][1] == 174
 
 
+def test_gates_see_one_unit_in_amounts_of_billions(spark, cal):
+    rows = frame(spark, {11: [7e9 * k + 0.07 for k in range(1, 9)]})
+    totals = panel.monthly_totals(rows, cal)
+    table = features.attach_mtd(features.origin_series_grid(origins.spine(cal), totals, totals.select("unique_id", "fiscal_year_month")), rows, cal)
+    left, plus = features.remaining_target(table), lambda df, c: df.withColumn(c, F.col(c) + 1)
+    bad = lambda df: df.where("NOT ok").count()
+    n = table.count()
+    assert n == 4
+    assert (bad(gates.mtd_increments(table, rows, cal)), bad(gates.total_reconciliation(table, rows, cal)), bad(gates.remaining_identity(left, rows, cal))) == (0, 0, 0)
+    assert bad(gates.total_reconciliation(plus(table, "actual_monthly_total"), rows, cal)) == 1
+    assert bad(gates.remaining_identity(plus(left, "remaining_target"), rows, cal)) == n
+    late = table.withColumn("mtd_revenue", F.col("mtd_revenue") + F.when(F.col("weeks_actualized") == 2, 1).otherwise(0))
+    assert bad(gates.mtd_increments(late, rows, cal)) == 2
+    lost = left.withColumn("remaining_target", F.lit(None).cast("double"))
+    assert bad(gates.remaining_identity(lost, rows, cal)) == n
+
+
 def test_gates_pass_and_fail(spark, cal, modelling):
     rows, table, _ = modelling
     totals = panel.monthly_totals(rows, cal)
