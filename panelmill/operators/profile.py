@@ -181,6 +181,13 @@ def concentration(totals: DataFrame, measure: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(whole)).select("unique_id", "position", (F.col("run") / F.col("whole")).alias("cumulative_share"))
 
 
+def first_in_group(rows: DataFrame, identity: str, *by: str) -> DataFrame:
+    """The rows with is_first: true for one row of each identity in each group, so a count of them is the exact distinct count (null
+    identities don't count). Rows that lie dealt out by identity aren't moved, and no task holds a table of all identities."""
+    nth = F.row_number().over(Window.partitionBy(identity, *by).orderBy(F.lit(0)))
+    return rows.withColumn("is_first", (nth == 1) & F.col(identity).isNotNull())
+
+
 def daily_sketches(rows: DataFrame, day: str, identity: str, measure: str, lg_k: int = 14, k: int = 400) -> DataFrame:
     """(day, n, distinct_sketch, measure_sketch): for each day its rows, a sketch of its distinct identities (HyperLogLog, a standard error of
     1.04 / 2^(lg_k / 2), 0.8 %) and one of its measure (KLL, ranks within about 1 %). Days are stored once; any period is a merge of its

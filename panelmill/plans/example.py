@@ -13,10 +13,20 @@ from panelmill.operators import features, forecast, gates, metrics, origins, pan
 from panelmill.session import read, written
 
 
-def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem with its order's customer's nation as the pickup zone; customers and nations are dimension tables."""
+#: Trips that a task of ``raw_trips`` holds at most, about, where it is asked to bound them: some 100 MB of sort.
+TASK_TRIPS = 1 << 20
+
+
+def raw_trips(spark: SparkSession, sf: str, bounded: bool = False) -> DataFrame:
+    """lineitem with its order's customer's nation as the pickup zone; customers and nations are dimension tables. ``bounded`` deals
+    the trips out by order to tasks of about ``TASK_TRIPS``, however many there are."""
     t = partial(read, spark, sf)
-    rows = t("lineitem").join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    lines = t("lineitem")
+    heads = t("orders").select("o_orderkey", "o_custkey").join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    if bounded:
+        parts = max(spark.sparkContext.defaultParallelism, -(-lines.count() // TASK_TRIPS))
+        lines, heads = lines.repartition(parts, "l_orderkey"), heads.repartition(parts, "o_orderkey")
+    rows = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     k = F.col("l_orderkey")
     shift = F.when(k % 50 == 0, 4).when(k % 50 == 1, -4).when(k % 50 == 2, 1).when(k % 50 == 3, -1).otherwise(0)
     seconds = F.col("l_quantity").cast("long") * 60 - F.when(k % 53 == 0, 3600).otherwise(0)
@@ -40,8 +50,8 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "nation").join(read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("zone_id"), F.col("n_name").alias("zone"), F.col("r_name").alias("borough"))
 
 
-def silver_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return trips.date_sanity(raw_trips(spark, sf))
+def silver_trips(spark: SparkSession, sf: str, bounded: bool = False) -> DataFrame:
+    return trips.date_sanity(raw_trips(spark, sf, bounded))
 
 
 def clean_trips(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,7 +12,7 @@ from panelmill.operators import profile as PR
 from panelmill.operators import trips as T
 from panelmill.plans import example as X
 from panelmill.plans.catalog import query
-from panelmill.session import read, shared_dir
+from panelmill.session import read, shared_dir, written
 from panelmill.sources import files as S
 
 
@@ -364,16 +364,18 @@ def d26_sketches(spark, sf):
     """Months from daily sketches that were stored and merged, held against the exact figures: distinct orders within 3 %, and quantiles of
     the amount within 2 % of the rank."""
     at = [0.1, 0.5, 0.9]
-    trips = X.silver_trips(spark, sf).select("pickup_date", "order_id", "total_amount")
-    path = _dir(spark, "sketches")
-    PR.daily_sketches(trips, "pickup_date", "order_id", "total_amount").write.parquet(path)
     month = F.date_format("pickup_date", "yyyy-MM").alias("month")
-    merged = PR.sketch_figures(PR.merged_sketches(spark.read.parquet(path), month), at)
-    exact = trips.groupBy(month).agg(F.count("*").alias("rows"), F.countDistinct("order_id").alias("orders"), F.count("total_amount").alias("amounts"))
-    rows = trips.select(month, "total_amount").join(F.broadcast(merged.select("month", "q")), "month")  # a row a month
+    trips = PR.first_in_group(X.silver_trips(spark, sf, bounded=True).select("pickup_date", month, "order_id", "total_amount"), "order_id", "month")
+    trips = written(trips, "sketch-trips")  # the trips are joined once
+    path = _dir(spark, "sketches")
+    dealt = trips.repartition(max(spark.sparkContext.defaultParallelism, -(-trips.count() // X.TASK_TRIPS)), "order_id")
+    PR.daily_sketches(dealt, "pickup_date", "order_id", "total_amount").write.parquet(path)
+    merged = written(PR.sketch_figures(PR.merged_sketches(spark.read.parquet(path), month), at), "sketch-months")  # a row a month
     side = lambda k, test: F.count_if(test(F.col("total_amount"), F.get("q", F.lit(k))))
-    places = rows.groupBy("month").agg(*[side(k, lambda v, q: v < q).alias(f"below{k}") for k in range(3)], *[side(k, lambda v, q: v <= q).alias(f"upto{k}") for k in range(3)])
-    both = merged.join(exact, "month").join(places, "month")
+    exact = [F.count("*").alias("rows"), F.count_if("is_first").alias("orders"), F.count("total_amount").alias("amounts")]
+    places = [*[side(k, lambda v, q: v < q).alias(f"below{k}") for k in range(3)], *[side(k, lambda v, q: v <= q).alias(f"upto{k}") for k in range(3)]]
+    rows = trips.join(F.broadcast(merged.select("month", "q")), "month")
+    both = merged.join(rows.groupBy("month").agg(*exact, *places), "month")
     near = lambda k, p: (F.col(f"below{k}") <= (p + 0.02) * F.col("amounts") + 1) & (F.col(f"upto{k}") >= (p - 0.02) * F.col("amounts") - 1)
     return both.select("month", F.when(F.col("n") == F.col("rows"), F.col("n")).alias("n"), (F.abs(F.col("distinct") - F.col("orders")) <= 0.03 * F.col("orders") + 1).alias("orders_within_error"), (near(0, 0.1) & near(1, 0.5) & near(2, 0.9)).alias("amounts_within_error"))
 

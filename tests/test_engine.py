@@ -130,6 +130,12 @@ def test_stored_sketches_merge(spark):
     assert {str(r.month): r.n for r in monthly.collect()} == {"2024-01-01": 31_000, "2024-02-01": 29_000}
 
 
+def test_first_in_group_counts_distinct_identities(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "b"), (None, "b"), (3, None), (3, None)], "who long, g string")
+    made = profile.first_in_group(rows, "who", "g")
+    assert made.count() == 8 and {r.g: r.n for r in made.groupBy("g").agg(F.count_if("is_first").alias("n")).collect()} == {"a": 2, "b": 1, None: 1}
+
+
 def test_curated_trips_are_local_and_unnamed_ones_do_not_count(spark):
     rows = [(1, 4, 7, "2024-03-10 06:59:00", "2024-03-10 07:01:00"), (1, 4, None, "2024-07-01 03:30:00", "2024-07-01 04:30:00"), (None, 4, 7, "2024-01-01 00:00:00", "2024-01-01 00:00:30")]
     df = spark.createDataFrame(rows, "vendor_id long, pu_zone int, do_zone int, p string, d string")

@@ -8,9 +8,10 @@ import importlib.util
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
-from panelmill.plans import registered
+from panelmill.plans import example, registered
 from panelmill.plans.example import Study
 
 SF = "/root/testdata/sf0.001"
@@ -62,6 +63,17 @@ def test_direct_month_has_all_target_months(spark):
     assert all(r.monthly_forecast is not None for r in made)
 
 
+def test_tasks_of_bounded_trips_do_not_grow(spark, duck, monkeypatch):
+    monkeypatch.setattr(example, "TASK_TRIPS", 500)
+    plain, bounded = (example.silver_trips(spark, SF, bounded=b) for b in (False, True))
+    assert plain.exceptAll(bounded).count() == bounded.exceptAll(plain).count() == 0
+    parts = bounded.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"), F.collect_set("order_id").alias("orders")).collect()
+    assert len(parts) >= 10 and max(r.n for r in parts) <= 1000
+    assert sum(len(r.orders) for r in parts) == bounded.select("order_id").distinct().count()
+    df, want = registered.QUERIES["d26_trip_sketches"](spark, SF), duck.sql(registered.ORACLE["d26_trip_sketches"])
+    assert table(df.columns, [tuple(r) for r in df.collect()]) == table(want.columns, want.fetchall())
+
+
 def test_every_query_is_registered_once():
     found = __spark_entry__.queries()
     assert set(registered.QUERIES) <= set(found) and set(__spark_entry__.oracle_sql()) <= set(found)
